@@ -155,32 +155,43 @@ def exact_quantiles(
 
 
 def _narrow(base, tasks, limit, accuracy, out, names):
-    """One round over the open brackets; returns those that need another."""
-    def inside(t):
+    """One round over the open brackets; returns those that need another.
+
+    A bracket is (lo, hi) with hot end values counted apart, so only the values
+    strictly between them have to be few.
+    """
+    def between(t):
         v = F.col(f"v{t['i']}")
-        return (v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"]))
+        return (v > F.lit(t["lo"])) & (v < F.lit(t["hi"]))
 
     aggs = []
     for x, t in enumerate(tasks):
         v = F.col(f"v{t['i']}")
-        aggs += [F.count_if(v < F.lit(t["lo"])).alias(f"b{x}"), F.count_if(inside(t)).alias(f"c{x}")]
+        aggs += [F.count_if(v < F.lit(t["lo"])).alias(f"b{x}"), F.count_if(v == F.lit(t["lo"])).alias(f"l{x}"),
+                 F.count_if(between(t)).alias(f"m{x}"), F.count_if(v == F.lit(t["hi"])).alias(f"h{x}"),
+                 F.min(v).alias(f"min{x}"), F.max(v).alias(f"max{x}")]
     row = base.agg(*aggs).first()
-    ready, again = [], []
+    ready, narrow, again = [], [], []
     for x, t in enumerate(tasks):
-        t["below"], t["within"] = row[f"b{x}"], row[f"c{x}"]
-        if t["below"] > t["k0"]:
-            t["hi"], t["lo"] = t["lo"], float("-inf")
+        below, at_lo, mid, at_hi = row[f"b{x}"], row[f"l{x}"], row[f"m{x}"], row[f"h{x}"]
+        upto = below + at_lo + mid + (at_hi if t["hi"] != t["lo"] else 0)
+        if t["k0"] < below:                # the sketch missed: take the whole lower side
+            t["lo"], t["hi"] = row[f"min{x}"], t["lo"]
             again.append(t)
-        elif t["k1"] >= t["below"] + t["within"]:
-            t["lo"], t["hi"] = t["hi"], float("inf")
+        elif t["k1"] >= upto:              # the sketch missed: take the whole upper side
+            t["lo"], t["hi"] = t["hi"], row[f"max{x}"]
+            t["lo"] = t["lo"] if t["k0"] >= below + at_lo + mid else row[f"min{x}"]
             again.append(t)
-        elif t["lo"] == t["hi"]:
+        elif t["k1"] < below + at_lo:      # both ranks fall on the hot low end
             out[names[t["i"]]][t["j"]] = t["lo"]
-        elif t["within"] <= limit:
-            ready.append(t)
         else:
-            again.append(t)
+            t["below"], t["at_lo"], t["mid"] = below, at_lo, mid
+            (ready if mid <= limit else narrow).append(t)
     if ready:
+        def inside(t):
+            v = F.col(f"v{t['i']}")
+            return (v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"]))
+
         cases = [F.when(inside(t), F.struct(F.lit(x).alias("t"), F.col(f"v{t['i']}").alias("v")))
                  for x, t in enumerate(ready)]
         counts = (
@@ -198,24 +209,20 @@ def _narrow(base, tasks, limit, accuracy, out, names):
         for r in picked.collect():
             t = ready[r["t"]]
             out[names[t["i"]]][t["j"]] = r["x0"] + (r["x1"] - r["x0"]) * t["w"]
-    if again:
-        aggs = []
-        for x, t in enumerate(again):
-            m = max(1, t["within"])
-            p0, p1 = (t["k0"] - t["below"]) / m, (t["k1"] - t["below"]) / m
-            q = [min(1.0, max(0.0, p0 - 2 / accuracy)), min(1.0, max(0.0, p1 + 2 / accuracy))]
-            v = F.when(inside(t), F.col(f"v{t['i']}"))
+    if narrow:
+        aggs, slack = [], 2.0 / accuracy
+        for x, t in enumerate(narrow):
+            r0, r1, m = t["k0"] - t["below"] - t["at_lo"], t["k1"] - t["below"] - t["at_lo"], t["mid"]
+            q = [min(1.0, max(0.0, r0 / m - slack)), min(1.0, max(0.0, r1 / m + slack))]
+            t["keep"] = (r0 < 0, r1 >= m)
+            v = F.when(between(t), F.col(f"v{t['i']}"))
             aggs.append(F.percentile_approx(v, F.array(*map(F.lit, q)), F.lit(accuracy)).alias(f"q{x}"))
         row = base.agg(*aggs).first()
-        for x, t in enumerate(again):
-            q = row[f"q{x}"]
-            if q and t["lo"] != float("-inf") and t["hi"] != float("inf"):
-                t["lo"], t["hi"] = q[0], q[1]
-            elif q:  # bracket missed the rank: start over on that whole side
-                ends = base.agg(F.min(F.when(inside(t), F.col(f"v{t['i']}"))).alias("a"),
-                                F.max(F.when(inside(t), F.col(f"v{t['i']}"))).alias("b")).first()
-                t["lo"], t["hi"] = ends["a"], ends["b"]
-    return again
+        for x, t in enumerate(narrow):
+            keep_lo, keep_hi = t["keep"]
+            t["lo"] = t["lo"] if keep_lo else row[f"q{x}"][0]
+            t["hi"] = t["hi"] if keep_hi else row[f"q{x}"][1]
+    return again + narrow
 
 
 def hash_rank(df: DataFrame, groups: Sequence[str], key: str, seed: int | str, name: str = "rank") -> DataFrame:

@@ -9,7 +9,7 @@ from itertools import combinations, combinations_with_replacement
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from opspark.functions.columns import as_number, numeric_columns, string_columns
-from opspark.operators.ranking import exact_quantiles
+from opspark.operators.ranking import exact_quantiles, running_totals
 from opspark.session import bounded_broadcast, small_rows
 
 #: One-hot encoding makes a column per category, so categories are checked against this.
@@ -96,13 +96,12 @@ def array_distance(vec: Column, centre: Column) -> Column:
 def categories(df: DataFrame, col: str) -> DataFrame:
     """Sorted classes with codes 0..k-1, as ``(category, code)``.
 
-    The class list is the distinct column; its size is checked before the
-    codes are numbered on one small frame.
+    Codes are running counts over the distinct classes, so neither the driver
+    nor one task has to hold them all.
     """
-    rows = small_rows(df.select(F.col(col).alias("category")).where("category is not null").distinct())
-    ordered = sorted(r["category"] for r in rows)
-    return df.sparkSession.createDataFrame(
-        [(c, i) for i, c in enumerate(ordered)], f"category {df.schema[col].dataType.simpleString()}, code int")
+    seen = df.select(F.col(col).alias("category")).where("category is not null").distinct()
+    coded = running_totals(seen.withColumn("_one", F.lit(1)), [], "category", ["_one"])
+    return coded.select("category", (F.col("cum__one") - 1).cast("int").alias("code"))
 
 
 def label_encode(df: DataFrame, col: str, table: DataFrame) -> DataFrame:
@@ -144,7 +143,8 @@ def fit_encoders(df: DataFrame, method: str = "target", label: str = "target") -
     fitted: dict = {"method": method, "columns": {}}
     for c in cols:
         if method == "onehot":
-            fitted["columns"][c] = [r["category"] for r in categories(df, c).orderBy("code").collect()]
+            fitted["columns"][c] = sorted(
+                r["category"] for r in small_rows(categories(df, c), MAX_ONE_HOT))
         elif method == "label":
             fitted["columns"][c] = categories(df, c)
         elif label in df.columns:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from opspark.functions.columns import key_digest
 from opspark.session import small_rows
@@ -75,6 +75,8 @@ def running_totals(
 def _quantile_bucket(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Tag rows with the bucket their value falls in, cut at sketched quantiles."""
     buckets = _bucket_count(df)
+    if not keys and isinstance(df.schema[order].dataType, T.StringType):
+        return _text_bucket(df, order, buckets)
     probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     number = F.col(order).cast("double")
     sketch = F.percentile_approx(number, probs, F.lit(max(1000, buckets * 10)))
@@ -101,6 +103,16 @@ def _quantile_bucket(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return tagged.withColumn("_bucket", level).select(*df.columns, "_bucket")
 
 
+def _text_bucket(df: DataFrame, order: str, buckets: int, per_bucket: int = 20) -> DataFrame:
+    """Cut distinct texts at a bounded bottom-k hash sample, the same one on every run."""
+    sample = df.select(order).orderBy(F.xxhash64(order)).limit(buckets * per_bucket)
+    edges = sorted(r[0] for r in sample.collect() if r[0] is not None)[per_bucket::per_bucket]
+    if not edges:
+        return df.withColumn("_bucket", F.lit(0))
+    cut = F.array(*map(F.lit, edges))
+    return df.withColumn("_bucket", F.size(F.filter(cut, lambda e: e < F.col(order))))
+
+
 def exact_quantiles(
     df: DataFrame,
     values: dict[str, Column],

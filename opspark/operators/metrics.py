@@ -193,17 +193,26 @@ def cost_by_namespace(df: DataFrame, ts: str, width: str = "1 day") -> DataFrame
         F.sum("cost").alias("cost")).select("namespace", F.col("w.start").alias("window_start"), "cost")
 
 
-def request_kpis(df: DataFrame, by: Sequence[str], ts: str, status: str, latency: str, bounds: Sequence[float],
-                 step: int = 30, span: int = 300, q: float = 0.99) -> DataFrame:
-    """Request rate, success and error ratio and latency quantile per group over sliding windows."""
+def fold_requests(df: DataFrame, by: Sequence[str], ts: str, status: str, latency: str, bounds: Sequence[float],
+                  step: int = 30) -> DataFrame:
+    """Requests folded to counts per group and ``step`` seconds; also the body of the streaming job."""
+    pane = F.window(F.col(ts).cast("timestamp") if not df.isStreaming else F.col(ts), f"{step} seconds")
+    return df.groupBy(pane.alias("w"), *by).agg(
+        F.count("*").alias("requests"), F.count_if(matches(F.col(status), "=~", "2..")).alias("ok"),
+        F.count_if(matches(F.col(status), "=~", "5..")).alias("failed"),
+        *[F.count_if(F.col(latency) <= F.lit(float(b))).alias(f"le{i}") for i, b in enumerate(bounds)],
+    ).select(F.unix_seconds("w.start").alias("pane_start"), *by, "requests", "ok", "failed",
+             *[f"le{i}" for i in range(len(bounds))])
+
+
+def kpis_from_panes(panes: DataFrame, by: Sequence[str], bounds: Sequence[float], step: int = 30, span: int = 300,
+                    q: float = 0.99) -> DataFrame:
+    """Request rate, success and error ratio and latency quantile over ``span`` seconds every ``step``."""
     ends = [float(b) for b in bounds]
-    measures = {
-        "requests": F.lit(1).cast("bigint"),
-        "ok": matches(F.col(status), "=~", "2..").cast("bigint"),
-        "failed": matches(F.col(status), "=~", "5..").cast("bigint"),
-        **{f"le{i}": (F.col(latency) <= b).cast("bigint") for i, b in enumerate(ends)},
-    }
-    sums = sliding_sums(df, by, ts, measures, step, span)
+    names = ["requests", "ok", "failed", *[f"le{i}" for i in range(len(ends))]]
+    spread = panes.withColumn("eval_at", F.explode(F.transform(
+        F.sequence(F.lit(1), F.lit(span // step)), lambda i: F.col("pane_start") + i * step)))
+    sums = spread.groupBy(*by, "eval_at").agg(*[F.sum(n).alias(n) for n in names])
     items = [F.struct(F.lit(b).alias("le"), F.col(f"le{i}").alias("c")) for i, b in enumerate(ends)]
     rank = F.lit(q) * F.col("requests")
     steps = F.array(*items)
@@ -219,3 +228,9 @@ def request_kpis(df: DataFrame, by: Sequence[str], ts: str, status: str, latency
         *by, "eval_at", (F.col("requests") / F.lit(float(span))).alias("request_rate"),
         safe_ratio(F.col("ok"), F.col("requests")).alias("success_rate"),
         safe_ratio(F.col("failed"), F.col("requests")).alias("error_rate"), quantile.alias("latency_quantile"))
+
+
+def request_kpis(df: DataFrame, by: Sequence[str], ts: str, status: str, latency: str, bounds: Sequence[float],
+                 step: int = 30, span: int = 300, q: float = 0.99) -> DataFrame:
+    """KPIs straight from a request log."""
+    return kpis_from_panes(fold_requests(df, by, ts, status, latency, bounds, step), by, bounds, step, span, q)

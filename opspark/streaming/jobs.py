@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opspark.operators.drift import recent_drift
-from opspark.operators.metrics import request_kpis
+from opspark.operators.metrics import fold_requests
 from opspark.sources.readers import accepted, parse_readings
 from opspark.sources.sinks import LatestTable, to_messages
 from opspark.streaming.sensor import event_time, nested, window_features, window_means
@@ -58,38 +58,42 @@ def run_online_job(messages: DataFrame, table: LatestTable, checkpoint: str, wid
     return _start(writer, trigger)
 
 
-def run_drift_job(log: DataFrame, history: str, metrics: str, checkpoint: str, cols: Sequence[str] = ("feature", "pred", "actual"),
-                  order: str = "ts", n: int = 50, trigger: str | None = "60 seconds"):
-    """Land the prediction log and, on every trigger, append the drift of its newest rows to a metrics table."""
+def run_drift_job(log: DataFrame, tails: str, metrics: str, checkpoint: str,
+                  cols: Sequence[str] = ("feature", "pred", "actual"), order: str = "ts", n: int = 50,
+                  trigger: str | None = "60 seconds"):
+    """On every trigger append the drift of the newest rows to a metrics table.
+
+    Only the newest ``2 n`` rows and the running row count are carried from
+    batch to batch; both are written under the batch number, so a replay
+    writes the same folders again.
+    """
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{history}/batch={number:012d}")
-        seen = spark.read.schema(batch.schema).parquet(f"{history}/batch=*")
-        found = recent_drift(seen, order, cols, n)
-        rows = seen.agg(F.count("*").alias("data_points"))
-        row = found.withColumn("data_points", F.lit(rows.first()["data_points"])).withColumn(
-            "checked_at", F.current_timestamp())
+        tail, before = batch, 0
+        if number > 0:
+            tail = spark.read.schema(batch.schema).parquet(f"{tails}/batch={number - 1:012d}").unionByName(batch)
+            before = spark.read.parquet(f"{metrics}/batch={number - 1:012d}").first()["data_points"]
+        tail = tail.orderBy(F.col(order).desc()).limit(2 * n)
+        tail.write.mode("overwrite").parquet(f"{tails}/batch={number:012d}")
+        kept = spark.read.schema(batch.schema).parquet(f"{tails}/batch={number:012d}")
+        row = recent_drift(kept, order, cols, n).select(
+            "*", F.lit(before + batch.count()).cast("bigint").alias("data_points"),
+            F.current_timestamp().alias("checked_at"))
         row.write.mode("overwrite").parquet(f"{metrics}/batch={number:012d}")
 
     writer = log.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
     return _start(writer, trigger)
 
 
-def run_kpi_job(requests: DataFrame, landing: str, out: str, checkpoint: str, by: Sequence[str], bounds: Sequence[float],
-                ts: str = "ts", status: str = "status", latency: str = "latency_ms", delay: str = "5 seconds",
-                step: int = 30, span: int = 300, trigger: str | None = "30 seconds"):
-    """Sliding request KPIs per group.
+def run_request_job(requests: DataFrame, out: str, checkpoint: str, by: Sequence[str], bounds: Sequence[float],
+                    ts: str = "ts", status: str = "status", latency: str = "latency_ms", delay: str = "5 seconds",
+                    step: int = 30, trigger: str | None = "30 seconds"):
+    """Fold requests to one final row per ``step`` and group.
 
-    The stream folds requests to one row per ``step`` and group (append mode, so
-    each row is final), and the KPI table is derived from those few rows.
+    ``kpis_from_panes`` turns these few rows into the sliding KPI table.
     """
     timed = requests.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    folded = timed.groupBy(F.window(ts, f"{step} seconds").alias("w"), *by).agg(
-        F.count("*").alias("requests"), F.count_if(F.col(status).rlike("^2..$")).alias("ok"),
-        F.count_if(F.col(status).rlike("^5..$")).alias("failed"),
-        *[F.count_if(F.col(latency) <= b).alias(f"le{i}") for i, b in enumerate(bounds)])
-    rows = folded.select(F.col("w.end").alias("pane_end"), *by, "requests", "ok", "failed",
-                         *[f"le{i}" for i in range(len(bounds))])
+    rows = fold_requests(timed, by, ts, status, latency, bounds, step)
     writer = rows.writeStream.outputMode("append").format("parquet").option("path", out).option(
         "checkpointLocation", checkpoint)
     return _start(writer, trigger)

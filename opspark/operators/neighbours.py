@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 #: Bound on the number of cells, whose extents travel with the pruning step.
 MAX_CELLS = 1024
@@ -83,7 +83,7 @@ def nearest_means(
             yield pdf.assign(_cells=pick)
 
     gap_schema = gaps.select(key, *others).schema
-    tagged = gaps.select(key, *others).mapInPandas(candidates, gap_schema.add("_cells", "array<string>"))
+    tagged = gaps.select(key, *others).mapInPandas(candidates, gap_schema.add("_cells", T.ArrayType(T.StringType())))
     sizes = spark.createDataFrame(list(zip(ids, chunks)), "_cell string, _chunks int")
     visits = (
         tagged.withColumn("_cell", F.explode("_cells")).drop("_cells")

@@ -87,7 +87,7 @@ def _quantile_bucket(df: DataFrame, keys: list[str], order: str) -> DataFrame:
         return df.withColumn("_bucket", level)
     rows = small_rows(df.groupBy(*keys).agg(sketch.alias("_edges")), 10_000)
     schema = df.select(*keys).schema
-    schema = schema.add("_edges", "array<double>")
+    schema = schema.add("_edges", T.ArrayType(T.DoubleType()))
     for f in schema:
         f.nullable = True
     distinct = [tuple(r[k] for k in keys) + (sorted(set(r["_edges"] or [])),) for r in rows]

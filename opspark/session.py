@@ -28,6 +28,7 @@ def local_session(cpus: int | str = 8, app: str = "opspark", **conf) -> SparkSes
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus if cpus != "*" else 8))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
     )

@@ -15,7 +15,7 @@ from opspark.streaming import sensor as se
 # -- request log: events with a status and a version by rule ------------------
 
 REQUEST_SQL = """
-  SELECT event_id, epoch_us(ts) / 1000000.0 AS at, ts, user_id, event_type AS service,
+  SELECT event_id, epoch_us(ts) / 1000000.0 AS tsec, ts, user_id, event_type AS service,
     CASE WHEN user_id % 10 = 0 THEN 'v2' ELSE 'v1' END AS version,
     CASE WHEN event_type = 'error' THEN '503' WHEN event_type = 'signup' THEN '201' ELSE '200' END AS status,
     value AS latency_ms FROM events"""
@@ -89,17 +89,17 @@ def _(spark, sf):
 # -- counters and rates ---------------------------------------------------------
 
 COUNTER_SQL = f"""
-  SELECT service, version, status, at, event_id, (row_number() OVER (PARTITION BY service, version, status ORDER BY at, event_id) % 97)::DOUBLE
+  SELECT service, version, status, tsec, event_id, (row_number() OVER (PARTITION BY service, version, status ORDER BY tsec, event_id) % 97)::DOUBLE
     AS v FROM ({REQUEST_SQL})"""
 
 
 def counters(spark, sf):
-    """Counter samples: the running request count of a series, reset at 97."""
+    """Counter samples: the running request count of a series, wrapping after 97."""
     from opspark.operators.ranking import running_totals
 
-    r = requests(spark, sf).withColumn("one", F.lit(1)).withColumn("at", st.seconds(F.col("ts")))
-    day = F.floor(F.col("at") / F.lit(86400.0))
-    run = running_totals(r, ["service", "version", "status"], "at", ["one"], bucket=day, tie_break=["event_id"])
+    r = requests(spark, sf).withColumn("one", F.lit(1)).withColumn("tsec", st.seconds(F.col("ts")))
+    day = F.floor(F.col("tsec") / F.lit(86400.0))
+    run = running_totals(r, ["service", "version", "status"], "tsec", ["one"], bucket=day, tie_break=["event_id"])
     return run.select("service", "version", "status", "ts", "event_id", F.pmod("cum_one", F.lit(97)).cast("double").alias("v"))
 
 
@@ -108,11 +108,11 @@ SERIES = ["service", "version", "status"]
 
 def rate_sql(span: int, step: int) -> str:
     return f"""c AS ({COUNTER_SQL}),
-w AS (SELECT *, (floor(at / {step}) + i) * {step} AS eval_at FROM c, range(1, {span // step + 1}) r(i)),
-l AS (SELECT *, lag(v) OVER (PARTITION BY service, version, status, eval_at ORDER BY at, event_id) AS p FROM w),
+w AS (SELECT *, (floor(tsec / {step}) + i) * {step} AS eval_at FROM c, range(1, {span // step + 1}) r(i)),
+l AS (SELECT *, lag(v) OVER (PARTITION BY service, version, status, eval_at ORDER BY tsec, event_id) AS p FROM w),
 r AS (SELECT service, version, status, eval_at::BIGINT AS eval_at, count(*) AS samples,
   sum(CASE WHEN p IS NULL THEN 0 WHEN v < p THEN v ELSE v - p END) AS increase,
-  CASE WHEN count(*) >= 2 THEN sum(CASE WHEN p IS NULL THEN 0 WHEN v < p THEN v ELSE v - p END) / nullif(max(at) - min(at), 0) END AS rate
+  CASE WHEN count(*) >= 2 THEN sum(CASE WHEN p IS NULL THEN 0 WHEN v < p THEN v ELSE v - p END) / nullif(max(tsec) - min(tsec), 0) END AS rate
   FROM l GROUP BY 1, 2, 3, 4)"""
 
 
@@ -192,10 +192,10 @@ def kpi_sql(step=3600, span=14400):
     le = ", ".join(f"sum((latency_ms <= {b})::INT) AS le{i}" for i, b in enumerate(BOUNDS))
     n = len(BOUNDS)
     cases = " ".join(
-        f"WHEN le{i} >= 0.99 * n THEN {BOUNDS[i - 1] if i else 0} + {BOUNDS[i] - (BOUNDS[i - 1] if i else 0)} * "
-        f"(0.99 * n - {f'le{i - 1}' if i else 0}) / (le{i} - {f'le{i - 1}' if i else 0})" for i in range(n))
+        f"WHEN le{i} >= 0.99::DOUBLE * n THEN {BOUNDS[i - 1] if i else 0} + {BOUNDS[i] - (BOUNDS[i - 1] if i else 0)} * "
+        f"((0.99::DOUBLE * n - {f'le{i - 1}' if i else 0}) / (le{i} - {f'le{i - 1}' if i else 0}))" for i in range(n))
     return f"""q AS ({REQUEST_SQL}),
-w AS (SELECT *, (floor(at / {step}) + i) * {step} AS eval_at FROM q, range(1, {span // step + 1}) r(i)),
+w AS (SELECT *, (floor(tsec / {step}) + i) * {step} AS eval_at FROM q, range(1, {span // step + 1}) r(i)),
 s AS (SELECT version, eval_at::BIGINT AS eval_at, count(*) AS n, sum((status LIKE '2__')::INT) AS ok, sum((status LIKE '5__')::INT) AS bad, {le}
   FROM w GROUP BY 1, 2),
 k AS (SELECT version, eval_at, n / {span}.0 AS request_rate, ok / n AS success_rate, bad / n AS error_rate,
@@ -214,7 +214,7 @@ def _(spark, sf):
 
 
 @query("sliding_sums", "W6", f"""
-WITH q AS ({REQUEST_SQL}), w AS (SELECT *, (floor(at / 3600) + i) * 3600 AS eval_at FROM q, range(1, 7) r(i))
+WITH q AS ({REQUEST_SQL}), w AS (SELECT *, (floor(tsec / 3600) + i) * 3600 AS eval_at FROM q, range(1, 7) r(i))
 SELECT service, eval_at::BIGINT AS eval_at, count(*) AS requests, round(sum(latency_ms), 4) AS latency FROM w GROUP BY 1, 2""")
 def _(spark, sf):
     out = me.sliding_sums(requests(spark, sf), ["service"], "ts",
@@ -251,8 +251,8 @@ def _(spark, sf):
 
 @query("alert_states", "W3", f"""
 WITH {kpi_sql()}, i AS (SELECT *, sum((NOT error_rate > 0.2)::INT) OVER (PARTITION BY version ORDER BY eval_at) AS g FROM k),
-s AS (SELECT *, min(CASE WHEN error_rate > 0.2 THEN eval_at END) OVER (PARTITION BY version, g) AS since FROM i)
-SELECT version, eval_at, CASE WHEN NOT error_rate > 0.2 THEN 'inactive' WHEN eval_at - since >= 7200 THEN 'firing' ELSE 'pending' END AS state FROM s""")
+z AS (SELECT *, min(CASE WHEN error_rate > 0.2 THEN eval_at END) OVER (PARTITION BY version, g) AS since FROM i)
+SELECT version, eval_at, CASE WHEN NOT error_rate > 0.2 THEN 'inactive' WHEN eval_at - since >= 7200 THEN 'firing' ELSE 'pending' END AS state FROM z""")
 def _(spark, sf):
     out = ga.alert_states(kpis(spark, sf), ["version"], "eval_at", F.col("error_rate") > 0.2, 7200)
     return out.select("version", "eval_at", "state")
@@ -292,21 +292,21 @@ def _(spark, sf):
 
 
 @query("error_runs", "W7", f"""
-WITH q AS (SELECT version, at, event_id, latency_ms > 40 AS bad FROM ({REQUEST_SQL})),
-i AS (SELECT *, sum((NOT bad)::INT) OVER (PARTITION BY version ORDER BY at, event_id) AS g FROM q)
-SELECT version, count(*) AS run_length, min(at)::DOUBLE AS first_at, max(at)::DOUBLE AS last_at, (max(at) + 30)::DOUBLE AS ejected_until
+WITH q AS (SELECT version, tsec, event_id, latency_ms > 40 AS bad FROM ({REQUEST_SQL})),
+i AS (SELECT *, sum((NOT bad)::INT) OVER (PARTITION BY version ORDER BY tsec, event_id) AS g FROM q)
+SELECT version, count(*) AS run_length, min(tsec)::DOUBLE AS first_at, max(tsec)::DOUBLE AS last_at, (max(tsec) + 30)::DOUBLE AS ejected_until
 FROM i WHERE bad GROUP BY version, g HAVING count(*) >= 5""")
 def _(spark, sf):
     return ga.error_runs(requests(spark, sf), ["version"], "ts", F.col("latency_ms") > 40, ["event_id"])
 
 
-@query("conversation_user_runs", "W7", """
-WITH i AS (SELECT conv_id, turn, role, sum((role <> 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn, md5(text)) AS g FROM conversations)
-SELECT conv_id, count(*) AS run_length FROM i WHERE role = 'user' GROUP BY conv_id, g HAVING count(*) >= 2""")
+@query("long_message_runs", "W7", """
+WITH i AS (SELECT conv_id, turn, text, sum((length(text) <= 300)::INT) OVER (PARTITION BY conv_id ORDER BY turn, md5(text)) AS g FROM conversations)
+SELECT conv_id, count(*) AS run_length FROM i WHERE length(text) > 300 GROUP BY conv_id, g HAVING count(*) >= 2""")
 def _(spark, sf):
     c = table(spark, sf, "conversations").select(
-        "conv_id", "role", F.md5(F.col("text").cast("binary")).alias("d"), F.timestamp_seconds("turn").alias("at"))
-    return ga.error_runs(c, ["conv_id"], "at", F.col("role") == "user", ["d"], min_run=2).select("conv_id", "run_length")
+        "conv_id", F.length("text").alias("n"), F.md5(F.col("text").cast("binary")).alias("d"), F.timestamp_seconds("turn").alias("tsec"))
+    return ga.error_runs(c, ["conv_id"], "tsec", F.col("n") > 300, ["d"], min_run=2).select("conv_id", "run_length")
 
 
 @query("weighted_traffic_split", "M25", """
@@ -318,9 +318,9 @@ def _(spark, sf):
 
 
 @query("user_sessions", "R12", """
-WITH l AS (SELECT user_id, epoch_us(ts) / 1000000.0 AS at, lag(epoch_us(ts) / 1000000.0) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events),
-s AS (SELECT *, sum(CASE WHEN at - p < 3600 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY at) AS session FROM l)
-SELECT user_id, session::BIGINT AS session, min(at)::DOUBLE AS started_at, max(at)::DOUBLE AS last_seen, count(*) AS events FROM s GROUP BY 1, 2""")
+WITH l AS (SELECT user_id, epoch_us(ts) / 1000000.0 AS tsec, lag(epoch_us(ts) / 1000000.0) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events),
+s AS (SELECT *, sum(CASE WHEN tsec - p < 3600 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY tsec) AS session FROM l)
+SELECT user_id, session::BIGINT AS session, min(tsec)::DOUBLE AS started_at, max(tsec)::DOUBLE AS last_seen, count(*) AS events FROM s GROUP BY 1, 2""")
 def _(spark, sf):
     return ga.sessions(table(spark, sf, "events"), ["user_id"], "ts", 3600)
 
@@ -407,7 +407,7 @@ def _(spark, sf):
 
 
 @query("parsed_readings", "P6 X1 X2 Y1 R1", """
-SELECT event_type AS sensor_id, epoch_ms(ts)::BIGINT AS timestamp, value FROM events WHERE event_type NOT IN ('error', 'signup')""")
+SELECT event_type AS sensor_id, (epoch_us(ts) // 1000)::BIGINT AS timestamp, value FROM events WHERE event_type NOT IN ('error', 'signup')""")
 def _(spark, sf):
     from opspark.sources.readers import accepted, parse_readings
 

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from opspark.sources.schemas import CONTAINER
 
 # Kinds, namespaces, exemptions, annotations, capability and volume
 # names, and message formats of the audited rules.
@@ -56,17 +58,6 @@ READ_ONLY_MESSAGE = "Container '%s' must set readOnlyRootFilesystem=true in rest
 VOLUME_MESSAGE = "Volume type '%s' is not allowed in restricted security level"
 SECCOMP_MESSAGE = "Container '%s' must use RuntimeDefault or Localhost seccomp profile in restricted security level"
 
-CONTAINER_TYPE = (
-    "struct<name:string,image:string,resources:struct<limits:map<string,string>,requests:map<string,string>>,"
-    "securityContext:struct<privileged:boolean,allowPrivilegeEscalation:boolean,runAsNonRoot:boolean,"
-    "readOnlyRootFilesystem:boolean,runAsUser:bigint,capabilities:struct<add:array<string>,drop:array<string>>,"
-    "seccompProfile:struct<type:string>>>"
-)
-
-
-def _none(array: Column) -> Column:
-    return F.coalesce(array, F.array())
-
 
 def containers(kind: str = "containers", scoped: bool = False) -> Column:
     """All containers of a resource, from whichever of the three places its kind keeps them.
@@ -78,7 +69,7 @@ def containers(kind: str = "containers", scoped: bool = False) -> Column:
     if scoped:
         direct = F.when(F.col("kind") == "Pod", direct)
         nested = F.when(F.col("kind") == "CronJob", nested)
-    empty = F.array().cast(f"array<{CONTAINER_TYPE}>")
+    empty = F.array().cast(T.ArrayType(CONTAINER))
     parts = [F.coalesce(p, empty) for p in (direct, F.col(f"spec.template.spec.{kind}"), nested)]
     return F.concat(*parts)
 

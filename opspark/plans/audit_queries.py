@@ -8,7 +8,7 @@ from opspark.operators import evidence as evd, lineage as ln, policy as po
 from opspark.plans.feature_queries import rounded
 from opspark.plans.registry import query, table
 from opspark.plans.table_queries import tall
-from opspark.sources.schemas import RESOURCE
+from opspark.sources.schemas import POD
 
 # A workload resource per order line: kind and names by rule from its columns.
 KINDS = ["Deployment", "StatefulSet", "DaemonSet", "ReplicaSet", "Pod", "Job", "CronJob", "Service"]
@@ -69,21 +69,20 @@ def resources(spark, sf):
         F.concat(F.lit("init"), (c("l_suppkey") % 3).cast("string")).alias("name"),
         F.concat(F.lit("hub/init"), (c("l_suppkey") % 7).cast("string"), F.when(d > 0.05, ":latest").otherwise(":2")).alias("image"),
         F.struct(limits.alias("limits"), asked.alias("requests")).alias("resources"), security.alias("securityContext"))
-    pod_type = next(f.dataType for f in RESOURCE["spec"].dataType if f.name == "template")["spec"].dataType
     pod = F.struct(
         (d == 0.01).alias("hostNetwork"), (d == 0.02).alias("hostPID"), F.when(d == 0.03, True).alias("hostIPC"),
         F.array(F.create_map(F.when(t == 0.0, "hostPath").when(t == 0.01, "csi").otherwise("emptyDir"), F.lit("x"))).alias("volumes"),
-        F.array(main).alias("containers"), F.array(init).alias("initContainers")).cast(pod_type)
+        F.array(main).alias("containers"), F.array(init).alias("initContainers")).cast(POD)
     direct, nested = kind == "Pod", kind == "CronJob"
     in_template = ~kind.isin("Pod", "CronJob", "Service")
     spec = F.struct(
         F.when(kind == "Service", F.when(q < 25, "LoadBalancer").otherwise("ClusterIP")).alias("type"),
-        *[F.when(direct, pod[f]).alias(f) for f in pod_type.fieldNames()],
+        *[F.when(direct, pod[f]).alias(f) for f in POD.fieldNames()],
         F.when(in_template, F.struct(pod.alias("spec"))).alias("template"),
         F.when(nested, F.struct(F.struct(F.struct(pod.alias("spec")).alias("template")).alias("spec"))).alias("jobTemplate"))
     note = F.when(t < 0.02, po.AWS_INTERNAL).when(t < 0.04, po.GCP_INTERNAL).when(t < 0.06, po.AZURE_INTERNAL).otherwise("none")
     value = F.when((t >= 0.02) & (t < 0.04), "Internal").otherwise("true")
-    notes = some(("app", F.lit("x"))) if False else F.when(q < 12, F.create_map(note, value))
+    notes = F.when(q < 12, F.create_map(note, value))
     name = F.concat_ws("-", *[c(x).cast("string") for x in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
     meta = F.struct(name.alias("name"), pick(SPACES, c("l_suppkey") % 5).alias("namespace"), notes.alias("annotations"))
     return li.select(kind.alias("kind"), meta.alias("metadata"), spec.alias("spec"))

@@ -30,7 +30,7 @@ def side_counts(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -
 
 def _ecdf(reference, current, cols):
     """Cumulative counts of both sides at each distinct value."""
-    ecdf = running_totals(side_counts(reference, current, cols), ["feature"], "value", ["ref", "cur"])
+    ecdf = running_totals(side_counts(reference, current, cols), ["feature"], "value", ["ref", "cur"], few=len(cols))
     return ecdf.where((F.col("total_ref") > 0) & (F.col("total_cur") > 0))
 
 

@@ -126,21 +126,29 @@ def deny_latest(df: DataFrame, exempt: Sequence[str] = EXEMPT_IMAGES, action: st
     ], action)
 
 
+def _each(place: Column, messages) -> Column:
+    """All messages of the containers in one pass over the list; ``messages(c)`` gives texts or nulls."""
+    return F.flatten(F.transform(place, lambda c: F.array_compact(F.array(*messages(c)))))
+
+
 def require_limits(df: DataFrame, requests: bool = True, ephemeral: bool = False,
                    exempt: Sequence[str] = LIMIT_EXEMPT_CONTAINERS, action: str = "deny") -> DataFrame:
     """Missing resource limits, and requests unless switched off, of containers and init containers."""
     wanted = ["limits.cpu", "limits.memory"] + (["requests.cpu", "requests.memory"] if requests else [])
 
-    def lacking(place: Column, title: str, path: str) -> Column:
-        side, item = path.split(".", 1)
-        kept = F.filter(place, lambda c: ~c["name"].isin(list(exempt))
-                        & F.try_element_at(c["resources"][side], F.lit(item)).isNull())
-        return F.transform(kept, lambda c: F.format_string(LIMIT_MESSAGES[path], F.lit(title), c["name"]))
+    def lacking(title: str, paths: Sequence[str]):
+        def messages(c):
+            for path in paths:
+                side, item = path.split(".", 1)
+                absent = F.try_element_at(c["resources"][side], F.lit(item)).isNull()
+                before, after = LIMIT_MESSAGES[path].replace("%s", title, 1).split("%s")
+                yield F.when(absent & ~c["name"].isin(list(exempt)), F.concat(F.lit(before), c["name"], F.lit(after)))
+        return messages
 
     main, init = containers("containers", scoped=True), containers("initContainers", scoped=True)
-    messages = [lacking(main, "Container", p) for p in wanted + (["limits.ephemeral-storage"] if ephemeral else [])]
-    messages += [lacking(init, "Init container", p) for p in wanted]
-    return _violations(in_scope(df), "require_limits", messages, action)
+    return _violations(in_scope(df), "require_limits", [
+        _each(main, lacking("Container", wanted + (["limits.ephemeral-storage"] if ephemeral else []))),
+        _each(init, lacking("Init container", wanted))], action)
 
 
 def block_public_balancer(df: DataFrame, allowed: Sequence[str] = PUBLIC_NAMESPACES, require_internal: bool = True,
@@ -164,43 +172,48 @@ def pod_security(df: DataFrame, level: str = "baseline", exempt: Sequence[str] =
     """Security level of pods: nothing for privileged, the baseline rules, and the restricted ones on top."""
     if level not in ("privileged", "baseline", "restricted"):
         raise ValueError(f"unknown security level: {level}")
-    def kept(kind):
-        return F.filter(containers(kind), lambda c: ~c["name"].isin(list(exempt)))
-
-    main, init = kept("containers"), kept("initContainers")
     no = F.lit(False)
+    base, strict = level in ("baseline", "restricted"), level == "restricted"
+
+    def told(c, bad, message, title=None):
+        if title:
+            message = message.replace("%s", title, 1)
+        before, after = message.split("%s")
+        return F.when(F.coalesce(bad, no), F.concat(F.lit(before), c["name"], F.lit(after)))
+
+    def unset(flag):
+        return ~F.coalesce(flag, no)
+
+    def of_main(c):
+        s = c["securityContext"]
+        if base:
+            yield told(c, s["privileged"], PRIVILEGED_MESSAGE, "Container")
+            yield told(c, s["allowPrivilegeEscalation"], ESCALATION_MESSAGE)
+            for cap in DANGEROUS_CAPABILITIES:
+                yield told(c, F.array_contains(s["capabilities"]["add"], cap), CAPABILITY_MESSAGE[:-3] + cap + "'")
+        if strict:
+            yield told(c, unset(s["runAsNonRoot"]), NON_ROOT_MESSAGE, "Container")
+            yield told(c, s["runAsUser"] == 0, ROOT_USER_MESSAGE)
+            yield told(c, unset(F.array_contains(s["capabilities"]["drop"], "ALL")), DROP_ALL_MESSAGE)
+            yield told(c, unset(s["readOnlyRootFilesystem"]), READ_ONLY_MESSAGE)
+            yield told(c, unset(s["seccompProfile"]["type"].isin(SECCOMP_PROFILES)), SECCOMP_MESSAGE)
+
+    def of_init(c):
+        s = c["securityContext"]
+        if base:
+            yield told(c, s["privileged"], PRIVILEGED_MESSAGE, "Init container")
+        if strict:
+            yield told(c, unset(s["runAsNonRoot"]), NON_ROOT_MESSAGE, "Init container")
 
-    def named(place, bad, message, title=None):
-        titles = [F.lit(title)] if title else []
-        return F.transform(F.filter(place, lambda c: F.coalesce(bad(c), no)),
-                           lambda c: F.format_string(message, *titles, c["name"]))
-
-    def context(c):
-        return c["securityContext"]
+    def kept(kind):
+        return F.filter(containers(kind), lambda c: ~c["name"].isin(list(exempt)))
 
     messages: list[Column] = []
-    if level in ("baseline", "restricted"):
-        for name in ("hostNetwork", "hostPID", "hostIPC"):
-            messages.append(F.when(pod_field(name), F.array(F.lit(HOST_MESSAGE % name))))
-        messages.append(named(main, lambda c: context(c)["privileged"], PRIVILEGED_MESSAGE, "Container"))
-        messages.append(named(main, lambda c: context(c)["allowPrivilegeEscalation"], ESCALATION_MESSAGE))
-        risky = F.array(*map(F.lit, DANGEROUS_CAPABILITIES))
-        messages.append(F.flatten(F.transform(main, lambda c: F.coalesce(F.transform(
-            F.array_intersect(context(c)["capabilities"]["add"], risky),
-            lambda a: F.format_string(CAPABILITY_MESSAGE, c["name"], a)), F.array().cast("array<string>")))))
-        messages.append(named(init, lambda c: context(c)["privileged"], PRIVILEGED_MESSAGE, "Init container"))
-    if level == "restricted":
-        def unset(flag):
-            return ~F.coalesce(flag, no)
-
-        messages += [
-            named(main, lambda c: unset(context(c)["runAsNonRoot"]), NON_ROOT_MESSAGE, "Container"),
-            named(main, lambda c: context(c)["runAsUser"] == 0, ROOT_USER_MESSAGE),
-            named(main, lambda c: unset(F.array_contains(context(c)["capabilities"]["drop"], "ALL")), DROP_ALL_MESSAGE),
-            named(main, lambda c: unset(context(c)["readOnlyRootFilesystem"]), READ_ONLY_MESSAGE),
-            named(main, lambda c: unset(context(c)["seccompProfile"]["type"].isin(SECCOMP_PROFILES)), SECCOMP_MESSAGE),
-            named(init, lambda c: unset(context(c)["runAsNonRoot"]), NON_ROOT_MESSAGE, "Init container"),
-        ]
+    if base:
+        messages.append(F.array_compact(F.array(*[
+            F.when(pod_field(name), HOST_MESSAGE % name) for name in ("hostNetwork", "hostPID", "hostIPC")])))
+        messages += [_each(kept("containers"), of_main), _each(kept("initContainers"), of_init)]
+    if strict:
         banned = F.array(*map(F.lit, RESTRICTED_VOLUMES))
         messages.append(F.flatten(F.transform(pod_field("volumes"), lambda v: F.transform(
             F.array_intersect(F.map_keys(v), banned), lambda t: F.format_string(VOLUME_MESSAGE, t)))))

@@ -256,7 +256,7 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("v"), F.col("_w")) for c in cols]
     tall = tuples.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
     counts = tall.groupBy("column", "v").agg(F.sum("_w").alias("c"))
-    ranks = running_totals(counts, ["column"], "v", ["c"]).select(
+    ranks = running_totals(counts, ["column"], "v", ["c"], few=len(cols)).select(
         "column", "v", (F.col("cum_c") - (F.col("c") - 1) / 2).alias("rank"))
     ranked = tuples
     for c in cols:

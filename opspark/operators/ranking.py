@@ -14,7 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from opspark.functions.columns import key_digest
-from opspark.session import small_rows
+
+
+#: Most keys for which value cuts are made per key.
+MAX_FEW_KEYS = 10_000
 
 
 def _bucket_count(df: DataFrame) -> int:
@@ -30,16 +33,19 @@ def running_totals(
     bucket: Column | None = None,
     descending: bool = False,
     tie_break: Sequence[str] = (),
+    few: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<m>`` (inclusive) and ``total_<m>`` per key in the order of ``order``.
 
     ``bucket`` must be monotone in ``order``; without it the values are cut at
     approximate quantiles of ``order`` per key, which needs the keys to be few
     (column names, sides) and rows to be already summed per distinct value.
+    ``few`` tells the number of keys where the caller knows it; the cuts are then
+    made within the same query and share its shuffle.
     """
     keys = list(keys)
     if bucket is None:
-        tagged = _quantile_bucket(df, keys, order)
+        tagged = _quantile_bucket(df, keys, order, few)
     else:
         tagged = df.withColumn("_bucket", bucket)
 
@@ -72,7 +78,7 @@ def running_totals(
     )
 
 
-def _quantile_bucket(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+def _quantile_bucket(df: DataFrame, keys: list[str], order: str, few: int | None = None) -> DataFrame:
     """Tag rows with the bucket their value falls in, cut at sketched quantiles."""
     buckets = _bucket_count(df)
     if not keys and isinstance(df.schema[order].dataType, T.StringType):
@@ -81,24 +87,19 @@ def _quantile_bucket(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     number = F.col(order).cast("double")
     sketch = F.percentile_approx(number, probs, F.lit(max(1000, buckets * 10)))
     if not keys:
-        edges = df.agg(sketch.alias("e")).first()["e"] or []
-        cut = F.array(*[F.lit(float(e)) for e in sorted(set(edges))]) if edges else None
-        level = F.size(F.filter(cut, lambda e: e < number)) if cut is not None else F.lit(0)
-        return df.withColumn("_bucket", level)
-    rows = small_rows(df.groupBy(*keys).agg(sketch.alias("_edges")), 10_000)
-    schema = df.select(*keys).schema
-    schema = schema.add("_edges", T.ArrayType(T.DoubleType()))
-    for f in schema:
-        f.nullable = True
-    distinct = [tuple(r[k] for k in keys) + (sorted(set(r["_edges"] or [])),) for r in rows]
-    table = df.sparkSession.createDataFrame(distinct, schema)
-    table = table.select(*[F.col(k).alias(f"_e_{k}") for k in keys], "_edges")
-    on = None
+        few = 1
+    if few is None:
+        few = df.select(*keys).distinct().limit(MAX_FEW_KEYS + 1).count()
+    if few > MAX_FEW_KEYS:
+        raise ValueError("running totals without a bucket need few keys")
+    named = [F.col(k).alias(f"_e_{k}") for k in keys] or [F.lit(0).alias("_e_")]
+    edges = df.groupBy(*named).agg(F.array_sort(F.array_distinct(sketch)).alias("_edges"))
+    on = F.lit(0) == F.col("_e_") if not keys else None
     for k in keys:
         cond = F.col(k).eqNullSafe(F.col(f"_e_{k}"))
         on = cond if on is None else on & cond
-    # at most 10 000 rows, checked when collected above
-    tagged = df.join(F.broadcast(table), on, "left")
+    # one row per key, at most MAX_FEW_KEYS rows
+    tagged = df.join(F.broadcast(edges), on, "left")
     level = F.size(F.filter(F.coalesce(F.col("_edges"), F.array().cast("array<double>")), lambda e: e < number))
     return tagged.withColumn("_bucket", level).select(*df.columns, "_bucket")
 
@@ -123,15 +124,17 @@ def exact_quantiles(
     """Exact linearly interpolated quantiles of many expressions at once.
 
     One scan sketches all columns. Small columns finish with the built-in
-    ``percentile``; larger ones count how many values lie below and inside a
-    bracket around each wanted rank, and only the values inside are ordered.
-    Brackets still above ``limit`` are narrowed again, so the result is exact
-    at any size and no task holds more than ``limit`` values.
+    ``percentile``. For larger ones the sketched values around each wanted
+    rank cut the line into intervals; one scan counts the rows per interval
+    and on each cut, which tells where every rank lies. Only intervals holding
+    a rank are ordered, and one above ``limit`` rows is cut again first, so the
+    result is exact at any size and no task holds more than ``limit`` values.
+    A value repeated many times becomes a cut, so it is never ordered at all.
     """
     names, probs = list(values), [float(p) for p in probs]
-    base = df.select(*[values[n].cast("double").alias(f"v{i}") for i, n in enumerate(names)])
     if not names:
         return {}
+    base = df.select(*[values[n].cast("double").alias(f"v{i}") for i, n in enumerate(names)])
     slack = 2.0 / accuracy
     grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
     aggs = []
@@ -147,94 +150,118 @@ def exact_quantiles(
         for i in small:
             out[names[i]] = list(exact[f"p{i}"])
 
-    open_tasks = []
-    for i in range(len(names)):
-        n = first[f"n{i}"]
-        if n <= limit:
-            continue
+    large = [i for i in range(len(names)) if first[f"n{i}"] > limit]
+    ranks = {i: sorted({k for p in probs for k in _ends(p, first[f"n{i}"])}) for i in large}
+    found = _order_statistics(base, ranks, {i: sorted(set(first[f"a{i}"])) for i in large}, limit, slack, accuracy)
+    for i in large:
         for j, p in enumerate(probs):
-            pos = p * (n - 1)
-            k0 = int(pos)
-            edge = {q: first[f"a{i}"][x] for x, q in enumerate(grid)}
-            task = {
-                "i": i, "j": j, "k0": k0, "k1": min(k0 + 1, n - 1), "w": pos - k0, "n": n,
-                "lo": edge[max(0.0, p - slack)], "hi": edge[min(1.0, p + slack)],
-            }
-            open_tasks.append(task)
-    while open_tasks:
-        open_tasks = _narrow(base, open_tasks, limit, accuracy, out, names)
+            k0, k1 = _ends(p, first[f"n{i}"])
+            x0, x1 = found[(i, k0)], found[(i, k1)]
+            out[names[i]][j] = x0 + (x1 - x0) * (p * (first[f"n{i}"] - 1) - k0)
     return out
 
 
-def _narrow(base, tasks, limit, accuracy, out, names):
-    """One round over the open brackets; returns those that need another.
+def _ends(p: float, n: int) -> tuple[int, int]:
+    """The two 0-based ranks around quantile ``p`` of ``n`` values."""
+    low = int(p * (n - 1))
+    return low, min(low + 1, n - 1)
+
+
+def _order_statistics(base, ranks, cuts, limit, slack, accuracy) -> dict[tuple[int, int], float]:
+    """Values at 0-based ranks per column, from counts per interval between cuts."""
+    found: dict[tuple[int, int], float] = {}
+    while any((i, k) not in found for i in ranks for k in ranks[i]):
+        live = [i for i in ranks if any((i, k) not in found for k in ranks[i])]
+        counts: dict[int, dict[int, int]] = {i: {} for i in live}
+        for part in _portions(live, cuts):
+            codes = [F.struct(F.lit(i).alias("i"), _interval_code(F.col(f"v{i}"), cuts[i]).alias("code")) for i in part]
+            rows = base.select(F.explode(F.array(*codes)).alias("c")).select("c.*").where("code is not null")
+            for r in rows.groupBy("i", "code").agg(F.count("*").alias("n")).collect():
+                counts[r["i"]][r["code"]] = r["n"]
+        ready, narrow = {}, {}
+        for i in live:
+            below = 0
+            for code in range(2 * len(cuts[i]) + 1):
+                n = counts[i].get(code, 0)
+                held = [k for k in ranks[i] if below <= k < below + n and (i, k) not in found]
+                if held and code % 2:
+                    found.update({(i, k): cuts[i][code // 2] for k in held})
+                elif held:
+                    lo = cuts[i][code // 2 - 1] if code else None
+                    hi = cuts[i][code // 2] if code // 2 < len(cuts[i]) else None
+                    (ready if n <= limit else narrow)[(i, lo, hi)] = (below, n, held)
+                below += n
+        if ready:
+            found.update(_ordered_picks(base, ready))
+        if narrow:
+            _cut_again(base, narrow, cuts, slack, accuracy)
+    return found
+
+
+def _portions(columns, cuts, terms: int = 300):
+    """Columns in groups whose interval codes stay small enough for generated code."""
+    part, size = [], 0
+    for i in columns:
+        if part and size + 2 * len(cuts[i]) > terms:
+            yield part
+            part, size = [], 0
+        part.append(i)
+        size += 2 * len(cuts[i])
+    if part:
+        yield part
+
+
+def _interval_code(v: Column, cuts) -> Column:
+    """``2 j`` strictly between cuts ``j - 1`` and ``j``, ``2 j + 1`` on cut ``j``."""
+    code = F.when(v.isNotNull(), F.lit(0))
+    for c in cuts:
+        code = code + (v >= F.lit(c)).cast("int") + (v > F.lit(c)).cast("int")
+    return code
+
+
+def _inside(interval) -> Column:
+    i, lo, hi = interval
+    v = F.col(f"v{i}")
+    test = v.isNotNull()
+    if lo is not None:
+        test = test & (v > F.lit(lo))
+    return test & (v < F.lit(hi)) if hi is not None else test
+
+
+def _ordered_picks(base, ready):
+    """Values at the wanted ranks of small intervals, counted per value before they are ordered."""
+    keys = list(ready)
+    cases = [F.when(_inside(key), F.struct(F.lit(x).alias("t"), F.col(f"v{key[0]}").alias("v"))) for x, key in enumerate(keys)]
+    counts = (
+        base.select(F.explode(F.array_compact(F.array(*cases))).alias("s"))
+        .groupBy(F.col("s.t").alias("t"), F.col("s.v").alias("v")).agg(F.count("*").alias("c"))
+    )
+    cum = F.sum("c").over(W.partitionBy("t").orderBy("v"))
+    wanted = base.sparkSession.createDataFrame(
+        [(x, k, k - ready[key][0]) for x, key in enumerate(keys) for k in ready[key][2]], "t int, k long, place long")
+    picked = (
+        counts.withColumn("cum", cum).join(F.broadcast(wanted), "t")
+        .where((F.col("cum") > F.col("place")) & (F.col("cum") - F.col("c") <= F.col("place"))).select("t", "k", "v")
+    )
+    return {(keys[r["t"]][0], r["k"]): r["v"] for r in picked.collect()}
 
-    A bracket is (lo, hi) with hot end values counted apart, so only the values
-    strictly between them have to be few.
-    """
-    def between(t):
-        v = F.col(f"v{t['i']}")
-        return (v > F.lit(t["lo"])) & (v < F.lit(t["hi"]))
 
+def _cut_again(base, narrow, cuts, slack, accuracy):
+    """Replace the cuts of crowded intervals by sketched values inside them."""
+    keys = list(narrow)
     aggs = []
-    for x, t in enumerate(tasks):
-        v = F.col(f"v{t['i']}")
-        aggs += [F.count_if(v < F.lit(t["lo"])).alias(f"b{x}"), F.count_if(v == F.lit(t["lo"])).alias(f"l{x}"),
-                 F.count_if(between(t)).alias(f"m{x}"), F.count_if(v == F.lit(t["hi"])).alias(f"h{x}"),
-                 F.min(v).alias(f"min{x}"), F.max(v).alias(f"max{x}")]
+    for x, key in enumerate(keys):
+        below, n, held = narrow[key]
+        q = sorted({min(1.0, max(0.0, (k - below) / n + d)) for k in held for d in (-slack, slack)})
+        v = F.when(_inside(key), F.col(f"v{key[0]}"))
+        aggs.append(F.percentile_approx(v, F.array(*map(F.lit, q)), F.lit(accuracy)).alias(f"q{x}"))
     row = base.agg(*aggs).first()
-    ready, narrow, again = [], [], []
-    for x, t in enumerate(tasks):
-        below, at_lo, mid, at_hi = row[f"b{x}"], row[f"l{x}"], row[f"m{x}"], row[f"h{x}"]
-        upto = below + at_lo + mid + (at_hi if t["hi"] != t["lo"] else 0)
-        if t["k0"] < below:                # the sketch missed: take the whole lower side
-            t["lo"], t["hi"] = row[f"min{x}"], t["lo"]
-            again.append(t)
-        elif t["k1"] >= upto:              # the sketch missed: take the whole upper side
-            t["lo"], t["hi"] = t["hi"], row[f"max{x}"]
-            t["lo"] = t["lo"] if t["k0"] >= below + at_lo + mid else row[f"min{x}"]
-            again.append(t)
-        elif t["k1"] < below + at_lo:      # both ranks fall on the hot low end
-            out[names[t["i"]]][t["j"]] = t["lo"]
-        else:
-            t["below"], t["at_lo"], t["mid"] = below, at_lo, mid
-            (ready if mid <= limit else narrow).append(t)
-    if ready:
-        def inside(t):
-            v = F.col(f"v{t['i']}")
-            return (v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"]))
-
-        cases = [F.when(inside(t), F.struct(F.lit(x).alias("t"), F.col(f"v{t['i']}").alias("v")))
-                 for x, t in enumerate(ready)]
-        counts = (
-            base.select(F.explode(F.array_compact(F.array(*cases))).alias("s"))
-            .groupBy(F.col("s.t").alias("t"), F.col("s.v").alias("v")).agg(F.count("*").alias("c"))
-        )
-        cum = F.sum("c").over(W.partitionBy("t").orderBy("v"))
-        wanted = base.sparkSession.createDataFrame(
-            [(x, t["k0"] - t["below"], t["k1"] - t["below"]) for x, t in enumerate(ready)], "t int, k0 long, k1 long")
-        picked = (
-            counts.withColumn("cum", cum).join(F.broadcast(wanted), "t")
-            .groupBy("t").agg(F.min(F.when(F.col("cum") > F.col("k0"), F.col("v"))).alias("x0"),
-                              F.min(F.when(F.col("cum") > F.col("k1"), F.col("v"))).alias("x1"))
-        )
-        for r in picked.collect():
-            t = ready[r["t"]]
-            out[names[t["i"]]][t["j"]] = r["x0"] + (r["x1"] - r["x0"]) * t["w"]
-    if narrow:
-        aggs, slack = [], 2.0 / accuracy
-        for x, t in enumerate(narrow):
-            r0, r1, m = t["k0"] - t["below"] - t["at_lo"], t["k1"] - t["below"] - t["at_lo"], t["mid"]
-            q = [min(1.0, max(0.0, r0 / m - slack)), min(1.0, max(0.0, r1 / m + slack))]
-            t["keep"] = (r0 < 0, r1 >= m)
-            v = F.when(between(t), F.col(f"v{t['i']}"))
-            aggs.append(F.percentile_approx(v, F.array(*map(F.lit, q)), F.lit(accuracy)).alias(f"q{x}"))
-        row = base.agg(*aggs).first()
-        for x, t in enumerate(narrow):
-            keep_lo, keep_hi = t["keep"]
-            t["lo"] = t["lo"] if keep_lo else row[f"q{x}"][0]
-            t["hi"] = t["hi"] if keep_hi else row[f"q{x}"][1]
-    return again + narrow
+    fresh: dict[int, set] = {}
+    for x, (i, lo, hi) in enumerate(keys):
+        ends = {e for e in (lo, hi) if e is not None}
+        fresh.setdefault(i, set()).update(ends, row[f"q{x}"])
+    for i, values in fresh.items():
+        cuts[i] = sorted(values)
 
 
 def hash_rank(df: DataFrame, groups: Sequence[str], key: str, seed: int | str, name: str = "rank") -> DataFrame:

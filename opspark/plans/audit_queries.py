@@ -8,6 +8,7 @@ from opspark.operators import evidence as evd, lineage as ln, policy as po
 from opspark.plans.feature_queries import rounded
 from opspark.plans.registry import query, table
 from opspark.plans.table_queries import tall
+from opspark.session import spread
 from opspark.sources.schemas import POD
 
 # A workload resource per order line: kind and names by rule from its columns.
@@ -38,7 +39,8 @@ LINE_SQL = f"""
 
 def resources(spark, sf):
     """The same resources as nested documents, read through the resource schema."""
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"))
     c, q, d, t = F.col, F.col("l_quantity"), F.col("l_discount"), F.col("l_tax")
 
     def pick(names, index):
@@ -72,7 +74,7 @@ def resources(spark, sf):
     pod = F.struct(
         (d == 0.01).alias("hostNetwork"), (d == 0.02).alias("hostPID"), F.when(d == 0.03, True).alias("hostIPC"),
         F.array(F.create_map(F.when(t == 0.0, "hostPath").when(t == 0.01, "csi").otherwise("emptyDir"), F.lit("x"))).alias("volumes"),
-        F.array(main).alias("containers"), F.array(init).alias("initContainers")).cast(POD)
+        F.array(main).alias("containers"), F.array(init).alias("initContainers"))
     direct, nested = kind == "Pod", kind == "CronJob"
     in_template = ~kind.isin("Pod", "CronJob", "Service")
     spec = F.struct(

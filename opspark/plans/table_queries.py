@@ -93,11 +93,11 @@ def fence_sql(c: str, t: str = "t") -> str:
 @query("outlier_counts_iqr", "A4 W8", f"""
 WITH t AS (SELECT * FROM lineitem), o AS (
 {tall(*[f'''SELECT '{c}' AS {Q}, count(*) AS outliers FROM t, {fence_sql(c)} f
-  WHERE {c} < q1 - 0.8 * (q3 - q1) OR {c} > q3 + 0.8 * (q3 - q1)'''
+  WHERE {c} < q1 - 0.3 * (q3 - q1) OR {c} > q3 + 0.3 * (q3 - q1)'''
        for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")])})
 SELECT "column", outliers FROM o WHERE outliers > 0""")
 def _(spark, sf):
-    return pf.outlier_counts(table(spark, sf, "lineitem"), "iqr", 0.8)
+    return pf.outlier_counts(table(spark, sf, "lineitem"), "iqr", 0.3)
 
 
 @query("outlier_counts_zscore", "A4 X14", f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -39,23 +40,41 @@ def local_session(cpus: int | str = 8, app: str = "opspark", **conf) -> SparkSes
     return tune(spark)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a temporary folder; on a cluster a
     missing setting is an error, since a machine-local folder would not survive
     the loss of an executor.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="opspark-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write the rows to a table in the shared folder and read them back.
+
+    The table outlives executors and carries its size, so later joins are planned on facts.
+    """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="opspark-checkpoint-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/opspark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share rows evenly when there are fewer input splits than cores.
+
+    For costly row-local work on small inputs; a large input already has more
+    splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -131,11 +131,9 @@ def test_unknown_message_source(spark):
         rd.message_stream(spark, "carrier pigeon")
 
 
-def test_checkpoint_folder_comes_from_the_session(spark):
-    from opspark.session import cut_lineage
+def test_cuts_are_written_to_the_shared_folder(spark):
+    from opspark.session import cut_lineage, shared_folder
 
     out = cut_lineage(spark.range(5))
-    assert out.count() == 5
-    wanted = spark.conf.get("spark.checkpoint.dir", None)
-    if wanted:
-        assert spark.sparkContext.getCheckpointDir().replace("file:", "").startswith(wanted.replace("file:", "").rstrip("/"))
+    assert out.count() == 5 and all(shared_folder(spark) in f for f in out.inputFiles())
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

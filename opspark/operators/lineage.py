@@ -32,8 +32,9 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, upstream: bool = F
     a graph deeper than ``max_depth`` raises instead of being cut short.
     """
     a, b = ("dst", "src") if upstream else ("src", "dst")
-    links = edges.select(F.col(a).alias("_from"), F.col(b).alias("_to")).where(
-        "_from is not null and _to is not null").distinct()
+    # written once, so no round computes the edges again
+    links = cut_lineage(edges.select(F.col(a).alias("_from"), F.col(b).alias("_to")).where(
+        "_from is not null and _to is not null").distinct())
     start = roots if roots is not None else links.select(F.col("_from").alias("root")).distinct()
     newest = start.select(F.col(start.columns[0]).alias("root")).distinct().select("root", F.col("root").alias("node"))
     rounds = [cut_lineage(newest.withColumn("depth", F.lit(0)))]

@@ -79,7 +79,7 @@ def apply_imputer(df: DataFrame, fill: dict) -> DataFrame:
 
 
 def knn_impute(
-    df: DataFrame, key: str, cols: Sequence[str], k: int = 5, cell_rows: int = 2000
+    df: DataFrame, key: str, cols: Sequence[str], k: int = 5, cell_rows: int = 256
 ) -> DataFrame:
     """Fill gaps with the mean of the ``k`` nearest rows holding the value, exactly.
 

@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
@@ -87,21 +88,22 @@ def _quantile_bucket(df: DataFrame, keys: list[str], order: str, few: int | None
     number = F.col(order).cast("double")
     sketch = F.percentile_approx(number, probs, F.lit(max(1000, buckets * 10)))
     if not keys:
-        few = 1
+        # a scalar subquery: evaluated once, on the same shuffle as the rows
+        marked = df.withColumn("_edges", df.agg(sketch.alias("e")).scalar())
+        return _by_edges(marked, number, df.columns)
     if few is None:
         few = df.select(*keys).distinct().limit(MAX_FEW_KEYS + 1).count()
     if few > MAX_FEW_KEYS:
         raise ValueError("running totals without a bucket need few keys")
-    named = [F.col(k).alias(f"_e_{k}") for k in keys] or [F.lit(0).alias("_e_")]
-    edges = df.groupBy(*named).agg(F.array_sort(F.array_distinct(sketch)).alias("_edges"))
-    on = F.lit(0) == F.col("_e_") if not keys else None
-    for k in keys:
-        cond = F.col(k).eqNullSafe(F.col(f"_e_{k}"))
-        on = cond if on is None else on & cond
+    edges = df.groupBy(*[F.col(k).alias(f"_e_{k}") for k in keys]).agg(sketch.alias("_edges"))
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in keys])
     # one row per key, at most MAX_FEW_KEYS rows
-    tagged = df.join(F.broadcast(edges), on, "left")
-    level = F.size(F.filter(F.coalesce(F.col("_edges"), F.array().cast("array<double>")), lambda e: e < number))
-    return tagged.withColumn("_bucket", level).select(*df.columns, "_bucket")
+    return _by_edges(df.join(F.broadcast(edges), on, "left"), number, df.columns)
+
+
+def _by_edges(df: DataFrame, number: Column, columns) -> DataFrame:
+    edges = F.coalesce(F.col("_edges"), F.array().cast("array<double>"))
+    return df.withColumn("_bucket", F.size(F.filter(edges, lambda e: e < number))).select(*columns, "_bucket")
 
 
 def _text_bucket(df: DataFrame, order: str, buckets: int, per_bucket: int = 20) -> DataFrame:
@@ -172,78 +174,79 @@ def _order_statistics(base, ranks, cuts, limit, slack, accuracy) -> dict[tuple[i
     found: dict[tuple[int, int], float] = {}
     while any((i, k) not in found for i in ranks for k in ranks[i]):
         live = [i for i in ranks if any((i, k) not in found for k in ranks[i])]
-        counts: dict[int, dict[int, int]] = {i: {} for i in live}
+        ready, narrow = {}, {}
         for part in _portions(live, cuts):
-            codes = [F.struct(F.lit(i).alias("i"), _interval_code(F.col(f"v{i}"), cuts[i]).alias("code")) for i in part]
-            rows = base.select(F.explode(F.array(*codes)).alias("c")).select("c.*").where("code is not null")
-            for r in rows.groupBy("i", "code").agg(F.count("*").alias("n")).collect():
+            counts: dict[int, dict[int, int]] = {i: {} for i in part}
+            for r in _interval_values(base, part, cuts).groupBy("i", "code").agg(F.count("*").alias("n")).collect():
                 counts[r["i"]][r["code"]] = r["n"]
-        ready, narrow = {}, {}
-        for i in live:
-            below = 0
-            for code in range(2 * len(cuts[i]) + 1):
-                n = counts[i].get(code, 0)
-                held = [k for k in ranks[i] if below <= k < below + n and (i, k) not in found]
-                if held and code % 2:
-                    found.update({(i, k): cuts[i][code // 2] for k in held})
-                elif held:
-                    lo = cuts[i][code // 2 - 1] if code else None
-                    hi = cuts[i][code // 2] if code // 2 < len(cuts[i]) else None
-                    (ready if n <= limit else narrow)[(i, lo, hi)] = (below, n, held)
-                below += n
-        if ready:
-            found.update(_ordered_picks(base, ready))
+            for i in part:
+                below = 0
+                for code in range(2 * len(cuts[i]) + 1):
+                    n = counts[i].get(code, 0)
+                    held = [k for k in ranks[i] if below <= k < below + n and (i, k) not in found]
+                    if held and code % 2:
+                        found.update({(i, k): cuts[i][code // 2] for k in held})
+                    elif held:
+                        (ready if n <= limit else narrow)[(i, code)] = (below, n, held)
+                    below += n
+        for part in _portions([i for i in live if any(i == x for x, _ in ready)], cuts):
+            found.update(_ordered_picks(base, part, cuts, {key: v for key, v in ready.items() if key[0] in part}))
         if narrow:
             _cut_again(base, narrow, cuts, slack, accuracy)
     return found
 
 
-def _portions(columns, cuts, terms: int = 300):
-    """Columns in groups whose interval codes stay small enough for generated code."""
-    part, size = [], 0
+def _portions(columns, cuts, size: int = 32):
+    """Columns in groups of few cuts, so that the generated code stays small enough to be compiled."""
+    part, total = [], 0
     for i in columns:
-        if part and size + 2 * len(cuts[i]) > terms:
+        if part and total + len(cuts[i]) > size:
             yield part
-            part, size = [], 0
+            part, total = [], 0
         part.append(i)
-        size += 2 * len(cuts[i])
+        total += len(cuts[i])
     if part:
         yield part
 
 
-def _interval_code(v: Column, cuts) -> Column:
-    """``2 j`` strictly between cuts ``j - 1`` and ``j``, ``2 j + 1`` on cut ``j``."""
-    code = F.when(v.isNotNull(), F.lit(0))
-    for c in cuts:
-        code = code + (v >= F.lit(c)).cast("int") + (v > F.lit(c)).cast("int")
-    return code
+def _interval_values(base, part, cuts) -> DataFrame:
+    """Rows ``(i, code, v)``: code ``2 j`` strictly between cuts ``j - 1`` and ``j``, ``2 j + 1`` on cut ``j``."""
+    def search(v, lo, hi, values):
+        if lo == hi:
+            return F.lit(2 * lo)
+        mid = (lo + hi) // 2
+        return (F.when(v < F.lit(values[mid]), search(v, lo, mid, values))
+                .when(v > F.lit(values[mid]), search(v, mid + 1, hi, values)).otherwise(F.lit(2 * mid + 1)))
+
+    items = []
+    for i in part:
+        v = F.col(f"v{i}")
+        code = F.when(v.isNotNull(), search(F.coalesce(v, F.lit(0.0)), 0, len(cuts[i]), cuts[i]))
+        items.append(F.struct(F.lit(i).alias("i"), code.alias("code"), v.alias("v")))
+    return base.select(F.explode(F.array(*items)).alias("c")).select("c.*").where("v is not null")
 
 
-def _inside(interval) -> Column:
-    i, lo, hi = interval
+def _inside(i, code, cuts) -> Column:
     v = F.col(f"v{i}")
     test = v.isNotNull()
-    if lo is not None:
-        test = test & (v > F.lit(lo))
-    return test & (v < F.lit(hi)) if hi is not None else test
+    if code:
+        test = test & (v > F.lit(cuts[i][code // 2 - 1]))
+    return test & (v < F.lit(cuts[i][code // 2])) if code // 2 < len(cuts[i]) else test
 
 
-def _ordered_picks(base, ready):
+def _ordered_picks(base, part, cuts, ready):
     """Values at the wanted ranks of small intervals, counted per value before they are ordered."""
-    keys = list(ready)
-    cases = [F.when(_inside(key), F.struct(F.lit(x).alias("t"), F.col(f"v{key[0]}").alias("v"))) for x, key in enumerate(keys)]
-    counts = (
-        base.select(F.explode(F.array_compact(F.array(*cases))).alias("s"))
-        .groupBy(F.col("s.t").alias("t"), F.col("s.v").alias("v")).agg(F.count("*").alias("c"))
-    )
-    cum = F.sum("c").over(W.partitionBy("t").orderBy("v"))
     wanted = base.sparkSession.createDataFrame(
-        [(x, k, k - ready[key][0]) for x, key in enumerate(keys) for k in ready[key][2]], "t int, k long, place long")
+        [(i, code, k, k - below) for (i, code), (below, _, held) in ready.items() for k in held],
+        "i int, code int, k long, place long")
+    kept = (F.col("i") * F.lit(1_000_000) + F.col("code")).isin([i * 1_000_000 + code for i, code in ready])
+    counts = _interval_values(base, part, cuts).where(kept).groupBy("i", "code", "v").agg(F.count("*").alias("c"))
+    cum = F.sum("c").over(W.partitionBy("i", "code").orderBy("v"))
     picked = (
-        counts.withColumn("cum", cum).join(F.broadcast(wanted), "t")
-        .where((F.col("cum") > F.col("place")) & (F.col("cum") - F.col("c") <= F.col("place"))).select("t", "k", "v")
+        counts.withColumn("cum", cum).join(F.broadcast(wanted), ["i", "code"])
+        .where((F.col("cum") > F.col("place")) & (F.col("cum") - F.col("c") <= F.col("place"))).select("i", "k", "v")
     )
-    return {(keys[r["t"]][0], r["k"]): r["v"] for r in picked.collect()}
+    return {(r["i"], r["k"]): r["v"] for r in picked.collect()}
 
 
 def _cut_again(base, narrow, cuts, slack, accuracy):
@@ -253,12 +256,12 @@ def _cut_again(base, narrow, cuts, slack, accuracy):
     for x, key in enumerate(keys):
         below, n, held = narrow[key]
         q = sorted({min(1.0, max(0.0, (k - below) / n + d)) for k in held for d in (-slack, slack)})
-        v = F.when(_inside(key), F.col(f"v{key[0]}"))
+        v = F.when(_inside(*key, cuts), F.col(f"v{key[0]}"))
         aggs.append(F.percentile_approx(v, F.array(*map(F.lit, q)), F.lit(accuracy)).alias(f"q{x}"))
     row = base.agg(*aggs).first()
     fresh: dict[int, set] = {}
-    for x, (i, lo, hi) in enumerate(keys):
-        ends = {e for e in (lo, hi) if e is not None}
+    for x, (i, code) in enumerate(keys):
+        ends = {cuts[i][j] for j in (code // 2 - 1, code // 2) if 0 <= j < len(cuts[i])}
         fresh.setdefault(i, set()).update(ends, row[f"q{x}"])
     for i, values in fresh.items():
         cuts[i] = sorted(values)

@@ -175,9 +175,10 @@ def _(spark, sf):
 SELECT service, round(quantile_cont(latency_ms, 0.5), 4) AS p50, round(quantile_cont(latency_ms, 0.99), 4) AS p99 FROM ({REQUEST_SQL}) GROUP BY 1""")
 def _(spark, sf):
     from opspark.operators.ranking import exact_quantiles
+    from opspark.session import small_rows
 
     r = requests(spark, sf)
-    names = sorted(x["service"] for x in r.select("service").distinct().limit(1000).collect())
+    names = sorted(x["service"] for x in small_rows(r.select("service").distinct(), 1000))
     q = exact_quantiles(r, {n: F.when(F.col("service") == n, F.col("latency_ms")) for n in names}, [0.5, 0.99])
     return spark.createDataFrame([(n, round(q[n][0], 4), round(q[n][1], 4)) for n in names], "service string, p50 double, p99 double")
 

@@ -189,17 +189,20 @@ def split(
     for g in per:
         first, second = cuts.get((g, 0)), cuts.get((g, 1))
         rows.append((g, *(first or ("", None)), *(second or ("", None))))
-    table = df.sparkSession.createDataFrame(
-        rows, f"_g string, _d0 string, _k0 {key_type}, _d1 string, _k1 {key_type}")
     work = df.withColumn("_digest", key_digest(F.col(key), seed))
-    work = work.withColumn("_group", F.col(label).cast("string") if label else F.lit("all"))
-    # one row per label, at most max_strata of them
-    work = work.join(F.broadcast(table), F.col("_group") == F.col("_g"), "left")
+    if label is None:
+        ends = [F.lit(rows[0][1]), F.lit(rows[0][2]).cast(key_type), F.lit(rows[0][3]), F.lit(rows[0][4]).cast(key_type)]
+    else:
+        table = df.sparkSession.createDataFrame(
+            rows, f"_g string, _d0 string, _k0 {key_type}, _d1 string, _k1 {key_type}")
+        # one row per label, at most max_strata of them
+        work = work.join(F.broadcast(table), F.col(label).cast("string") == F.col("_g"), "left")
+        ends = [F.col(c) for c in ("_d0", "_k0", "_d1", "_k1")]
 
     def upto(d, k):
-        return (F.col("_digest") < F.col(d)) | ((F.col("_digest") == F.col(d)) & (F.col(key) <= F.col(k)))
+        return (F.col("_digest") < d) | ((F.col("_digest") == d) & (F.col(key) <= k))
 
-    tag = F.when(upto("_d0", "_k0"), "test").when(upto("_d1", "_k1"), "validation").otherwise("train")
+    tag = F.when(upto(*ends[:2]), "test").when(upto(*ends[2:]), "validation").otherwise("train")
     return work.select(*[F.col(f"`{c}`") for c in df.columns], tag.alias(name))
 
 

@@ -110,9 +110,7 @@ def _text_bucket(df: DataFrame, order: str, buckets: int, per_bucket: int = 20)
     """Cut distinct texts at a bounded bottom-k hash sample, the same one on every run."""
     sample = df.select(order).orderBy(F.xxhash64(order)).limit(buckets * per_bucket)
     edges = sorted(r[0] for r in sample.collect() if r[0] is not None)[per_bucket::per_bucket]
-    if not edges:
-        return df.withColumn("_bucket", F.lit(0))
-    cut = F.array(*map(F.lit, edges))
+    cut = F.array(*map(F.lit, ["", *edges]))
     return df.withColumn("_bucket", F.size(F.filter(cut, lambda e: e < F.col(order))))
 
 

@@ -1,4 +1,6 @@
 """All registered queries."""
 
-from opspark.plans import audit_queries, evaluation_queries, feature_queries, service_queries, table_queries  # noqa: F401
+from opspark.plans import (  # noqa: F401
+    audit_queries, evaluation_queries, feature_queries, flow_queries, service_queries, table_queries,
+)
 from opspark.plans.registry import COVERS, ORACLES, QUERIES  # noqa: F401

@@ -275,7 +275,7 @@ def _(spark, sf):
     return dr.last_windows(table(spark, sf, "events"), "ts", 50).select("event_id", "value", "side")
 
 
-def _recent_sql():
+def recent_sql():
     p = " + ".join(f"{2.0 * (-1) ** (j - 1)} * exp({-2.0 * j * j} * lam * lam)" for j in range(1, 21))
     return RECENT_SQL + f""",
     v AS (SELECT 'user_id' AS feature, user_id::DOUBLE AS v, side FROM s UNION ALL SELECT 'value', value, side FROM s),
@@ -288,7 +288,7 @@ def _recent_sql():
       CASE WHEN count(*) FILTER (p < 0.05) >= 1 THEN 1.0 ELSE 0.0 END AS drift_flag FROM p"""
 
 
-@query("recent_drift_flag", "A30 W1", _recent_sql())
+@query("recent_drift_flag", "A30 W1", recent_sql())
 def _(spark, sf):
     return dr.recent_drift(table(spark, sf, "events").select("ts", "user_id", "value"), "ts", ["user_id", "value"])
 

@@ -121,7 +121,7 @@ def _(spark, sf):
     return rounded(fe.fit_target_means(li, "l_linestatus"), places=6)
 
 
-@query("target_encode_unknown", "M8 A14 A15 J3", """
+@query("target_encode_unknown", "M8 A14 A15 J3 Y3", """
 WITH m AS (SELECT o_orderpriority AS v, avg(o_totalprice) AS m FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1)
 SELECT o_orderkey, round(coalesce(m.m, (SELECT avg(m) FROM m)), 4) AS o_orderpriority FROM orders LEFT JOIN m ON v = o_orderpriority""")
 def _(spark, sf):

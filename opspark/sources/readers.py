@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 from opspark.sources import schemas
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True,
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, header: bool = True,
              timestamp_format: str | None = None) -> DataFrame:
     """CSV with a given schema; unreadable fields become null, whole bad lines go to ``_corrupt`` if declared."""
     reader = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
@@ -51,9 +51,10 @@ def read_folder(spark: SparkSession, folder: str, csv_schema: StructType | None
     if found:
         if csv_schema is None:
             return spark.read.option("header", True).option("inferSchema", True).csv(found)
-        return read_csv(spark, folder, csv_schema)
-    if _files(spark, folder, ".parquet"):
-        return spark.read.option("pathGlobFilter", "*.parquet").parquet(folder)
+        return read_csv(spark, found, csv_schema)
+    found = _files(spark, folder, ".parquet")
+    if found:
+        return spark.read.parquet(*found)
     raise FileNotFoundError(f"no data files found in {folder}")
 
 

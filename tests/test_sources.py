@@ -36,7 +36,9 @@ def test_folder_discovery(spark, folder):
     with pytest.raises(FileNotFoundError):
         rd.read_folder(spark, folder)
     spark.range(3).write.parquet(f"{folder}/x/a.parquet")
+    spark.range(4).write.parquet(f"{folder}/x/b.parquet")
     assert rd.read_folder(spark, f"{folder}/x/a.parquet").count() == 3
+    assert rd.read_folder(spark, f"{folder}/x").count() == 7
     put(f"{folder}/y", "a.csv", "id,value\n1,10\n2,20\n")
     put(f"{folder}/y", "b.csv", "id,value\n3,30\n")
     assert rd.read_folder(spark, f"{folder}/y").count() == 3

@@ -21,7 +21,7 @@ def test_no_products_and_no_python(spark, sf, name):
         assert smell not in plan, smell
 
 
-@pytest.mark.parametrize("name", ["missing_ratio", "pearson_matrix", "regression_metrics", "quality_score"])
+@pytest.mark.parametrize("name", ["missing_ratio", "pearson_matrix", "regression_metrics", "compliance_total"])
 def test_one_scan_for_all_columns(spark, sf, name):
     plan = contract.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1

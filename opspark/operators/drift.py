@@ -14,9 +14,12 @@ METHODS = ("ks", "chi2", "wasserstein", "psi")
 
 
 def tagged_values(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Both samples as ``(feature, value, side)`` without missing values; side 0 is the reference."""
+    """Both samples as ``(feature, value, side)`` without missing values; side 0 is the reference.
+
+    ``feature`` is the position in ``cols``: a number is cheaper to hash and sort than a name.
+    """
     def tall(df, side):
-        items = [F.struct(F.lit(c).alias("feature"), as_number(df, c).alias("value")) for c in cols]
+        items = [F.struct(F.lit(i).alias("feature"), as_number(df, c).alias("value")) for i, c in enumerate(cols)]
         return df.select(F.explode(F.array(*items)).alias("r")).select("r.*", F.lit(side).alias("side"))
 
     return tall(reference, 0).unionByName(tall(current, 1)).where("value is not null")
@@ -34,11 +37,16 @@ def _ecdf(reference, current, cols):
     return ecdf.where((F.col("total_ref") > 0) & (F.col("total_cur") > 0))
 
 
+def _named(scores, cols):
+    """Positions back to feature names."""
+    return scores.withColumn("feature", F.element_at(F.array(*map(F.lit, cols)), F.col("feature") + 1))
+
+
 def ks_scores(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic with sample sizes."""
     gap = F.abs(F.col("cum_ref") / F.col("total_ref") - F.col("cum_cur") / F.col("total_cur"))
-    return _ecdf(reference, current, cols).groupBy("feature").agg(
-        F.max(gap).alias("score"), F.max("total_ref").alias("n_ref"), F.max("total_cur").alias("n_cur"))
+    return _named(_ecdf(reference, current, cols).groupBy("feature").agg(
+        F.max(gap).alias("score"), F.max("total_ref").alias("n_ref"), F.max("total_cur").alias("n_cur")), cols)
 
 
 def ks_p_value(score, n_ref, n_cur, terms: int = 20):
@@ -61,8 +69,8 @@ def wasserstein_scores(reference: DataFrame, current: DataFrame, cols: Sequence[
     gap = F.abs(F.col("cum_ref") / F.col("total_ref") - F.col("cum_cur") / F.col("total_cur"))
     before = F.abs((F.col("cum_ref") - F.col("ref")) / F.col("total_ref")
                    - (F.col("cum_cur") - F.col("cur")) / F.col("total_cur"))
-    return _ecdf(reference, current, cols).groupBy("feature").agg(
-        F.sum(F.col("value") * (before - gap)).alias("score"))
+    return _named(_ecdf(reference, current, cols).groupBy("feature").agg(
+        F.sum(F.col("value") * (before - gap)).alias("score")), cols)
 
 
 def _binned(reference, current, cols, low, high, bins):

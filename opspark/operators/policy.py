@@ -112,7 +112,8 @@ def deny_latest(df: DataFrame, exempt: Sequence[str] = EXEMPT_IMAGES, action: st
             for e in exempt:
                 spared = spared | c["image"].contains(e)
             return c["image"].endswith(":latest") & ~spared
-        return F.transform(F.filter(place, bad), lambda c: F.format_string(LATEST_MESSAGE, F.lit(title), c["image"]))
+        before, after = LATEST_MESSAGE.replace("%s", title, 1).split("%s")
+        return F.transform(F.filter(place, bad), lambda c: F.concat(F.lit(before), c["image"], F.lit(after)))
 
     kind = F.col("kind")
     template = F.col("spec.template.spec.containers")

@@ -135,23 +135,37 @@ def unique_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
         row = df.agg(*[F.approx_count_distinct(F.when(~is_missing(df, c), F.col(f"`{c}`"))).alias(f"u{i}")
                        for i, c in enumerate(cols)])
         return long_form(row, cols, {"unique_count": "u"})
-    pairs = [F.struct(F.lit(i).alias("i"), _text(df, c).alias("v")) for i, c in enumerate(cols)]
-    seen = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.i", "p.v").distinct()
-    counts = seen.groupBy("i").agg(F.count("v").alias("unique_count"))
+    seen = _values(df, cols).distinct()
+    counts = seen.groupBy("i").agg(F.count("*").alias("unique_count"))
     names = df.sparkSession.createDataFrame(list(enumerate(cols)), "i int, column string")
     # one row per column of the schema
     joined = F.broadcast(names).join(counts, "i", "left")
     return joined.select("column", F.coalesce("unique_count", F.lit(0)).alias("unique_count"))
 
 
-def _text(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    col = F.when(~is_missing(df, name), F.col(f"`{name}`"))
-    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(col)
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return (col + F.lit(0.0)).cast("string")  # -0.0 and 0.0 are one value
-    return col.cast("string")
+def _values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Non-missing values of many columns as ``(i, whole, number, text)``, each in the field of its type."""
+    items = []
+    for i, c in enumerate(cols):
+        kind = df.schema[c].dataType
+        col = F.when(~is_missing(df, c), F.col(f"`{c}`"))
+        whole, number, text = (F.lit(None).cast(t) for t in ("bigint", "double", "string"))
+        if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            whole = col.cast("bigint")
+        elif isinstance(kind, (T.FloatType, T.DoubleType)):
+            number = col.cast("double")
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            text = F.to_json(col)
+        else:
+            text = col.cast("string")
+        items.append(F.struct(F.lit(i).alias("i"), whole.alias("whole"), number.alias("number"), text.alias("text")))
+    tall = df.select(F.explode(F.array(*items)).alias("p")).select("p.*")
+    return tall.where(F.coalesce(F.col("whole").isNotNull() | F.col("number").isNotNull() | F.col("text").isNotNull(), F.lit(False)))
+
+
+def _copies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(i, whole, number, text, c)``: occurrences of every non-missing value."""
+    return _values(df, cols).groupBy("i", "whole", "number", "text").agg(F.count("*").alias("c"))
 
 
 def schema_errors(df: DataFrame, expected: dict[str, str]) -> list[str]:
@@ -180,13 +194,10 @@ def expectations(df: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
         "column", F.lit("not_null").alias("expectation"), "unexpected")
     parts = [nulls]
     if ids:
-        pairs = [F.struct(F.lit(c).alias("column"), _text(df, c).alias("v")) for c in ids]
-        tall = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.column", "p.v").where("v is not null")
-        copies = tall.groupBy("column", "v").agg(F.count("*").alias("c"))
-        found = copies.groupBy("column").agg(
+        found = _copies(df, ids).groupBy("i").agg(
             F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c"))), F.lit(0)).alias("unexpected"))
-        names = df.sparkSession.createDataFrame([(c,) for c in ids], "column string")
-        found = F.broadcast(names).join(found, "column", "left")
+        names = df.sparkSession.createDataFrame(list(enumerate(ids)), "i int, column string")
+        found = F.broadcast(names).join(found, "i", "left")
         parts.append(found.select(
             "column", F.lit("unique").alias("expectation"),
             F.coalesce("unexpected", F.lit(0)).cast("bigint").alias("unexpected")))
@@ -332,10 +343,12 @@ def quality_issues(
     found = row.select(F.explode(F.array(*items)).alias("r")).select("r.*").where("bad").drop("bad")
     if not ids:
         return found
-    pairs = [F.struct(F.lit(c).alias("column"), _text(df, c).alias("v")) for c in ids]
-    tall = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.column", "p.v")
-    copies = tall.groupBy("column", "v").agg(F.count("*").alias("c"))
-    repeats = copies.groupBy("column").agg(F.sum(F.col("c") - 1).cast("double").alias("amount"))
+    # missing ids repeat each other too
+    gaps = df.agg(*[F.count_if(is_missing(df, c)).alias(f"g{i}") for i, c in enumerate(ids)])
+    extra = long_form(gaps, ids, {"g": "g"}).select("column", F.greatest(F.col("g") - 1, F.lit(0)).alias("n"))
+    named = F.element_at(F.array(*map(F.lit, ids)), F.col("i") + 1)
+    repeats = _copies(df, ids).groupBy("i").agg(F.sum(F.col("c") - 1).alias("n")).select(named.alias("column"), "n")
+    repeats = repeats.unionByName(extra).groupBy("column").agg(F.sum("n").cast("double").alias("amount"))
     repeats = repeats.where(F.col("amount") > 0).select(F.lit("duplicate_ids").alias("type"), "column", "amount")
     return found.unionByName(repeats)
 

@@ -15,7 +15,7 @@ from opspark.sources.schemas import POD
 KINDS = ["Deployment", "StatefulSet", "DaemonSet", "ReplicaSet", "Pod", "Job", "CronJob", "Service"]
 SPACES = ["default", "kube-system", "team-a", "istio-system", "production-public"]
 LINE_SQL = f"""
-  SELECT (l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey) AS name,
+  SELECT row_number() OVER () AS rid, (l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey) AS name,
     [{', '.join(f"'{k}'" for k in KINDS)}][(l_partkey % 8)::INT + 1] AS kind,
     [{', '.join(f"'{s}'" for s in SPACES)}][(l_suppkey % 5)::INT + 1] AS namespace,
     CASE WHEN l_linenumber = 1 THEN 'istio-proxy' WHEN l_linenumber = 2 THEN 'vault-agent' ELSE 'app' || l_linenumber END AS cname,
@@ -90,12 +90,13 @@ def resources(spark, sf):
     return li.select(kind.alias("kind"), meta.alias("metadata"), spec.alias("spec"))
 
 
-WORK_SQL = f"""t AS (SELECT * FROM ({LINE_SQL}) WHERE namespace <> 'kube-system')"""
+WORK_SQL = f"""t AS MATERIALIZED (SELECT * FROM ({LINE_SQL}) WHERE namespace <> 'kube-system')"""
 
 
 def heads(*parts):
     """Union of (condition, message) heads; equal messages of a resource once."""
-    return " UNION ".join(f"SELECT kind, namespace, name AS resource, {m} AS msg FROM t WHERE {w}" for w, m in parts)
+    union = " UNION ".join(f"SELECT rid, kind, namespace, name AS resource, {m} AS msg FROM t WHERE {w}" for w, m in parts)
+    return f"SELECT kind, namespace, resource, msg FROM ({union})"
 
 
 def q(text):

@@ -126,7 +126,7 @@ def _(spark, sf):
 @query("stream_window_features", "R1 R2 R4 R5 R6 R7 R8 S8 S9 Y2", """
 WITH w AS (SELECT event_type AS sensor_id, time_bucket(INTERVAL 1 DAY, ts) AS w, value FROM events),
 s AS (SELECT sensor_id, w, avg(value) AS a, stddev_pop(value) AS s FROM w GROUP BY 1, 2)
-SELECT sensor_id, epoch_ms(w)::BIGINT AS window_start, count(*) AS count, round(any_value(a), 2) AS avg_value, round(any_value(s), 2) AS std_dev,
+SELECT sensor_id, epoch_ms(w)::BIGINT AS window_start, count(*) AS count, round(any_value(a)::DECIMAL(30, 9), 2)::DOUBLE AS avg_value, round(any_value(s)::DECIMAL(30, 9), 2)::DOUBLE AS std_dev,
   count(*) FILTER (abs(value - a) > 2.5 * s) AS anomaly_count
 FROM w JOIN s USING (sensor_id, w) WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 5 SECOND FROM events) GROUP BY sensor_id, w""")
 def _(spark, sf):

@@ -374,10 +374,10 @@ def _(spark, sf):
 WITH w AS (SELECT event_type AS sensor_id, time_bucket(INTERVAL 1 DAY, ts) AS w, value FROM events),
 s AS (SELECT sensor_id, w, avg(value) AS a, stddev_pop(value) AS s FROM w GROUP BY 1, 2)
 SELECT sensor_id, epoch_ms(w)::BIGINT AS window_start, epoch_ms(w + INTERVAL 1 DAY)::BIGINT AS window_end,
-  strftime(w + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S') AS event_time, round(any_value(a), 2) AS avg_value, round(min(value), 2) AS min_value,
-  round(max(value), 2) AS max_value, round(any_value(s), 2) AS std_dev, count(*) AS count,
+  strftime(w + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S') AS event_time, round(any_value(a)::DECIMAL(30, 9), 2)::DOUBLE AS avg_value, round(min(value), 2) AS min_value,
+  round(max(value), 2) AS max_value, round(any_value(s)::DECIMAL(30, 9), 2)::DOUBLE AS std_dev, count(*) AS count,
   count(*) FILTER (abs(value - a) > 2.5 * s) AS anomaly_count,
-  round(count(*) FILTER (abs(value - a) > 2.5 * s) / count(*), 3) AS anomaly_rate
+  round((count(*) FILTER (abs(value - a) > 2.5 * s) / count(*))::DECIMAL(30, 9), 3)::DOUBLE AS anomaly_rate
 FROM w JOIN s USING (sensor_id, w) GROUP BY sensor_id, w""")
 def _(spark, sf):
     e = table(spark, sf, "events").select(F.col("event_type").alias("sensor_id"), F.col("ts").cast("timestamp").alias("event_time"), "value")

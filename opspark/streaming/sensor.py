@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: Ways in which the readings of one (sensor, window) pair are spread over tasks.
 SALTS = 8
@@ -43,9 +43,14 @@ def window_features(df: DataFrame, key: str = "sensor_id", ts: str = "event_time
     return out.select(
         F.col(key), F.unix_millis(F.col("w.start")).alias("window_start"), F.unix_millis(F.col("w.end")).alias("window_end"),
         F.date_format("w.end", "yyyy-MM-dd'T'HH:mm:ss").alias("event_time"),
-        F.round("_a", 2).alias("avg_value"), F.round("_l", 2).alias("min_value"), F.round("_h", 2).alias("max_value"),
-        F.round("_s", 2).alias("std_dev"), F.col("_n").alias("count"), F.col("_k").alias("anomaly_count"),
-        F.round(F.col("_k") / F.col("_n"), 3).alias("anomaly_rate"))
+        _rounded(F.col("_a"), 2).alias("avg_value"), F.round("_l", 2).alias("min_value"), F.round("_h", 2).alias("max_value"),
+        _rounded(F.col("_s"), 2).alias("std_dev"), F.col("_n").alias("count"), F.col("_k").alias("anomaly_count"),
+        _rounded(F.col("_k") / F.col("_n"), 3).alias("anomaly_rate"))
+
+
+def _rounded(value: Column, places: int) -> Column:
+    """Rounded half up after the last bits are dropped, which depend on the order of a sum."""
+    return F.round(F.round(value, 9), places)
 
 
 FEATURE_FIELDS = ["avg_value", "min_value", "max_value", "std_dev", "count", "anomaly_count", "anomaly_rate"]

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from opspark.llm import mixing, sharding
+from opspark.llm import mixing, sharding, tokens, warc
 
 QUERIES = {
+    "op1_whole_token_counts": tokens.op1_whole_token_counts,
     "op3_consistent_ring": sharding.op3_consistent_ring,
     "op6_curriculum": mixing.op6_curriculum,
+    "op7_revisits": warc.op7_revisits,
 }
 
 ORACLES = {
     "op6_curriculum": mixing.OP6_SQL,
+    "op7_revisits": warc.OP7_SQL,
 }

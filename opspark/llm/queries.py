@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from opspark.llm import mixing, sharding, tokens, warc
+from opspark.llm import mixing, sharding, tokens, toxicity, warc
 
 QUERIES = {
     "op1_whole_token_counts": tokens.op1_whole_token_counts,
     "op3_consistent_ring": sharding.op3_consistent_ring,
     "op6_curriculum": mixing.op6_curriculum,
     "op7_revisits": warc.op7_revisits,
+    "op10_pu_toxicity": toxicity.op10_pu_toxicity,
 }
 
 ORACLES = {

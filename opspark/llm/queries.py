@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from opspark.llm import mixing, sharding, tokens, toxicity, warc
+from opspark.llm import embeddings, mixing, sharding, tokens, toxicity, warc
 
 QUERIES = {
     "op1_whole_token_counts": tokens.op1_whole_token_counts,
     "op3_consistent_ring": sharding.op3_consistent_ring,
+    "op4_cross_polytope": embeddings.op4_cross_polytope,
     "op6_curriculum": mixing.op6_curriculum,
     "op7_revisits": warc.op7_revisits,
     "op10_pu_toxicity": toxicity.op10_pu_toxicity,
 }
 
 ORACLES = {
+    "op4_cross_polytope": embeddings.OP4_SQL,
     "op6_curriculum": mixing.OP6_SQL,
     "op7_revisits": warc.OP7_SQL,
 }

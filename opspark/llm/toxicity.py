@@ -87,13 +87,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _sample(df: DataFrame, want: int) -> list[np.ndarray]:
-    """Feature hashes of at most ``want`` texts of (doc_id, text), chosen by the digest of the id."""
-    small_batches(df.sparkSession)
-    have = df.count()
+def _chosen(df: DataFrame, have: int, want: int) -> DataFrame:
+    """About ``want`` of the ``have`` rows, by the digest of the id in ``order``."""
     span = 1 << 48
     level = span if have <= want else int(span * min(1.0, 1.1 * want / have + 50 / have))
-    chosen = df.withColumn("order", digits(F.lit("toxicity"), F.col("doc_id"))).where(F.col("order") < level)
+    return df.withColumn("order", digits(F.lit("toxicity"), F.col("doc_id"))).where(F.col("order") < level)
+
+
+def _sample(chosen: DataFrame, want: int) -> list[np.ndarray]:
+    """Feature hashes of at most ``want`` of the texts (order, text)."""
+    small_batches(chosen.sparkSession)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -176,8 +179,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     toxic, known = labels.agg(F.sum((F.col("toxic") == 1).cast("long")), F.count("*")).first()
     toxic_ids = labels.where("toxic = 1").select("doc_id")
     texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
-    positives = _sample(texts.join(toxic_ids, "doc_id", "left_semi"), POSITIVES)
-    unlabelled = _sample(texts, UNLABELLED)
+    # so few ids, bounded by the sample, that no text need be shuffled to meet them
+    toxic_ids = F.broadcast(_chosen(toxic_ids, toxic or 0, POSITIVES).withColumnRenamed("doc_id", "toxic_id"))
+    positives = _sample(texts.join(toxic_ids, F.col("doc_id") == F.col("toxic_id")), POSITIVES)
+    unlabelled = _sample(_chosen(texts, texts.select("doc_id").count(), UNLABELLED), UNLABELLED)
     return fit(positives, unlabelled, (toxic or 0) / known if known else 0.1)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opspark.llm import embeddings, mixing, ngram_join, sharding, tokens, toxicity, warc
+from opspark.llm import decontaminate, embeddings, mixing, ngram_join, sharding, tokens, toxicity, warc
 
 QUERIES = {
     "op1_whole_token_counts": tokens.op1_whole_token_counts,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_cross_polytope": embeddings.op4_cross_polytope,
     "op6_curriculum": mixing.op6_curriculum,
     "op7_revisits": warc.op7_revisits,
+    "op8_simhash_windows": decontaminate.op8_simhash_windows,
     "op9_rare_first_join": ngram_join.op9_rare_first_join,
     "op10_pu_toxicity": toxicity.op10_pu_toxicity,
 }

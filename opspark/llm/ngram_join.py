@@ -26,14 +26,16 @@ from pyspark.sql import DataFrame, functions as F
 from opspark.llm.common import components, mix, shingle_sets, small_batches, table
 from opspark.session import cut_lineage
 
-#: Counters of the sketch; its size is fixed, whatever the input.
-SKETCH = 1 << 18
+#: Counters of the sketch; its size is fixed, whatever the input. A task sends them in strips, one byte each: counts
+#: above 255 in one task are sent as 255, which matters to the order of n-grams only, and so to speed.
+SKETCH = 1 << 22
+STRIP = 1 << 14
 
 #: Bits that tell whether a class may be a candidate, for the pass that sends sets; fixed too.
 BITS = 1 << 20
 
 #: Bounds of a block of candidates.
-BLOCK_SHINGLES = 300_000
+BLOCK_SHINGLES = 1_000_000
 BLOCK_CLASSES = 1500
 
 
@@ -47,15 +49,14 @@ def _batch(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))
 
 
-def _sets(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size and class of each text, and the sketch of the partition: counts by bucket, over each class once."""
-    counts, seen = np.zeros(SKETCH, np.int64), set()
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64()), ("bucket", pa.int32()), ("count", pa.int64())])
+def _buckets(found: np.ndarray) -> np.ndarray:
+    return (found & np.uint64(SKETCH - 1)).astype(np.int64)
 
-    def rows(*columns) -> pa.RecordBatch:
-        n = max(len(c) for c in columns if c is not None)
-        return pa.RecordBatch.from_arrays([pa.nulls(n, t) if c is None else pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
+def _sets(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and class of each text, and the sketch of the partition, over each class once, in strips."""
+    counts, seen = np.zeros(SKETCH, np.int32), set()
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64()), ("strip", pa.int32()), ("counts", pa.binary())])
     for b in batches:
         n, name = [], []
         for _, found in shingle_sets(b.column("text"), k):
@@ -63,14 +64,25 @@ def _sets(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             name.append(_digest(found) if len(found) else None)
             if len(found) and name[-1] not in seen:
                 seen.add(name[-1])
-                counts += np.bincount((found % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) if len(found) > SKETCH // 8 else 0
-                if len(found) <= SKETCH // 8:
-                    np.add.at(counts, (found % np.uint64(SKETCH)).astype(np.int64), 1)
-        yield rows(b.column("doc_id"), n, name, None, None)
-    full = np.flatnonzero(counts)
-    for start in range(0, len(full), 1 << 16):
-        part = full[start : start + (1 << 16)]
-        yield rows(None, None, None, part, counts[part])
+                np.add.at(counts, _buckets(found), 1)
+        rows = len(n)
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(name, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], schema=schema)
+    if seen:
+        strips = np.minimum(counts, 255).astype(np.uint8).reshape(-1, STRIP)
+        rows = len(strips)
+        yield pa.RecordBatch.from_arrays([
+            *(pa.nulls(rows, pa.int64()) for _ in range(3)), pa.array(np.arange(rows), pa.int32()), pa.array([s.tobytes() for s in strips], pa.binary())], schema=schema)
+
+
+def _strip_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the strips of each number; a partition's rows are read as a stream."""
+    sums: dict[int, np.ndarray] = {}
+    for b in batches:
+        for number, counts in zip(b.column("strip").to_pylist(), b.column("counts")):
+            sums.setdefault(number, np.zeros(STRIP, np.int64))
+            sums[number] += np.frombuffer(counts.as_buffer(), np.uint8)
+    if sums:
+        yield _batch({"strip": pa.array(list(sums), pa.int32()), "counts": pa.array([np.minimum(v, 1 << 30).astype(np.int32).tobytes() for v in sums.values()], pa.binary())})
 
 
 def _prefix_sizes(n: int, percent: int) -> tuple[int, int]:
@@ -93,8 +105,8 @@ def _prefixes(k: int, percent: int, sketch, batches: Iterator[pa.RecordBatch]) -
                 continue
             seen.add(name)
             index, probe = _prefix_sizes(n, percent)
-            weight = counts[(found % np.uint64(SKETCH)).astype(np.int64)]
-            first = np.lexsort((found, weight))[:probe] if probe < n else np.argsort(weight, kind="stable")
+            # found is sorted, so a stable sort puts equal counts in the order of the hash
+            first = np.argsort(counts[_buckets(found)], kind="stable")[:probe]
             parts.append((found[first].view(np.int64), np.full(probe, n, np.int32), np.arange(probe) >= index, np.full(probe, name, np.int64)))
         if parts:
             yield _batch(dict(zip(("token", "n", "late", "class"), map(np.concatenate, zip(*parts)))))
@@ -232,25 +244,28 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    first = cut_lineage(texts.mapInArrow(partial(_sets, k), "doc_id long, n_shingles long, class long, bucket int, count long"))
-    sets = first.where("bucket is null").select("doc_id", "n_shingles", "class")
-    counts = np.zeros(SKETCH, np.int64)
-    for r in first.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).collect():  # SKETCH rows at most
-        counts[r["bucket"]] = r["count"]
+    first = cut_lineage(texts.mapInArrow(partial(_sets, k), "doc_id long, n_shingles long, class long, strip int, counts binary"))
+    sets = first.where("strip is null").select("doc_id", "n_shingles", "class")
+    counts = np.zeros(SKETCH, np.int32)
+    strips = first.where("strip is not null").select("strip", "counts").repartition("strip").mapInArrow(_strip_sums, "strip int, counts binary")
+    for r in strips.collect():  # SKETCH / STRIP rows
+        counts[r["strip"] * STRIP : (r["strip"] + 1) * STRIP] = np.frombuffer(r["counts"], np.int32)
     sketch = spark.sparkContext.broadcast(counts)
     prefixes = texts.select("text").mapInArrow(partial(_prefixes, k, percent, sketch), "token long, n int, late boolean, class long")
     met = prefixes.repartition("token").sortWithinPartitions("token", "n", "late", "class").mapInArrow(partial(_chains, percent), "a long, b long")
-    candidates = cut_lineage(components(met).select(F.col("node").alias("class"), F.col("component").alias("group")))
+    candidates = components(met).select(F.col("node").alias("class"), F.col("component").alias("group"))
+    sizes = sets.where("class is not null").groupBy("class").agg(F.max("n_shingles").alias("n"))
+    candidates = cut_lineage(candidates.join(sizes, "class"))
     have = np.zeros(BITS, bool)
     have[[r[0] for r in candidates.select(F.pmod("class", F.lit(BITS))).distinct().collect()]] = True  # BITS rows at most
     bits = spark.sparkContext.broadcast(have)
+    blocks = cut_lineage(candidates.groupBy("group").agg(
+        F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES)).cast("int").alias("blocks")).where("blocks > 1"))
+    placed = candidates.join(blocks, "group", "left").fillna(1, ["blocks"]).select("class", "group", "blocks")
     found = texts.select("text").mapInArrow(partial(_wanted, k, bits), "class long, found binary")
-    found = cut_lineage(found.join(candidates, "class").dropDuplicates(["class"]))
-    blocks = found.groupBy("group").agg(
-        F.greatest(F.ceil(F.sum(F.octet_length("found")) / (8 * BLOCK_SHINGLES)), F.ceil(F.count("*") / BLOCK_CLASSES)).cast("int").alias("blocks"))
-    blocks = cut_lineage(blocks)
     meets = (
-        found.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+        found.join(cut_lineage(placed), "class").dropDuplicates(["class"])
+        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "class", "found", "block")
     )

@@ -144,22 +144,28 @@ def _chains(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             yield _batch(dict(zip(("a", "b"), map(np.array, zip(*edges)))))
 
 
-def _wanted(k: int, bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _wanted(sets_of, bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(class, found) of the classes whose bit is set, once in a partition."""
     have, seen = bits.value, set()
     for b in batches:
         names, sets = [], []
-        for _, found in shingle_sets(b.column("text"), k):
-            if len(found):
-                name = _digest(found)
-                if name not in seen and have[name % BITS]:
-                    seen.add(name)
-                    names.append(name)
-                    sets.append(found.tobytes())
+        for name, found in sets_of(b.column("text"), lambda n: have[n % BITS] and n not in seen):
+            seen.add(name)
+            names.append(name)
+            sets.append(found.tobytes())
+            if len(sets) >= 1024:
+                yield _batch({"class": np.array(names), "found": pa.array(sets, pa.binary())})
+                names, sets = [], []
         if names:
             yield _batch({"class": np.array(names), "found": pa.array(sets, pa.binary())})
 
 
+def _text_sets(k: int, column: pa.Array, wanted) -> Iterator[tuple[int, np.ndarray]]:
+    for _, found in shingle_sets(column, k):
+        if len(found) and wanted(name := _digest(found)):
+            yield name, found
+
+
 def linked(sets: list[np.ndarray], percent: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """(i, j) of all similar pairs between the rows in ``left`` and in ``right``, by exact intersections."""
     sizes = np.array([len(s) for s in sets])
@@ -232,6 +238,33 @@ def _verify(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         yield got
 
 
+def verified_components(met: DataFrame, sizes: DataFrame, texts: DataFrame, sets_of, percent: int) -> DataFrame:
+    """(class, root) of every class that is truly linked to another.
+
+    ``met`` has candidate edges (a, b), ``sizes`` (class, n), and ``sets_of(text column, wanted)`` gives (class, sorted
+    distinct hashes) from ``texts`` (text) for the classes that ``wanted`` lets through.
+    """
+    spark = met.sparkSession
+    candidates = components(met).select(F.col("node").alias("class"), F.col("component").alias("group"))
+    candidates = cut_lineage(candidates.join(sizes, "class"))
+    have = np.zeros(BITS, bool)
+    have[[r[0] for r in candidates.select(F.pmod("class", F.lit(BITS))).distinct().collect()]] = True  # BITS rows at most
+    bits = spark.sparkContext.broadcast(have)
+    blocks = cut_lineage(candidates.groupBy("group").agg(
+        F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES)).cast("int").alias("blocks")).where("blocks > 1"))
+    placed = candidates.join(blocks, "group", "left").fillna(1, ["blocks"]).select("class", "group", "blocks")
+    found = texts.mapInArrow(partial(_wanted, sets_of, bits), "class long, found binary")
+    meets = (
+        found.join(cut_lineage(placed), "class").dropDuplicates(["class"])
+        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "class", "found", "block")
+    )
+    key = ["group", "low", "high"]
+    links = meets.repartition(*key).sortWithinPartitions(*key).mapInArrow(partial(_verify, percent), "a long, b long")
+    return components(links).select(F.col("node").alias("class"), F.col("component").alias("root"))
+
+
 def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of (doc_id, text).
 
@@ -253,25 +286,8 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     sketch = spark.sparkContext.broadcast(counts)
     prefixes = texts.select("text").mapInArrow(partial(_prefixes, k, percent, sketch), "token long, n int, late boolean, class long")
     met = prefixes.repartition("token").sortWithinPartitions("token", "n", "late", "class").mapInArrow(partial(_chains, percent), "a long, b long")
-    candidates = components(met).select(F.col("node").alias("class"), F.col("component").alias("group"))
     sizes = sets.where("class is not null").groupBy("class").agg(F.max("n_shingles").alias("n"))
-    candidates = cut_lineage(candidates.join(sizes, "class"))
-    have = np.zeros(BITS, bool)
-    have[[r[0] for r in candidates.select(F.pmod("class", F.lit(BITS))).distinct().collect()]] = True  # BITS rows at most
-    bits = spark.sparkContext.broadcast(have)
-    blocks = cut_lineage(candidates.groupBy("group").agg(
-        F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES)).cast("int").alias("blocks")).where("blocks > 1"))
-    placed = candidates.join(blocks, "group", "left").fillna(1, ["blocks"]).select("class", "group", "blocks")
-    found = texts.select("text").mapInArrow(partial(_wanted, k, bits), "class long, found binary")
-    meets = (
-        found.join(cut_lineage(placed), "class").dropDuplicates(["class"])
-        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "class", "found", "block")
-    )
-    key = ["group", "low", "high"]
-    links = meets.repartition(*key).sortWithinPartitions(*key).mapInArrow(partial(_verify, percent), "a long, b long")
-    joined = components(links).select(F.col("node").alias("class"), F.col("component").alias("root"))
+    joined = verified_components(met, sizes, texts.select("text"), partial(_text_sets, k), percent)
     # classes of several rows, and classes linked to others, learn the smallest doc_id; any other row is alone
     classes = sets.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     classes = cut_lineage(classes.join(joined, "class", "left").where("copies > 1 or root is not null").withColumn("root", F.coalesce("root", "class")))

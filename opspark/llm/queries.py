@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from opspark.llm import decontaminate, embeddings, mixing, ngram_join, sharding, tokens, toxicity, warc
+from opspark.llm import decontaminate, embeddings, lines, mixing, ngram_join, sharding, tokens, toxicity, warc
 
 QUERIES = {
     "op1_whole_token_counts": tokens.op1_whole_token_counts,
+    "op2_fuzzy_lines": lines.op2_fuzzy_lines,
     "op3_consistent_ring": sharding.op3_consistent_ring,
     "op4_cross_polytope": embeddings.op4_cross_polytope,
     "op6_curriculum": mixing.op6_curriculum,

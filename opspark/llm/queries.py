@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from opspark.llm import decontaminate, embeddings, lines, mixing, ngram_join, sharding, tokens, toxicity, warc
+from opspark.llm import decontaminate, embeddings, html_labeller, lines, mixing, ngram_join, sharding, tokens, toxicity, warc
 
 QUERIES = {
     "op1_whole_token_counts": tokens.op1_whole_token_counts,
     "op2_fuzzy_lines": lines.op2_fuzzy_lines,
     "op3_consistent_ring": sharding.op3_consistent_ring,
     "op4_cross_polytope": embeddings.op4_cross_polytope,
+    "op5_block_labeller": html_labeller.op5_block_labeller,
     "op6_curriculum": mixing.op6_curriculum,
     "op7_revisits": warc.op7_revisits,
     "op8_simhash_windows": decontaminate.op8_simhash_windows,

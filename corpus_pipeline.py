@@ -1,22 +1,83 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and reread as the next one's input."""
+"""The corpus pipeline: stages over documents, each written as Parquet and reread as the next one's input.
+
+Every stage reads all that its predecessor kept and returns the columns of documents as it got them, extra ones included; the
+last adds ``shard`` and ``slot``. Rows that share a doc_id are one document, and stay or go together; a row with a null
+doc_id can't be named by a decision on ids, and stays in the stages that decide by id. An empty table passes through.
+"""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from opspark.llm import decontaminate, mixing, ngram_join, sharding, toxicity
+from opspark.llm.common import table, word_count
+from opspark.session import bounded_broadcast, shared_folder
+
+
+def _fresh(columns: list[str], name: str) -> str:
+    """A column name that is not taken."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not among (gone)."""
+    return docs.join(bounded_broadcast(ids), docs["doc_id"] == ids["gone"], "left_anti")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: documents with a score of 0.3 or more go. Null and empty texts have the base rate and stay."""
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return docs.where(toxicity.score(spark, docs["text"], model) < 0.3)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: of documents linked by five-word shingles at a similarity of 0.8, the smallest doc_id stays."""
+    groups = ngram_join.similar_groups(docs.select("doc_id", "text"), k=5, percent=80)
+    return _without(docs, groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct())
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: documents that hold a benchmark item go."""
+    found = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.select(F.col("doc_id").alias("gone")).distinct())
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: one row per use of a document in the mix, in training order; unused documents go."""
+    size = _fresh(docs.columns, "mix_size")
+    mixed = mixing.mix(docs.withColumn(size, word_count(docs["text"])), ["doc_id", size], size=size)
+    return mixing.training_order(mixed).select(*(F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: 40 shards whose row counts differ by one at most."""
+    placed = sharding.assign(docs, ["doc_id"])
+    return placed.select(
+        *(F.col("row")[c].alias(c) for c in docs.columns),
+        F.col("shard").alias(_fresh(docs.columns, "shard")), F.col("slot").alias(_fresh(docs.columns, "slot")))
 
-from opspark.session import shared_folder
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("source_mixing", mix_sources),
+    ("sharding", assign_shards),
+]
 
+#: A learned model decides in the first stage, so SQL can't state the rows; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder; each result is a table in the shared folder."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")

@@ -35,7 +35,7 @@ STRIP = 1 << 14
 BITS = 1 << 20
 
 #: Bounds of a block of candidates.
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES = 2_000_000
 BLOCK_CLASSES = 1500
 
 

@@ -14,6 +14,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from opspark.llm.common import components, small_batches, table
@@ -149,7 +150,9 @@ def _compare(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
     """Linked pairs from rows sorted by bucket; the last bucket of a batch waits for the next."""
 
     def out(rows: pa.Table) -> pa.RecordBatch:
-        pairs = _links(threshold, rows)
+        # vectors of one length at a time
+        length = pc.list_value_length(rows.column("vector"))
+        pairs = np.concatenate([_links(threshold, rows.filter(pc.equal(length, n))) for n in pc.unique(length).to_pylist()])
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     names = ["label", "side", "bucket", "low", "high"]

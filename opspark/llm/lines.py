@@ -1,8 +1,8 @@
 """Fuzzy line deduplication by MinHash.
 
 1. A line (trimmed; A-Z lower-cased) is a class by the 64-bit hash of its characters, so exact repeats are one class.
-2. Its character shingles fill the bins of a one-permutation MinHash signature; empty bins borrow from the next full one.
-   Bands of five bins give 13 keys: lines at a similarity of 0.8 meet in one with a chance above 0.99.
+2. Its character shingles fill the bins of a one-permutation MinHash signature; empty bins borrow from full ones, drawn at
+   random but alike for all lines, so that the bins of a band stay apart. Bands of five bins give 13 keys: lines at a similarity of 0.8 meet in one with a chance above 0.99.
 3. One task reads a key's classes as a sorted stream and gives one candidate edge per class, to the head.
 4. Candidate groups are compared exactly, in blocks, by the Jaccard similarity of their shingle sets, and alternating
    star steps join the true links to components (both shared with the n-gram join).
@@ -23,11 +23,13 @@ from opspark.llm.ngram_join import _batch, verified_components
 from opspark.session import cut_lineage
 
 #: Characters in a shingle; a shorter line is one shingle.
-SHINGLE = 5
+SHINGLE = 7
 BANDS, ROWS = 13, 5
 PERCENT = 80
 
 _BINS = BANDS * ROWS
+#: Bins that an empty bin asks in turn.
+_DONORS = np.random.default_rng(17).integers(0, _BINS, (48, _BINS))
 
 
 class Lines:
@@ -87,17 +89,26 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signature(hashes: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """One-permutation MinHash (lines, bins); an empty bin borrows from the next full one."""
+    """One-permutation MinHash (lines, bins); an empty bin borrows from a full one, drawn alike for all lines."""
     line = np.repeat(np.arange(len(many)), many)
     out = np.full(len(many) * _BINS, np.iinfo(np.uint64).max, np.uint64)
     np.minimum.at(out, line * _BINS + (hashes % np.uint64(_BINS)).astype(np.int64), hashes // np.uint64(_BINS))
-    out = out.reshape(len(many), _BINS)
-    full = out != np.iinfo(np.uint64).max
-    place = np.where(np.concatenate([full, full], 1), np.arange(2 * _BINS), 4 * _BINS)
-    nearest = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :_BINS]
-    got = np.take_along_axis(out, nearest % _BINS, 1)
-    # what is borrowed is marked with its distance, so that two lines agree in it only if both borrow alike
-    return mix(got + (nearest - np.arange(_BINS)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    full = (out != np.iinfo(np.uint64).max).reshape(len(many), _BINS)
+    donor = np.tile(np.arange(_BINS), len(many))
+    empty = np.flatnonzero(~full.ravel())
+    for draw in _DONORS:
+        if not len(empty):
+            break
+        row, drawn = empty // _BINS, draw[empty % _BINS]
+        got = full[row, drawn]
+        donor[empty[got]] = drawn[got]
+        empty = empty[~got]
+    if len(empty):  # few bins are full: the next one gives
+        row = empty // _BINS
+        place = np.where(np.concatenate([full, full], 1), np.arange(2 * _BINS), 4 * _BINS)
+        nearest = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :_BINS]
+        donor[empty] = nearest.ravel()[empty] % _BINS
+    return mix(np.take_along_axis(out.reshape(len(many), _BINS), donor.reshape(len(many), _BINS), 1))
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -93,7 +93,7 @@ def line_keys(text):
     return ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x.strip(" \t\r\v\f")) for x in (text or "").split("\n")]
 
 
-def kept_lines(rows, k=5, percent=80):
+def kept_lines(rows, k=7, percent=80):
     """{(doc_id, line): kept} by comparing all lines."""
     places = [(d, i, key) for d, t in rows for i, key in enumerate(line_keys(t))]
     sets = {key: {key[a : a + k] for a in range(max(1, len(key) - k + 1))} for _, _, key in places if key}

@@ -10,24 +10,24 @@ from opspark.functions.columns import digest_number, key_digest, poisson_weight,
 from opspark.operators.ranking import exact_quantiles, running_totals
 from opspark.session import small_rows
 
-#: Most classes for which a dense confusion matrix is laid out.
-MAX_CLASSES = 1000
-
-
 def confusion_cells(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows per (truth, prediction) pair: the only pass over the data."""
     return df.groupBy(*by, F.col(truth).alias("y"), F.col(predicted).alias("p")).agg(F.count("*").alias("rows"))
 
 
 def confusion_matrix(df: DataFrame, truth: str, predicted: str) -> DataFrame:
-    """Counts for every pair of labels seen on either side, zeros included."""
+    """Counts for every pair of labels seen on either side, zeros included; null is a label of its own.
+
+    The grid has a row per pair of labels by definition; it is laid out by Spark from the label table.
+    """
     cells = confusion_cells(df, truth, predicted)
-    rows = small_rows(cells.select("y").union(cells.select("p")).distinct(), MAX_CLASSES)
-    labels = sorted(r[0] for r in rows)
-    kind = cells.schema["y"].dataType.simpleString()
-    grid = df.sparkSession.createDataFrame([(v, labels) for v in labels], f"y {kind}, ps array<{kind}>")
-    grid = grid.select("y", F.explode("ps").alias("p"))
-    return grid.join(cells, ["y", "p"], "left").select("y", "p", F.coalesce("rows", F.lit(0)).alias("rows"))
+    labels = cells.select("y").union(cells.select("p")).distinct()
+    # every label meets the set of labels, which explodes in the tasks
+    grid = labels.withColumn("ps", labels.agg(F.collect_list(F.struct("y"))).scalar())
+    grid = grid.select("y", F.explode("ps").alias("q")).select("y", F.col("q.y").alias("p"))
+    cells = cells.select(F.col("y").alias("_y"), F.col("p").alias("_p"), "rows")
+    met = grid.join(cells, F.col("y").eqNullSafe(F.col("_y")) & F.col("p").eqNullSafe(F.col("_p")), "left")
+    return met.select("y", "p", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 def class_report(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
@@ -190,6 +190,8 @@ def bootstrap_regression(
     y, p = F.col(truth).cast("double"), F.col(predicted).cast("double")
     slim = df.select(key, y.alias("y"), ((y - p) * (y - p)).alias("e2"))
     w = F.col("w").cast("double")
+    # centred first: the spread of values far from zero is not lost in their squares
+    slim = slim.withColumn("y", F.col("y") - slim.agg(F.avg("y")).scalar())
     sums = _weighted_draws(slim, key, draws, seed).groupBy("draw").agg(
         F.sum(w).alias("n"), F.sum(w * F.col("e2")).alias("e"), F.sum(w * F.col("y")).alias("s"),
         F.sum(w * F.col("y") * F.col("y")).alias("q"))

@@ -187,40 +187,40 @@ def keep_varying(df: DataFrame, cols: Sequence[str], threshold: float = 0.01) ->
     return [c for c in cols if c in kept]
 
 
-def _class_sums(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
-    """Per class: rows and, per column, sum and sum of squares (partial sums before the shuffle)."""
-    aggs = [F.count("*").cast("double").alias("n")]
+def _class_moments(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+    """(feature, n, s, m, v) per class: values, their sum, mean and population variance.
+
+    Mean and variance are merged from partials by their stable form, so values far from zero lose no digits.
+    """
+    aggs = []
     for i, c in enumerate(cols):
         v = as_number(df, c)
-        aggs += [F.sum(v).alias(f"s{i}"), F.sum(v * v).alias(f"q{i}")]
-    return df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("y")).agg(*aggs)
-
-
-def _spread_columns(per_class: DataFrame, cols: Sequence[str], with_squares: bool) -> DataFrame:
-    items = [F.struct(F.lit(c).alias("feature"), F.col("n"), F.col(f"s{i}").alias("s"), F.col(f"q{i}").alias("q"))
-             for i, c in enumerate(cols)]
+        aggs += [F.count(v).cast("double").alias(f"n{i}"), F.sum(v).alias(f"s{i}"), F.avg(v).alias(f"m{i}"), F.var_pop(v).alias(f"v{i}")]
+    per_class = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("y")).agg(F.count("*").cast("double").alias("rows"), *aggs)
+    items = [F.struct(F.lit(c).alias("feature"), "rows", *(F.col(f"{k}{i}").alias(k) for k in "nsmv")) for i, c in enumerate(cols)]
     return per_class.select(F.explode(F.array(*items)).alias("r")).select("r.*")
 
 
 def chi_square_scores(df: DataFrame, cols: Sequence[str], label: str = "target") -> DataFrame:
     """Class sums of a feature against what the class shares predict."""
-    tall = _spread_columns(_class_sums(df, cols, label), cols, False)
-    # sum over classes of (s - e)^2 / e with e = S * n / N equals N/S * sum(s^2 / n) - S
-    return tall.groupBy("feature").agg(
-        F.sum(F.col("s") * F.col("s") / F.col("n")).alias("a"), F.sum("s").alias("t"), F.sum("n").alias("m")
-    ).select("feature", F.try_divide(F.col("m") * F.col("a"), F.col("t")).alias("_r"), "t").select(
-        "feature", (F.col("_r") - F.col("t")).alias("score"))
+    tall = _class_moments(df, cols, label).select("feature", "rows", "s")
+    total = tall.groupBy(F.col("feature").alias("_f")).agg(F.sum("s").alias("_s"), F.sum("rows").alias("_n"))
+    expected = F.col("_s") * F.col("rows") / F.col("_n")
+    gap = F.col("s") - expected
+    # one row per class and feature meets one row per feature
+    return tall.join(total, F.col("feature") == F.col("_f")).groupBy("feature").agg(F.sum(F.try_divide(gap * gap, expected)).alias("score"))
 
 
 def anova_scores(df: DataFrame, cols: Sequence[str], label: str = "target") -> DataFrame:
     """Between-class over within-class variance per feature."""
-    tall = _spread_columns(_class_sums(df, cols, label), cols, True)
-    t = tall.groupBy("feature").agg(
-        F.sum("n").alias("n"), F.count("*").alias("k"), F.sum("s").alias("s"), F.sum("q").alias("q"),
-        F.sum(F.col("s") * F.col("s") / F.col("n")).alias("a"))
-    between = (F.col("a") - F.col("s") * F.col("s") / F.col("n")) / (F.col("k") - 1)
-    within = (F.col("q") - F.col("a")) / (F.col("n") - F.col("k"))
-    return t.select("feature", F.try_divide(between, within).alias("score"))
+    tall = _class_moments(df, cols, label).where("n > 0")
+    total = tall.groupBy(F.col("feature").alias("_f")).agg((F.sum(F.col("m") * F.col("n")) / F.sum("n")).alias("_m"))
+    gap = F.col("m") - F.col("_m")
+    t = tall.join(total, F.col("feature") == F.col("_f")).groupBy("feature").agg(
+        F.sum("n").alias("n"), F.count("*").alias("k"), F.sum(F.col("n") * gap * gap).alias("between"),
+        F.sum(F.col("n") * F.col("v")).alias("within"))
+    return t.select("feature", F.try_divide(
+        F.col("between") / (F.col("k") - 1), F.try_divide(F.col("within"), F.col("n") - F.col("k"))).alias("score"))
 
 
 def regression_scores(df: DataFrame, cols: Sequence[str], label: str = "target") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -24,12 +25,12 @@ def lineage_edges(events: DataFrame, task: str = "task", run: str = "run_id", da
         F.when(reads, F.col(task)).otherwise(F.col(dataset)).alias("dst"), F.col(run).alias("run_id")).distinct()
 
 
-def closure(edges: DataFrame, roots: DataFrame | None = None, upstream: bool = False, max_depth: int = 100) -> DataFrame:
+def closure(edges: DataFrame, roots: DataFrame | None = None, upstream: bool = False) -> DataFrame:
     """Every node reachable from each root with its smallest depth, as ``(root, node, depth)``.
 
     Breadth first: each round joins only the newest nodes and drops pairs seen
-    before, so cycles end. Rounds are written to the shared checkpoint folder;
-    a graph deeper than ``max_depth`` raises instead of being cut short.
+    before, so cycles end. Rounds are written to the shared checkpoint folder
+    and end when one brings nothing new, however deep the graph is.
     """
     a, b = ("dst", "src") if upstream else ("src", "dst")
     # written once, so no round computes the edges again
@@ -38,15 +39,13 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, upstream: bool = F
     start = roots if roots is not None else links.select(F.col("_from").alias("root")).distinct()
     newest = start.select(F.col(start.columns[0]).alias("root")).distinct().select("root", F.col("root").alias("node"))
     rounds = [cut_lineage(newest.withColumn("depth", F.lit(0)))]
-    for depth in range(1, max_depth + 2):
+    for depth in count(1):
         step = rounds[-1].join(links, F.col("node") == F.col("_from")).select("root", F.col("_to").alias("node")).distinct()
         seen = reduce(DataFrame.unionByName, rounds).select("root", "node")
         fresh = step.join(seen, ["root", "node"], "left_anti").withColumn("depth", F.lit(depth))
         fresh = cut_lineage(fresh)
         if fresh.isEmpty():
             break
-        if depth > max_depth:
-            raise ValueError(f"lineage deeper than {max_depth}")
         rounds.append(fresh)
     return reduce(DataFrame.unionByName, rounds).where("depth > 0")
 

@@ -99,9 +99,9 @@ def vector_ratio(df: DataFrame, by: Sequence[str], top: Column, value: Column, o
 
 
 def share(df: DataFrame, by: str, value: str, out: str = "share") -> DataFrame:
-    """Each label's part of the whole (the window runs over one row per label)."""
+    """Each label's part of the whole."""
     sums = df.groupBy(by).agg(F.sum(value).cast("double").alias("_s"))
-    return sums.select(by, safe_ratio(F.col("_s"), F.sum("_s").over(W.partitionBy(F.lit(0)))).alias(out))
+    return sums.select(by, safe_ratio(F.col("_s"), sums.agg(F.sum("_s")).scalar()).alias(out))
 
 
 def bucket_counts(df: DataFrame, by: Sequence[str], value: str, bounds: Sequence[float]) -> DataFrame:
@@ -170,7 +170,7 @@ def above(df: DataFrame, value: str, threshold: float) -> DataFrame:
 def scenario_costs(df: DataFrame, scenario: str, hours: str, rate: str, baseline: str) -> DataFrame:
     """Monthly cost per scenario and the percentage saved against the baseline."""
     priced = df.select(scenario, hours, rate, (F.col(hours) * F.col(rate)).alias("monthly_cost"))
-    base = F.max(F.when(F.col(scenario) == baseline, F.col("monthly_cost"))).over(W.partitionBy(F.lit(0)))
+    base = priced.where(F.col(scenario) == baseline).agg(F.max("monthly_cost")).scalar()
     return priced.withColumn("savings_percent", F.try_divide((base - F.col("monthly_cost")) * 100, base))
 
 

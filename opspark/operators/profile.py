@@ -183,6 +183,17 @@ def schema_errors(df: DataFrame, expected: dict[str, str]) -> list[str]:
     return errors
 
 
+def schema_check(df: DataFrame, expected: dict[str, str]) -> DataFrame:
+    """One row per expected column that is missing or of another type family: ``column, expected, error``."""
+    kinds = {f.name: f.dataType for f in df.schema}
+
+    def fits(name: str, family: str) -> bool:
+        return isinstance(kinds[name], TYPE_FAMILIES[family]) if family in TYPE_FAMILIES else kinds[name].simpleString() == family
+
+    wrong = [(n, f, "type" if n in kinds else "missing") for n, f in expected.items() if n not in kinds or not fits(n, f)]
+    return df.sparkSession.createDataFrame(wrong, "column string, expected string, error string")
+
+
 def expectations(df: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
     """Not-null on every column and unique on the id columns, one row each.
 

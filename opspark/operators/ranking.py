@@ -17,13 +17,17 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from opspark.functions.columns import key_digest
 
 
-#: Most keys for which value cuts are made per key.
+#: Most keys whose value cuts are sent to all tasks.
 MAX_FEW_KEYS = 10_000
 
 
+#: Cuts between two coarse cuts, when a value is looked up among many.
+COARSE = 64
+
+
 def _bucket_count(df: DataFrame) -> int:
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(256, wanted))
+    """As many buckets as shuffle partitions, the number that is set for the size of the data."""
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def running_totals(
@@ -89,21 +93,31 @@ def _quantile_bucket(df: DataFrame, keys: list[str], order: str, few: int | None
     sketch = F.percentile_approx(number, probs, F.lit(max(1000, buckets * 10)))
     if not keys:
         # a scalar subquery: evaluated once, on the same shuffle as the rows
-        marked = df.withColumn("_edges", df.agg(sketch.alias("e")).scalar())
+        marked = df.withColumn("_edges", _two_levels(df.agg(sketch.alias("e"))).scalar())
         return _by_edges(marked, number, df.columns)
     if few is None:
         few = df.select(*keys).distinct().limit(MAX_FEW_KEYS + 1).count()
-    if few > MAX_FEW_KEYS:
-        raise ValueError("running totals without a bucket need few keys")
-    edges = df.groupBy(*[F.col(k).alias(f"_e_{k}") for k in keys]).agg(sketch.alias("_edges"))
+    edges = df.groupBy(*[F.col(k).alias(f"_e_{k}") for k in keys]).agg(sketch.alias("e"))
+    edges = _two_levels(edges, *[f"_e_{k}" for k in keys])
     on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in keys])
-    # one row per key, at most MAX_FEW_KEYS rows
-    return _by_edges(df.join(F.broadcast(edges), on, "left"), number, df.columns)
+    # one row per key: sent to all tasks while the keys are few, joined by shuffle beyond
+    return _by_edges(df.join(F.broadcast(edges) if few <= MAX_FEW_KEYS else edges, on, "left"), number, df.columns)
+
+
+def _two_levels(edges: DataFrame, *keys: str) -> DataFrame:
+    """The cuts ``e`` with every COARSE-th of them apart, as one struct ``_edges``."""
+    fine = F.coalesce(F.col("e").cast("array<double>"), F.array().cast("array<double>"))
+    coarse = F.filter(fine, lambda x, i: i % COARSE == COARSE - 1)
+    return edges.select(*keys, F.struct(fine.alias("fine"), coarse.alias("coarse")).alias("_edges"))
 
 
 def _by_edges(df: DataFrame, number: Column, columns) -> DataFrame:
-    edges = F.coalesce(F.col("_edges"), F.array().cast("array<double>"))
-    return df.withColumn("_bucket", F.size(F.filter(edges, lambda e: e < number))).select(*columns, "_bucket")
+    """Tag rows with the number of cuts below the value: coarse cuts first, then the cuts between two of them."""
+    # a key without cuts, or a null value, falls in the first bucket
+    skipped = F.coalesce(F.size(F.filter("_edges.coarse", lambda e: e < number)), F.lit(0)) * COARSE
+    met = F.filter(F.slice("_edges.fine", F.col("_skip") + 1, COARSE), lambda e: e < number)
+    found = F.when(F.col("_edges").isNull(), 0).otherwise(F.col("_skip") + F.size(met))
+    return df.withColumn("_skip", F.when(F.col("_edges").isNull(), 0).otherwise(skipped)).withColumn("_bucket", found).select(*columns, "_bucket")
 
 
 def _text_bucket(df: DataFrame, order: str, buckets: int, per_bucket: int = 20) -> DataFrame:

@@ -220,7 +220,7 @@ s AS (SELECT *, total_pass + total_fail + total_warn + total_info AS total_check
 SELECT *, CASE WHEN compliance_score >= 90 THEN 'COMPLIANT' WHEN compliance_score >= 70 THEN 'PARTIALLY COMPLIANT' ELSE 'NON-COMPLIANT' END AS status FROM s"""
 
 
-@query("compliance_by_host", "A36 D8 S18 X5 X12", f"WITH t AS ({TOTALS_SQL}), " + SCORE_SQL.format("host,", "GROUP BY host"))
+@query("compliance_by_host", "A36 D8 X5 X12", f"WITH t AS ({TOTALS_SQL}), " + SCORE_SQL.format("host,", "GROUP BY host"))
 def _(spark, sf):
     return po.compliance_score(totals(spark, sf), ["host"])
 

@@ -336,7 +336,7 @@ def _(spark, sf):
 
 # -- costs ------------------------------------------------------------------------
 
-@query("scenario_costs", "A37 S18", """
+@query("scenario_costs", "A37", """
 WITH c AS (SELECT event_type AS scenario, count(*) AS hours, round(avg(value), 2) AS rate FROM events GROUP BY 1),
 m AS (SELECT *, hours * rate AS monthly_cost FROM c)
 SELECT scenario, hours, rate, round(monthly_cost, 2) AS monthly_cost,
@@ -439,7 +439,7 @@ def _(spark, sf):
     return rounded(e.groupBy((F.col("k") % 10).alias("k")).agg(F.count("*").alias("rows"), F.sum("value").alias("total")))
 
 
-@query("path_and_version_stamps", "X4 S14 S17", """
+@query("path_and_version_stamps", "X4 S14", """
 SELECT o_orderkey, strftime(o_orderdate, '%Y/%m/%d') || '/' || o_orderkey || '.json' AS path,
   'v_' || strftime(o_orderdate, '%Y%m%d_%H%M%S') AS version FROM orders""")
 def _(spark, sf):

@@ -280,7 +280,7 @@ def _(spark, sf):
     return _imputed(spark, sf, "mean")
 
 
-@query("impute_median", "A5 S13", _impute_sql("quantile_cont(price, 0.5)"))
+@query("impute_median", "A5", _impute_sql("quantile_cont(price, 0.5)"))
 def _(spark, sf):
     return _imputed(spark, sf, "median")
 
@@ -336,7 +336,7 @@ def _(spark, sf):
     return pr.apply_outliers(df, pr.fit_outliers(df, "zscore", 1.5))
 
 
-@query("scale_standard", "A16 M1 S13", """
+@query("scale_standard", "A16 M1", """
 WITH s AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS d FROM orders)
 SELECT o_orderkey, round((o_totalprice - m) / d, 6) AS o_totalprice FROM orders, s""")
 def _(spark, sf):
@@ -422,7 +422,7 @@ def _(spark, sf):
     return project(li, sorted(numeric_columns(li, ["target"])))
 
 
-@query("prepared_orders", "A5 P8 A16 M2 S11 S12", f"""
+@query("prepared_orders", "A5 P8 A16 M2", f"""
 WITH t AS ({ORDER_GAPS_SQL}),
 m AS (SELECT priority AS v FROM t WHERE priority IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
 i AS (SELECT o_orderkey, o_orderstatus, coalesce(price, (SELECT quantile_cont(price, 0.5) FROM t)) AS price,

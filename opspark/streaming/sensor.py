@@ -29,7 +29,8 @@ def window_features(df: DataFrame, key: str = "sensor_id", ts: str = "event_time
     need the finished statistics. These are sums with map-side partials; they
     are then copied to ``salts`` parts and joined back to the readings, and the
     hits are counted with partials again. No task ever holds the values of a
-    window, whether on a batch or on a stream in append mode.
+    window, whether on a batch or on a stream in append mode. ``count`` is the number of readings with a value; rows
+    with a null key form windows of their own.
     """
     cut = df.select(F.window(ts, width).alias("w"), F.col(key), F.col(value).cast("double").alias("_v"), F.col(ts).alias("_t"))
     stats = cut.groupBy("w", key).agg(
@@ -37,7 +38,9 @@ def window_features(df: DataFrame, key: str = "sensor_id", ts: str = "event_time
         F.count("_v").alias("_n"))
     parts = stats.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     lines = cut.select("w", key, "_v", F.pmod(F.xxhash64("_v", "_t"), F.lit(salts)).cast("int").alias("_salt"))
-    both = lines.join(parts, ["w", key, "_salt"])
+    # a null key is a key: its windows are rows like all others
+    parts = parts.withColumnsRenamed({"w": "_w", key: "_key", "_salt": "_part"})
+    both = lines.join(parts, (F.col("w") == F.col("_w")) & F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_part")))
     far = F.abs(F.col("_v") - F.col("_a")) > F.lit(deviations) * F.col("_s")
     out = both.groupBy("w", key, "_a", "_l", "_h", "_s", "_n").agg(F.count_if(far).alias("_k"))
     return out.select(

@@ -1,5 +1,7 @@
 import math
 
+import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +117,11 @@ def test_recursive_elimination_keeps_the_signal(spark):
     df = spark.range(300).select((F.col("id") % 2).cast("double").alias("signal"), ((F.col("id") * 7919) % 101).cast("double").alias("noise"),
                                  ((F.col("id") * 31) % 17).cast("double").alias("more"), (F.col("id") % 2).cast("int").alias("target"))
     assert [c for c, _ in fe.recursive_elimination(df, ["noise", "signal", "more"], keep=1, trees=10)] == ["signal"]
+
+
+def test_anova_far_from_zero(spark):
+    rng = np.random.default_rng(8)
+    rows = [(float(v + 0.35 * (i % 2)), i % 2) for i, v in enumerate(rng.normal(size=1000))]
+    near = fe.anova_scores(spark.createDataFrame(rows, "x double, target int"), ["x"]).first().score
+    far = fe.anova_scores(spark.createDataFrame([(v + 1e9, y) for v, y in rows], "x double, target int"), ["x"]).first().score
+    assert near > 10 and math.isclose(near, far, rel_tol=1e-3)

@@ -82,3 +82,13 @@ def test_cutoffs_agree_with_ranks(spark):
     cuts = rank_cutoffs(df, "g", "id", 42, {"0": [1, 100], "1": [50, 660], "2": [0, 3]})
     assert cuts[("0", 0)][1] == ranked[("0", 1)] and cuts[("0", 1)][1] == ranked[("0", 100)]
     assert cuts[("1", 1)][1] == ranked[("1", 660)] and ("2", 0) not in cuts
+
+
+def test_many_cuts_are_found_in_two_levels(spark):
+    from opspark.operators import ranking as rk
+
+    edges = spark.createDataFrame([([float(i) for i in range(500)],)], "e array<double>")
+    values = spark.createDataFrame([(float(v),) for v in (-1, 0, 0.5, 63, 64, 64.5, 200.2, 499, 600)] + [(None,)], "v double")
+    marked = values.withColumn("_edges", rk._two_levels(edges).scalar())
+    got = {r.v: r._bucket for r in rk._by_edges(marked, F.col("v"), ["v"]).collect()}
+    assert got == {None: 0} | {v: sum(e < v for e in range(500)) for v in (-1.0, 0.0, 0.5, 63.0, 64.0, 64.5, 200.2, 499.0, 600.0)}

@@ -34,13 +34,18 @@ def nearest_means(
     if n == 0:
         return empty
     d = len(others)
-    per_axis = max(1, int(min(MAX_CELLS, math.ceil(n / cell_rows)) ** (1.0 / d)))
-    probs = [i / per_axis for i in range(1, per_axis)]
-    if probs:
-        row = donors.agg(*[F.percentile_approx(c, F.array(*map(F.lit, probs))).alias(c) for c in others]).first()
-        edges = {c: sorted(set(row[c] or [])) for c in others}
-    else:
-        edges = {c: [] for c in others}
+    wanted = min(MAX_CELLS, math.ceil(n / cell_rows))
+    per_axis, axes = int(wanted ** (1.0 / d)), list(others)
+    if per_axis < 2 <= wanted:
+        # too many coordinates to cut them all: the widest ones are halved
+        spread = donors.agg(*[F.stddev_pop(c).alias(c) for c in others]).first()
+        axes = sorted(others, key=lambda c: (-(spread[c] or 0.0), c))[: int(math.log2(wanted))]
+        per_axis = 2
+    edges: dict[str, list] = {c: [] for c in others}
+    if per_axis > 1:
+        probs = [i / per_axis for i in range(1, per_axis)]
+        row = donors.agg(*[F.percentile_approx(c, F.array(*map(F.lit, probs))).alias(c) for c in axes]).first()
+        edges |= {c: sorted(set(row[c] or [])) for c in axes}
 
     def axis(c):
         level = sum([F.when(F.col(c) > F.lit(e), 1).otherwise(0) for e in edges[c]], F.lit(0))

@@ -97,7 +97,10 @@ def knn_impute(
     base = df.select(F.col(key), *[as_number(df, c).alias(c) for c in cols])
     mean_of = {c: m[0] for c, m in moments(df, cols).items()}
     filled = df
+    gaps = base.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
     for target in cols:
+        if not gaps[target]:
+            continue
         others = [c for c in cols if c != target]
         near = nearest_means(base, key, target, others, len(cols), k, cell_rows)
         near = near.select(F.col("_key").alias("_near_key"), F.col("_fill"))

@@ -152,6 +152,27 @@ def test_knn_matches_full_search(spark, cell_rows):
     assert len(got) == 300
 
 
+def test_knn_over_many_coordinates(spark):
+    from opspark.operators import neighbours
+
+    rng = np.random.default_rng(6)
+    cols = [f"c{i}" for i in range(13)]
+    centres = rng.normal(size=(8, 13)) * 20
+    rows = []
+    for i in range(240):
+        values = (centres[i % 8] + rng.normal(size=13) * 0.1).tolist()
+        if i % 40 == 0:
+            values[0] = None
+        rows.append({"k": i, **dict(zip(cols, values))})
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "k int, " + ", ".join(f"{c} double" for c in cols))
+    want = knn_brute(rows, cols, 5)
+    got = {r.k: r for r in pr.knn_impute(df, "k", cols, 5, 20).collect()}
+    assert all(math.isclose(got[k][c], v, rel_tol=1e-9) for (k, c), v in want.items()) and want
+    # more coordinates than cuts for all of them: cells along the widest still part the groups
+    plan = neighbours.nearest_means(df, "k", "c0", cols[1:], 13, 5, 20)
+    assert plan.count() == 6
+
+
 def test_whole_preparation(sample, spark, folder):
     from opspark.sources.sinks import write_splits
 

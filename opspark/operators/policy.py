@@ -7,6 +7,7 @@ that resource alone, so an audit is one projection without a shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -91,20 +92,35 @@ def flatten_containers(df: DataFrame) -> DataFrame:
         "kind", "namespace", F.col("name").alias("resource"), "r.role", "r.c.name", "r.c.image")
 
 
-def in_scope(df: DataFrame, kinds: Sequence[str] = WORKLOAD_KINDS, excluded: Sequence[str] = SYSTEM_NAMESPACES) -> DataFrame:
-    """Resources of the matched kinds outside the excluded namespaces."""
-    return df.where(F.col("kind").isin(list(kinds)) & ~F.coalesce(
-        F.col("metadata.namespace").isin(list(excluded)), F.lit(False)))
+def scope(kinds: Sequence[str] = WORKLOAD_KINDS, excluded: Sequence[str] = SYSTEM_NAMESPACES) -> Column:
+    """Whether a resource is of a matched kind and outside the excluded namespaces."""
+    return F.col("kind").isin(list(kinds)) & ~F.coalesce(F.col("metadata.namespace").isin(list(excluded)), F.lit(False))
 
 
-def _violations(df: DataFrame, rule: str, messages: Sequence[Column], action: str) -> DataFrame:
-    texts = F.array_distinct(F.concat(*[F.coalesce(m, F.array().cast("array<string>")) for m in messages]))
+class Rule(NamedTuple):
+    """A rule as columns of a resource: where it holds, and the lists of its messages."""
+
+    name: str
+    action: str
+    applies: Column
+    messages: list[Column]
+
+
+def violations(df: DataFrame, *rules: Rule) -> DataFrame:
+    """All messages of the rules in one pass over the resources, equal ones of a resource once."""
+    def found(rule: Rule) -> Column:
+        texts = F.array_distinct(F.concat(*[F.coalesce(m, F.array().cast("array<string>")) for m in rule.messages]))
+        return F.when(F.coalesce(rule.applies, F.lit(False)), F.transform(
+            texts, lambda t: F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.action).alias("action"), t.alias("msg"))))
+
+    empty = F.array().cast("array<struct<rule:string,action:string,msg:string>>")
+    every = F.concat(*[F.coalesce(found(r), empty) for r in rules])
     return df.select(
         "kind", F.col("metadata.namespace").alias("namespace"), F.col("metadata.name").alias("resource"),
-        F.lit(rule).alias("rule"), F.lit(action).alias("action"), F.explode(texts).alias("msg"))
+        F.explode(every).alias("r")).select("kind", "namespace", "resource", "r.*")
 
 
-def deny_latest(df: DataFrame, exempt: Sequence[str] = EXEMPT_IMAGES, action: str = "deny") -> DataFrame:
+def latest_rule(exempt: Sequence[str] = EXEMPT_IMAGES, action: str = "deny") -> Rule:
     """``:latest`` images in any container list, unless an exempt text is part of the image name."""
     def found(place: Column, title: str) -> Column:
         def bad(c):
@@ -117,14 +133,19 @@ def deny_latest(df: DataFrame, exempt: Sequence[str] = EXEMPT_IMAGES, action: st
 
     kind = F.col("kind")
     template = F.col("spec.template.spec.containers")
-    return _violations(in_scope(df), "deny_latest", [
+    return Rule("deny_latest", action, scope(), [
         found(template, "Container"),
         found(F.col("spec.template.spec.initContainers"), "Init container"),
         F.when(kind == "Pod", found(F.col("spec.containers"), "Pod container")),
         F.when(kind == "Pod", found(F.col("spec.initContainers"), "Pod init container")),
         F.when(kind == "Job", found(template, "Job container")),
         F.when(kind == "CronJob", found(F.col("spec.jobTemplate.spec.template.spec.containers"), "CronJob container")),
-    ], action)
+    ])
+
+
+def deny_latest(df: DataFrame, *args, **options) -> DataFrame:
+    """The violations of ``latest_rule``."""
+    return violations(df, latest_rule(*args, **options))
 
 
 def _each(place: Column, messages) -> Column:
@@ -132,8 +153,8 @@ def _each(place: Column, messages) -> Column:
     return F.flatten(F.transform(place, lambda c: F.array_compact(F.array(*messages(c)))))
 
 
-def require_limits(df: DataFrame, requests: bool = True, ephemeral: bool = False,
-                   exempt: Sequence[str] = LIMIT_EXEMPT_CONTAINERS, action: str = "deny") -> DataFrame:
+def limits_rule(requests: bool = True, ephemeral: bool = False, exempt: Sequence[str] = LIMIT_EXEMPT_CONTAINERS,
+                action: str = "deny") -> Rule:
     """Missing resource limits, and requests unless switched off, of containers and init containers."""
     wanted = ["limits.cpu", "limits.memory"] + (["requests.cpu", "requests.memory"] if requests else [])
 
@@ -147,13 +168,17 @@ def require_limits(df: DataFrame, requests: bool = True, ephemeral: bool = False
         return messages
 
     main, init = containers("containers", scoped=True), containers("initContainers", scoped=True)
-    return _violations(in_scope(df), "require_limits", [
+    return Rule("require_limits", action, scope(), [
         _each(main, lacking("Container", wanted + (["limits.ephemeral-storage"] if ephemeral else []))),
-        _each(init, lacking("Init container", wanted))], action)
+        _each(init, lacking("Init container", wanted))])
 
 
-def block_public_balancer(df: DataFrame, allowed: Sequence[str] = PUBLIC_NAMESPACES, require_internal: bool = True,
-                          action: str = "deny") -> DataFrame:
+def require_limits(df: DataFrame, *args, **options) -> DataFrame:
+    """The violations of ``limits_rule``."""
+    return violations(df, limits_rule(*args, **options))
+
+
+def balancer_rule(allowed: Sequence[str] = PUBLIC_NAMESPACES, require_internal: bool = True, action: str = "deny") -> Rule:
     """Load balancers without an internal annotation outside the allowed namespaces."""
     def noted(name, value):
         return F.coalesce(F.try_element_at(F.col("metadata.annotations"), F.lit(name)) == value, F.lit(False))
@@ -163,13 +188,16 @@ def block_public_balancer(df: DataFrame, allowed: Sequence[str] = PUBLIC_NAMESPA
     space = F.col("metadata.namespace")
     bad = (F.lit(require_internal) & (F.col("spec.type") == "LoadBalancer") & ~internal
            & ~F.coalesce(space.isin(list(allowed)), F.lit(False)))
-    hit = in_scope(df, ["Service"], BALANCER_NAMESPACES).where(bad)
-    return _violations(hit, "block_public_lb", [
-        F.array(F.format_string(BALANCER_MESSAGE, F.col("metadata.name"), space))], action)
+    return Rule("block_public_lb", action, scope(["Service"], BALANCER_NAMESPACES) & bad, [
+        F.array(F.format_string(BALANCER_MESSAGE, F.col("metadata.name"), space))])
+
 
+def block_public_balancer(df: DataFrame, *args, **options) -> DataFrame:
+    """The violations of ``balancer_rule``."""
+    return violations(df, balancer_rule(*args, **options))
 
-def pod_security(df: DataFrame, level: str = "baseline", exempt: Sequence[str] = STANDARDS_EXEMPT_CONTAINERS,
-                 action: str = "deny") -> DataFrame:
+
+def security_rule(level: str = "baseline", exempt: Sequence[str] = STANDARDS_EXEMPT_CONTAINERS, action: str = "deny") -> Rule:
     """Security level of pods: nothing for privileged, the baseline rules, and the restricted ones on top."""
     if level not in ("privileged", "baseline", "restricted"):
         raise ValueError(f"unknown security level: {level}")
@@ -191,7 +219,7 @@ def pod_security(df: DataFrame, level: str = "baseline", exempt: Sequence[str] =
             yield told(c, s["privileged"], PRIVILEGED_MESSAGE, "Container")
             yield told(c, s["allowPrivilegeEscalation"], ESCALATION_MESSAGE)
             for cap in DANGEROUS_CAPABILITIES:
-                yield told(c, F.array_contains(s["capabilities"]["add"], cap), CAPABILITY_MESSAGE[:-3] + cap + "'")
+                yield told(c, F.array_contains(s["capabilities"]["add"], cap), cap.join(CAPABILITY_MESSAGE.rsplit("%s", 1)))
         if strict:
             yield told(c, unset(s["runAsNonRoot"]), NON_ROOT_MESSAGE, "Container")
             yield told(c, s["runAsUser"] == 0, ROOT_USER_MESSAGE)
@@ -220,16 +248,17 @@ def pod_security(df: DataFrame, level: str = "baseline", exempt: Sequence[str] =
             F.array_intersect(F.map_keys(v), banned), lambda t: F.format_string(VOLUME_MESSAGE, t)))))
     if not messages:
         messages = [F.array().cast("array<string>")]
-    return _violations(in_scope(df, excluded=STANDARDS_NAMESPACES), "pod_security", messages, action)
+    return Rule("pod_security", action, scope(excluded=STANDARDS_NAMESPACES), messages)
+
+
+def pod_security(df: DataFrame, *args, **options) -> DataFrame:
+    """The violations of ``security_rule``."""
+    return violations(df, security_rule(*args, **options))
 
 
 def audit(df: DataFrame, level: str = "baseline") -> DataFrame:
-    """Violations of every rule, equal rows once."""
-    parts = [deny_latest(df), require_limits(df), block_public_balancer(df), pod_security(df, level)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+    """Violations of every rule from one scan; equal rows, of resources that come twice, once."""
+    return violations(df, latest_rule(), limits_rule(), balancer_rule(), security_rule(level)).distinct()
 
 
 def compliance_score(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ unlabelled side holds more rarely than the prior explains are kept, by a correct
 on its own part of the sample, are averaged. The unlabelled side is drawn from all texts that may be learned from, positives
 included, so that the prior holds for it.
 
-The sample is bounded and chosen by digest; its features, not its texts, come to the driver. Scoring reads every whole text.
+The sample is bounded and chosen by digest; neither its texts nor all its features come to the driver. Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -22,8 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from opspark.llm.common import chunks, digits, mix, small_batches, span_hashes, table, texts_of, words
+from opspark.session import cut_lineage
 
-#: Bounds of the training sample, in texts.
+#: Bounds of the training sample, in texts. The digest of the id draws them, so the number drawn is off by a tenth at most
+#: beside chance; features are counted by Spark, and only the kept ones come to the driver.
 POSITIVES = 3000
 UNLABELLED = 9000
 
@@ -94,49 +96,60 @@ def _chosen(df: DataFrame, have: int, want: int) -> DataFrame:
     return df.withColumn("order", digits(F.lit("toxicity"), F.col("doc_id"))).where(F.col("order") < level)
 
 
-def _sample(chosen: DataFrame, want: int) -> list[np.ndarray]:
-    """Feature hashes of at most ``want`` of the texts (order, text)."""
+def _found(chosen: DataFrame, positive: bool) -> DataFrame:
+    """(order, positive, found): the features of the chosen texts (order, text)."""
     small_batches(chosen.sparkSession)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [f.tobytes() for _, f in features(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("order"), pa.array(found, pa.binary())], names=["order", "found"])
+            found = pa.array([f.view(np.int64) for _, f in features(b.column("text"))], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("order"), found], names=["order", "found"])
 
-    rows = chosen.select("order", "text").mapInArrow(extract, "order long, found binary").orderBy("order", "found").limit(want).collect()
-    return [np.frombuffer(r.found, np.uint64) for r in rows]
+    rows = chosen.select("order", "text").mapInArrow(extract, "order long, found array<long>")
+    return rows.select("order", F.lit(positive).alias("positive"), "found")
 
 
-def fit(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int = 7) -> Model:
-    """Train on lists of feature hashes. Without a positive or an unlabelled text the model says the prior."""
-    prior = min(max(prior, 1e-3), 0.5)
-    bias = float(np.log(prior / (1 - prior)))
-    if not positives or not unlabelled:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), bias)
-    keys, p_count = np.unique(np.concatenate(positives), return_counts=True)
-    p_rate = p_count / len(positives)
-    seen = np.zeros(len(keys))
-    for found in unlabelled:
-        at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-        seen[at[keys[at] == found]] += 1
+def _telling(sample: DataFrame, texts: dict[bool, int], prior: float) -> np.ndarray:
+    """The KEPT most telling features, as sorted hashes; counted by Spark, so only these come to the driver."""
+    counts = sample.select("positive", F.explode("found").alias("feature")).groupBy("feature").agg(
+        F.count_if(F.col("positive")).alias("p"), F.count_if(~F.col("positive")).alias("u"))
+    p_rate = F.col("p") / texts[True]
     # what the unlabelled side shows beyond the prior's share of positives is the negatives' rate
-    n_rate = np.maximum(seen / len(unlabelled) - prior * p_rate, 0) / (1 - prior)
+    n_rate = F.greatest(F.col("u") / texts[False] - prior * p_rate, F.lit(0.0)) / (1 - prior)
     ratio = (p_rate + 1e-4) / (n_rate + 1e-3)
-    gain = p_rate * np.log(ratio)
-    top = np.sort(np.argsort(-gain, kind="stable")[:KEPT])
-    top = top[(p_count[top] >= 3) & (ratio[top] >= LEAST_RATIO)]
-    keys = keys[top]
-    if not len(keys):
-        return Model(keys, np.zeros(0), bias)
+    best = counts.where((F.col("p") >= 3) & (ratio >= LEAST_RATIO)).orderBy((p_rate * F.log(ratio)).desc(), "feature").limit(KEPT)
+    return np.sort(np.array([r.feature for r in best.select("feature").collect()], np.int64).view(np.uint64))
+
+
+def _places(sample: DataFrame, keys: np.ndarray) -> dict[bool, list[list[int]]]:
+    """For each text of either side the places of the kept features that it shows."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for row in b.column("found"):
+                found = row.values.to_numpy().view(np.uint64)
+                at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+                out.append(at[keys[at] == found])
+            yield pa.RecordBatch.from_arrays([b.column("order"), b.column("positive"), pa.array(out, pa.list_(pa.int64()))], names=["order", "positive", "at"])
 
-    def matrix(rows: list[np.ndarray]) -> np.ndarray:
+    sides: dict[bool, list[list[int]]] = {True: [], False: []}
+    for r in sample.mapInArrow(place, "order long, positive boolean, at array<long>").orderBy("order", "at").collect():
+        sides[r.positive].append(r.at)
+    return sides
+
+
+def fit(sides: dict[bool, list[list[int]]], keys: np.ndarray, prior: float, seed: int = 7) -> Model:
+    """Train on the places of the features that the texts of both sides show."""
+
+    def matrix(rows: list[list[int]]) -> np.ndarray:
         out = np.zeros((len(rows), len(keys)), np.float32)
-        for i, found in enumerate(rows):
-            at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-            out[i, at[keys[at] == found]] = 1
+        for i, at in enumerate(rows):
+            out[i, at] = 1
         return out
 
-    p, u = matrix(positives), matrix(unlabelled)
+    p, u = matrix(sides[True]), matrix(sides[False])
+    bias = float(np.log(prior / (1 - prior)))
     weights = np.zeros(len(keys))
     for m in range(MODELS):
         rng = np.random.default_rng(seed + m)
@@ -172,7 +185,8 @@ def nn_pu(p: np.ndarray, u: np.ndarray, prior: float, bias: float, steps: int =
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the labels that may be learned: toxic = 1 is a confirmed positive, all other texts are unlabelled.
 
-    The class prior is the positive share of those labels. Null labels count as no label; of repeated labels the largest holds.
+    The class prior is the positive share of those labels. Without a positive or an unlabelled text, and where no feature
+    tells them apart, the model says the prior. Null labels count as no label; of repeated labels the largest holds.
     """
     labels = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -180,10 +194,16 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     toxic_ids = labels.where("toxic = 1").select("doc_id")
     texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
     # so few ids, bounded by the sample, that no text need be shuffled to meet them
-    toxic_ids = F.broadcast(_chosen(toxic_ids, toxic or 0, POSITIVES).withColumnRenamed("doc_id", "toxic_id"))
-    positives = _sample(texts.join(toxic_ids, F.col("doc_id") == F.col("toxic_id")), POSITIVES)
-    unlabelled = _sample(_chosen(texts, texts.select("doc_id").count(), UNLABELLED), UNLABELLED)
-    return fit(positives, unlabelled, (toxic or 0) / known if known else 0.1)
+    toxic_ids = F.broadcast(_chosen(toxic_ids, toxic or 0, POSITIVES).select(F.col("doc_id").alias("toxic_id")))
+    positives = _found(_chosen(texts.join(toxic_ids, F.col("doc_id") == F.col("toxic_id")), 0, 1), True)
+    unlabelled = _found(_chosen(texts, texts.select("doc_id").count(), UNLABELLED), False)
+    sample = cut_lineage(positives.unionByName(unlabelled))
+    prior = min(max((toxic or 0) / known if known else 0.1, 1e-3), 0.5)
+    counts = {True: 0, False: 0} | {r.positive: r["count"] for r in sample.groupBy("positive").count().collect()}
+    keys = _telling(sample, counts, prior) if all(counts.values()) else np.zeros(0, np.uint64)
+    if not len(keys):
+        return Model(keys, np.zeros(0), float(np.log(prior / (1 - prior))))
+    return fit(_places(sample, keys), keys, prior)
 
 
 def score(spark: SparkSession, text: Column, model: Model) -> Column:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from opspark.session import cut_lineage
 
-#: Rows in an Arrow batch, so that long texts do not pile up in a Python worker.
-BATCH_ROWS = 256
+#: Bounds of an Arrow batch: rows, and bytes, so that long texts do not pile up in a Python worker.
+BATCH_ROWS = 10_000
+BATCH_BYTES = 4 << 20
 
 #: Bytes of text that the array code handles at once; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
@@ -23,8 +24,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch for the session."""
+    """Bound the Arrow batches of the session by rows and by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def digits(*values: Column, width: int = 12) -> Column:

@@ -52,6 +52,7 @@ class Lines:
         padded = np.append(solid, n)
         self.start = np.where(self.blank, starts, padded[left])
         self.end = np.where(self.blank, starts, padded[np.maximum(right - 1, 0)] + 1)
+        self.letters = letters
         lower = np.where((letters >= 65) & (letters <= 90), letters + 32, letters).astype(np.uint64)
         self.running = np.zeros(n + 1, np.uint64)
         np.cumsum(mix(lower + np.uint64(0x51ED27)) * _powers(_BASE, "up", n), out=self.running[1:], dtype=np.uint64)
@@ -149,15 +150,26 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch({"a": edges[:, 0], "b": edges[:, 1]})
 
 
-def _line_sets(column: pa.Array, wanted) -> Iterator[tuple[int, np.ndarray]]:
+def _line_texts(column: pa.Array, wanted) -> Iterator[tuple[int, bytes]]:
+    """(class, trimmed line): a text is an eighth of the hashes of its shingles."""
     for _, lines in _chunked(column):
         names, first = np.unique(lines.names(), return_index=True)
-        first = np.array([i for n, i in zip(names.tolist(), first.tolist()) if not lines.blank[i] and wanted(n)], np.int64)
-        if len(first):
-            hashes, many = lines.shingles(first)
-            at = np.concatenate([[0], np.cumsum(many)])
-            for i, name in enumerate(lines.names()[first].tolist()):
-                yield name, np.unique(hashes[at[i] : at[i + 1]])
+        for name, i in zip(names.tolist(), first.tolist()):
+            if not lines.blank[i] and wanted(name):
+                yield name, lines.letters[lines.start[i] : lines.end[i]].tobytes().decode("utf-32-le").encode()
+
+
+def line_sets(payloads: list[bytes]) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of lines."""
+    out = []
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in payloads])])
+    data = np.frombuffer(b"".join(payloads), np.uint8)
+    for start, stop in chunks(offsets):
+        part = offsets[start : stop + 1]
+        hashes, many = (lines := Lines(data[part[0] : part[-1]], part - part[0])).shingles(np.arange(stop - start))
+        at = np.concatenate([[0], np.cumsum(many)])
+        out += [np.unique(hashes[at[i] : at[i + 1]]) for i in range(len(lines.row))]
+    return out
 
 
 def fuzzy_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -177,7 +189,7 @@ def fuzzy_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line")
     classes = lines.where("class is not null").groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"))
     classes = cut_lineage(classes)
-    joined = verified_components(met, classes.select("class", "n"), texts.select("text"), _line_sets, percent)
+    joined = verified_components(met, classes.select("class", "n"), texts.select("text"), _line_texts, percent, line_sets)
     classes = classes.join(joined, "class", "left").where("copies > 1 or root is not null").withColumn("root", F.coalesce("root", "class"))
     classes = cut_lineage(classes)
     roots = classes.groupBy("root").agg(F.min("first").alias("stays"))

@@ -152,7 +152,7 @@ def _wanted(sets_of, bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         for name, found in sets_of(b.column("text"), lambda n: have[n % BITS] and n not in seen):
             seen.add(name)
             names.append(name)
-            sets.append(found.tobytes())
+            sets.append(found)
             if len(sets) >= 1024:
                 yield _batch({"class": np.array(names), "found": pa.array(sets, pa.binary())})
                 names, sets = [], []
@@ -163,7 +163,12 @@ def _wanted(sets_of, bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
 def _text_sets(k: int, column: pa.Array, wanted) -> Iterator[tuple[int, np.ndarray]]:
     for _, found in shingle_sets(column, k):
         if len(found) and wanted(name := _digest(found)):
-            yield name, found
+            yield name, found.tobytes()
+
+
+def hash_sets(payloads: list[bytes]) -> list[np.ndarray]:
+    """The sets that ``_text_sets`` sent."""
+    return [np.frombuffer(p, np.uint64) for p in payloads]
 
 
 def linked(sets: list[np.ndarray], percent: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -218,11 +223,11 @@ def _spanning(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
     return [(find(i), i) for i in range(n) if find(i) != i]
 
 
-def _verify(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(percent: int, decode, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning links of each group of candidates, from rows sorted by (group, low, high)."""
 
     def out(rows: list[tuple]) -> pa.RecordBatch | None:
-        names, sets, block = [r[3] for r in rows], [np.frombuffer(r[4], np.uint64) for r in rows], np.array([r[5] for r in rows])
+        names, sets, block = [r[3] for r in rows], decode([r[4] for r in rows]), np.array([r[5] for r in rows])
         edges = _spanning(linked(sets, percent, block == rows[0][1], block == rows[0][2]), len(rows))
         return _batch({"a": np.array([names[i] for i, _ in edges]), "b": np.array([names[j] for _, j in edges])}) if edges else None
 
@@ -238,11 +243,11 @@ def _verify(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         yield got
 
 
-def verified_components(met: DataFrame, sizes: DataFrame, texts: DataFrame, sets_of, percent: int) -> DataFrame:
+def verified_components(met: DataFrame, sizes: DataFrame, texts: DataFrame, sets_of, percent: int, decode=hash_sets) -> DataFrame:
     """(class, root) of every class that is truly linked to another.
 
-    ``met`` has candidate edges (a, b), ``sizes`` (class, n), and ``sets_of(text column, wanted)`` gives (class, sorted
-    distinct hashes) from ``texts`` (text) for the classes that ``wanted`` lets through.
+    ``met`` has candidate edges (a, b), ``sizes`` (class, n), and ``sets_of(text column, wanted)`` gives (class, bytes)
+    from ``texts`` (text) for the classes that ``wanted`` lets through. ``decode`` makes sorted distinct hashes of such bytes.
     """
     spark = met.sparkSession
     candidates = components(met).select(F.col("node").alias("class"), F.col("component").alias("group"))
@@ -261,7 +266,7 @@ def verified_components(met: DataFrame, sizes: DataFrame, texts: DataFrame, sets
         .select("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "class", "found", "block")
     )
     key = ["group", "low", "high"]
-    links = meets.repartition(*key).sortWithinPartitions(*key).mapInArrow(partial(_verify, percent), "a long, b long")
+    links = meets.repartition(*key).sortWithinPartitions(*key).mapInArrow(partial(_verify, percent, decode), "a long, b long")
     return components(links).select(F.col("node").alias("class"), F.col("component").alias("root"))
 
 

@@ -72,7 +72,6 @@ def test_lines_odd_rows(odd, empty):
 
 def test_minhash_recall():
     import numpy as np
-    import pyarrow as pa
 
     rng = np.random.default_rng(3)
     letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
@@ -81,7 +80,7 @@ def test_minhash_recall():
         a = rng.choice(letters, 200)
         b = a.copy()
         b[rng.choice(200, 3, replace=False)] = "é"
-        sets = [np.unique(x) for _, x in lines._line_sets(pa.array(["x" + "".join(a) + "x", "x" + "".join(b) + "x"]), lambda n: True)]
+        sets = lines.line_sets([("x" + "".join(v) + "x").encode() for v in (a, b)])
         got = [set(r) for r in _bands_of(["x" + "".join(a) + "x", "x" + "".join(b) + "x"])]
         assert len(np.intersect1d(*sets)) / len(np.union1d(*sets)) >= 0.8
         met += bool(got[0] & got[1])

@@ -28,6 +28,9 @@ BANDS, ROWS = 13, 5
 PERCENT = 80
 
 _BINS = BANDS * ROWS
+#: The value of each letter of the basic plane; A-Z count as a-z.
+_LETTER = mix(np.arange(1 << 16, dtype=np.uint64) + np.uint64(0x51ED27))
+_LETTER[65:91] = _LETTER[97:123]
 #: Bins that an empty bin asks in turn.
 _DONORS = np.random.default_rng(17).integers(0, _BINS, (48, _BINS))
 
@@ -53,9 +56,11 @@ class Lines:
         self.start = np.where(self.blank, starts, padded[left])
         self.end = np.where(self.blank, starts, padded[np.maximum(right - 1, 0)] + 1)
         self.letters = letters
-        lower = np.where((letters >= 65) & (letters <= 90), letters + 32, letters).astype(np.uint64)
+        value = _LETTER[np.minimum(letters, len(_LETTER) - 1)]
+        far = np.flatnonzero(letters >= len(_LETTER))
+        value[far] = mix(letters[far].astype(np.uint64) + np.uint64(0x51ED27))
         self.running = np.zeros(n + 1, np.uint64)
-        np.cumsum(mix(lower + np.uint64(0x51ED27)) * _powers(_BASE, "up", n), out=self.running[1:], dtype=np.uint64)
+        np.cumsum(value * _powers(_BASE, "up", n), out=self.running[1:], dtype=np.uint64)
         self.down = _powers(_BASE_INVERSE, "down", n + 1)
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -69,7 +74,14 @@ class Lines:
         length = self.end[which] - self.start[which]
         many = np.maximum(length - SHINGLE + 1, 1)
         at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.start[which], many)
-        return self.hashes(at, np.minimum(at + SHINGLE, np.repeat(self.end[which], many))), many
+        if len(self.letters) < SHINGLE:
+            return self.hashes(self.start[which], self.end[which]), many
+        # all places of the chunk at once, by whole arrays; lines of one short shingle apart
+        every = mix((self.running[SHINGLE:] - self.running[:-SHINGLE]) * self.down[: len(self.letters) - SHINGLE + 1])
+        got = every[np.minimum(at, len(every) - 1)]
+        short = np.flatnonzero(length < SHINGLE)
+        got[(np.cumsum(many) - many)[short]] = self.hashes(self.start[which][short], self.end[which][short])
+        return got, many
 
 
 def _chunked(column: pa.Array) -> Iterator[tuple[int, Lines]]:
@@ -93,7 +105,9 @@ def signature(hashes: np.ndarray, many: np.ndarray) -> np.ndarray:
     """One-permutation MinHash (lines, bins); an empty bin borrows from a full one, drawn alike for all lines."""
     line = np.repeat(np.arange(len(many)), many)
     out = np.full(len(many) * _BINS, np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(out, line * _BINS + (hashes % np.uint64(_BINS)).astype(np.int64), hashes // np.uint64(_BINS))
+    # the upper half of a hash gives the bin, the lower half the value
+    bins = ((hashes >> np.uint64(32)) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64)
+    np.minimum.at(out, line * _BINS + bins, hashes & np.uint64(0xFFFFFFFF))
     full = (out != np.iinfo(np.uint64).max).reshape(len(many), _BINS)
     donor = np.tile(np.arange(_BINS), len(many))
     empty = np.flatnonzero(~full.ravel())

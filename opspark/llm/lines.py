@@ -23,7 +23,7 @@ from opspark.llm.ngram_join import _batch, verified_components
 from opspark.session import cut_lineage
 
 #: Characters in a shingle; a shorter line is one shingle.
-SHINGLE = 7
+SHINGLE = 5
 BANDS, ROWS = 13, 5
 PERCENT = 80
 

@@ -79,7 +79,7 @@ def test_minhash_recall():
     for _ in range(200):
         a = rng.choice(letters, 200)
         b = a.copy()
-        b[rng.choice(200, 3, replace=False)] = "é"
+        b[rng.choice(200, 4, replace=False)] = "é"
         sets = lines.line_sets([("x" + "".join(v) + "x").encode() for v in (a, b)])
         got = [set(r) for r in _bands_of(["x" + "".join(a) + "x", "x" + "".join(b) + "x"])]
         assert len(np.intersect1d(*sets)) / len(np.union1d(*sets)) >= 0.8
@@ -87,6 +87,14 @@ def test_minhash_recall():
     assert met >= 190
 
 
+def test_one_typo_in_a_line_of_sixty_characters(spark):
+    line = "sphinx of black quartz judge my vow and pack five dozen jugs"
+    assert len(line) == 60
+    df = spark.createDataFrame([(1, line), (2, line.replace("judge", "jadge"))], "doc_id long, text string")
+    # 51 of 61 shingles of five characters are shared
+    assert {r.doc_id: r.kept for r in lines.fuzzy_lines(df).collect()} == {1: True, 2: False}
+
+
 def _bands_of(texts):
     import pyarrow as pa
 

@@ -1,8 +1,9 @@
 """Benchmark decontamination by SimHash over item-sized windows (DataFrame operations only).
 
-Windows of a text have the length of the benchmark item that they are held against. A window that is similar enough shares a shingle
-with its item, so windows are placed where a shingle of a text and the same shingle of an item fall on each other; texts
-without one have no window. A window's SimHash takes the majority of its shingles' hash bits, each as often as it
+Windows of a text have the length of the benchmark item that they are held against. A window that is similar enough shares most
+shingles with its item, so all starts are taken from which enough places of the text hold a shingle of an item of that length;
+texts without one have no window. Starts before the least place where a shingle of the text and of an item fall on each
+other, or after the greatest, are left out: moving the window there loses no common shingle. A window's SimHash takes the majority of its shingles' hash bits, each as often as it
 occurs. Fingerprints of windows and items of one length are joined on equal blocks: with one block more than the radius,
 any two fingerprints within the radius agree in a block, so the join finds all of them, and a pair counts only in the first
 block that agrees. The weighted Jaccard similarity of both shingle bags then decides exactly.
@@ -84,6 +85,20 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return cut_lineage(items.withColumn("print", bound(F.col("bag"), simhash)))
 
 
+def _starts(many: Column, percent: int) -> Column:
+    """Starts from low to high of the windows of ``many`` shingles in which enough of the sorted ``places`` lie."""
+    places = F.col("places")
+    need = F.greatest(F.lit(1), F.ceil((F.least(many, F.col("n")) + many) * percent / (100 + percent) - 1e-9).cast("int"))
+
+    def run(i: Column) -> Column:
+        # place i is the first one in the window, and the last one needed still lies in it
+        first = F.greatest(F.col("low"), F.coalesce(F.get(places, i - 1) + 1, F.lit(0)), F.get(places, i + need - 1) - many + 1)
+        last = F.least(F.col("high"), F.get(places, i))
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+    return F.when(F.size(places) >= need, F.flatten(F.transform(F.sequence(F.lit(0), F.size(places) - need), run))).otherwise(F.array().cast("array<int>"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, item_id, start, similarity): the best window of each text for each item that it holds.
 
@@ -95,18 +110,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT)
     widths = [r[0] for r in items.select(F.least("words", F.lit(SHINGLE))).distinct().collect()]  # SHINGLE values at most
     anchors = items.select("words", F.posexplode("bag").alias("at", "shingle")).distinct()
     anchors = bounded_broadcast(anchors.select("shingle", F.col("words").alias("size"), "at"))
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
     windows = None
     for width in sorted(widths):
-        bag = bound(word_hashes(docs["text"]), lambda h: shingles(h, width))
-        own = docs.select("doc_id", bag.alias("bag")).select("doc_id", "bag", F.posexplode("bag").alias("place", "found"))
-        start = F.greatest(F.lit(0), F.least(F.col("place") - F.col("at"), F.size("bag") + width - 1 - F.col("size")))
+        bag = bound(word_hashes(F.col("text")), lambda h: shingles(h, width))
+        own = keyed.select("row_key", bag.alias("bag")).select("row_key", F.size("bag").alias("n"), F.posexplode("bag").alias("place", "found"))
+        start = F.greatest(F.lit(0), F.least(F.col("place") - F.col("at"), F.col("n") + width - 1 - F.col("size")))
         met = own.join(anchors.where(F.least("size", F.lit(SHINGLE)) == width), F.col("found") == F.col("shingle"))
-        met = met.withColumn("start", start).select("doc_id", "size", "start", F.slice("bag", F.col("start") + 1, F.col("size") - width + 1).alias("window"))
+        met = met.withColumn("start", start).groupBy("row_key", "size").agg(
+            F.max("n").alias("n"), F.min("start").alias("low"), F.max("start").alias("high"), F.sort_array(F.collect_set("place")).alias("places"))
+        starts = met.select(F.col("row_key").alias("of"), "size", _starts(F.col("size") - width + 1, percent).alias("starts"))
+        starts = bounded_broadcast(cut_lineage(starts.where(F.size("starts") > 0)))
+        met = keyed.join(starts, F.col("row_key") == F.col("of")).select("doc_id", "size", bag.alias("bag"), "starts")
+        met = met.select("doc_id", "size", "bag", F.explode("starts").alias("start"))
+        met = met.select("doc_id", "size", "start", F.slice("bag", F.col("start") + 1, F.col("size") - width + 1).alias("window"))
         windows = met if windows is None else windows.unionByName(met)
     if windows is None:
         return docs.sparkSession.createDataFrame([], f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {dict(benchmark.dtypes)['item_id']}, start int, similarity double")
-    # one row a window: anchors of one passage agree on it, and are brought together before the shuffle
-    windows = windows.groupBy("doc_id", "size", "start", "window").agg(F.count("*").alias("anchors"))
+    # one row a window, also where rows repeat
+    windows = windows.distinct()
     windows = cut_lineage(windows.withColumn("window_print", bound(F.col("window"), simhash)))
     keys = items.select("item_id", "words", "bag", "print", F.posexplode(_blocks(F.col("print"))).alias("block", "value"))
     looked = windows.select("*", F.posexplode(_blocks(F.col("window_print"))).alias("own_block", "own_value"))

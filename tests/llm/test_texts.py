@@ -216,6 +216,16 @@ def test_leaks_odd_cases(spark, odd, empty):
     assert decontaminate.contaminated(odd, items.limit(0)).collect() == []
 
 
+def test_leaks_between_aligned_starts(spark):
+    words = [f"w{i}" for i in range(300)]
+    swapped = words[150:] + words[:150]
+    held = [f"a{i}" for i in range(40)] + words[13:150] + [f"x{i}" for i in range(24)] + words[150:287] + [f"b{i}" for i in range(40)]
+    rows, items = [(1, " ".join(held)), (2, " ".join(["y"] * 9 + swapped + ["z"] * 9))], [(1, " ".join(words))]
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute.leaks(rows, items) and set(got) == {(1, 1), (2, 1)}
+
+
 def test_close_prints_agree_in_a_block():
     assert sum(w for _, w in decontaminate._CUTS) == 64 and len(decontaminate._CUTS) == decontaminate.RADIUS + 1
 

@@ -16,6 +16,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from opspark.llm.common import _BASE, _BASE_INVERSE, _powers, chunks, mix, small_batches, table, texts_of
@@ -92,13 +93,16 @@ def _chunked(column: pa.Array) -> Iterator[tuple[int, Lines]]:
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, line, class, n) of each line; class is null for a blank one."""
+    """(doc_id, line, class, n, row) of each line; class is null for a blank one, row is a number of the text's own."""
+    base = TaskContext.get().partitionId() << 40
     for b in batches:
         ids = b.column("doc_id")
         for start, lines in _chunked(b.column("text")):
             yield _batch({
                 "doc_id": ids.take(pa.array(lines.row + start)), "line": pa.array(lines.number, pa.int32()),
-                "class": pa.array(lines.names(), pa.int64(), mask=lines.blank), "n": pa.array(lines.end - lines.start, pa.int64())})
+                "class": pa.array(lines.names(), pa.int64(), mask=lines.blank), "n": pa.array(lines.end - lines.start, pa.int64()),
+                "row": pa.array(lines.row + (base + start), pa.int64())})
+        base += len(ids)
 
 
 def signature(hashes: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -187,7 +191,9 @@ def line_sets(payloads: list[bytes]) -> list[np.ndarray]:
 
 
 def fuzzy_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, line, class, kept, component) for every line of (doc_id, text); lines end at a line feed.
+    """(doc_id, line, class, kept, component, row) for every line of (doc_id, text); lines end at a line feed.
+
+    ``row`` tells input rows apart, also those with null or repeated ids.
 
     Null counts as an empty text, which has one blank line. Blank lines are compared with nothing and kept; their class and
     component are null. Of a component the occurrence with the smallest (doc_id, line) is kept, null ids last; rows of a
@@ -195,7 +201,7 @@ def fuzzy_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    lines = cut_lineage(texts.mapInArrow(_occurrences, "doc_id long, line int, class long, n long"))
+    lines = cut_lineage(texts.mapInArrow(_occurrences, "doc_id long, line int, class long, n long, row long"))
     met = (
         texts.select("text").mapInArrow(_bands, "band long, class long")
         .repartition("band").sortWithinPartitions("band", "class").mapInArrow(_heads, "a long, b long")
@@ -210,7 +216,7 @@ def fuzzy_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = cut_lineage(classes.join(cut_lineage(roots), "root").select(F.col("class").alias("named"), "root", "stays"))
     return lines.join(named, F.col("class") == F.col("named"), "left").select(
         "doc_id", "line", "class", F.coalesce(F.col("stays").eqNullSafe(place) | F.col("named").isNull(), F.lit(True)).alias("kept"),
-        F.coalesce("root", "class").alias("component"))
+        F.coalesce("root", "class").alias("component"), "row")
 
 
 def kept_text(docs: DataFrame, decided: DataFrame) -> DataFrame:
@@ -224,6 +230,6 @@ def kept_text(docs: DataFrame, decided: DataFrame) -> DataFrame:
 def op2_fuzzy_lines(spark, folder: str) -> DataFrame:
     """Lines of each document, and the numbers of those that go because a line like them stays elsewhere."""
     decided = fuzzy_lines(table(spark, folder, "documents"))
-    return decided.groupBy("doc_id").agg(
+    return decided.groupBy("doc_id", "row").agg(
         F.count("*").alias("n_lines"), F.sum(F.col("kept").cast("long")).alias("n_kept"),
-        F.sort_array(F.collect_list(F.when(~F.col("kept"), F.col("line")))).alias("dropped"))
+        F.sort_array(F.collect_list(F.when(~F.col("kept"), F.col("line")))).alias("dropped")).drop("row")

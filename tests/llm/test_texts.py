@@ -95,6 +95,14 @@ def test_one_typo_in_a_line_of_sixty_characters(spark):
     assert {r.doc_id: r.kept for r in lines.fuzzy_lines(df).collect()} == {1: True, 2: False}
 
 
+def test_lines_of_null_and_repeated_ids_stay_apart(spark, folder):
+    a, b = "a line that stands in two of the texts given here", "another line, which stands in one of them"
+    rows = [(1, a), (None, f"{b}\n{a}"), (None, f"x\ny\n{a}"), (3, "left"), (3, f"{a}\nright\n")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = [(r.doc_id, r.n_lines, r.n_kept, tuple(r.dropped)) for r in lines.op2_fuzzy_lines(spark, folder).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1, 1, ()), (None, 2, 1, (1,)), (None, 3, 2, (2,)), (3, 1, 1, ()), (3, 3, 2, (0,))], key=str)
+
+
 def _bands_of(texts):
     import pyarrow as pa
 

@@ -1,8 +1,8 @@
 """The corpus pipeline: stages over documents, each written as Parquet and reread as the next one's input.
 
 Every stage reads all that its predecessor kept and returns the columns of documents as it got them, extra ones included; the
-last adds ``shard`` and ``slot``. Rows that share a doc_id are one document, and stay or go together; a row with a null
-doc_id can't be named by a decision on ids, and stays in the stages that decide by id. An empty table passes through.
+last adds ``shard`` and ``slot``. Rows with null or repeated doc_ids are documents of their own: near-duplicate and
+decontamination decisions go by a digest of the text. An empty table passes through.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opspark.llm import decontaminate, mixing, ngram_join, sharding, toxicity
 from opspark.llm.common import table, word_count
-from opspark.session import bounded_broadcast, shared_folder
+from opspark.session import bounded_broadcast, cut_lineage, shared_folder
 
 
 def _fresh(columns: list[str], name: str) -> str:
@@ -24,11 +24,6 @@ def _fresh(columns: list[str], name: str) -> str:
     return name
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not among (gone)."""
-    return docs.join(bounded_broadcast(ids), docs["doc_id"] == ids["gone"], "left_anti")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents with a score of 0.3 or more go. Null and empty texts have the base rate and stay."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -36,15 +31,35 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: of documents linked by five-word shingles at a similarity of 0.8, the smallest doc_id stays."""
-    groups = ngram_join.similar_groups(docs.select("doc_id", "text"), k=5, percent=80)
-    return _without(docs, groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct())
+    """Operator 9: of documents linked by five-word shingles at a similarity of 0.8, one with the smallest doc_id stays.
+
+    Null ids come last. Of rows with that doc_id the text with the smallest digest stays, and one row of it. Texts
+    without words link with nothing and stay.
+    """
+    digest = F.xxhash64("text")
+    groups = ngram_join.similar_groups(docs.select(digest.alias("doc_id"), "text"), k=5, percent=80).where("n_shingles > 0")
+    texts = cut_lineage(groups.groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count("*").alias("copies")))
+    large = texts.groupBy("component").agg(F.sum("copies").alias("rows")).where("rows > 1").select("component")
+    members = bounded_broadcast(cut_lineage(texts.join(large, "component").select(F.col("doc_id").alias("of"), "component")))
+    # rows of a large component, by (doc_id, text)
+    rows = docs.select("doc_id", digest.alias("key")).join(members, F.col("key") == F.col("of")).groupBy("component", "doc_id", "key").agg(F.count("*").alias("rows"))
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "rows")).alias("first"))
+    decided = cut_lineage(members.join(first, "component").select("of", "component", "first.doc_id", "first.key", "first.rows"))
+    of, component, first_id, key, many = names = [_fresh(docs.columns, f"near_{c}") for c in decided.columns]
+    decided = decided.toDF(*names)
+    met = docs.join(bounded_broadcast(decided), F.xxhash64(docs["text"]) == decided[of], "left").where(
+        F.col(of).isNull() | (F.col(of) == F.col(key)) & docs["doc_id"].eqNullSafe(decided[first_id]))
+    kept = met.where(F.col(of).isNull() | (F.col(many) == 1))
+    if not decided.where(F.col(many) > 1).isEmpty():
+        kept = kept.unionByName(met.where(F.col(many) > 1).dropDuplicates([component]))
+    return kept.drop(*names)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents that hold a benchmark item go."""
-    found = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.select(F.col("doc_id").alias("gone")).distinct())
+    found = decontaminate.contaminated(docs.select(F.xxhash64("text").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    gone = bounded_broadcast(found.select(F.col("doc_id").alias("gone")).distinct())
+    return docs.join(gone, F.xxhash64(docs["text"]) == gone["gone"], "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -289,3 +289,14 @@ def test_pipeline_odd_cases(spark, folder, empty):
             stage(spark, given, SF).write.parquet(f"{folder}/{n}/{name}")
             given = spark.read.parquet(f"{folder}/{n}/{name}")
             assert given.columns[: len(df.columns)] == df.columns
+
+
+def test_pipeline_null_and_repeated_ids(spark, folder):
+    other = "a clean text of quite different words that nothing else in this small table resembles at all"
+    rows = [(None, brute.PROSE), (None, brute.PROSE), (2, brute.PROSE), (2, brute.PROSE), (2, other), (None, ""), (None, ""), (None, "lone text"), (None, "twice"), (None, "twice")]
+    df = spark.createDataFrame([(d, t, "en", "a", 1) for d, t in rows], brute.DOCS)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, df, folder).collect()]
+    assert sorted(got, key=str) == sorted([(2, brute.PROSE), (2, other), (None, ""), (None, ""), (None, "lone text"), (None, "twice")], key=str)
+    spark.createDataFrame([(1, brute.PROSE)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_contaminated(spark, df, folder).collect()]
+    assert sorted(got, key=str) == sorted([x for x in rows if x[1] != brute.PROSE], key=str)

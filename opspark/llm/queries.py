@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opspark.llm import decontaminate, embeddings, html_labeller, lines, mixing, ngram_join, sharding, tokens, toxicity, warc
+from opspark.llm import decontaminate, embeddings, html_labeller, lines, mixing, ngram_join, runs, sharding, tokens, toxicity, warc
 
 QUERIES = {
     "op1_whole_token_counts": tokens.op1_whole_token_counts,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash_windows": decontaminate.op8_simhash_windows,
     "op9_rare_first_join": ngram_join.op9_rare_first_join,
     "op10_pu_toxicity": toxicity.op10_pu_toxicity,
+    "op11_periodic_runs": runs.op11_periodic_runs,
 }
 
 ORACLES = {

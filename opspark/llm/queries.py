@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opspark.llm import decontaminate, embeddings, html_labeller, lines, mixing, ngram_join, runs, sharding, tokens, toxicity, warc
+from opspark.llm import decontaminate, embeddings, html_labeller, kmeans_tree, lines, mixing, ngram_join, runs, sharding, spelling, tokens, toxicity, warc
 
 QUERIES = {
     "op1_whole_token_counts": tokens.op1_whole_token_counts,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_rare_first_join": ngram_join.op9_rare_first_join,
     "op10_pu_toxicity": toxicity.op10_pu_toxicity,
     "op11_periodic_runs": runs.op11_periodic_runs,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_kmeans_tree": kmeans_tree.op13_kmeans_tree,
 }
 
 ORACLES = {

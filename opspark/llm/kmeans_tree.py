@@ -39,7 +39,7 @@ CALIBRATION = 256
 RECALL = 0.97
 
 #: Classes of a bin or block, and queries that are compared with it at once.
-BIN = 10_000
+BIN = 2_000
 ASKING = 4_000
 
 #: Queries with one vector from which on they are salted when results come back to them.

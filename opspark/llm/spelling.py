@@ -5,10 +5,11 @@ over the words and over the words read backwards, because an edit then always st
 the middle leaves the first half as it is, one before the middle the second half. So no state starts at the root, where all words meet.
 
 1. States (word, place, node, edits) without an edit walk down their own word. Behind the middle each may use its edit: replace its
-   letter by another edge of its node, or skip its letter. (Inserting is skipping, seen from the other word.)
+   letter by another edge of its node, or skip its letter. (Inserting is skipping, seen from the other word.) Edges tell what goes on
+   from their child, so an edit is made only where the letter behind it goes on.
 2. A state that has used its edit goes on along the edges that its word names, level by level: each round joins the frontier
-   with the edge table, and states without an edge end. A round walks one level at first and more levels later, when a
-   state has one path left.
+   with the edge table, and states without an edge end. A round walks one level at first and twice as many each time, as a
+   state then has one path left.
 3. A state at the end of its word whose node is a word has found a neighbour.
 
 A node that many words share is split: its states and its edges get salts, as many as its words need. A node has at most as many edges as the
@@ -44,6 +45,9 @@ LONG = 33
 #: Words under a node from which on its states are salted, each salt having about so many.
 HOT = 20_000
 
+#: The edge that a word's end is.
+END = "$"
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,81 +63,90 @@ def counted_words(words: DataFrame, least: int = LEAST_LETTERS, least_count: int
     return kept.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_count)
 
 
+def _both_ways(words: DataFrame) -> DataFrame:
+    """(side, text): each word as it is and read backwards."""
+    return words.select(F.explode(F.array(
+        F.struct(F.lit(False).alias("side"), F.col("word").alias("text")), F.struct(F.lit(True).alias("side"), F.reverse("word").alias("text")))).alias("s")).select("s.*")
+
+
+def _letter(text: Column, place: Column) -> Column:
+    """The letter at a place, ``END`` behind the last one."""
+    return F.when(place < F.char_length(text), F.substring(text, place + 1, F.lit(1))).otherwise(END)
+
+
 def _edges(words: DataFrame) -> DataFrame:
-    """(side, node, letter, below): the edges behind the middle of each word, one letter of slack included, and the words below each."""
+    """(side, node, letter, below): the edges behind the middle of each word, one letter of slack included, and the words below each.
+
+    An edge ``END`` stands where a word ends.
+    """
     text, depth = F.col("text"), F.col("depth")
-    sides = words.select(F.explode(F.array(
-        F.struct(F.lit(False).alias("side"), F.col("word").alias("text")), F.struct(F.lit(True).alias("side"), F.reverse("word").alias("text")))).alias("s")).select("s.*")
     # a word that is one letter longer than its neighbour has its middle at most one letter further on
     first = F.floor((F.char_length(text) - 1) / 2).cast("int")
-    deep = sides.withColumn("depth", F.explode(F.sequence(first, F.char_length(text) - 1)))
-    return deep.groupBy("side", F.substring(text, F.lit(1), depth).alias("node"), F.substring(text, depth + 1, F.lit(1)).alias("letter")).agg(F.count("*").alias("below"))
-
-
-def _middle(side: Column, length: Column) -> Column:
-    """First place at which a state may use its edit: the half, counted from the side's end."""
-    half = F.floor(length / 2).cast("int")
-    return F.when(side, length - half).otherwise(half)
+    deep = _both_ways(words).withColumn("depth", F.explode(F.sequence(first, F.char_length(text))))
+    return deep.groupBy("side", F.substring(text, F.lit(1), depth).alias("node"), _letter(text, depth).alias("letter")).agg(F.count("*").alias("below"))
 
 
 def _own_path(words: DataFrame) -> DataFrame:
-    """States (side, text, place, node) without an edit, from the middle on."""
+    """States (side, text, place, node) without an edit, from the middle on: the half of the word, counted from the side's end."""
     text = F.col("text")
-    sides = words.select(F.explode(F.array(
-        F.struct(F.lit(False).alias("side"), F.col("word").alias("text")), F.struct(F.lit(True).alias("side"), F.reverse("word").alias("text")))).alias("s")).select("s.*")
-    low, high = _middle(F.col("side"), F.char_length(text)), F.char_length(text) - 1
-    walk = sides.where(low <= high).withColumn("place", F.explode(F.sequence(low, high)))
+    half = F.floor(F.char_length(text) / 2).cast("int")
+    low, high = F.when(F.col("side"), F.char_length(text) - half).otherwise(half), F.char_length(text) - 1
+    walk = _both_ways(words).where(low <= high).withColumn("place", F.explode(F.sequence(low, high)))
     return walk.withColumn("node", F.substring(text, F.lit(1), F.col("place")))
 
 
-def _letters(text: Column, place: Column, many: Column) -> Column:
-    return F.substring(text, place + 1, many)
-
-
 def trie_neighbours(words: DataFrame) -> DataFrame:
     """Pairs (word, near), each once in either direction, of words of fewer than ``LONG`` letters."""
     short = words.select("word").where(F.char_length("word") < LONG)
     edges = cut_lineage(_edges(short))
-    prefixes = edges.select("side", F.concat("node", "letter").alias("node"))
-    own = _own_path(short)
-
-    # branching: another edge of the own node; nodes with many words are salted
-    crowded = edges.groupBy("side", "node").agg(F.sum("below").alias("words")).where(F.col("words") > HOT)
-    crowded = cut_lineage(crowded.select("side", "node", F.ceil(F.col("words") / HOT).cast("int").alias("salts")))
-    fan = bounded_broadcast(crowded)
-    salts = F.coalesce("salts", F.lit(1))
-    choices = edges.groupBy("side", "node").agg(F.collect_set("letter").alias("letters"))
-    choices = choices.where(F.size("letters") > 1).join(fan, ["side", "node"], "left")
-    choices = choices.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
-    asking = own.join(fan, ["side", "node"], "left").withColumn("salt", F.pmod(F.xxhash64("text"), salts).cast("int")).drop("salts")
-    own_letter = _letters(F.col("text"), F.col("place"), F.lit(1))
-    replaced = (
-        asking.join(choices, ["side", "node", "salt"]).withColumn("letter", F.explode("letters")).where(F.col("letter") != own_letter)
-        .select("side", "text", (F.col("place") + 1).alias("place"), F.concat("node", "letter").alias("node"))
-    )
-    # skipping one of equal letters gives the same word wherever it is done: only the last of them is skipped
-    skipped = own.where(own_letter != _letters(F.col("text"), F.col("place") + 1, F.lit(1))).select(
-        "side", "text", (F.col("place") + 1).alias("place"), "node")
-    frontier = cut_lineage(replaced.unionByName(skipped))
+    prefixes = edges.where(F.col("letter") != END).select("side", F.concat("node", "letter").alias("node"))
+
+    # nodes with a choice of edges; each edge tells the letters that go on from its child
+    letters = edges.groupBy("side", "node").agg(F.array_join(F.collect_set("letter"), "").alias("letters"), F.sum("below").alias("words"))
+    letters = cut_lineage(letters)
+    forks = letters.where(F.char_length("letters") > 1)
+    children = forks.select("side", "node", "words", F.explode(F.split("letters", "")).alias("letter")).where(F.col("letter") != "")
+    after = letters.select(F.col("side").alias("_side"), F.col("node").alias("_child"), F.col("letters").alias("after"))
+    known = children.join(after, (F.col("side") == F.col("_side")) & (F.concat("node", "letter") == F.col("_child")), "left")
+    choices = known.groupBy("side", "node").agg(F.first("words").alias("words"), F.collect_list(F.struct("letter", F.coalesce("after", F.lit("")).alias("after"))).alias("choices"))
+    # nodes with many words are salted
+    salts = F.ceil(F.col("words") / HOT).cast("int")
+    fan = bounded_broadcast(cut_lineage(letters.where(F.col("words") > HOT).select("side", "node", salts.alias("salts"))))
+    choices = choices.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("words")
+    own = _own_path(short).join(fan, ["side", "node"], "left")
+    own = own.withColumn("salt", F.pmod(F.xxhash64("text"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+
+    # the edit, and with it the letter behind it: another edge that goes on with that letter, or that letter in place of the own one. Of equal
+    # letters in a row only the last is skipped, as skipping any of them gives the same word
+    here, behind = _letter(F.col("text"), F.col("place")), _letter(F.col("text"), F.col("place") + 1)
+    options = own.join(choices, ["side", "node", "salt"]).withColumn("c", F.explode("choices")).select(
+        "side", "text", "place", "node", "c.letter", "c.after", here.alias("here"), behind.alias("behind"))
+    replaces = (F.col("letter") != F.col("here")) & (F.col("letter") != END) & F.contains("after", "behind")
+    skips = (F.col("letter") == F.col("behind")) & (F.col("behind") != F.col("here"))
+    reached = F.when(F.col("behind") == END, "").otherwise(F.col("behind"))
+    options = options.where(replaces | skips)
+    nodes = F.array(F.when(replaces, F.concat("node", "letter", reached)), F.when(skips, F.concat("node", reached)))
+    frontier = options.select("side", "text", (F.col("place") + 1 + F.char_length(reached)).alias("place"), F.explode(nodes).alias("node")).where("node is not null")
+    frontier = cut_lineage(frontier)
 
     ended = []
     levels = 1
     while True:
         left = F.char_length("text") - F.col("place")
         ended.append(frontier.where(left == 0))
-        going = frontier.where(left > 0)
         step = F.least(F.lit(levels), left)
-        going = going.select("side", "text", (F.col("place") + step).alias("place"), F.concat("node", _letters(F.col("text"), F.col("place"), step)).alias("node"))
+        going = frontier.where(left > 0).select(
+            "side", "text", (F.col("place") + step).alias("place"), F.concat("node", F.substring(F.col("text"), F.col("place") + 1, step)).alias("node"))
         frontier = cut_lineage(going.join(prefixes, ["side", "node"], "left_semi"))
         if frontier.isEmpty():
             break
-        levels = 1 if len(ended) < 3 else 2 * levels
+        levels *= 2
     done = ended[0]
     for more in ended[1:]:
         done = done.unionByName(more)
     pairs = done.select(*(F.when(F.col("side"), F.reverse(c)).otherwise(F.col(c)).alias(name) for c, name in (("text", "word"), ("node", "near"))))
-    known = pairs.join(short.select(F.col("word").alias("near")), "near", "left_semi")
-    return known.unionByName(known.select(F.col("near").alias("word"), F.col("word").alias("near"))).select("word", "near").distinct()
+    met = pairs.join(short.select(F.col("word").alias("near")), "near", "left_semi")
+    return met.unionByName(met.select(F.col("near").alias("word"), F.col("word").alias("near"))).select("word", "near").distinct()
 
 
 def _gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -80,39 +80,6 @@ def keyed_uniform(key: Column, seed: int | str) -> Column:
     return digest_number(key_digest(key, seed)) / F.lit(float(16**7))
 
 
-# Modulus, multiplier and step of the pairwise-independent hash,
-# and the cumulative Poisson(1) probabilities for counts 0 to 7.
-HASH_PRIME = 2147483647
-HASH_MULTIPLIER = 1103515245
-HASH_STEP = 12345
-POISSON_ONE = [
-    0.36787944117144233,
-    0.7357588823428847,
-    0.9196986029286058,
-    0.9810118431238462,
-    0.9963401531726563,
-    0.9994058151824183,
-    0.9999167588507119,
-    0.9999897508033253,
-]
-
-
-def poisson_weight(key_number: Column, draw: Column) -> Column:
-    """Poisson(1) weight for a row number and a draw number.
-
-    ``(a_draw * key + c_draw) mod p`` gives pairwise-independent uniforms across
-    rows for every draw, so no digest is needed per (row, draw) pair.
-    """
-    p = F.lit(HASH_PRIME)
-    a = F.pmod(draw * F.lit(HASH_MULTIPLIER) + F.lit(HASH_STEP), p) + F.lit(1)
-    c = F.pmod(a * F.lit(48271), p)
-    u = F.pmod(F.pmod(key_number, p) * a + c, p) / F.lit(float(HASH_PRIME))
-    weight = F.lit(len(POISSON_ONE))
-    for count in reversed(range(len(POISSON_ONE))):
-        weight = F.when(u < F.lit(POISSON_ONE[count]), F.lit(count)).otherwise(weight)
-    return weight.cast("bigint")
-
-
 def safe_ratio(top: Column, bottom: Column) -> Column:
     """Division giving null for a zero denominator."""
     return F.try_divide(top.cast("double"), bottom.cast("double"))

@@ -164,20 +164,22 @@ def drift_verdict(scores: DataFrame, columns: int, threshold: float = 0.1) -> Da
         F.when(F.count_if(hit) == 0, "none").when(share > 0.5, "high").otherwise("medium").alias("severity"))
 
 
-def last_windows(df: DataFrame, order: str, n: int = 50) -> DataFrame:
+def last_windows(df: DataFrame, order: str, n: int = 50, tie_break: Sequence[str] = ()) -> DataFrame:
     """The last ``n`` rows tagged side 1 and the ``n`` before them tagged side 0.
 
-    The top-2n limit runs on every partition first, so at most 2n rows meet.
+    Of rows of one time those with the greater values of ``tie_break`` count as later. The top-2n limit
+    runs on every partition first, so at most 2n rows meet.
     """
-    newest = df.orderBy(F.col(order).desc()).limit(2 * n)
-    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.col(order).desc()))
+    by = [F.col(c).desc() for c in (order, *tie_break)]
+    newest = df.orderBy(*by).limit(2 * n)
+    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*by))
     return newest.withColumn("_place", place).withColumn("side", F.when(F.col("_place") <= n, 1).otherwise(0))
 
 
 def recent_drift(df: DataFrame, order: str, cols: Sequence[str], n: int = 50, alpha: float = 0.05,
                  share: float = 0.5) -> DataFrame:
     """Dataset drift of the last ``n`` rows against the ``n`` before; zero when rows are short."""
-    windows = last_windows(df, order, n).drop("_place")
+    windows = last_windows(df, order, n, [c for c in cols if c != order]).drop("_place")
     reference = windows.where("side = 0").drop("side")
     current = windows.where("side = 1").drop("side")
     ks = ks_scores(reference, current, cols)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from opspark.functions.columns import bin_index, digest_number, safe_ratio
+from opspark.operators.quantiles import exact_quantiles
+from opspark.operators.ranking import running_totals
+from opspark.session import bounded_broadcast, cut_lineage, small_rows
 
-from opspark.functions.columns import digest_number, key_digest, poisson_weight, safe_ratio
-from opspark.operators.ranking import exact_quantiles, running_totals
-from opspark.session import small_rows
 
 def confusion_cells(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows per (truth, prediction) pair: the only pass over the data."""
@@ -140,15 +143,41 @@ def error_percentiles(df: DataFrame, truth: str, predicted: str) -> DataFrame:
         [tuple(q)], "median_absolute_error double, percentile_90_error double, percentile_95_error double")
 
 
-def _weighted_draws(df: DataFrame, key: str, draws: int, seed: int) -> DataFrame:
-    """Every row once per draw with its Poisson(1) weight; zero weights are left out.
+def _log_factorial(k: Column) -> Column:
+    """ln(k!): exact products up to 20, the series behind Stirling's formula beyond, whose next term is below 1e-15."""
+    x = k.cast("double")
+    tail = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7)
+    return F.when(k <= 20, F.ln(F.factorial(F.least(k, F.lit(20)).cast("int")).cast("double"))).otherwise(
+        x * F.ln(x) - x + 0.5 * F.ln(2 * math.pi * x) + tail)
+
 
-    Draws are expanded in the same stage that sums them, so only one partial
-    row per draw and task is shuffled.
+def poisson_draws(cells: DataFrame, keys: Sequence[str], count: str, draws: int, seed: int) -> DataFrame:
+    """(keys, draw, w): for each cell and draw a Poisson number with mean ``count``, which is the weight that so many rows of weight
+    Poisson(1) have together.
+
+    A 60-bit number from the digest of keys, draw and seed is looked up in the distribution, which is summed within nine deviations of
+    the mean (less than 1e-17 lies outside): draws and sums stand in one order, and the sums before a draw are counted. Work is cells times
+    draws and deviations, however many rows a cell has.
     """
-    tagged = df.withColumn("_h", digest_number(key_digest(F.col(key), seed)))
-    tall = tagged.withColumn("draw", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(draws).cast("bigint"))))
-    return tall.withColumn("w", poisson_weight(F.col("_h"), F.col("draw"))).where(F.col("w") > 0)
+    mean = F.col(count).cast("double")
+    reach = 9 * F.sqrt(mean) + 20
+    low = F.greatest(F.lit(0), F.floor(mean - reach)).cast("bigint")
+    base = cells.select(*keys, mean.alias("_mean"), low.alias("_low"), F.ceil(mean + reach).cast("bigint").alias("_high"))
+    name = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys], F.col("draw").cast("string"), F.lit(str(seed)))
+    u = digest_number(F.md5(name.cast("binary")), 15) / F.lit(float(1 << 60))
+    asked = base.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).select(
+        *keys, "draw", u.alias("_at"), F.lit(0).alias("_sum"), "_low")
+    k = F.col("_k")
+    apart = (k - F.col("_mean")) / F.col("_mean")
+    # around the mean by the gap to it, so that large means lose no digits
+    far = k * F.ln(F.col("_mean")) - F.col("_mean") - _log_factorial(k)
+    near = k * F.log1p(apart) * -1 + (k - F.col("_mean")) - 0.5 * F.ln(2 * math.pi * k) - 1 / (12 * k.cast("double"))
+    share = F.exp(F.when(F.col("_mean") > 1e6, near).otherwise(far))
+    table = base.withColumn("_k", F.explode(F.sequence("_low", "_high"))).select(
+        *keys, F.sum(share).over(W.partitionBy(*keys).orderBy("_k")).alias("_at"), F.lit(1).alias("_sum"))
+    order = W.partitionBy(*keys).orderBy("_at", "_sum").rowsBetween(W.unboundedPreceding, W.currentRow)
+    met = table.unionByName(asked, allowMissingColumns=True).withColumn("_before", F.sum("_sum").over(order))
+    return met.where("_sum = 0").select(*keys, "draw", (F.col("_low") + F.col("_before")).alias("w"))
 
 
 def _intervals(per_draw: DataFrame, metrics: Sequence[str], confidence: float) -> DataFrame:
@@ -165,11 +194,14 @@ def _intervals(per_draw: DataFrame, metrics: Sequence[str], confidence: float) -
 
 
 def bootstrap_classification(
-    df: DataFrame, key: str, truth: str, predicted: str, draws: int = 1000, confidence: float = 0.95, seed: int = 42
+    df: DataFrame, truth: str, predicted: str, draws: int = 1000, confidence: float = 0.95, seed: int = 42
 ) -> DataFrame:
-    """Confidence intervals of accuracy and weighted F1 over Poisson resamples of the scored rows."""
-    slim = df.select(key, F.col(truth).alias("y"), F.col(predicted).alias("p"))
-    cells = _weighted_draws(slim, key, draws, seed).groupBy("draw", "y", "p").agg(F.sum("w").alias("c"))
+    """Confidence intervals of accuracy and weighted F1 over Poisson resamples of the scored rows.
+
+    Rows are counted per (truth, prediction) first; a cell's weight in a draw is one Poisson number.
+    """
+    counted = cut_lineage(df.groupBy(F.col(truth).alias("y"), F.col(predicted).alias("p")).agg(F.count("*").alias("n")))
+    cells = poisson_draws(counted, ["y", "p"], "n", draws, seed).where("w > 0").withColumnRenamed("w", "c")
     sides = [F.struct(F.col("y").alias("label"), F.col("c").alias("s"), F.lit(0).cast("bigint").alias("f"),
                       F.when(F.col("y") == F.col("p"), F.col("c")).otherwise(0).alias("t")),
              F.struct(F.col("p").alias("label"), F.lit(0).cast("bigint").alias("s"), F.col("c").alias("f"),
@@ -184,21 +216,35 @@ def bootstrap_classification(
 
 
 def bootstrap_regression(
-    df: DataFrame, key: str, truth: str, predicted: str, draws: int = 1000, confidence: float = 0.95, seed: int = 42
+    df: DataFrame, truth: str, predicted: str, draws: int = 1000, confidence: float = 0.95, seed: int = 42, grid: int = 128
 ) -> DataFrame:
-    """Confidence intervals of RMSE and R2 over Poisson resamples of the scored rows."""
+    """Confidence intervals of RMSE and R2 over Poisson resamples of the scored rows.
+
+    Rows are summed per cell of a grid of ``grid`` equal bins of the truth and as many of the error; a draw weighs a cell's sums by a Poisson
+    number over its count. What rows of a cell differ among themselves is left out of the intervals: ``inside`` tells that share of the
+    variance of the squared errors; a finer grid lowers it. Rows without truth or prediction are left out.
+    """
     y, p = F.col(truth).cast("double"), F.col(predicted).cast("double")
-    slim = df.select(key, y.alias("y"), ((y - p) * (y - p)).alias("e2"))
-    w = F.col("w").cast("double")
+    slim = df.select(y.alias("y"), (y - p).alias("g")).where("y is not null and g is not null")
+    edge = cut_lineage(slim.agg(F.min("y").alias("a"), F.max("y").alias("b"), F.min("g").alias("c"), F.max("g").alias("d"), F.avg("y").alias("m")))
     # centred first: the spread of values far from zero is not lost in their squares
-    slim = slim.withColumn("y", F.col("y") - slim.agg(F.avg("y")).scalar())
-    sums = _weighted_draws(slim, key, draws, seed).groupBy("draw").agg(
-        F.sum(w).alias("n"), F.sum(w * F.col("e2")).alias("e"), F.sum(w * F.col("y")).alias("s"),
-        F.sum(w * F.col("y") * F.col("y")).alias("q"))
+    binned = slim.join(F.broadcast(edge)).select(
+        (F.col("y") - F.col("m")).alias("y"), (F.col("g") * F.col("g")).alias("e2"),
+        bin_index(F.col("y"), F.col("a"), F.col("b"), grid).alias("i"), bin_index(F.col("g"), F.col("c"), F.col("d"), grid).alias("j"))
+    cells = cut_lineage(binned.groupBy("i", "j").agg(
+        F.count("*").alias("n"), F.sum("e2").alias("e"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("q"), F.sum(F.col("e2") * F.col("e2")).alias("e4")))
+    inside = F.try_divide(F.sum(F.col("e4") - F.col("e") * F.col("e") / F.col("n")), F.sum("e4") - F.sum("e") * F.sum("e") / F.sum("n"))
+    drawn = poisson_draws(cells, ["i", "j"], "n", draws, seed)
+    named = cells.withColumnsRenamed({"i": "_i", "j": "_j"})
+    met = drawn.join(bounded_broadcast(named), (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j")))
+    share = F.col("w") / F.col("n")
+    sums = met.groupBy("draw").agg(
+        F.sum("w").cast("double").alias("n"), F.sum(share * F.col("e")).alias("e"), F.sum(share * F.col("s")).alias("s"), F.sum(share * F.col("q")).alias("q"))
     n = F.col("n")
-    per_draw = sums.select("draw", F.sqrt(F.col("e") / n).alias("rmse"),
-                           (1 - F.try_divide(F.col("e"), F.col("q") - F.col("s") * F.col("s") / n)).alias("r2"))
-    return _intervals(per_draw, ["rmse", "r2"], confidence)
+    per_draw = sums.where("n > 0").select("draw", F.sqrt(F.col("e") / n).alias("rmse"),
+                                          (1 - F.try_divide(F.col("e"), F.col("q") - F.col("s") * F.col("s") / n)).alias("r2"))
+    out = _intervals(per_draw, ["rmse", "r2"], confidence)
+    return out.withColumn("inside", cells.agg(F.greatest(F.coalesce(inside, F.lit(0.0)), F.lit(0.0)).alias("v")).scalar())
 
 
 def score_summary(scores: DataFrame, metric: str = "metric", value: str = "value") -> DataFrame:

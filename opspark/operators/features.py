@@ -9,10 +9,11 @@ from itertools import combinations, combinations_with_replacement
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from opspark.functions.columns import as_number, numeric_columns, string_columns
-from opspark.operators.ranking import exact_quantiles, running_totals
-from opspark.session import bounded_broadcast, small_rows
+from opspark.operators.quantiles import exact_quantiles
+from opspark.operators.ranking import running_totals
+from opspark.session import bounded_broadcast, cut_lineage
 
-#: One-hot encoding makes a column per category, so categories are checked against this.
+#: One-hot columns are made up to so many categories; beyond, a category is a place in a sparse vector.
 MAX_ONE_HOT = 2000
 
 
@@ -63,7 +64,8 @@ def fit_clusters(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int = 42,
     named = df.select(*[as_number(df, c).alias(f"x{i}") for i, c in enumerate(cols)]).na.drop("any")
     ready = VectorAssembler(inputCols=[f"x{i}" for i in range(len(cols))], outputCol="v").transform(named).select("v")
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="v").fit(ready)
-    return [[float(x) for x in c] for c in model.clusterCenters()]
+    # numbered in order, so that the numbers do not depend on the draw
+    return sorted([float(x) for x in c] for c in model.clusterCenters())
 
 
 def distance(values: Sequence[Column], centre: Sequence[float]) -> Column:
@@ -118,12 +120,29 @@ def _lookup(df: DataFrame, col: str, table: DataFrame, value: str, default: Colu
 
 def one_hot(df: DataFrame, col: str, classes: Sequence) -> DataFrame:
     """One 0/1 column per class named ``<col>_<class>``; an unknown value is all zeros."""
-    if len(classes) > MAX_ONE_HOT:
-        raise ValueError(f"{len(classes)} categories are too many for one-hot columns")
     flags = [F.when(F.col(col) == F.lit(c), 1.0).otherwise(0.0).alias(f"{col}_{c}") for c in classes]
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c != col], *flags)
 
 
+def sparse_one_hot(df: DataFrame, col: str, table: DataFrame, size: int) -> DataFrame:
+    """``<col>_hot`` in place of ``col``: a sparse vector of ``size`` places as a struct (size, indices, values).
+
+    ``table`` has (category, code). Missing and unknown values have no place set. Any number of categories will do: the table is joined.
+    """
+    out = _lookup(df, col, table, "code", F.lit(-1))
+    met = F.col(f"`{col}`") >= 0
+    hot = F.struct(
+        F.lit(size).alias("size"), F.when(met, F.array(F.col(f"`{col}`"))).otherwise(F.array().cast("array<int>")).alias("indices"),
+        F.when(met, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != col], hot.alias(f"{col}_hot"))
+
+
+def sparse_rows(df: DataFrame, key: str, col: str) -> DataFrame:
+    """The long form of a sparse column: (key, place, value) of what is set."""
+    at = F.explode(F.arrays_zip(f"{col}.indices", f"{col}.values"))
+    return df.select(key, at.alias("c")).select(key, F.col("c.indices").alias("place"), F.col("c.values").alias("value"))
+
+
 def fit_target_means(df: DataFrame, col: str, label: str = "target") -> DataFrame:
     """Mean label per category as ``(category, mean)``."""
     return df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("category")).agg(F.avg(label).alias("mean"))
@@ -136,19 +155,24 @@ def target_encode(df: DataFrame, col: str, means: DataFrame) -> DataFrame:
 
 
 def fit_encoders(df: DataFrame, method: str = "target", label: str = "target") -> dict:
-    """Fitted encodings for every string column."""
+    """Fitted encodings for every string column.
+
+    A column's entry is a table: (category, mean) for ``target``, (category, code) for ``label``, and for ``onehot`` the classes as
+    a list up to ``MAX_ONE_HOT`` of them, beyond that the (category, code) table with its number of rows.
+    """
     if method not in ("onehot", "label", "target"):
         raise ValueError(f"unknown encoding: {method}")
     cols = string_columns(df, [label])
     fitted: dict = {"method": method, "columns": {}}
     for c in cols:
         if method == "onehot":
-            fitted["columns"][c] = sorted(
-                r["category"] for r in small_rows(categories(df, c), MAX_ONE_HOT))
+            table = cut_lineage(categories(df, c))
+            size = table.count()
+            fitted["columns"][c] = [r["category"] for r in table.orderBy("code").collect()] if size <= MAX_ONE_HOT else (table, size)
         elif method == "label":
-            fitted["columns"][c] = categories(df, c)
+            fitted["columns"][c] = cut_lineage(categories(df, c))
         elif label in df.columns:
-            fitted["columns"][c] = fit_target_means(df, c, label)
+            fitted["columns"][c] = cut_lineage(fit_target_means(df, c, label))
     return fitted
 
 
@@ -156,7 +180,7 @@ def apply_encoders(df: DataFrame, fitted: dict) -> DataFrame:
     """Encode every fitted column."""
     for c, table in fitted["columns"].items():
         if fitted["method"] == "onehot":
-            df = one_hot(df, c, table)
+            df = one_hot(df, c, table) if isinstance(table, list) else sparse_one_hot(df, c, *table)
         elif fitted["method"] == "label":
             df = label_encode(df, c, table)
         else:
@@ -306,16 +330,18 @@ def recursive_elimination(
 def fit_selection(
     df: DataFrame, method: str = "mutual_info", k: int = 20, variance_threshold: float = 0.01, label: str = "target"
 ) -> list[str]:
-    """Variance filter, then the ``k`` best features by the chosen method."""
+    """Variance filter, then the ``k`` best features by the chosen method. Sparse columns are not scored and stay."""
     cols = [c for c in df.columns if c != label]
     if method == "none" or label not in df.columns:
         return cols
+    sparse = [c for c in cols if isinstance(df.schema[c].dataType, T.StructType)]
+    cols = [c for c in cols if c not in sparse]
     if variance_threshold > 0:
         cols = keep_varying(df, cols, variance_threshold)
     if method == "recursive":
-        return [c for c, _ in recursive_elimination(df, cols, label, min(k, len(cols)))]
+        return [c for c, _ in recursive_elimination(df, cols, label, min(k, len(cols)))] + sparse
     best = top_features(score_features(df, cols, method, label), min(k, len(cols)))
-    return [r["feature"] for r in best.collect()]
+    return [r["feature"] for r in best.collect()] + sparse
 
 
 def project(df: DataFrame, features: Sequence[str], label: str = "target") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from opspark.functions.columns import digest_number, key_digest
 from opspark.operators.ranking import running_totals
+from opspark.operators.scans import CELL_ROWS, largest_group, with_heads
 from opspark.operators.store import seconds
 
 
@@ -55,18 +56,23 @@ def staged_rollout(stages: DataFrame, by: Sequence[str], order: str, passed: str
 
 
 def error_runs(df: DataFrame, by: Sequence[str], ts: str, is_error: Column, tie_break: Sequence[str] = (),
-               min_run: int = 5, eject: int = 30, bucket_seconds: int = 86_400) -> DataFrame:
+               min_run: int = 5, eject: int = 30, bucket_seconds: int = 86_400, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Runs of ``min_run`` or more consecutive errors per instance and the end of the ejection.
 
     Errors of a run share the number of good rows before them. That number is
     summed per time bucket with offsets, so a hot instance is not one task,
-    and a run is then a plain aggregate.
+    and a run is then a plain aggregate. Where a bucket of an instance is counted to have more than ``cell_rows``
+    rows, instances are scanned in cells of equal size instead.
     """
     at = seconds(F.col(ts))
     work = df.select(*by, *tie_break, at.alias("_at"), F.coalesce(is_error, F.lit(False)).alias("_bad"))
     work = work.withColumn("_good", F.when(F.col("_bad"), 0).otherwise(1))
     bucket = F.floor(F.col("_at") / F.lit(float(bucket_seconds)))
-    run = running_totals(work, by, "_at", ["_good"], bucket=bucket, tie_break=tie_break)
+    if largest_group(work, [*map(F.col, by), bucket]) > cell_rows:
+        rows, series = with_heads(work, by, ["_at", *tie_break], totals=["_good"])
+        run = rows.withColumn("cum__good", F.sum("_good").over(series.rowsBetween(W.unboundedPreceding, W.currentRow))).where("_head = 1")
+    else:
+        run = running_totals(work, by, "_at", ["_good"], bucket=bucket, tie_break=tie_break)
     runs = run.where("_bad").groupBy(*by, "cum__good").agg(
         F.count("*").alias("run_length"), F.min("_at").alias("first_at"), F.max("_at").alias("last_at"))
     return runs.where(F.col("run_length") >= min_run).select(

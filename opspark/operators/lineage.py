@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import count
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -25,29 +24,83 @@ def lineage_edges(events: DataFrame, task: str = "task", run: str = "run_id", da
         F.when(reads, F.col(task)).otherwise(F.col(dataset)).alias("dst"), F.col(run).alias("run_id")).distinct()
 
 
+#: Rounds whose new pairs are kept apart before they are merged into one table.
+APART = 8
+
+
+def chains(links: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(edges, inner)``: a graph in which every chain is one edge, and the nodes inside the chains.
+
+    ``links`` has distinct (_from, _to). A node with one link in and one out, and not among ``ends`` (node), is inside a chain. ``edges`` has
+    (_from, _to, hops) between the other nodes, ``inner`` (first, node, hops) with the node that a chain starts from and the steps from
+    there. Steps back are doubled each round, so a chain of n nodes takes log2(n) rounds.
+    """
+    into = links.groupBy(F.col("_to").alias("node")).agg(F.count("*").alias("ins"), F.min("_from").alias("at")).where("ins = 1")
+    out = links.groupBy(F.col("_from").alias("node")).agg(F.count("*").alias("outs")).where("outs = 1").select("node")
+    passing = into.join(out, "node", "left_semi").join(ends.select("node"), "node", "left_anti").where("at <> node")
+    back = cut_lineage(passing.select("node", "at", F.lit(1).cast("bigint").alias("hops"), F.lit(False).alias("done")))
+    size, reach = back.count(), 1
+    while reach <= size:
+        ahead = back.select(F.col("node").alias("_node"), F.col("at").alias("_at"), F.col("hops").alias("_hops"), F.col("done").alias("_done"))
+        moved = back.where("not done").join(ahead, F.col("at") == F.col("_node"), "left").select(
+            back["node"], F.coalesce("_at", "at").alias("at"), (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"),
+            F.coalesce("_done", F.lit(True)).alias("done"))
+        back = cut_lineage(back.where("done").unionByName(moved))
+        reach *= 2
+        if back.where("not done").isEmpty():
+            break
+    # what is left is a ring that nothing leads into
+    inner = back.where("done").select(F.col("at").alias("first"), "node", "hops")
+    ring = back.where("not done").select("node")
+    last = inner.select(F.col("node").alias("_from"), "first", F.col("hops").alias("_inside"))
+    edges = links.join(ring.select(F.col("node").alias("_from")), "_from", "left_anti").join(last, "_from", "left").join(
+        inner.select(F.col("node").alias("_to")), "_to", "left_anti")
+    edges = edges.select(F.coalesce("first", "_from").alias("_from"), "_to", (F.coalesce("_inside", F.lit(0)) + 1).alias("hops"))
+    return edges.groupBy("_from", "_to").agg(F.min("hops").alias("hops")), inner
+
+
 def closure(edges: DataFrame, roots: DataFrame | None = None, upstream: bool = False) -> DataFrame:
     """Every node reachable from each root with its smallest depth, as ``(root, node, depth)``.
 
-    Breadth first: each round joins only the newest nodes and drops pairs seen
-    before, so cycles end. Rounds are written to the shared checkpoint folder
-    and end when one brings nothing new, however deep the graph is.
+    Chains without branches are contracted first, so a deep graph takes as many rounds as it has branchings in a row, not levels.
+    Each round follows the newest pairs only, keeps those that are new or nearer than before, and ends when there are none, so cycles
+    end. Pairs of the last rounds are merged into one table now and then; a round reads that and a few more. Without
+    ``roots`` every node that links on is a root of its own, and nothing can be contracted.
     """
     a, b = ("dst", "src") if upstream else ("src", "dst")
     # written once, so no round computes the edges again
     links = cut_lineage(edges.select(F.col(a).alias("_from"), F.col(b).alias("_to")).where(
         "_from is not null and _to is not null").distinct())
-    start = roots if roots is not None else links.select(F.col("_from").alias("root")).distinct()
-    newest = start.select(F.col(start.columns[0]).alias("root")).distinct().select("root", F.col("root").alias("node"))
-    rounds = [cut_lineage(newest.withColumn("depth", F.lit(0)))]
-    for depth in count(1):
-        step = rounds[-1].join(links, F.col("node") == F.col("_from")).select("root", F.col("_to").alias("node")).distinct()
-        seen = reduce(DataFrame.unionByName, rounds).select("root", "node")
-        fresh = step.join(seen, ["root", "node"], "left_anti").withColumn("depth", F.lit(depth))
-        fresh = cut_lineage(fresh)
-        if fresh.isEmpty():
+    inner = None
+    if roots is None:
+        start = links.select(F.col("_from").alias("root")).distinct()
+        steps = links.withColumn("hops", F.lit(1).cast("bigint"))
+    else:
+        start = cut_lineage(roots.select(F.col(roots.columns[0]).alias("root")).where("root is not null").distinct())
+        steps, inner = chains(links, start.select(F.col("root").alias("node")))
+        steps = cut_lineage(steps)
+    newest = cut_lineage(start.select("root", F.col("root").alias("node"), F.lit(0).cast("bigint").alias("depth")))
+    merged, recent = newest, []
+    while True:
+        step = newest.join(steps, F.col("node") == F.col("_from")).groupBy("root", F.col("_to").alias("node")).agg(F.min(F.col("depth") + F.col("hops")).alias("depth"))
+        seen = reduce(DataFrame.unionByName, [merged, *recent]).withColumnsRenamed({"root": "_root", "node": "_node", "depth": "_depth"})
+        better = (F.col("root") == F.col("_root")) & (F.col("node") == F.col("_node")) & (F.col("_depth") <= F.col("depth"))
+        newest = cut_lineage(step.join(seen, better, "left_anti"))
+        if newest.isEmpty():
             break
-        rounds.append(fresh)
-    return reduce(DataFrame.unionByName, rounds).where("depth > 0")
+        recent.append(newest)
+        if len(recent) == APART:
+            merged, recent = cut_lineage(_nearest([merged, *recent])), []
+    found = _nearest([merged, *recent]) if roots is not None else reduce(DataFrame.unionByName, [merged, *recent])
+    if inner is not None:
+        held = inner.withColumnRenamed("node", "_node")
+        inside = found.join(held, F.col("node") == F.col("first")).select("root", F.col("_node").alias("node"), (F.col("depth") + F.col("hops")).alias("depth"))
+        found = found.unionByName(inside)
+    return found.where("depth > 0").withColumn("depth", F.col("depth").cast("int"))
+
+
+def _nearest(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts).groupBy("root", "node").agg(F.min("depth").alias("depth"))
 
 
 def job_listing(runs: DataFrame, job: str = "job", ts: str = "ts", state: str = "state", tie_break: str | None = None) -> DataFrame:

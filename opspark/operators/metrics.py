@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from opspark.functions.columns import safe_ratio
+from opspark.operators.scans import CELL_ROWS, largest_group, with_heads
 from opspark.operators.store import seconds
 
 
@@ -24,24 +25,32 @@ def matches(col: Column, op: str, value: str) -> Column:
 
 
 def counter_panes(df: DataFrame, labels: Sequence[str], ts: str, value: str, step: int,
-                  tie_break: Sequence[str] = ()) -> DataFrame:
+                  tie_break: Sequence[str] = (), cell_rows: int = CELL_ROWS) -> DataFrame:
     """Counter samples folded to one row per series and ``step`` seconds.
 
     A drop of the value is a reset, so the new value itself is the increase.
     Ordering happens inside a pane only, and the step across panes is taken on the
-    folded rows, so a hot series spreads over its panes.
+    folded rows, so a hot series spreads over its panes. Where a pane of a series is counted to have more than
+    ``cell_rows`` samples, series are scanned in cells of equal size instead.
     """
     labels = list(labels)
     at = seconds(F.col(ts))
-    tagged = df.select(*labels, at.alias("_at"), F.col(value).cast("double").alias("_v"), *tie_break,
-                       F.floor(at / F.lit(float(step))).alias("pane"))
+    pane = F.floor(at / F.lit(float(step)))
+    tagged = df.select(*labels, at.alias("_at"), F.col(value).cast("double").alias("_v"), *tie_break, pane.alias("pane"))
     order = ["_at", *tie_break]
+    folded = [
+        F.count("*").alias("samples"), F.min("_at").alias("first_at"), F.max("_at").alias("last_at"),
+        F.min_by("_v", F.struct(*order)).alias("first_v"), F.max_by("_v", F.struct(*order)).alias("last_v")]
+    if largest_group(df, [*map(F.col, labels), pane]) > cell_rows:
+        rows, series = with_heads(tagged, labels, order, last=["_v", "pane"])
+        grown = rows.withColumn("_inc", _increase(F.col("_v"), F.lag("_v").over(series))).withColumn("_before", F.lag("pane").over(series)).where("_head = 1")
+        inner = F.col("_before") == F.col("pane")
+        return grown.groupBy(*labels, "pane").agg(
+            *folded, F.coalesce(F.sum(F.when(inner, F.col("_inc"))), F.lit(0.0)).alias("inside"),
+            F.max(F.when(~inner, F.col("_before"))).alias("prev_pane"), F.max(F.when(~inner, F.col("_inc"))).alias("across"))
     before = F.lag("_v").over(W.partitionBy(*labels, "pane").orderBy(*order))
     grown = tagged.withColumn("_inc", _increase(F.col("_v"), before))
-    panes = grown.groupBy(*labels, "pane").agg(
-        F.count("*").alias("samples"), F.min("_at").alias("first_at"), F.max("_at").alias("last_at"),
-        F.min_by("_v", F.struct(*order)).alias("first_v"), F.max_by("_v", F.struct(*order)).alias("last_v"),
-        F.coalesce(F.sum("_inc"), F.lit(0.0)).alias("inside"))
+    panes = grown.groupBy(*labels, "pane").agg(*folded, F.coalesce(F.sum("_inc"), F.lit(0.0)).alias("inside"))
     series = W.partitionBy(*labels).orderBy("pane")  # one row per pane, not per sample
     return panes.withColumn("prev_pane", F.lag("pane").over(series)).withColumn(
         "across", _increase(F.col("first_v"), F.lag("last_v").over(series)))
@@ -72,10 +81,10 @@ def window_rates(panes: DataFrame, labels: Sequence[str], step: int, span: int)
 
 
 def counter_rate(df: DataFrame, labels: Sequence[str], ts: str, value: str, span: int,
-                 step: int | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
+                 step: int | None = None, tie_break: Sequence[str] = (), cell_rows: int = CELL_ROWS) -> DataFrame:
     """Reset-aware rate per series over sliding (or, without a step, tumbling) windows."""
     step = step or span
-    return window_rates(counter_panes(df, labels, ts, value, step, tie_break), labels, step, span)
+    return window_rates(counter_panes(df, labels, ts, value, step, tie_break, cell_rows), labels, step, span)
 
 
 def sum_by(df: DataFrame, labels: Sequence[str], value: str, out: str = "total") -> DataFrame:

@@ -14,7 +14,8 @@ from opspark.functions.columns import (
     as_number, is_missing, key_digest, keyed_uniform, numeric_columns, string_columns, z_score,
 )
 from opspark.operators.profile import iqr_bounds, moments
-from opspark.operators.ranking import exact_quantiles, hash_rank, rank_cutoffs
+from opspark.operators.quantiles import exact_quantiles
+from opspark.operators.ranking import hash_rank, rank_cutoffs
 from opspark.session import small_rows
 
 #: Labels above this many are split by distributed ranks instead of cut-offs.

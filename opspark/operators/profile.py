@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from opspark.functions.columns import as_number, id_columns, is_missing, numeric_columns, z_score
-from opspark.operators.ranking import exact_quantiles, running_totals
+from opspark.operators.quantiles import exact_quantiles
+from opspark.operators.ranking import running_totals
 
 # The type families of the schema check.
 TYPE_FAMILIES = {

@@ -2,8 +2,6 @@
 
 * ``running_totals``: cumulative sums over a total order. Rows are cut into
   buckets by value, summed inside the bucket, and shifted by the bucket offset.
-* ``exact_quantiles``: order statistics by narrowing brackets around the wanted
-  ranks; only values inside a small bracket are ever sorted.
 * ``hash_rank`` / ``rank_cutoffs``: ranks in the order of a key digest.
 """
 
@@ -128,157 +126,6 @@ def _text_bucket(df: DataFrame, order: str, buckets: int, per_bucket: int = 20)
     return df.withColumn("_bucket", F.size(F.filter(cut, lambda e: e < F.col(order))))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    values: dict[str, Column],
-    probs: Sequence[float],
-    limit: int = 100_000,
-    accuracy: int = 10_000,
-) -> dict[str, list[float | None]]:
-    """Exact linearly interpolated quantiles of many expressions at once.
-
-    One scan sketches all columns. Small columns finish with the built-in
-    ``percentile``. For larger ones the sketched values around each wanted
-    rank cut the line into intervals; one scan counts the rows per interval
-    and on each cut, which tells where every rank lies. Only intervals holding
-    a rank are ordered, and one above ``limit`` rows is cut again first, so the
-    result is exact at any size and no task holds more than ``limit`` values.
-    A value repeated many times becomes a cut, so it is never ordered at all.
-    """
-    names, probs = list(values), [float(p) for p in probs]
-    if not names:
-        return {}
-    base = df.select(*[values[n].cast("double").alias(f"v{i}") for i, n in enumerate(names)])
-    slack = 2.0 / accuracy
-    grid = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
-    aggs = []
-    for i in range(len(names)):
-        aggs.append(F.count(f"v{i}").alias(f"n{i}"))
-        aggs.append(F.percentile_approx(f"v{i}", F.array(*map(F.lit, grid)), F.lit(accuracy)).alias(f"a{i}"))
-    first = base.agg(*aggs).first()
-    out: dict[str, list[float | None]] = {n: [None] * len(probs) for n in names}
-
-    small = [i for i in range(len(names)) if 0 < first[f"n{i}"] <= limit]
-    if small:
-        exact = base.agg(*[F.percentile(f"v{i}", F.array(*map(F.lit, probs))).alias(f"p{i}") for i in small]).first()
-        for i in small:
-            out[names[i]] = list(exact[f"p{i}"])
-
-    large = [i for i in range(len(names)) if first[f"n{i}"] > limit]
-    ranks = {i: sorted({k for p in probs for k in _ends(p, first[f"n{i}"])}) for i in large}
-    found = _order_statistics(base, ranks, {i: sorted(set(first[f"a{i}"])) for i in large}, limit, slack, accuracy)
-    for i in large:
-        for j, p in enumerate(probs):
-            k0, k1 = _ends(p, first[f"n{i}"])
-            x0, x1 = found[(i, k0)], found[(i, k1)]
-            out[names[i]][j] = x0 + (x1 - x0) * (p * (first[f"n{i}"] - 1) - k0)
-    return out
-
-
-def _ends(p: float, n: int) -> tuple[int, int]:
-    """The two 0-based ranks around quantile ``p`` of ``n`` values."""
-    low = int(p * (n - 1))
-    return low, min(low + 1, n - 1)
-
-
-def _order_statistics(base, ranks, cuts, limit, slack, accuracy) -> dict[tuple[int, int], float]:
-    """Values at 0-based ranks per column, from counts per interval between cuts."""
-    found: dict[tuple[int, int], float] = {}
-    while any((i, k) not in found for i in ranks for k in ranks[i]):
-        live = [i for i in ranks if any((i, k) not in found for k in ranks[i])]
-        ready, narrow = {}, {}
-        for part in _portions(live, cuts):
-            counts: dict[int, dict[int, int]] = {i: {} for i in part}
-            for r in _interval_values(base, part, cuts).groupBy("i", "code").agg(F.count("*").alias("n")).collect():
-                counts[r["i"]][r["code"]] = r["n"]
-            for i in part:
-                below = 0
-                for code in range(2 * len(cuts[i]) + 1):
-                    n = counts[i].get(code, 0)
-                    held = [k for k in ranks[i] if below <= k < below + n and (i, k) not in found]
-                    if held and code % 2:
-                        found.update({(i, k): cuts[i][code // 2] for k in held})
-                    elif held:
-                        (ready if n <= limit else narrow)[(i, code)] = (below, n, held)
-                    below += n
-        for part in _portions([i for i in live if any(i == x for x, _ in ready)], cuts):
-            found.update(_ordered_picks(base, part, cuts, {key: v for key, v in ready.items() if key[0] in part}))
-        if narrow:
-            _cut_again(base, narrow, cuts, slack, accuracy)
-    return found
-
-
-def _portions(columns, cuts, size: int = 32):
-    """Columns in groups of few cuts, so that the generated code stays small enough to be compiled."""
-    part, total = [], 0
-    for i in columns:
-        if part and total + len(cuts[i]) > size:
-            yield part
-            part, total = [], 0
-        part.append(i)
-        total += len(cuts[i])
-    if part:
-        yield part
-
-
-def _interval_values(base, part, cuts) -> DataFrame:
-    """Rows ``(i, code, v)``: code ``2 j`` strictly between cuts ``j - 1`` and ``j``, ``2 j + 1`` on cut ``j``."""
-    def search(v, lo, hi, values):
-        if lo == hi:
-            return F.lit(2 * lo)
-        mid = (lo + hi) // 2
-        return (F.when(v < F.lit(values[mid]), search(v, lo, mid, values))
-                .when(v > F.lit(values[mid]), search(v, mid + 1, hi, values)).otherwise(F.lit(2 * mid + 1)))
-
-    items = []
-    for i in part:
-        v = F.col(f"v{i}")
-        code = F.when(v.isNotNull(), search(F.coalesce(v, F.lit(0.0)), 0, len(cuts[i]), cuts[i]))
-        items.append(F.struct(F.lit(i).alias("i"), code.alias("code"), v.alias("v")))
-    return base.select(F.explode(F.array(*items)).alias("c")).select("c.*").where("v is not null")
-
-
-def _inside(i, code, cuts) -> Column:
-    v = F.col(f"v{i}")
-    test = v.isNotNull()
-    if code:
-        test = test & (v > F.lit(cuts[i][code // 2 - 1]))
-    return test & (v < F.lit(cuts[i][code // 2])) if code // 2 < len(cuts[i]) else test
-
-
-def _ordered_picks(base, part, cuts, ready):
-    """Values at the wanted ranks of small intervals, counted per value before they are ordered."""
-    wanted = base.sparkSession.createDataFrame(
-        [(i, code, k, k - below) for (i, code), (below, _, held) in ready.items() for k in held],
-        "i int, code int, k long, place long")
-    kept = (F.col("i") * F.lit(1_000_000) + F.col("code")).isin([i * 1_000_000 + code for i, code in ready])
-    counts = _interval_values(base, part, cuts).where(kept).groupBy("i", "code", "v").agg(F.count("*").alias("c"))
-    cum = F.sum("c").over(W.partitionBy("i", "code").orderBy("v"))
-    picked = (
-        counts.withColumn("cum", cum).join(F.broadcast(wanted), ["i", "code"])
-        .where((F.col("cum") > F.col("place")) & (F.col("cum") - F.col("c") <= F.col("place"))).select("i", "k", "v")
-    )
-    return {(r["i"], r["k"]): r["v"] for r in picked.collect()}
-
-
-def _cut_again(base, narrow, cuts, slack, accuracy):
-    """Replace the cuts of crowded intervals by sketched values inside them."""
-    keys = list(narrow)
-    aggs = []
-    for x, key in enumerate(keys):
-        below, n, held = narrow[key]
-        q = sorted({min(1.0, max(0.0, (k - below) / n + d)) for k in held for d in (-slack, slack)})
-        v = F.when(_inside(*key, cuts), F.col(f"v{key[0]}"))
-        aggs.append(F.percentile_approx(v, F.array(*map(F.lit, q)), F.lit(accuracy)).alias(f"q{x}"))
-    row = base.agg(*aggs).first()
-    fresh: dict[int, set] = {}
-    for x, (i, code) in enumerate(keys):
-        ends = {cuts[i][j] for j in (code // 2 - 1, code // 2) if 0 <= j < len(cuts[i])}
-        fresh.setdefault(i, set()).update(ends, row[f"q{x}"])
-    for i, values in fresh.items():
-        cuts[i] = sorted(values)
-
-
 def hash_rank(df: DataFrame, groups: Sequence[str], key: str, seed: int | str, name: str = "rank") -> DataFrame:
     """Rank rows of a group by ``md5(key-seed)``, one task per digest prefix.
 

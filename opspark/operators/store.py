@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.types import StructType
 
+from opspark.operators.scans import CELL_ROWS, largest_group, with_heads
 from opspark.session import bounded_broadcast
 
 
@@ -74,13 +75,15 @@ def online_lookup(entities: DataFrame, table: DataFrame, keys: Sequence[str], fe
 
 
 def point_in_time(spine: DataFrame, history: DataFrame, keys: Sequence[str], spine_time: str, event_time: str,
-                  features: Sequence[str], ttl: timedelta, tie_break: str | None = None, slices: int = 4) -> DataFrame:
+                  features: Sequence[str], ttl: timedelta, tie_break: str | None = None, slices: int = 4,
+                  cell_rows: int = CELL_ROWS) -> DataFrame:
     """For every spine row the newest feature row not later than it and not older than ``ttl``.
 
     Time is cut in slices of ``ttl / slices``. A feature row can only matter in
     its own slice or the next ``slices`` ones, so the newest row per key and slice is
     handed on, and a carry-forward window runs per (key, slice): one shuffle
-    of the rows, no range join, and a hot key spreads over its slices.
+    of the rows, no range join, and a hot key spreads over its slices. Where a slice of a key is counted to
+    have more than ``cell_rows`` rows, keys are scanned in cells of equal size instead.
     """
     width = ttl.total_seconds() / slices
     def cut(ts):
@@ -92,6 +95,19 @@ def point_in_time(spine: DataFrame, history: DataFrame, keys: Sequence[str], spi
         *keys, seconds(F.col(event_time)).alias("_at"), F.struct(*names).alias("_row"),
         *[t.alias("_tie") for t in tie], cut(F.col(event_time)).alias("_slice"))
     order = [F.col("_at")] + ([F.col("_tie")] if tie_break else [])
+    asks = spine.select(
+        *keys, seconds(F.col(spine_time)).alias("_at"), cut(F.col(spine_time)).alias("_slice"),
+        F.lit(1).alias("_kind"), F.struct(*spine.columns).alias("_spine"))
+    counted = hist.select(*keys, "_slice").unionByName(asks.select(*keys, "_slice"))
+    if largest_group(counted, [*keys, "_slice"]) > cell_rows:
+        lines = hist.drop("_slice").withColumn("_kind", F.lit(0)).unionByName(asks.drop("_slice"), allowMissingColumns=True)
+        lines = lines.withColumn("_hit", F.when(F.col("_kind") == 0, F.struct(F.col("_at").alias("at"), F.col("_row").alias("row")))).drop("_row")
+        # rows of the spine are told apart by their content, so that a crowd at one time is cut too
+        lines = lines.withColumn("_content", F.xxhash64("_spine"))
+        rows, series = with_heads(lines, keys, ["_at", "_kind", *(["_tie"] if tie_break else []), "_content"], latest=["_hit"])
+        series = series.rowsBetween(W.unboundedPreceding, W.currentRow)
+        seen = rows.withColumn("_hit", F.last("_hit", ignorenulls=True).over(series)).where((F.col("_kind") == 1) & (F.col("_head") == 1))
+        return _live(seen, names, ttl)
     newest = hist.groupBy(*keys, "_slice").agg(
         F.max_by(F.struct(*[c for c in hist.columns if c not in keys and c != "_slice"]), F.struct(*order)).alias("b"))
     carried = newest.withColumn("_slice", F.explode(F.transform(
@@ -100,13 +116,15 @@ def point_in_time(spine: DataFrame, history: DataFrame, keys: Sequence[str], spi
     tag = F.lit(0)
     lines = hist.unionByName(carried.select(*hist.columns)).withColumn("_kind", tag).withColumn("_spine", F.lit(None).cast(
         spine.schema.simpleString()))
-    asks = spine.select(
-        *keys, seconds(F.col(spine_time)).alias("_at"), cut(F.col(spine_time)).alias("_slice"),
-        F.lit(1).alias("_kind"), F.struct(*spine.columns).alias("_spine"))
     both = lines.unionByName(asks, allowMissingColumns=True)
     w = W.partitionBy(*keys, "_slice").orderBy("_at", "_kind", *(["_tie"] if tie_break else []))
     w = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     hit = F.when(F.col("_kind") == 0, F.struct(F.col("_at").alias("at"), F.col("_row").alias("row")))
     seen = both.withColumn("_hit", F.last(hit, ignorenulls=True).over(w)).where(F.col("_kind") == 1)
+    return _live(seen, names, ttl)
+
+
+def _live(seen: DataFrame, names: Sequence[str], ttl: timedelta) -> DataFrame:
+    """Spine rows with the features they met, null where these are too old."""
     live = (F.col("_at") - F.col("_hit.at")) <= F.lit(ttl.total_seconds())
     return seen.select("_spine.*", *[F.when(live, F.col(f"_hit.row.{f}")).alias(f) for f in names])

@@ -133,13 +133,16 @@ def _(spark, sf):
     return rounded(ev.error_percentiles(prices(spark, sf), "y", "p"))
 
 
-def weight_sql(key: str, draw: str) -> str:
-    from opspark.functions.columns import HASH_MULTIPLIER, HASH_PRIME, HASH_STEP, POISSON_ONE
-
-    a = f"(({draw} * {HASH_MULTIPLIER} + {HASH_STEP}) % {HASH_PRIME} + 1)"
-    u = f"((({key} % {HASH_PRIME}) * {a} + ({a} * 48271) % {HASH_PRIME}) % {HASH_PRIME}) / {float(HASH_PRIME)!r}"
-    cases = " ".join(f"WHEN {u} < {p!r} THEN {i}" for i, p in enumerate(POISSON_ONE))
-    return f"CASE {cases} ELSE {len(POISSON_ONE)} END"
+def drawn_sql(cells: str, keys: str, draws: int) -> str:
+    """Poisson numbers per cell and draw, as in ``poisson_draws``: the sums of the distribution that lie below the draw are counted."""
+    text = " || '-' || ".join(k.strip() for k in keys.split(","))
+    same = " AND ".join(f"f.{k.strip()} = d.{k.strip()}" for k in keys.split(","))
+    return f"""
+lo AS (SELECT *, greatest(0, floor(n - 9 * sqrt(n) - 20))::BIGINT AS low, ceil(n + 9 * sqrt(n) + 20)::BIGINT AS high FROM {cells}),
+k AS (SELECT {keys}, n, unnest(range(low, high + 1)) AS k FROM lo),
+f AS (SELECT {keys}, sum(exp(k * ln(n) - n - lgamma(k + 1))) OVER (PARTITION BY {keys} ORDER BY k) AS f FROM k),
+d AS (SELECT {keys}, n, low, draw, ('0x' || substr(md5({text} || '-' || draw || '-42'), 1, 15))::BIGINT / 1152921504606846976.0 AS u FROM lo, range(1, {draws + 1}) b(draw)),
+w AS (SELECT {', '.join('d.' + k.strip() for k in keys.split(','))}, d.n, draw, min(low) + count(f.f) AS w FROM d LEFT JOIN f ON {same} AND f.f < d.u GROUP BY ALL)"""
 
 
 def _interval_sql(metrics):
@@ -147,13 +150,9 @@ def _interval_sql(metrics):
       round(quantile_cont({m}, 0.025), 6) AS lower, round(quantile_cont({m}, 0.975), 6) AS upper FROM x""" for m in metrics])
 
 
-HASH_SQL = "('0x' || substr(md5({0}::VARCHAR || '-42'), 1, 7))::BIGINT"
-
-
 @query("bootstrap_classification", "A24", f"""
-WITH t AS (SELECT l.doc_id, l.quality AS y, (d.n_chars > 1500)::INT AS p FROM labels l JOIN documents d USING (doc_id)),
-h AS (SELECT {HASH_SQL.format('doc_id')} AS h, y, p FROM t),
-w AS (SELECT draw, y, p, {weight_sql('h', 'draw')} AS w FROM h, range(1, 1001) b(draw)),
+WITH t AS (SELECT l.quality AS y, (d.n_chars > 1500)::INT AS p FROM labels l JOIN documents d USING (doc_id)),
+c0 AS (SELECT y, p, count(*) AS n FROM t GROUP BY 1, 2), {drawn_sql('c0', 'y, p', 1000)},
 l AS (SELECT draw, y AS label, w AS s, 0 AS f, CASE WHEN y = p THEN w ELSE 0 END AS t FROM w WHERE w > 0
       UNION ALL SELECT draw, p, 0, w, 0 FROM w WHERE w > 0),
 c AS (SELECT draw, label, sum(s) AS s, sum(f) AS f, sum(t) AS t FROM l GROUP BY ALL),
@@ -161,20 +160,22 @@ x AS (SELECT draw, sum(t) / sum(s) AS accuracy, sum(s * coalesce(2.0 * t / nulli
 {_interval_sql(('accuracy', 'f1'))}""")
 def _(spark, sf):
     both = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id")
-    df = both.select("doc_id", F.col("quality").alias("y"), (F.col("n_chars") > 1500).cast("int").alias("p"))
-    return rounded(ev.bootstrap_classification(df, "doc_id", "y", "p", 1000), places=6)
+    df = both.select(F.col("quality").alias("y"), (F.col("n_chars") > 1500).cast("int").alias("p"))
+    return rounded(ev.bootstrap_classification(df, "y", "p", 1000), places=6)
 
 
 @query("bootstrap_regression", "A24", f"""
-WITH t AS (SELECT {HASH_SQL.format('c_custkey')} AS h, c_acctbal AS y, (c_nationkey * 300.0 + 1000) AS p FROM customer),
-w AS (SELECT draw, y, (y - p) * (y - p) AS e, {weight_sql('h', 'draw')} AS w FROM t, range(1, 201) b(draw)),
-g AS (SELECT draw, sum(w) AS n, sum(w * e) AS e, sum(w * y) AS s, sum(w * y * y) AS q FROM w GROUP BY 1),
-x AS (SELECT draw, sqrt(e / n) AS rmse, 1 - e / (q - s * s / n) AS r2 FROM g)
-{_interval_sql(('rmse', 'r2'))}""")
+WITH t AS (SELECT c_acctbal AS y, c_acctbal - (c_nationkey * 300.0::DOUBLE + 1000) AS g FROM customer),
+r AS (SELECT min(y) AS a, max(y) AS b, min(g) AS c, max(g) AS d, avg(y) AS m FROM t),
+z AS (SELECT y - m AS y, g * g AS e2, least(floor((y - a) / ((b - a) / 16.0::DOUBLE)), 15)::INT AS i, least(floor((g - c) / ((d - c) / 16.0::DOUBLE)), 15)::INT AS j FROM t, r),
+c0 AS (SELECT i, j, count(*) AS n, sum(e2) AS e, sum(y) AS s, sum(y * y) AS q, sum(e2 * e2) AS e4 FROM z GROUP BY 1, 2), {drawn_sql('(SELECT i, j, n FROM c0)', 'i, j', 200)},
+g AS (SELECT draw, sum(w) AS n, sum(w / w.n * e) AS e, sum(w / w.n * s) AS s, sum(w / w.n * q) AS q FROM w JOIN c0 USING (i, j) GROUP BY 1),
+x AS (SELECT draw, sqrt(e / n) AS rmse, 1 - e / (q - s * s / n) AS r2 FROM g),
+v AS (SELECT round(sum(e4 - e * e / n) / (sum(e4) - sum(e) * sum(e) / sum(n)), 6) AS inside FROM c0)
+SELECT o.*, v.inside FROM ({_interval_sql(('rmse', 'r2'))}) o, v""")
 def _(spark, sf):
-    df = table(spark, sf, "customer").select(
-        "c_custkey", F.col("c_acctbal").alias("y"), (F.col("c_nationkey") * 300.0 + 1000).alias("p"))
-    return rounded(ev.bootstrap_regression(df, "c_custkey", "y", "p", 200), places=6)
+    df = table(spark, sf, "customer").select("c_acctbal", (F.col("c_nationkey") * 300.0 + 1000).alias("p"))
+    return rounded(ev.bootstrap_regression(df, "c_acctbal", "p", 200, grid=16), places=6)
 
 
 @query("fold_score_summary", "A39 M22", """

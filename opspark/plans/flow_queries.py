@@ -123,7 +123,7 @@ def _(spark, sf):
 
 # -- streams run to the end of the given events; windows still open are not emitted ----
 
-@query("stream_window_features", "R1 R2 R4 R5 R6 R7 R8 S8 S9 Y2", """
+@query("stream_window_features", "R1 R2 R4 R6 R7 R8 S8 S9 Y2", """
 WITH w AS (SELECT event_type AS sensor_id, time_bucket(INTERVAL 1 DAY, ts) AS w, value FROM events),
 s AS (SELECT sensor_id, w, avg(value) AS a, stddev_pop(value) AS s FROM w GROUP BY 1, 2)
 SELECT sensor_id, epoch_ms(w)::BIGINT AS window_start, count(*) AS count, round(any_value(a)::DECIMAL(30, 9), 2)::DOUBLE AS avg_value, round(any_value(s)::DECIMAL(30, 9), 2)::DOUBLE AS std_dev,

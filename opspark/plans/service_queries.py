@@ -174,13 +174,23 @@ def _(spark, sf):
 @query("latency_percentiles", "A34", f"""
 SELECT service, round(quantile_cont(latency_ms, 0.5), 4) AS p50, round(quantile_cont(latency_ms, 0.99), 4) AS p99 FROM ({REQUEST_SQL}) GROUP BY 1""")
 def _(spark, sf):
-    from opspark.operators.ranking import exact_quantiles
-    from opspark.session import small_rows
+    from opspark.operators.quantiles import grouped_quantiles
 
-    r = requests(spark, sf)
-    names = sorted(x["service"] for x in small_rows(r.select("service").distinct(), 1000))
-    q = exact_quantiles(r, {n: F.when(F.col("service") == n, F.col("latency_ms")) for n in names}, [0.5, 0.99])
-    return spark.createDataFrame([(n, round(q[n][0], 4), round(q[n][1], 4)) for n in names], "service string, p50 double, p99 double")
+    tall = grouped_quantiles(requests(spark, sf), ["service"], {"latency_ms": F.col("latency_ms")}, [0.5, 0.99])
+    at = {p: F.max(F.when(F.col("prob") == p, F.round("value", 4))) for p in (0.5, 0.99)}
+    return tall.groupBy("service").agg(at[0.5].alias("p50"), at[0.99].alias("p99"))
+
+
+@query("user_value_percentiles", "A34 A23", """
+SELECT nullif(user_id % 50, 7) AS grp, round(quantile_cont(value, 0.25), 4) AS p25, round(quantile_cont(value, 0.9), 4) AS p90 FROM events GROUP BY 1""")
+def _(spark, sf):
+    """Brackets of more than 20 rows are cut again, as those of large tables are; the null group is a group."""
+    from opspark.operators.quantiles import grouped_quantiles
+
+    e = table(spark, sf, "events").select(F.nullif(F.col("user_id") % 50, F.lit(7)).alias("grp"), "value")
+    tall = grouped_quantiles(e, ["grp"], {"value": F.col("value")}, [0.25, 0.9], limit=20)
+    at = {p: F.max(F.when(F.col("prob") == p, F.round("value", 4))) for p in (0.25, 0.9)}
+    return tall.groupBy("grp").agg(at[0.25].alias("p25"), at[0.9].alias("p90"))
 
 
 @query("traffic_share", "A35", f"""

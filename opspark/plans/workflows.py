@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
 from opspark.functions.columns import numeric_columns
 from opspark.operators import drift, features as fe, prepare as pr, profile
+from opspark.session import small_rows
+from opspark.sources import stored
 
 # The default settings of the flows.
 DEFAULTS = {
@@ -80,9 +84,21 @@ def prepare_table(df: DataFrame, key: str, label: str | None = None, config: dic
     return Prepared(work, state, applied)
 
 
+def apply_prepared(df: DataFrame, state: dict) -> DataFrame:
+    """Fill, filter and scale other rows by fitted (or reloaded) state, in the order of the fit."""
+    if "imputer" in state:
+        df = pr.apply_imputer(df, state["imputer"])
+    df = pr.apply_outliers(df, state["outliers"])
+    return pr.apply_scaler(df, state["scaler"]) if "scaler" in state else df
+
+
+def _family(kind: str) -> str:
+    return "number" if kind.startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")) else kind
+
+
 @dataclass
 class FeatureFlow:
-    """Fitted feature engineering, applied in the same order to any part."""
+    """Fitted feature engineering, applied in the same order to any part; it can be saved and loaded."""
 
     degree: int
     interaction_only: bool
@@ -92,6 +108,15 @@ class FeatureFlow:
     encoders: dict | None
     selected: list[str]
     label: str
+    columns: dict[str, str] = field(default_factory=dict)  # what the flow was fitted on: name and type
+
+    def check(self, df: DataFrame) -> None:
+        """An error that names the columns which are missing or of another type family than those of the fit."""
+        have = dict(df.dtypes)
+        wrong = [f"{c} is missing" for c in self.columns if c not in have]
+        wrong += [f"{c} is {have[c]}, not {kind}" for c, kind in self.columns.items() if c in have and _family(have[c]) != _family(kind)]
+        if wrong:
+            raise ValueError("; ".join(wrong))
 
     def engineer(self, df: DataFrame) -> DataFrame:
         df = fe.polynomial_features(df, self.degree, self.interaction_only, self.label, self.base)
@@ -101,8 +126,57 @@ class FeatureFlow:
             df = fe.apply_encoders(df, self.encoders)
         return df
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        return fe.project(self.engineer(df), self.selected, self.label)
+    def apply(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """The selected features and the label; columns to ``keep``, like keys, ride along in front."""
+        self.check(df)
+        return fe.project(self.engineer(df), [*keep, *self.selected], self.label)
+
+    def save(self, spark, folder: str, at: datetime | None = None, state: dict | None = None) -> str:
+        """A new version under ``folder``; ``state`` is the preparation's state, kept with it. Returns the version's path."""
+        document = {
+            "degree": self.degree, "interaction_only": self.interaction_only, "base": self.base, "label": self.label, "columns": self.columns,
+            "cluster_columns": self.cluster_columns, "clusters": len(self.centres or []), "state": state, "encoders": None}
+        tables = {"selection": spark.createDataFrame(list(enumerate(self.selected)), "place int, feature string")}
+        if self.centres:
+            tables["centres"] = spark.createDataFrame(
+                [(i, j, float(v)) for i, c in enumerate(self.centres) for j, v in enumerate(c)], "cluster int, place int, value double")
+        if self.encoders:
+            document["encoders"] = {"method": self.encoders["method"], "columns": []}
+            for i, (c, table) in enumerate(self.encoders["columns"].items()):
+                size = table[1] if isinstance(table, tuple) else None
+                document["encoders"]["columns"].append({"column": c, "wide": isinstance(table, list), "size": size})
+                if isinstance(table, list):
+                    table = spark.createDataFrame([(v, n) for n, v in enumerate(table)], "category string, code int")
+                tables[f"encoder_{i}"] = table[0] if isinstance(table, tuple) else table
+        path = stored.new_version(folder, at)
+        stored.save_parts(spark, path, document, tables)
+        return path
+
+
+def load_flow(spark, path: str) -> tuple[FeatureFlow, dict | None]:
+    """A saved flow, and the preparation state kept with it. Encoder tables stay tables; selection and centres are per column."""
+    d, tables = stored.load_parts(spark, path)
+    selected = [r["feature"] for r in small_rows(tables["selection"].orderBy("place"))]
+    centres = None
+    if d["clusters"]:
+        centres = [[0.0] * len(d["cluster_columns"]) for _ in range(d["clusters"])]
+        for r in small_rows(tables["centres"]):
+            centres[r["cluster"]][r["place"]] = r["value"]
+    encoders = None
+    if d["encoders"]:
+        encoders = {"method": d["encoders"]["method"], "columns": {}}
+        for i, c in enumerate(d["encoders"]["columns"]):
+            table = tables[f"encoder_{i}"]
+            if c["wide"]:
+                table = [r["category"] for r in small_rows(table.orderBy("code"))]
+            encoders["columns"][c["column"]] = (table, c["size"]) if c["size"] else table
+    flow = FeatureFlow(d["degree"], d["interaction_only"], d["base"], d["cluster_columns"], centres, encoders, selected, d["label"], d["columns"])
+    return flow, d["state"]
+
+
+def load_latest_flow(spark, folder: str) -> tuple[FeatureFlow, dict | None]:
+    """The newest complete version."""
+    return load_flow(spark, stored.latest_version(spark, folder))
 
 
 def fit_features(train: DataFrame, label: str = "target", engineering: dict | None = None,
@@ -111,7 +185,8 @@ def fit_features(train: DataFrame, label: str = "target", engineering: dict | No
     eng = {**DEFAULTS["engineering"], **(engineering or {})}
     sel = {**DEFAULTS["selection"], **(selection or {})}
     base = numeric_columns(train, [label])
-    flow = FeatureFlow(eng["polynomial_degree"], eng["interaction_only"], base, [], None, None, [], label)
+    columns = {c: kind for c, kind in train.dtypes if c != label}
+    flow = FeatureFlow(eng["polynomial_degree"], eng["interaction_only"], base, [], None, None, [], label, columns)
     work = fe.polynomial_features(train, flow.degree, flow.interaction_only, label, base)
     if eng["create_clusters"]:
         flow.cluster_columns = numeric_columns(work, [label])

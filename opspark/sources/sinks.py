@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from opspark.operators.store import merge_latest
+from opspark.session import cut_lineage
 
 
 def write_splits(df: DataFrame, path: str, name: str = "split") -> None:
@@ -59,14 +61,15 @@ def version_stamp(at: Column) -> Column:
     return F.concat(F.lit("v_"), F.date_format(at, "yyyyMMdd_HHmmss"))
 
 
-def _fs(spark: SparkSession, path: str):
+def path_of(spark: SparkSession, path: str):
+    """The path and its file system."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def versions(spark: SparkSession, folder: str) -> list[str]:
     """Version folders in order; the last is the latest."""
-    p, fs = _fs(spark, folder)
+    p, fs = path_of(spark, folder)
     if not fs.exists(p):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith("v_"))
@@ -90,46 +93,95 @@ def load_latest(spark: SparkSession, folder: str):
 
 
 class LatestTable:
-    """A keyed table of newest rows, kept as one Parquet folder per applied batch.
+    """A keyed table of newest rows in hash parts, with one small manifest per applied batch.
 
-    A batch is merged with the current version into a new folder, and a batch
-    number already applied is skipped, so a replayed batch changes nothing. A
-    folder counts once its success marker is there, so a writer lost half-way
-    leaves the former version in force.
+    A key's part is the hash of the key. A batch is merged with the parts that its keys fall in, and only these are written anew,
+    under the batch's number; the manifest names the folder of each part, so all others stay the files they were. The
+    manifest is renamed into place when the data is written: a writer lost half-way leaves the former one in force, and
+    a replayed batch changes nothing. Folders that none of the last ``keep`` manifests names are removed, so readers of the former
+    manifest are not disturbed. ``parts`` is fixed when the table is made, for the size that it will have.
     """
 
-    def __init__(self, path: str, keys: Sequence[str], event_time: str):
-        self.path, self.keys, self.event_time = path, list(keys), event_time
+    def __init__(self, path: str, keys: Sequence[str], event_time: str, parts: int = 64, keep: int = 2):
+        self.path, self.keys, self.event_time, self.parts, self.keep = path, list(keys), event_time, parts, max(1, keep)
 
-    def _applied(self, spark: SparkSession) -> list[int]:
-        p, fs = _fs(spark, self.path)
+    def manifests(self, spark: SparkSession) -> list[int]:
+        """Numbers of the applied batches whose manifests are kept, in order."""
+        p, fs = path_of(spark, f"{self.path}/manifest")
         if not fs.exists(p):
             return []
-        done = []
-        for s in fs.listStatus(p):
-            name = s.getPath().getName()
-            marker = spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")
-            if name.startswith("batch=") and fs.exists(marker):
-                done.append(int(name.split("=")[1]))
-        return sorted(done)
+        names = (s.getPath().getName() for s in fs.listStatus(p))
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
+
+    def manifest(self, spark: SparkSession, batch_id: int) -> dict:
+        """``schema`` and, by part, the batch that wrote it last."""
+        p, fs = path_of(spark, f"{self.path}/manifest/{batch_id:012d}.json")
+        stream = fs.open(p)
+        try:
+            return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _publish(self, spark: SparkSession, batch_id: int, manifest: dict) -> None:
+        temporary, fs = path_of(spark, f"{self.path}/manifest/.{batch_id:012d}.tmp")
+        final, _ = path_of(spark, f"{self.path}/manifest/{batch_id:012d}.json")
+        stream = fs.create(temporary, True)
+        stream.writeBytes(json.dumps(manifest))
+        stream.close()
+        if not fs.rename(temporary, final):
+            raise OSError(f"batch {batch_id} of {self.path} was published by another writer")
+
+    def _folder(self, part: str, batch_id: int) -> str:
+        return f"{self.path}/data/batch={batch_id:012d}/part={part}"
+
+    def _rows(self, spark: SparkSession, manifest: dict, parts) -> DataFrame | None:
+        found = [self._folder(p, manifest["parts"][p]) for p in parts if p in manifest["parts"]]
+        return spark.read.schema(StructType.fromJson(manifest["schema"])).parquet(*found) if found else None
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        done = self._applied(spark)
-        return spark.read.parquet(f"{self.path}/batch={done[-1]:012d}") if done else None
+        """All rows as of the last batch; None before the first."""
+        done = self.manifests(spark)
+        if not done:
+            return None
+        manifest = self.manifest(spark, done[-1])
+        return self._rows(spark, manifest, sorted(manifest["parts"]))
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one batch; empty and replayed batches are no-ops."""
+        from opspark.operators.store import latest
+
         spark = batch.sparkSession
-        done = self._applied(spark)
-        if (done and batch_id <= done[-1]) or batch.isEmpty():
+        done = self.manifests(spark)
+        if done and batch_id <= done[-1]:
             return
         values = [c for c in batch.columns if c not in self.keys and c != self.event_time]
-        from opspark.operators.store import latest
-
-        newest = latest(batch, self.keys, self.event_time, values).select(*batch.columns)
-        old = self.read(spark)
+        newest = cut_lineage(latest(batch, self.keys, self.event_time, values).select(*batch.columns))
+        part = F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("string")
+        touched = sorted(r[0] for r in newest.select(part).distinct().collect())  # at most one per part
+        if not touched:
+            return
+        manifest = self.manifest(spark, done[-1]) if done else {"schema": newest.schema.jsonValue(), "parts": {}}
+        # a batch has the columns of the table; types are those of the first batch
+        newest = newest.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in StructType.fromJson(manifest["schema"])])
+        old = self._rows(spark, manifest, touched)
         merged = newest if old is None else merge_latest(old, newest, self.keys, self.event_time)
-        merged.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id:012d}")
+        merged.withColumn("part", part).repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/data/batch={batch_id:012d}")
+        self._publish(spark, batch_id, {"schema": manifest["schema"], "parts": manifest["parts"] | dict.fromkeys(touched, batch_id)})
+        self._clean(spark, [*done, batch_id])
+
+    def _clean(self, spark: SparkSession, done: list[int]) -> None:
+        """Remove what only dropped manifests name."""
+        dropped, kept = done[: -self.keep], done[-self.keep :]
+        if not dropped:
+            return
+        named = {(p, b) for d in kept for p, b in self.manifest(spark, d)["parts"].items()}
+        for d in dropped:
+            for p, b in self.manifest(spark, d)["parts"].items():
+                if (p, b) not in named:
+                    path, fs = path_of(spark, self._folder(p, b))
+                    fs.delete(path, True)
+            path, fs = path_of(spark, f"{self.path}/manifest/{d:012d}.json")
+            fs.delete(path, False)
 
 
 def to_messages(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from opspark.operators.drift import recent_drift
 from opspark.operators.metrics import fold_requests
 from opspark.sources.readers import accepted, parse_readings
-from opspark.sources.sinks import LatestTable, to_messages
+from opspark.sources.sinks import LatestTable, path_of, to_messages
 from opspark.streaming.sensor import event_time, nested, window_features, window_means
 
 
@@ -24,6 +24,19 @@ def _start(writer, trigger: str | None):
     return writer.start()
 
 
+def run_stages(stages: Sequence[DataFrame], folder: str, start) -> None:
+    """Run a job over messages that come stage by stage, with a restart from its checkpoint after each.
+
+    A stage's ``value`` rows are written as text files to a folder of their own; ``start(stream)`` begins the job over all folders and
+    the job takes what is new, to the end.
+    """
+    spark = stages[0].sparkSession
+    for number, stage in enumerate(stages):
+        stage.select("value").write.text(f"{folder}/stage={number:04d}")
+        stream = spark.readStream.schema("value string").format("text").load(f"{folder}/stage=*")
+        start(stream.select("value")).awaitTermination()
+
+
 def sensor_feature_messages(messages: DataFrame, width: str = "1 minute", delay: str = "5 seconds") -> DataFrame:
     """JSON readings in, JSON window features out."""
     readings = event_time(accepted(parse_readings(messages)), delay=delay)
@@ -65,21 +78,29 @@ def run_drift_job(log: DataFrame, tails: str, metrics: str, checkpoint: str,
 
     Only the newest ``2 n`` rows and the running row count are carried from
     batch to batch; both are written under the batch number, so a replay
-    writes the same folders again.
+    writes the same folders again. A batch is read once: its rows are counted while the newest are
+    picked. Of rows of one time those with the greater values of ``cols`` count as newer, so that
+    a rerun picks the same rows. Tails before the former batch are removed.
     """
+    from pyspark.sql import Observation
+
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        tail, before = batch, 0
+        seen, before = Observation(), 0
+        tail = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
         if number > 0:
-            tail = spark.read.schema(batch.schema).parquet(f"{tails}/batch={number - 1:012d}").unionByName(batch)
+            tail = spark.read.schema(batch.schema).parquet(f"{tails}/batch={number - 1:012d}").unionByName(tail)
             before = spark.read.parquet(f"{metrics}/batch={number - 1:012d}").first()["data_points"]
-        tail = tail.orderBy(F.col(order).desc()).limit(2 * n)
+        tail = tail.orderBy(F.col(order).desc(), *[F.col(c).desc() for c in cols if c != order]).limit(2 * n)
         tail.write.mode("overwrite").parquet(f"{tails}/batch={number:012d}")
         kept = spark.read.schema(batch.schema).parquet(f"{tails}/batch={number:012d}")
         row = recent_drift(kept, order, cols, n).select(
-            "*", F.lit(before + batch.count()).cast("bigint").alias("data_points"),
+            "*", F.lit(before + seen.get["rows"]).cast("bigint").alias("data_points"),
             F.current_timestamp().alias("checked_at"))
         row.write.mode("overwrite").parquet(f"{metrics}/batch={number:012d}")
+        if number > 1:
+            path, fs = path_of(spark, f"{tails}/batch={number - 2:012d}")
+            fs.delete(path, True)
 
     writer = log.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
     return _start(writer, trigger)

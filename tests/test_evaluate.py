@@ -63,7 +63,7 @@ def test_constant_truth_has_no_r2(spark):
 def test_bootstrap_brackets_the_point_estimate(scored):
     df = scored.withColumn("p", (F.col("s") > 0.6).cast("int"))
     point = ev.classification_metrics(df, "y", "p").first()
-    got = {r.metric: r for r in ev.bootstrap_classification(df, "id", "y", "p", 300).collect()}
+    got = {r.metric: r for r in ev.bootstrap_classification(df, "y", "p", 300).collect()}
     for name in ("accuracy", "f1"):
         assert got[name].lower < point[name] < got[name].upper
         assert abs(got[name]["mean"] - point[name]) < 0.02
@@ -71,9 +71,29 @@ def test_bootstrap_brackets_the_point_estimate(scored):
     assert 0.5 * want < got["accuracy"]["std"] < 2 * want
 
 
+@pytest.mark.parametrize("mean", [1, 30, 5000, 3_000_000])
+def test_draws_of_a_cell_are_poisson(spark, mean):
+    """Mean, variance and tail of 4 000 draws; a cell of one row has weights beyond 8."""
+    draws = 4000 if mean > 1 else 400_000
+    w = np.array([r.w for r in ev.poisson_draws(spark.createDataFrame([(None, mean)], "c string, n long"), ["c"], "n", draws, 7).collect()])
+    assert len(w) == draws and abs(w.mean() - mean) < 5 * math.sqrt(mean / draws)
+    assert abs(w.var() / mean - 1) < 0.15 and (mean > 1 or w.max() > 8)
+
+
+def test_bootstrap_by_grid_agrees_with_resampled_rows(spark):
+    rng = np.random.default_rng(4)
+    y = rng.normal(100, 20, 3000)
+    p = y + rng.normal(0, 5, 3000)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(y, p)], "y double, p double")
+    got = {r.metric: r for r in ev.bootstrap_regression(df, "y", "p", 400, grid=64).collect()}
+    draws = [rng.integers(0, 3000, 3000) for _ in range(400)]
+    rmse = [math.sqrt(np.mean((y[d] - p[d]) ** 2)) for d in draws]
+    assert got["rmse"].inside < 0.01 and abs(got["rmse"]["std"] / np.std(rmse) - 1) < 0.2 and abs(got["rmse"]["mean"] - np.mean(rmse)) < 0.02
+
+
 def test_bootstrap_does_not_depend_on_partitioning(scored):
-    a = ev.bootstrap_regression(scored, "id", "y", "s", 50).orderBy("metric").collect()
-    b = ev.bootstrap_regression(scored.repartition(3), "id", "y", "s", 50).orderBy("metric").collect()
+    a = ev.bootstrap_regression(scored, "y", "s", 50).orderBy("metric").collect()
+    b = ev.bootstrap_regression(scored.repartition(3), "y", "s", 50).orderBy("metric").collect()
     for x, y in zip(a, b):
         assert math.isclose(x.lower, y.lower, rel_tol=1e-9) and math.isclose(x.upper, y.upper, rel_tol=1e-9)
 

@@ -45,10 +45,14 @@ def test_one_hot_unknown_is_all_zero(spark):
     assert out.columns == ["s_a", "s_b"] and sorted(tuple(r) for r in out.collect()) == [(0.0, 0.0), (1.0, 0.0)]
 
 
-def test_one_hot_refuses_too_many_classes(spark):
-    df = spark.range(3000).select(F.col("id").cast("string").alias("s"))
-    with pytest.raises(ValueError):
-        fe.fit_encoders(df, "onehot")
+def test_one_hot_of_many_classes_is_sparse(spark):
+    df = spark.range(100_000).selectExpr("id", "concat('c', id) AS s", "id % 2 AS target")
+    fitted = fe.fit_encoders(df, "onehot")
+    other = spark.createDataFrame([(1, "c7", 0), (2, "unknown", 1), (3, None, 0)], "id long, s string, target long")
+    out = {r.id: r.s_hot for r in fe.apply_encoders(other, fitted).collect()}
+    place = sorted(f"c{i}" for i in range(100_000)).index("c7")
+    assert tuple(out[1]) == (100_000, [place], [1.0]) and tuple(out[2]) == (100_000, [], []) and tuple(out[3]) == (100_000, [], [])
+    assert [tuple(r) for r in fe.sparse_rows(fe.apply_encoders(other, fitted), "id", "s_hot").collect()] == [(1, place, 1.0)]
 
 
 def test_target_encoding_default_is_the_mean_of_means(spark):

@@ -63,7 +63,7 @@ def test_cluster_needs_a_shared_folder(monkeypatch):
             return None
 
     class Context:
-        master = "spark://cluster"
+        master, applicationId = "spark://cluster", "no such application"
 
     class Session:
         conf, sparkContext = Conf(), Context()

@@ -93,6 +93,44 @@ def test_sliding_rates_match_row_windows(spark, step):
         me.counter_rate(df, ["s"], "ts", "v", 300, 77)
 
 
+def test_a_hot_series_is_scanned_in_many_cells(spark):
+    """One series with all its samples in one hour, some at one instant: many tasks, the result of one scan."""
+    from pyspark.sql import Window as W
+
+    base = spark.range(20_000).select(
+        F.lit(None).cast("string").alias("s"), F.timestamp_seconds(F.lit(1_704_067_200) + F.when(F.col("id") < 9000, 7).otherwise(F.col("id") % 3000)).alias("ts"),
+        (F.pmod(F.xxhash64("id"), F.lit(50))).cast("double").alias("v"), F.col("id").alias("n"))
+    hot = me.counter_panes(base, ["s"], "ts", "v", 600, ["n"], cell_rows=100)
+    plain = me.counter_panes(base, ["s"], "ts", "v", 600, ["n"])
+    assert plain.exceptAll(hot.select(*plain.columns)).isEmpty() and hot.select(*plain.columns).exceptAll(plain).isEmpty()
+    from opspark.operators.scans import with_heads
+
+    base = base.withColumn("w", F.col("v") * 2).withColumn("x", F.when(F.col("n") % 5000 == 1, F.col("v")))
+    rows, series = with_heads(base, ["s"], ["ts", "n"], last=["v"], latest=["x"], totals=["w"], cells=16)
+    sizes = [r["count"] for r in rows.where("_head = 1").groupBy("_cell").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 4000
+    whole = W.partitionBy("s").orderBy("ts", "n")
+    upto = (series.rowsBetween(W.unboundedPreceding, W.currentRow), whole.rowsBetween(W.unboundedPreceding, W.currentRow))
+    def scan(df, window, sofar, *more):
+        return df.select(*more, "n", F.lag("v").over(window).alias("a"), F.sum("w").over(sofar).alias("b"), F.last("x", True).over(sofar).alias("c"))
+
+    got = scan(rows, series, upto[0], "_head").where("_head = 1").drop("_head")
+    want = scan(base, whole, upto[1])
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_hot_keys_of_a_point_in_time_join(spark):
+    rng = np.random.default_rng(5)
+    hist = [("hot", at(int(t)), int(t), i) for i, t in enumerate(rng.integers(0, 90_000, 2000))] + [(None, at(5), 1, 9)]
+    spine = [("hot", at(int(t)), i) for i, t in enumerate(rng.integers(0, 100_000, 1000))] + [("cold", at(3), -1)]
+    spine += [("hot", at(500), 5000 + i) for i in range(500)]
+    h = spark.createDataFrame(hist, "k string, ts timestamp, v long, t long")
+    s = spark.createDataFrame(spine, "k string, ts timestamp, id long")
+    args = (s, h, ["k"], "ts", "ts", ["v"], timedelta(hours=6), "t")
+    hot, plain = st.point_in_time(*args, cell_rows=50), st.point_in_time(*args)
+    assert hot.exceptAll(plain).isEmpty() and plain.exceptAll(hot).isEmpty() and hot.where("v is null").count() < hot.count()
+
+
 def test_missing_numerator_gives_no_row(spark):
     df = spark.createDataFrame([("v1", "200", 3.0), ("v1", "503", 1.0), ("v2", "503", 1.0), ("v3", "200", 0.0)], "v string, c string, r double")
     got = {r.v: r.ratio for r in me.vector_ratio(df, ["v"], me.matches(F.col("c"), "=~", "2.."), F.col("r")).collect()}
@@ -154,12 +192,13 @@ def test_analysis_gate_failure_limit(spark):
     assert got == {"a": (3, "promote"), "b": (4, "rollback")}
 
 
-@pytest.mark.parametrize("bucket", [7, 60, 86400])
-def test_error_runs_across_buckets(spark, bucket):
+@pytest.mark.parametrize("cells", [{}, {"cell_rows": 5}])
+@pytest.mark.parametrize("bucket", [7, 86400])
+def test_error_runs_across_buckets(spark, bucket, cells):
     pattern = "EEEEE.EEEE.EEEEEEEEEEEE..E"
     rows = [("i", at(3 * t), c == "E") for t, c in enumerate(pattern)] + [("j", at(t), True) for t in range(100)]
     df = spark.createDataFrame(rows, "i string, ts timestamp, bad boolean")
-    got = sorted((r.i, r.run_length) for r in ga.error_runs(df, ["i"], "ts", F.col("bad"), bucket_seconds=bucket).collect())
+    got = sorted((r.i, r.run_length) for r in ga.error_runs(df, ["i"], "ts", F.col("bad"), bucket_seconds=bucket, **cells).collect())
     assert got == [("i", 5), ("i", 12), ("j", 100)]
 
 
@@ -261,6 +300,47 @@ def test_closure_survives_cycles_and_deep_graphs(spark):
     assert ln.closure(deep, spark.createDataFrame([("0",)], "root string")).agg({"depth": "max"}).first()[0] == 12
 
 
+def test_closure_of_a_deep_chain_takes_few_rounds(spark, monkeypatch):
+    """A chain of 10 000 with branches, a ring that is joined and one that is not; depths equal those of a plain search."""
+    links = [(f"n{i}", f"n{i + 1}") for i in range(10_000)] + [("n3", "side"), ("side", "n9"), ("n9000", "loop"), ("loop", "loop2"), ("loop2", "n9000")]
+    links += [("r1", "r2"), ("r2", "r3"), ("r3", "r1"), ("n10000", "own"), ("own", "own")]
+    rounds = []
+    cut = ln.cut_lineage
+    monkeypatch.setattr(ln, "cut_lineage", lambda df: rounds.append(1) or cut(df))
+    got = {r.node: r.depth for r in ln.closure(spark.createDataFrame(links, "src string, dst string"), spark.createDataFrame([("n0",), ("gone",)], "root string")).collect()}
+    assert len(rounds) < 30
+    from collections import defaultdict, deque
+
+    ahead = defaultdict(list)
+    for a, b in links:
+        ahead[a].append(b)
+    want, queue = {}, deque([("n0", 0)])
+    while queue:
+        node, depth = queue.popleft()
+        for b in ahead[node]:
+            if b not in want and b != "n0":
+                want[b] = depth + 1
+                queue.append((b, depth + 1))
+    assert got == want
+
+
+def test_closure_of_random_graphs(spark):
+    draw = np.random.default_rng(8)
+    for size in (30, 200):
+        links = {(int(a), int(b)) for a, b in zip(draw.integers(0, size, size + 20), draw.integers(0, size, size + 20))}
+        roots = [0, 1, 2, 3]
+        want = set()
+        for root in roots:
+            seen, front, depth = {root}, {root}, 0
+            while front:
+                depth += 1
+                front = {b for a, b in links if a in front} - seen
+                seen |= front
+                want |= {(root, b, depth) for b in front}
+        df = spark.createDataFrame(list(links), "src long, dst long")
+        assert {tuple(r) for r in ln.closure(df, spark.createDataFrame([(r,) for r in roots], "root long")).collect()} == want
+
+
 def test_span_self_time(spark):
     rows = [("t", "1", None, "http", at(0), at(10)), ("t", "2", "1", "db", at(1), at(4)), ("t", "3", "1", "model", at(4), at(9))]
     got = {r.name: r for r in ln.span_breakdown(spark.createDataFrame(

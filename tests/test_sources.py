@@ -112,8 +112,39 @@ def test_latest_table_is_idempotent(spark, folder):
 def test_latest_table_ignores_a_half_written_batch(spark, folder):
     t = sk.LatestTable(f"{folder}/t", ["k"], "ts")
     t.apply(spark.createDataFrame([("a", datetime(2024, 1, 1), 1)], "k string, ts timestamp, v int"), 1)
-    os.makedirs(f"{folder}/t/batch=000000000002")
-    assert t.read(spark).count() == 1
+    # a writer lost after its data and before its manifest, and one lost while writing the manifest
+    two = spark.createDataFrame([("a", datetime(2024, 1, 2), 2)], "k string, ts timestamp, v int")
+    two.write.parquet(f"{folder}/t/data/batch=000000000002/part=0")
+    open(f"{folder}/t/manifest/.000000000002.tmp", "w").write("{")
+    assert [r.v for r in t.read(spark).collect()] == [1]
+    t.apply(two, 2)
+    assert [r.v for r in t.read(spark).collect()] == [2]
+
+
+def test_latest_table_writes_only_the_parts_of_a_batch(spark, folder):
+    t = sk.LatestTable(f"{folder}/t", ["k", "region"], "ts", parts=16)
+    schema = "k long, region string, ts timestamp, v double, m map<string,decimal(5,2)>"
+    many = spark.range(2000).selectExpr("id AS k", "if(id % 7 = 0, NULL, 'r') AS region", "timestamp '2024-01-01' AS ts", "id * 0.5 AS v", "map('a', cast(1 AS decimal(5,2))) AS m")
+    t.apply(many, 5)
+    first = t.manifest(spark, 5)
+    assert len(first["parts"]) == 16 and set(first["parts"].values()) == {5}
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(f"{folder}/t/data") for f in names if f.endswith(".parquet")}
+
+    before = files()
+    t.apply(spark.createDataFrame([(11, "r", datetime(2024, 2, 1), 99.0, None)], schema), 6)
+    second = t.manifest(spark, 6)
+    changed = [p for p in second["parts"] if second["parts"][p] != first["parts"][p]]
+    assert len(changed) == 1 and second["parts"][changed[0]] == 6
+    assert {f: n for f, n in files().items() if f in before} == before and len(files()) > len(before)
+    got = {(r.k, r.region): r.v for r in t.read(spark).collect()}
+    assert len(got) == 2000 and got[(11, "r")] == 99.0 and got[(12, "r")] == 6.0 and got[(7, None)] == 3.5
+    # a third batch on the same part: the first batch's copy of that part is named by no kept manifest
+    t.apply(spark.createDataFrame([(11, "r", datetime(2024, 3, 1), 100.0, None)], schema), 7)
+    assert t.manifests(spark) == [6, 7] and not os.path.exists(f"{folder}/t/data/batch=000000000005/part={changed[0]}")
+    assert len(os.listdir(f"{folder}/t/data/batch=000000000005")) >= 15
+    assert t.read(spark).where("k = 11").first().v == 100.0 and t.read(spark).count() == 2000
 
 
 def test_pushdown_and_pruning(spark, sf):
@@ -138,4 +169,25 @@ def test_cuts_are_written_to_the_shared_folder(spark):
 
     out = cut_lineage(spark.range(5))
     assert out.count() == 5 and all(shared_folder(spark) in f for f in out.inputFiles())
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert shared_folder(spark) == shared_folder(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    assert base is None or shared_folder(spark).startswith(base.rstrip("/") + "/")
+
+
+def test_a_session_without_settings_cuts_lineage_and_leaves_nothing(folder):
+    """A plain local session, no configuration folder: tables are cut, and their folder goes with the application."""
+    import subprocess
+    import sys
+
+    os.makedirs(f"{folder}/conf")
+    code = ("from pyspark.sql import SparkSession\n"
+            "from opspark.session import cut_lineage, shared_folder\n"
+            "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+            "print('rows', cut_lineage(spark.range(5)).count(), shared_folder(spark))\n"
+            "spark.stop()\n")
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("SPARK_", "PYSPARK_SUBMIT"))}
+    env |= {"SPARK_CONF_DIR": f"{folder}/conf", "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "TMPDIR": folder}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    line = next(x for x in done.stdout.splitlines() if x.startswith("rows 5 "))
+    assert not os.path.exists(line.split()[2])

@@ -72,6 +72,22 @@ def test_batch_form_gives_the_same_rows(spark, folder):
     assert {("a", r.window_start // 60000): (r["count"], r.anomaly_count) for r in out.collect()} == brute(rows)
 
 
+def test_readings_of_a_batch_stay_where_they_are(spark, monkeypatch):
+    """Small statistics are sent to the readings; large ones meet them by shuffle, a hot window in many tasks. Both give the same rows."""
+    df = se.event_time(spark.range(30_000).select(
+        F.when(F.col("id") % 9 == 0, F.lit(None)).when(F.col("id") % 3 == 0, F.concat(F.lit("s"), F.col("id") % 50)).otherwise("hot").alias("sensor_id"),
+        (F.col("id") % 40 * 3000).alias("timestamp"), F.when(F.pmod(F.xxhash64("id"), F.lit(97)) == 0, 500.0).otherwise(F.col("id") % 7 * 1.0).alias("value")))
+    small = se.window_features(df)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert not any("Exchange hashpartitioning" in line and "_v" in line for line in plan.splitlines())
+    monkeypatch.setattr(se, "fits", lambda *_: False)
+    monkeypatch.setattr(se, "PART_ROWS", 1000)
+    large = se.window_features(df)
+    assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
+    assert small.agg(F.sum("anomaly_count"), F.sum("count")).first()[1] == 30_000 and small.agg(F.sum("anomaly_count")).first()[0] > 100
+
+
 def test_ten_high_values_among_fifty_are_no_anomaly(spark):
     rows = [reading("s", i, 20.0 + (i % 3) * 0.1) for i in range(50)] + [reading("s", 50 + i, 50.0 + (i % 3) * 0.1) for i in range(10)]
     df = spark.createDataFrame([(r["sensor_id"], r["timestamp"], r["value"]) for r in rows], schemas.SENSOR_READING)

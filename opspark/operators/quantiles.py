@@ -22,6 +22,9 @@ FINE = 64
 #: Most rows of a bracket whose values are counted one by one.
 LIMIT = 100_000
 
+#: Counted digits that the driver looks through, where there are no groups.
+FEW = 200_000
+
 #: Places that a scan may count in all, and per bracket.
 PLACES = 1 << 21
 MOST_PLACES = 1 << 16
@@ -52,11 +55,58 @@ def _before(cells: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     return cells.withColumn("before", F.coalesce(F.sum("c").over(ahead), F.lit(0)))
 
 
-def _within(rows: DataFrame, brackets: DataFrame, group: Sequence[str]) -> DataFrame:
+def _within(rows: DataFrame, brackets: DataFrame, group: Sequence[str], small: bool = False) -> DataFrame:
     """The rows inside a bracket (group, lo, hi), with it. Brackets of a group do not overlap."""
     named = brackets.toDF(*[f"_{n}" for n in brackets.columns])
     lo, hi = named["_lo"], named["_hi"]
-    return rows.join(bounded_broadcast(named), _same(rows, named, group) & (rows["v"] >= lo) & (rows["v"] <= hi)).select(*rows.columns, lo.alias("lo"), hi.alias("hi"))
+    return rows.join(F.broadcast(named) if small else bounded_broadcast(named), _same(rows, named, group) & (rows["v"] >= lo) & (rows["v"] <= hi)).select(*rows.columns, lo.alias("lo"), hi.alias("hi"))
+
+
+def _flat_statistics(rows: DataFrame, probs: Sequence[float], limit: int) -> list[tuple] | None:
+    """(i, n, k, value) without groups: the counted digits are few and are looked through here, so that a scan is one job.
+
+    None where there are more digits than ``FEW``.
+    """
+    spark = rows.sparkSession
+    span = [F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+    cells = rows.groupBy("i", _first_digit(F.col("v")).alias("digit")).agg(*span).limit(FEW + 1).collect()
+    if len(cells) > FEW:
+        return None
+
+    def held(cells, asked: dict) -> list[tuple]:
+        """(i, n, k, lo, hi, before, c) of the asked ranks; ``asked`` has by (i, bracket) the rows ahead, n and the ranks."""
+        out, ahead = [], {}
+        for i, of, _, c, lo, hi in sorted(cells, key=lambda r: r[:3]):
+            start, n, ranks = asked[i, of]
+            before = ahead.setdefault((i, of), start)
+            out += [(i, n, k, lo, hi, before, c) for k in ranks if before <= k < before + c]
+            ahead[i, of] = before + c
+        return out
+
+    totals: dict[int, int] = {}
+    for r in cells:
+        totals[r["i"]] = totals.get(r["i"], 0) + r["c"]
+    asked = {(i, None): (0, n, sorted({k for p in probs for k in (int(p * (n - 1)), min(int(p * (n - 1)) + 1, n - 1))})) for i, n in totals.items()}
+    wanted = held([(r["i"], None, r["digit"], r["c"], r["lo"], r["hi"]) for r in cells], asked)
+    while crowd := [w for w in wanted if w[6] > limit and w[3] < w[4]]:
+        asked = {}
+        for i, n, k, lo, hi, before, _ in crowd:
+            asked.setdefault((i, lo), (before, n, []))[2].append(k)
+        brackets = sorted({(w[0], w[3], w[4]) for w in crowd})
+        places = max(16, min(MOST_PLACES, FEW // len(brackets)))
+        inside = _within(rows, spark.createDataFrame(brackets, "i int, lo double, hi double"), ["i"], True)
+        digit = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * places), F.lit(places - 1))
+        cut = inside.groupBy("i", F.col("lo").alias("of"), digit.alias("digit")).agg(*span).collect()
+        wanted = [w for w in wanted if not (w[6] > limit and w[3] < w[4])] + held([tuple(r) for r in cut], asked)
+    found = [(i, n, k, lo) for i, n, k, lo, hi, _, _ in wanted if not lo < hi]
+    ready = [w for w in wanted if w[3] < w[4]]
+    if ready:
+        inside = _within(rows, spark.createDataFrame(sorted({(w[0], w[3], w[4]) for w in ready}), "i int, lo double, hi double"), ["i"], True)
+        counted = _before(inside.groupBy("i", "lo", "v").agg(F.count("*").alias("c")), ["i", "lo"], "v").withColumnsRenamed({"i": "_i", "lo": "_lo"})
+        places = spark.createDataFrame([(i, lo, n, k, k - before) for i, n, k, lo, _, before, _ in ready], "i int, lo double, n long, k long, place long")
+        fits = (F.col("i") == F.col("_i")) & (F.col("lo") == F.col("_lo")) & (F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("c"))
+        found += [tuple(r) for r in counted.join(F.broadcast(places), fits).select("i", "n", "k", "v").collect()]
+    return found
 
 
 def order_statistics(df: DataFrame, keys: Sequence[str], values: Sequence[Column], probs: Sequence[float], limit: int = LIMIT) -> DataFrame:
@@ -121,10 +171,24 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], values: dict[str, Colu
     return per.select(*(F.col(g).alias(k) for g, k in zip(held, keys)), name.alias("column"), "prob", value.alias("value"))
 
 
+def _between(at: dict, i: int, n: int, p: float) -> float | None:
+    """The interpolated value of column ``i``."""
+    if not n:
+        return None
+    low = int(p * (n - 1))
+    a, b, part = at[i, low], at[i, min(low + 1, n - 1)], p * (n - 1) - low
+    return a if a == b or not part else a + (b - a) * part
+
+
 def exact_quantiles(df: DataFrame, values: dict[str, Column], probs: Sequence[float], limit: int = LIMIT) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of many expressions: a number per column and probability, None without values."""
     probs = [float(p) for p in probs]
     if not values:
         return {}
+    flat = _flat_statistics(_tall(df, [], list(values.values())), probs, limit)
+    if flat is not None:
+        at = {(i, k): v for i, _, k, v in flat}
+        sizes = {i: n for i, n, _, _ in flat}
+        return {name: [_between(at, i, sizes.get(i, 0), p) for p in probs] for i, name in enumerate(values)}
     got = {(r["column"], r["prob"]): r["value"] for r in grouped_quantiles(df, [], values, probs, limit).collect()}
     return {n: [got.get((n, p)) for p in probs] for n in values}

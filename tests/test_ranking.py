@@ -29,6 +29,9 @@ def test_exact_quantiles_match_numpy(spark, kind, limit):
     df = column(spark, list(x) + [None])
     got = exact_quantiles(df, {"x": F.col("x")}, probs, limit=limit)["x"]
     want = np.quantile(x, probs)
+    if kind in ("hot", "far"):  # and as of groups, by tables alone
+        again = {r.prob: r.value for r in grouped_quantiles(df, [], {"x": F.col("x")}, probs, limit=limit).collect()}
+        assert [again[p] for p in probs] == got
     assert np.all(np.abs(np.array(got) - want) <= 1e-12 * np.abs(want))
 
 

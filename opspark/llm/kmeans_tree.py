@@ -9,7 +9,8 @@
 4. Calibration compares some queries with every class, ranks the leaves of their true neighbours in the order in which the queue
    gives them out, and widens the number of visits until the wanted share of true neighbours is met.
 5. Leaves that lie side by side form bins of bounded size, and a large leaf is cut into blocks. A query is sent once to each bin
-   that it visits, compared there with the leaves it visits, and the best of all bins are joined and ranked.
+   that it visits and compared there with the leaves it visits. The sample in those leaves tells a score that enough classes
+   reach for certain, so a bin gives back only what is above it; the best of all bins are joined and ranked.
 """
 
 from __future__ import annotations
@@ -125,6 +126,8 @@ class Index:
     width: int
     scale: float
     longest: float
+    sample: np.ndarray | None = None  # the sample's vectors in order of leaf, and where each leaf's begin
+    begins: np.ndarray | None = None
     visits: int = 1
     recall: float | None = None
 
@@ -134,6 +137,21 @@ class Index:
         short = np.maximum(self.longest**2 - (x * x).sum(1), 0)
         return np.concatenate([x, np.sqrt(short)[:, None]], 1)
 
+    def hold(self, x: np.ndarray) -> None:
+        """Keep the sample by leaf."""
+        leaf = self.tree.file(self.points(x))
+        self.sample = x[np.argsort(leaf, kind="stable")]
+        self.begins = np.searchsorted(np.sort(leaf), np.arange(self.tree.leaves + 1))
+
+    def sure(self, q: np.ndarray, leaves: list[int], many: int) -> float:
+        """A score that ``many`` classes of these leaves reach for certain: those of the sample that lie there."""
+        parts = [self.sample[self.begins[i] : self.begins[i + 1]] for i in leaves]
+        score = np.concatenate(parts) @ q if parts else np.zeros(0)
+        if len(score) < many:
+            return -np.inf
+        # what is worked out elsewhere may differ in the last bits
+        return float(np.partition(score, len(score) - many)[len(score) - many] - 1e-9 * (np.abs(score).max() + np.sqrt(q @ q) * self.longest * self.scale))
+
     def question(self, q: np.ndarray) -> np.ndarray:
         """A query, as long as the longest vector."""
         q = q / np.abs(q).max()
@@ -145,8 +163,9 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def _filed(index: Index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _filed(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows with their leaf; a vector of another length than the tree's goes to the leaf -length."""
+    index = sent.value
     for b in batches:
         column = b.column("vector")
         length = np.diff(column.offsets.to_numpy())
@@ -188,13 +207,19 @@ def _against_all(names: list[bytes], q: np.ndarray, many: int, batches: Iterator
     yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(leaf[row, column]), pa.array(score[row, column])], names=["query", "leaf", "score"])
 
 
-def _routes(index: Index, bins: dict[int, tuple[int, int]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(class_id, bin, block, leaves, vector): each query once for each block of each bin that it visits."""
+def _routes(sent, bins: dict[int, tuple[int, int]], many: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class_id, bin, block, leaves, least, vector): each query once for each block of each bin that it visits.
+
+    ``least`` is a score that ``many`` classes of the leaves visited reach, so nothing below it needs to come back.
+    """
+    index = sent.value
     for b in batches:
-        ids, out_bin, out_block, out_leaves, row = b.column("class_id"), [], [], [], []
+        ids, out_bin, out_block, out_leaves, out_least, row = b.column("class_id"), [], [], [], [], []
         for i, vector in enumerate(b.column("vector")):
             q = np.array(vector.as_py(), float)
-            leaves = index.tree.visit(index.question(q), index.visits) if len(q) == index.width else [-len(q)]
+            own = len(q) == index.width
+            leaves = index.tree.visit(index.question(q), index.visits) if own else [-len(q)]
+            least = index.sure(q, leaves, many) if own else -np.inf
             wanted: dict[tuple[int, int], list[int]] = {}
             for leaf in leaves:
                 if leaf in bins:
@@ -205,11 +230,13 @@ def _routes(index: Index, bins: dict[int, tuple[int, int]], batches: Iterator[pa
                 out_bin.append(place)
                 out_block.append(block)
                 out_leaves.append(some)
+                out_least.append(least)
                 row.append(i)
         at = pa.array(row, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [ids.take(at), pa.array(out_bin, pa.int64()), pa.array(out_block, pa.int64()), pa.array(out_leaves, pa.list_(pa.int64())), b.column("vector").take(at)],
-            names=["class_id", "bin", "block", "leaves", "vector"])
+            [ids.take(at), pa.array(out_bin, pa.int64()), pa.array(out_block, pa.int64()), pa.array(out_leaves, pa.list_(pa.int64())), pa.array(out_least, pa.float64()),
+             b.column("vector").take(at)],
+            names=["class_id", "bin", "block", "leaves", "least", "vector"])
 
 
 def _compare(many: int, asking: pa.Table, filed: pa.Table) -> pa.Table:
@@ -219,6 +246,7 @@ def _compare(many: int, asking: pa.Table, filed: pa.Table) -> pa.Table:
         asking, filed = asking.combine_chunks(), filed.combine_chunks().sort_by("leaf")
         leaf = filed.column("leaf").to_numpy()
         first = filed.column("first").to_numpy()
+        least = asking.column("least").to_numpy()
         x, q = (_matrix(t.column("vector").combine_chunks()) if _even(t) else None for t in (filed, asking))
         asked: dict[int, list[int]] = {}
         for i, some in enumerate(asking.column("leaves").to_pylist()):
@@ -233,7 +261,8 @@ def _compare(many: int, asking: pa.Table, filed: pa.Table) -> pa.Table:
             c = x[low:high] if x is not None else _matrix(filed.column("vector").combine_chunks().slice(low, high - low))
             score = a @ c.T
             for j, i in enumerate(rows):
-                best = _best(many, score[j], first[low:high])
+                good = np.flatnonzero(score[j] >= least[i])
+                best = good[_best(many, score[j][good], first[low + good])]
                 per[i].append((best + low, score[j][best]))
         for i, parts in enumerate(per):
             if parts:
@@ -287,8 +316,9 @@ def fit(classes: DataFrame, sample: int = SAMPLE, leaf: int = LEAF_SAMPLE) -> In
     part = F.conv(F.substring(F.hex("class_id"), 1, 8), 16, 10).cast("long")
     taken = own.where(part < int(min(1.0, sample / width["count"]) * (1 << 32))).select("class_id", "vector").toArrow().sort_by("class_id")
     index = Index(Tree(), width["width"], scale, longest)
-    if len(taken):
-        index.tree = grow(index.points(_matrix(taken.column("vector").combine_chunks())), leaf=leaf)
+    x = _matrix(taken.column("vector").combine_chunks()) if len(taken) else np.zeros((0, index.width))
+    index.tree = grow(index.points(x), leaf=leaf) if len(x) else Tree(leaves=1)
+    index.hold(x)
     return index
 
 
@@ -345,13 +375,15 @@ def nearest(vectors: DataFrame, query: Column, k: int = 20, sample: int = SAMPLE
     asking = classes.where("asked > 0")
     if index is None or asking.isEmpty():
         return spark.createDataFrame([], empty), index
+    sent = spark.sparkContext.broadcast(index)  # the tree and its sample, of bounded size
     filed = cut_lineage(classes.select("class_id", "ids", "vector").mapInArrow(
-        partial(_filed, index), "class_id binary, leaf long, ids array<long>, vector array<double>"))
+        partial(_filed, sent), "class_id binary, leaf long, ids array<long>, vector array<double>"))
     index = calibrate(index, filed, asking, k, recall=recall)
     # one row per leaf, of which there are no more than the sample allows
     bins = _bins({r["leaf"]: r["count"] for r in filed.groupBy("leaf").count().collect()})
+    sent = spark.sparkContext.broadcast(index)  # calibrated now
     routes = cut_lineage(asking.select("class_id", "vector").mapInArrow(
-        partial(_routes, index, bins), "class_id binary, bin long, block long, leaves array<long>, vector array<double>"))
+        partial(_routes, sent, bins, k + 1), "class_id binary, bin long, block long, leaves array<long>, least double, vector array<double>"))
 
     # crowds of queries of a block are compared apart
     crowd = F.ceil(F.count("*") / ASKING).cast("int").alias("crowds")
@@ -361,7 +393,7 @@ def nearest(vectors: DataFrame, query: Column, k: int = 20, sample: int = SAMPLE
     stock = filed.join(places, "leaf").withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks").cast("long")))
     stock = stock.join(crowds, ["bin", "block"]).withColumn("crowd", F.explode(F.sequence(F.lit(0), F.col("crowds") - 1)))
     key = ["bin", "block", "crowd"]
-    left = asks.select(*key, "class_id", "leaves", "vector").groupBy(*key)
+    left = asks.select(*key, "class_id", "leaves", "least", "vector").groupBy(*key)
     right = stock.select(*key, "leaf", F.col("ids")[0].alias("first"), "ids", "vector").groupBy(*key)
     met = left.cogroup(right).applyInArrow(lambda asking, filed: _compare(k + 1, asking, filed), "query binary, ids array<long>, score double")
     near = met.select("query", F.explode("ids").alias("vec_id"), "score")

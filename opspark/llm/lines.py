@@ -196,8 +196,8 @@ def fuzzy_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ``row`` tells input rows apart, also those with null or repeated ids.
 
     Null counts as an empty text, which has one blank line. Blank lines are compared with nothing and kept; their class and
-    component are null. Of a component the occurrence with the smallest (doc_id, line) is kept, null ids last; rows of a
-    repeated doc_id that tie there are both kept. An empty table gives an empty table.
+    component are null. Of a component one occurrence is kept, that with the smallest (doc_id, line), null ids last; of rows of
+    a repeated doc_id that tie there, one. An empty table gives an empty table.
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), "text")
@@ -206,7 +206,7 @@ def fuzzy_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         texts.select("text").mapInArrow(_bands, "band long, class long")
         .repartition("band").sortWithinPartitions("band", "class").mapInArrow(_heads, "a long, b long")
     )
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "row")
     classes = lines.where("class is not null").groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"))
     classes = cut_lineage(classes)
     joined = verified_components(met, classes.select("class", "n"), texts.select("text"), _line_texts, percent, line_sets)

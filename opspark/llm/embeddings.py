@@ -178,27 +178,28 @@ def _compare(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, links, classes) of (vec_id, embedding, label).
+    """(members, links, classes) of (row, vec_id, embedding, label), where ``row`` is a number of each row's own.
 
-    ``members`` has (vec_id, class_id): a class is the rows with one label and one vector, named by its smallest
-    vec_id. ``links`` has each pair of linked classes once (a < b). ``classes`` has (class_id, copies). Rows with a
-    null label, and vectors that are null, empty, zero or hold null or non-finite components, are in none of them. Repeated rows
+    ``members`` has (row, class_id): a class is the rows with one label and one vector, named by its smallest
+    row. ``links`` has each pair of linked classes once (a < b). ``classes`` has (class_id, least, copies) with the smallest vec_id. Rows with a
+    null label or vec_id, and vectors that are null, empty, zero or hold null or non-finite components, are in none of them. Repeated rows
     are copies of each other. Vectors of unlike lengths never link.
     """
     small_batches(vectors.sparkSession)
     # one zero: -0.0 and 0.0 are the same component
     vector = F.transform(F.col("embedding"), lambda v: F.when(v == 0, 0).otherwise(v)).cast(dict(vectors.dtypes)["embedding"])
     usable = (
-        vectors.select("vec_id", "label", vector.alias("vector"))
+        vectors.select("row", "vec_id", "label", vector.alias("vector"))
         .where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & (F.size("vector") > 0))
         .where(F.forall("vector", lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False)) & ~F.isnan(v)) & F.exists("vector", lambda v: v != 0))
     )
     keyed = usable.withColumn("digest", F.md5(F.concat_ws(",", F.transform("vector", lambda v: v.cast("string")))))
-    grouped = keyed.groupBy("label", "digest").agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
+    grouped = keyed.groupBy("label", "digest").agg(
+        F.min("row").alias("class_id"), F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
     grouped = cut_lineage(grouped)
     names = grouped.select(F.col("label").alias("class_label"), F.col("digest").alias("class_digest"), "class_id")
-    members = keyed.select("vec_id", "label", "digest").join(
-        names, (F.col("label") == F.col("class_label")) & (F.col("digest") == F.col("class_digest"))).select("vec_id", "class_id")
+    members = keyed.select("row", "label", "digest").join(
+        names, (F.col("label") == F.col("class_label")) & (F.col("digest") == F.col("class_digest"))).select("row", "class_id")
     filed = cut_lineage(grouped.select("class_id", "label", "vector").mapInArrow(
         _hashed, f"class_id long, label {dict(vectors.dtypes)['label']}, side int, bucket long, looks boolean"))
     bucket = ["label", "side", "bucket"]
@@ -214,23 +215,39 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> tuple[DataFr
     meets = meets.join(grouped.select("class_id", "vector"), "class_id")
     key = [*bucket, "low", "high"]
     links = meets.repartition(*key).sortWithinPartitions(*key).mapInArrow(partial(_compare, threshold), "a long, b long").distinct()
-    return members, cut_lineage(links), grouped.select("class_id", "copies")
+    return members, cut_lineage(links), grouped.select("class_id", "least", "copies")
 
 
-def op4_cross_polytope(spark, folder: str) -> DataFrame:
-    """Links and components of all embeddings; a vector without a link is its own component."""
-    vectors = table(spark, folder, "embeddings")
+def numbered(vectors: DataFrame) -> DataFrame:
+    """(row, vec_id, embedding, label): every row with a number of its own, written down so that it stays."""
+    return cut_lineage(vectors.select("vec_id", "embedding", "label").withColumn("row", F.monotonically_increasing_id()))
+
+
+def linked_rows(vectors: DataFrame) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding, label).
+
+    Rows are told apart by a number of their own, so rows of one vec_id with different vectors have their own links. A row
+    that takes no part has no links and is its own component. A null vec_id takes no part: null component, not kept.
+    """
+    vectors = numbered(vectors)
     members, links, classes = near_duplicates(vectors)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    partners = both.join(classes.withColumnRenamed("class_id", "b"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
+    partners = both.join(classes.select(F.col("class_id").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
     known = classes.join(partners, F.col("class_id") == F.col("a"), "left").join(components(links), F.col("class_id") == F.col("node"), "left")
     known = cut_lineage(known.select(
-        F.col("class_id").alias("known_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "class_id").alias("component_id")))
-    placed = members.join(known, F.col("class_id") == F.col("known_id")).select(F.col("vec_id").alias("member_id"), "n_links", "component_id").distinct()
-    return vectors.select("vec_id").join(placed, F.col("vec_id") == F.col("member_id"), "left").select(
+        F.col("class_id").alias("known_id"), "least", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
+        F.coalesce("component", "class_id").alias("root")))
+    roots = known.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component_id"))
+    known = cut_lineage(known.join(roots, F.col("root") == F.col("of")).select("known_id", "n_links", "component_id"))
+    placed = members.join(known, F.col("class_id") == F.col("known_id")).select(F.col("row").alias("member"), "n_links", "component_id")
+    return vectors.select("row", "vec_id").join(placed, F.col("row") == F.col("member"), "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"),
-    ).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+def op4_cross_polytope(spark, folder: str) -> DataFrame:
+    """Links and components of all embeddings; a vector without a link is its own component."""
+    return linked_rows(table(spark, folder, "embeddings"))
 
 
 OP4_SQL = """

@@ -27,6 +27,12 @@ COMPOSED_PAGES = 1400
 EPOCHS = 5
 HIDDEN = 16
 
+#: Blocks times pages that are labelled at once.
+GROUP_BLOCKS = 1 << 14
+
+#: Blocks of a given page from which on it is no training page: composed pages have less, and one page should not be most of a batch.
+TRAIN_BLOCKS = 120
+
 TAGS, PATH, MARKS, WORDS, MEASURES = 24, 48, 96, 48, 8
 _WIDTH = TAGS + PATH + MARKS + WORDS + MEASURES
 
@@ -109,10 +115,13 @@ class Labeller:
         """Probability of main text for each block of each page."""
         order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: -len(pages[i]))
         out = [np.zeros(0, np.float32) for _ in pages]
-        for start in range(0, len(order), 64):
-            part = order[start : start + 64]
+        start = 0
+        while start < len(order):
+            # pages are filled up to the longest of their group: its length times the pages is bounded
+            part = order[start : start + max(1, min(64, GROUP_BLOCKS // len(pages[order[start]])))]
+            start += len(part)
             x, lengths = _padded([pages[i] for i in part])
-            p, _ = forward(self.weights, x, lengths)
+            p, _ = forward(self.weights, x, lengths, keep=False)
             for row, i in enumerate(part):
                 out[i] = p[: lengths[row], row]
         return out
@@ -130,8 +139,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _run(w: dict, side: str, x: np.ndarray, mask: np.ndarray):
-    """States of one direction over (time, page, width); where the mask is 0 the state stays as it is."""
+def _run(w: dict, side: str, x: np.ndarray, mask: np.ndarray, keep: bool = True):
+    """States of one direction over (time, page, width); where the mask is 0 the state stays as it is.
+
+    With ``keep`` also what the gradients need of each step.
+    """
     steps, n, _ = x.shape
     drive = x @ w[side + "x"] + w[side + "b"]
     h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
@@ -144,16 +156,17 @@ def _run(w: dict, side: str, x: np.ndarray, mask: np.ndarray):
         m = mask[t][:, None]
         c_new = m * (f * c + i * g) + (1 - m) * c
         tc = np.tanh(c_new)
-        kept.append((t, i, f, o, g, c, tc, h, m))
+        if keep:
+            kept.append((t, i, f, o, g, c, tc, h, m))
         h = m * (o * tc) + (1 - m) * h
         c = c_new
         states[t] = h
     return states, kept
 
 
-def forward(w: dict, x: np.ndarray, lengths: np.ndarray):
+def forward(w: dict, x: np.ndarray, lengths: np.ndarray, keep: bool = True):
     mask = (np.arange(len(x))[:, None] < lengths[None, :]).astype(np.float32)
-    ahead, back = _run(w, "f", x, mask), _run(w, "r", x, mask)
+    ahead, back = _run(w, "f", x, mask, keep), _run(w, "r", x, mask, keep)
     both = np.concatenate([ahead[0], back[0]], 2)
     return _sigmoid(both @ w["o"] + w["ob"]), (mask, ahead, back, both)
 
@@ -304,7 +317,7 @@ def learn(pages: DataFrame, seed: int = 5) -> Labeller:
     found = [blocks(r.html) for r in sample.orderBy("order", F.crc32(F.col("html").cast("binary"))).limit(SAMPLE_PAGES).collect()]
     rng, vectors = random.Random(seed), Vectors()
     texts = [b.text for p in found for b in p if len(b.text) > 40] or ["some words of a page without any text to learn from"]
-    known = [(p, y) for p in found if (y := weak_labels(p)) is not None and len(p) <= 120]
+    known = [(p, y) for p in found if (y := weak_labels(p)) is not None and len(p) <= TRAIN_BLOCKS]
     composed = [compose(texts, rng) for _ in range(COMPOSED_PAGES)]
     return train([(vectors.of(p), y) for p, y in known + composed if p], seed)
 

@@ -48,15 +48,21 @@ def shingles(hashes: Column, width: int) -> Column:
 
 
 def simhash(bag: Column) -> Column:
-    """64 bits: each set where more than half of the hashes have it. Four counters of 16 bits share a long."""
-    lanes = F.lit(0x0001000100010001)
+    """64 bits: each set where more than half of the hashes have it.
+
+    Up to 65 535 hashes four counters of 16 bits share a long; beyond, every bit has a counter of its own.
+    """
+    lanes, half = F.lit(0x0001000100010001), F.size(bag)
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k)
+    none = F.lit(0).cast("long")
     total = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: F.aggregate(
-        bag, F.lit(0).cast("long"), lambda a, h: a + F.call_function("shiftrightunsigned", h, k).bitwiseAND(lanes)))
-    half = F.size(bag)
-    bits = F.transform(total, lambda s, k: sum((
-        F.when(F.shiftrightunsigned(s, 16 * j).bitwiseAND(F.lit(0xFFFF)) * 2 > half, F.call_function("shiftleft", F.lit(1).cast("long"), k + 16 * j)).otherwise(F.lit(0).cast("long"))
-        for j in range(1, 4)), F.when(s.bitwiseAND(F.lit(0xFFFF)) * 2 > half, F.call_function("shiftleft", F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long"))))
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+        bag, none, lambda a, h: a + F.call_function("shiftrightunsigned", h, k).bitwiseAND(lanes)))
+    packed = F.transform(total, lambda s, k: sum((
+        F.when(F.shiftrightunsigned(s, 16 * j).bitwiseAND(F.lit(0xFFFF)) * 2 > half, bit(k + 16 * j)).otherwise(none)
+        for j in range(1, 4)), F.when(s.bitwiseAND(F.lit(0xFFFF)) * 2 > half, bit(k)).otherwise(none)))
+    apart = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.when(F.aggregate(
+        bag, none, lambda a, h: a + F.call_function("shiftrightunsigned", h, k).bitwiseAND(F.lit(1).cast("long"))) * 2 > half, bit(k)).otherwise(none))
+    return F.aggregate(F.when(half < 1 << 16, packed).otherwise(apart), none, lambda a, b: a.bitwiseOR(b))
 
 
 def numbered(bag: Column) -> Column:

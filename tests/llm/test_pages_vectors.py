@@ -59,6 +59,28 @@ def test_blocks():
     assert len(blocks("<div>" * 2000 + "deep")) == 1
 
 
+def test_broken_and_unusual_tags():
+    texts = lambda h: [b.text for b in blocks(h)]
+    assert texts("<article><p>one</p><svg><p>two</p><p>three</p></article>") == ["one", "two", "three"]
+    assert texts("<p>a<svg><text>no</text></svg>b<select><option>no</select>c") == ["a", "b", "c"]
+    assert texts("<p>so <math><mi>E</mi><mo>=</mo><mi>m</mi></math> it is") == ["so E=m it is"]
+    assert texts("<div title='it's'>text</div><p title='a > b'>more</p>") == ["text", "more"]
+    assert texts('<a href="no end>text') == ["text"] and texts("<p>kept<script>var a = '<p>no'") == ["kept"]
+    assert texts("a <b and c < d") == ["a <b and c < d"]
+    deep = blocks("<article class=x>" + "<div>" * 5000 + "<p>in</p>" + "</div>" * 5000 + "<p>after</p></article><p>outside")
+    assert [b.text for b in deep] == ["in", "after", "outside"]
+    assert deep[0].path[0] == "article" and deep[1].path == ("article", "p") and deep[2].path == ("p",)
+
+
+def test_time_is_linear_in_broken_pages():
+    import time
+
+    start = time.perf_counter()
+    for piece in ('<a "', "<svg>x", "<div>", "<b><div>x</div></i>", "<a b='", "<p title=\"x'>y"):
+        blocks(piece * (2_000_000 // len(piece)))
+    assert time.perf_counter() - start < 120
+
+
 @pytest.fixture(scope="module")
 def labeller(spark):
     return html_labeller.learn(spark.read.parquet(f"{SF}/pages.parquet"))
@@ -95,6 +117,41 @@ def test_given_pages(spark, labeller):
     assert {r.page_id: r.text for r in html_labeller.extract(pages, labeller).collect()} == want
 
 
+def test_labels_do_not_depend_on_the_group(labeller, monkeypatch):
+    """One page of very many blocks beside small ones: groups are bounded, and a page is labelled as if it were alone."""
+    vectors = html_labeller.Vectors()
+    small = [vectors.of(blocks("<nav><a href=x>home</a></nav><article>" + f"<p>Some words of text number {i}.</p>" * (i % 7 + 1) + "</article>")) for i in range(63)]
+    large = vectors.of(blocks("<article>" + "<p>word</p>" * 100_000 + "</article>"))
+    sizes = []
+    padded = html_labeller._padded
+    monkeypatch.setattr(html_labeller, "_padded", lambda pages: sizes.append(len(pages) * max(map(len, pages))) or padded(pages))
+    together = labeller.label([*small, large])
+    assert len(together[-1]) == 100_000 and max(sizes) == 100_000 and sorted(sizes)[-2] <= html_labeller.GROUP_BLOCKS
+    for i in (0, 5, 62):
+        assert np.allclose(together[i], labeller.label([small[i]])[0], atol=1e-5)
+
+
+def test_hand_labelled_layouts_without_article_elements(labeller):
+    """Layouts that the generator did not make: what is main text is marked by hand."""
+    vectors = html_labeller.Vectors()
+    menu = '<div class="menu"><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li><li><a href="/c">Contact</a></li></ul></div>'
+    foot = '<div id="footer"><p>Copyright 2020 by the makers. All rights reserved.</p></div>'
+    text = "The river rose again in the night, and by the morning the lower road was gone. Nobody had expected it so early in the year."
+    pages = [
+        f'<body>{menu}<div id="content"><h1>*A flood</h1><p>*{text}</p><p>*{text}</p></div>{foot}</body>',
+        f'<body><table><tr><td>{menu}</td><td class="story"><p>*{text}</p><p>*{text}</p><p>*{text}</p></td></tr></table>{foot}</body>',
+        f'<body>{menu}<main><h2>*A flood</h2><p>*{text}</p><blockquote>*{text}</blockquote></main><div class="comments"><div class="comment"><p>I saw it too!</p></div></div>{foot}</body>',
+        f'<body>{menu}<div class="cookie-notice"><p>We use cookies. Accept all?</p></div><div class="post"><p>*{text}</p><p>*{text}</p></div><form class="newsletter"><p>Sign up</p><input></form>{foot}</body>',
+    ]
+    right = total = 0
+    for page in pages:
+        found = blocks(page)
+        want = [b.text.startswith("*") for b in found]
+        got = labeller.label([vectors.of([b._replace(text=b.text.lstrip("*")) for b in found])])[0] >= 0.5
+        right, total = right + sum(a == b for a, b in zip(want, got)), total + len(want)
+    assert right >= 0.9 * total
+
+
 def test_odd_pages(spark, labeller):
     rows = [(1, None, None), (None, "u", ""), (2, "u", "no markup at all"), (3, "u", "<article>" + "<p>long text here.</p>" * 5000 + "</article>"), (3, "u", "<")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text")
@@ -116,8 +173,10 @@ def test_links_against_all_pairs(spark):
     rows = [(i, v.tolist(), int(i % 3 == 0)) for i, v in enumerate(x)]
     rows += [(500, None, 1), (501, [0.0] * 16, 1), (502, [float("nan")] * 16, 1), (503, [1.0, None] + [0.0] * 14, 1), (504, x[8].tolist(), None), (505, [float("inf")] * 16, 0), (506, [], 0), (507, [1.0, 2.0], 0), (None, x[3].tolist(), 0)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr("*", "1 AS class_id")
-    members, links, classes = embeddings.near_duplicates(df)
-    of = {r.vec_id: r.class_id for r in members.collect()}
+    kept = embeddings.numbered(df)
+    ids = {r.row: r.vec_id for r in kept.collect()}
+    members, links, classes = embeddings.near_duplicates(kept)
+    of = {ids[r.row]: r.class_id for r in members.collect()}
     assert set(of) == {*range(480), 507} and of[9] == of[8] if rows[9][2] == rows[8][2] else True
     found = {(r.a, r.b) for r in links.collect()}
     unit = embeddings.unit(x)
@@ -127,16 +186,26 @@ def test_links_against_all_pairs(spark):
             if rows[i][2] == rows[j][2] and of[i] != of[j] and unit[i] @ unit[j] >= 0.93:
                 want.add((min(of[i], of[j]), max(of[i], of[j])))
     assert found <= want and len(found) >= 0.99 * len(want) > 100
-    none = embeddings.near_duplicates(df.limit(0))
+    none = embeddings.near_duplicates(embeddings.numbered(df.limit(0)))
     assert [t.count() for t in none] == [0, 0, 0]
 
 
+def test_rows_of_repeated_and_null_ids(spark):
+    """A row per vector, whatever its id: rows of one id with two vectors keep their own links."""
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.99, 0.05, 0.0]
+    rows = [(1, a, 0), (1, b, 0), (3, c, 0), (3, b, 0), (5, None, 0), (5, a, 0), (None, a, 0), (7, [0.0, 0.0, 2.0], 0), (7, [0.0, 0.0, 2.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr("*", "1 AS row", "2 AS class_id")
+    got = sorted((tuple(r) for r in embeddings.linked_rows(df).collect()), key=str)
+    want = [(1, 2, 1, True), (1, 1, 1, True), (3, 2, 1, False), (3, 1, 1, False), (5, 0, 5, True), (5, 2, 1, False), (None, 0, None, False), (7, 1, 7, True), (7, 1, 7, True)]
+    assert got == sorted(want, key=str)
+
+
 def test_crowded_bucket_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "BLOCK", 64)
     rng = np.random.default_rng(1)
     x = rng.normal(size=8) + rng.normal(size=(400, 8)) * 0.05
     df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
-    _, links, _ = embeddings.near_duplicates(df)
+    _, links, _ = embeddings.near_duplicates(embeddings.numbered(df))
     unit = embeddings.unit(x.astype(np.float32).astype(float))
     want = np.triu(unit @ unit.T >= 0.93, 1).sum()
     assert links.count() == want == links.distinct().count()

@@ -103,6 +103,11 @@ def test_lines_of_null_and_repeated_ids_stay_apart(spark, folder):
     assert sorted(got, key=str) == sorted([(1, 1, 1, ()), (None, 2, 1, (1,)), (None, 3, 2, (2,)), (3, 1, 1, ()), (3, 3, 2, (0,))], key=str)
 
 
+def test_one_line_stays_where_places_tie(spark):
+    df = spark.createDataFrame([(5, "one line that is the same in both rows"), (5, "one line that is the same in both rows"), (5, "one line that is the same in both rows!")], "doc_id long, text string")
+    assert sum(r.kept for r in lines.fuzzy_lines(df).collect()) == 1
+
+
 def _bands_of(texts):
     import pyarrow as pa
 
@@ -300,3 +305,17 @@ def test_pipeline_null_and_repeated_ids(spark, folder):
     spark.createDataFrame([(1, brute.PROSE)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_contaminated(spark, df, folder).collect()]
     assert sorted(got, key=str) == sorted([x for x in rows if x[1] != brute.PROSE], key=str)
+
+
+def test_fingerprints_of_very_many_hashes(spark):
+    """Counters of one bit don't run into the next: one hash 70 000 times, and more hashes than a short counter counts."""
+    from opspark.llm import decontaminate
+
+    many = spark.range(1).select(F.array_repeat(F.lit(0x0123456789ABCDEF), 70_000).alias("a"), F.transform(F.sequence(F.lit(1), F.lit(140_001)), lambda i: F.xxhash64(i)).alias("b"))
+    row = many.select(decontaminate.simhash(F.col("a")).alias("a"), decontaminate.simhash(F.col("b")).alias("b"), F.col("b").alias("all")).first()
+    import numpy as np
+
+    assert row.a == 0x0123456789ABCDEF
+    bits = (np.array(row["all"], np.int64).view(np.uint64)[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+    want = sum(1 << int(k) for k in np.flatnonzero(bits.sum(0) * 2 > 140_001))
+    assert row.b & (1 << 64) - 1 == want

@@ -99,11 +99,11 @@ def categories(df: DataFrame, col: str) -> DataFrame:
     """Sorted classes with codes 0..k-1, as ``(category, code)``.
 
     Codes are running counts over the distinct classes, so neither the driver
-    nor one task has to hold them all.
+    nor one task has to hold them all. The table is written down, so that it is worked out once.
     """
     seen = df.select(F.col(col).alias("category")).where("category is not null").distinct()
     coded = running_totals(seen.withColumn("_one", F.lit(1)), [], "category", ["_one"])
-    return coded.select("category", (F.col("cum__one") - 1).cast("int").alias("code"))
+    return cut_lineage(coded.select("category", (F.col("cum__one") - 1).cast("int").alias("code")))
 
 
 def label_encode(df: DataFrame, col: str, table: DataFrame) -> DataFrame:
@@ -166,11 +166,11 @@ def fit_encoders(df: DataFrame, method: str = "target", label: str = "target") -
     fitted: dict = {"method": method, "columns": {}}
     for c in cols:
         if method == "onehot":
-            table = cut_lineage(categories(df, c))
+            table = categories(df, c)
             size = table.count()
             fitted["columns"][c] = [r["category"] for r in table.orderBy("code").collect()] if size <= MAX_ONE_HOT else (table, size)
         elif method == "label":
-            fitted["columns"][c] = cut_lineage(categories(df, c))
+            fitted["columns"][c] = categories(df, c)
         elif label in df.columns:
             fitted["columns"][c] = cut_lineage(fit_target_means(df, c, label))
     return fitted

@@ -184,15 +184,32 @@ def schema_errors(df: DataFrame, expected: dict[str, str]) -> list[str]:
     return errors
 
 
+#: What a value is tried to be cast to, by expected family; other families name a type.
+CAST_OF = {"int": "bigint", "float": "double", "bool": "boolean", "datetime": "timestamp"}
+
+
 def schema_check(df: DataFrame, expected: dict[str, str]) -> DataFrame:
-    """One row per expected column that is missing or of another type family: ``column, expected, error``."""
+    """One row per expected column: ``column, expected, error, rows, nulls, rejected``.
+
+    ``error`` is ``missing``, ``type`` for another type family, or null. Rows, nulls and the values that can't be
+    cast to the expected family are counted in one scan; the last two are null for a missing column.
+    """
     kinds = {f.name: f.dataType for f in df.schema}
 
     def fits(name: str, family: str) -> bool:
         return isinstance(kinds[name], TYPE_FAMILIES[family]) if family in TYPE_FAMILIES else kinds[name].simpleString() == family
 
-    wrong = [(n, f, "type" if n in kinds else "missing") for n, f in expected.items() if n not in kinds or not fits(n, f)]
-    return df.sparkSession.createDataFrame(wrong, "column string, expected string, error string")
+    aggs, items = [F.count("*").alias("rows")], []
+    for i, (name, family) in enumerate(expected.items()):
+        error = None if name in kinds and fits(name, family) else "type" if name in kinds else "missing"
+        nulls = rejected = F.lit(None).cast("bigint")
+        if name in kinds:
+            v = F.col(f"`{name}`")
+            aggs += [F.count_if(v.isNull()).alias(f"n{i}"), F.count_if(v.isNotNull() & v.try_cast(CAST_OF.get(family, family)).isNull()).alias(f"r{i}")]
+            nulls, rejected = F.col(f"n{i}"), F.col(f"r{i}")
+        items.append(F.struct(F.lit(name).alias("column"), F.lit(family).alias("expected"), F.lit(error).cast("string").alias("error"),
+                              F.col("rows"), nulls.alias("nulls"), rejected.alias("rejected")))
+    return df.agg(*aggs).select(F.explode(F.array(*items)).alias("r")).select("r.*")
 
 
 def expectations(df: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:

@@ -119,9 +119,17 @@ def _(spark, sf):
 @query("schema_check", "A8 U3", """
 WITH have AS (SELECT column_name, column_type FROM (DESCRIBE SELECT * FROM orders)),
 wanted(column_name, family, types) AS (VALUES ('o_orderkey', 'int', ['TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT']),
-  ('o_totalprice', 'string', ['VARCHAR']), ('o_comment_count', 'int', ['BIGINT']), ('o_orderstatus', 'string', ['VARCHAR']))
-SELECT column_name AS "column", family AS expected, CASE WHEN column_type IS NULL THEN 'missing' ELSE 'type' END AS error
-FROM wanted LEFT JOIN have USING (column_name) WHERE column_type IS NULL OR NOT list_contains(types, column_type)""")
+  ('o_totalprice', 'string', ['VARCHAR']), ('o_comment_count', 'int', ['BIGINT']), ('o_orderstatus', 'string', ['VARCHAR']), ('o_orderpriority', 'int', ['BIGINT'])),
+o AS (SELECT *, o_orderpriority[1:1] || CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'x' END AS p FROM orders),
+c(column_name, nulls, rejected) AS (SELECT 'o_orderkey', count(*) FILTER (o_orderkey IS NULL), count(*) FILTER (o_orderkey IS NOT NULL AND TRY_CAST(o_orderkey AS BIGINT) IS NULL) FROM o
+  UNION ALL SELECT 'o_totalprice', count(*) FILTER (o_orderkey % 7 = 0), 0 FROM o UNION ALL SELECT 'o_orderstatus', count(*) FILTER (o_orderstatus IS NULL), 0 FROM o
+  UNION ALL SELECT 'o_orderpriority', count(*) FILTER (p IS NULL), count(*) FILTER (p IS NOT NULL AND TRY_CAST(p AS BIGINT) IS NULL) FROM o)
+SELECT column_name AS "column", family AS expected, CASE WHEN column_type IS NULL THEN 'missing' WHEN NOT list_contains(types, column_type) THEN 'type' END AS error,
+  (SELECT count(*) FROM orders) AS rows, nulls, rejected
+FROM wanted LEFT JOIN have USING (column_name) LEFT JOIN c USING (column_name)""")
 def _(spark, sf):
-    return pf.schema_check(table(spark, sf, "orders"), {
-        "o_orderkey": "int", "o_totalprice": "string", "o_comment_count": "int", "o_orderstatus": "string"})
+    o = table(spark, sf, "orders")
+    o = o.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice"))).withColumn(
+        "o_orderpriority", F.concat(F.substring("o_orderpriority", 1, 1), F.when(F.col("o_orderkey") % 3 == 0, "").otherwise("x")))
+    return pf.schema_check(o, {
+        "o_orderkey": "int", "o_totalprice": "string", "o_comment_count": "int", "o_orderstatus": "string", "o_orderpriority": "int"})

@@ -168,11 +168,27 @@ def test_knn_over_many_coordinates(spark):
     want = knn_brute(rows, cols, 5)
     got = {r.k: r for r in pr.knn_impute(df, "k", cols, 5, 20).collect()}
     assert all(math.isclose(got[k][c], v, rel_tol=1e-9) for (k, c), v in want.items()) and want
-    # more coordinates than cuts for all of them: cells along the widest still part the groups
     plan = neighbours.nearest_means(df, "k", "c0", cols[1:], 13, 5, 20)
     assert plan.count() == 6
 
 
+def test_leaves_seen_by_a_gap_do_not_grow_with_the_donors(spark):
+    from opspark.operators import neighbours
+
+    def spot(seed, c):
+        return (F.pmod(F.xxhash64("id", F.lit(seed), F.lit(c)), F.lit(1 << 30)) / float(1 << 30)).alias(c)
+
+    seen, sizes = [], []
+    gaps = spark.range(200).select(F.col("id").alias("_key"), spot(1, "a"), spot(1, "b"))
+    for many in (5_000, 100_000):
+        donors = spark.range(many).select(F.col("id").alias("_donor"), F.col("id").cast("double").alias("_value"), spot(2, "a"), spot(2, "b"))
+        levels, placed = neighbours.partition_tree(donors, ["a", "b"], 64)
+        sizes.append(placed.groupBy("node").count().agg(F.max("count"), F.count("*"), F.sum("count")).first())
+        seen.append(neighbours.leaf_visits(gaps, levels, ["a", "b"], 5).count() / 200)
+    assert all(s[0] <= 64 for s in sizes) and sizes[1][1] > 1500 and [s[2] for s in sizes] == [5_000, 100_000]
+    assert seen[1] < 1.5 * seen[0] < 40
+
+
 def test_whole_preparation(sample, spark, folder):
     from opspark.sources.sinks import write_splits
 

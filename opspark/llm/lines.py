@@ -3,9 +3,9 @@
 1. A line (trimmed; A-Z lower-cased) is a class by the 64-bit hash of its characters, so exact repeats are one class.
 2. Its character shingles fill the bins of a one-permutation MinHash signature; empty bins borrow from full ones, drawn at
    random but alike for all lines, so that the bins of a band stay apart. Bands of five bins give 13 keys: lines at a similarity of 0.8 meet in one with a chance above 0.99.
-3. One task reads a key's classes as a sorted stream and gives one candidate edge per class, to the head.
-4. Candidate groups are compared exactly, in blocks, by the Jaccard similarity of their shingle sets, and alternating
-   star steps join the true links to components (both shared with the n-gram join).
+3. Classes of one band key are a bucket; keys that hold the same classes are one. A class's line is sent to each of its buckets.
+4. In a bucket all pairs are compared exactly by the Jaccard similarity of their shingle sets, a large bucket in pairs of
+   blocks. Nothing is compared that met in no band. Alternating star steps join the true links to components.
 5. Of each component the occurrence with the smallest (doc_id, line number) stays.
 """
 
@@ -19,15 +19,25 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from opspark.llm.common import _BASE, _BASE_INVERSE, _powers, chunks, mix, small_batches, table, texts_of
-from opspark.llm.ngram_join import _batch, verified_components
-from opspark.session import cut_lineage
+from opspark.llm.common import _BASE, _BASE_INVERSE, CHUNK_BYTES, _powers, chunks, components, mix, small_batches, table, texts_of
+from opspark.llm.ngram_join import _batch, linked
+from opspark.session import bounded_broadcast, cut_lineage
 
 #: Characters in a shingle; a shorter line is one shingle.
 SHINGLE = 5
 BANDS, ROWS = 13, 5
 PERCENT = 80
 
+#: Bounds of a block of a bucket.
+BLOCK_LINES = 512
+BLOCK_BYTES = 2_000_000
+
+#: Buckets of at most so many classes are compared many at once.
+SMALL = 32
+
+#: The largest size, as a power of two, of the bits that tell which lines are sent.
+MAX_BITS = 26
+
 _BINS = BANDS * ROWS
 #: The value of each letter of the basic plane; A-Z count as a-z.
 _LETTER = mix(np.arange(1 << 16, dtype=np.uint64) + np.uint64(0x51ED27))
@@ -93,14 +103,14 @@ def _chunked(column: pa.Array) -> Iterator[tuple[int, Lines]]:
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, line, class, n, row) of each line; class is null for a blank one, row is a number of the text's own."""
+    """(doc_id, line, class, row) of each line; class is null for a blank one, row is a number of the text's own."""
     base = TaskContext.get().partitionId() << 40
     for b in batches:
         ids = b.column("doc_id")
         for start, lines in _chunked(b.column("text")):
             yield _batch({
                 "doc_id": ids.take(pa.array(lines.row + start)), "line": pa.array(lines.number, pa.int32()),
-                "class": pa.array(lines.names(), pa.int64(), mask=lines.blank), "n": pa.array(lines.end - lines.start, pa.int64()),
+                "class": pa.array(lines.names(), pa.int64(), mask=lines.blank),
                 "row": pa.array(lines.row + (base + start), pa.int64())})
         base += len(ids)
 
@@ -148,46 +158,195 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch({"band": band.ravel().view(np.int64), "class": np.repeat(names, BANDS)})
 
 
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each class with the first class of its band, from rows sorted by (band, class)."""
-    band = head = None
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(band, class) of the bands that several classes share, each once, from rows sorted by (band, class).
+
+    All that is carried from batch to batch is the last row, and whether it was given.
+    """
+    carried, given = None, False
     for b in batches:
         bands, names = (b.column(c).to_numpy() for c in ("band", "class"))
         if not len(bands):
             continue
-        start = np.ones(len(bands), bool)
-        start[1:] = bands[1:] != bands[:-1]
-        first = np.maximum.accumulate(np.where(start, np.arange(len(bands)), 0))
-        heads = names[first]
-        if bands[0] == band:
-            heads[first == 0] = head
-        band, head = bands[-1], heads[-1]
-        apart = heads != names
-        if apart.any():
-            edges = np.unique(np.stack([heads[apart], names[apart]], 1), axis=0)
-            yield _batch({"a": edges[:, 0], "b": edges[:, 1]})
-
-
-def _line_texts(column: pa.Array, wanted) -> Iterator[tuple[int, bytes]]:
-    """(class, trimmed line): a text is an eighth of the hashes of its shingles."""
-    for _, lines in _chunked(column):
-        names, first = np.unique(lines.names(), return_index=True)
-        for name, i in zip(names.tolist(), first.tolist()):
-            if not lines.blank[i] and wanted(name):
-                yield name, lines.letters[lines.start[i] : lines.end[i]].tobytes().decode("utf-32-le").encode()
-
-
-def line_sets(payloads: list[bytes]) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of lines."""
-    out = []
-    offsets = np.concatenate([[0], np.cumsum([len(p) for p in payloads])])
-    data = np.frombuffer(b"".join(payloads), np.uint8)
+        if carried:
+            bands, names = np.concatenate([carried[0], bands]), np.concatenate([carried[1], names])
+        new = np.ones(len(bands), bool)
+        new[1:] = (bands[1:] != bands[:-1]) | (names[1:] != names[:-1])
+        bands, names = bands[new], names[new]
+        same = bands[1:] == bands[:-1]
+        shared = np.zeros(len(bands), bool)
+        shared[1:] |= same
+        shared[:-1] |= same
+        last = shared[-1] or given and len(bands) == 1
+        if given:
+            shared[0] = False
+        if shared.any():
+            yield _batch({"band": bands[shared], "class": names[shared]})
+        carried, given = (bands[-1:], names[-1:]), bool(last)
+
+
+def _class_bits(members: DataFrame) -> np.ndarray:
+    """Bits that tell whether a class may be in ``members``, sixteen a class, 2^26 at most; a join settles the rest."""
+    classes = members.select("class").distinct()
+    size = 1 << min(max((16 * classes.count()).bit_length(), 16), MAX_BITS)
+    place = F.pmod("class", F.lit(size))
+    words = np.zeros(size // 64, np.uint64)
+    for r in classes.groupBy(F.floor(place / 64).cast("int").alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(class, {size}) % 64 AS INT))")).alias("bits")
+    ).collect():  # size / 64 rows
+        words[r["word"]] = np.uint64(r["bits"] & 0xFFFFFFFFFFFFFFFF)
+    return words
+
+
+def _line_texts(bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, line) of the trimmed lines whose bit is set, once in a partition: a line is an eighth of its hashes."""
+    words, seen = bits.value, set()
+    for b in batches:
+        names, found, held = [], [], 0
+        for _, lines in _chunked(b.column("text")):
+            every = lines.names()
+            place = every.view(np.uint64) & np.uint64(64 * len(words) - 1)
+            hit = (words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool) & ~lines.blank
+            for i in np.flatnonzero(hit).tolist():
+                if (name := int(every[i])) in seen:
+                    continue
+                seen.add(name)
+                names.append(name)
+                found.append(lines.letters[lines.start[i] : lines.end[i]].tobytes().decode("utf-32-le"))
+                held += len(found[-1])
+                if held > CHUNK_BYTES:
+                    yield _batch({"class": np.array(names), "line": pa.array(found, pa.string())})
+                    names, found, held = [], [], 0
+        if names:
+            yield _batch({"class": np.array(names), "line": pa.array(found, pa.string())})
+
+
+def _shingles_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of lines, and how many each has."""
+    data, offsets = texts_of(pa.array(texts, pa.large_string()))
+    parts = []
     for start, stop in chunks(offsets):
         part = offsets[start : stop + 1]
-        hashes, many = (lines := Lines(data[part[0] : part[-1]], part - part[0])).shingles(np.arange(stop - start))
-        at = np.concatenate([[0], np.cumsum(many)])
-        out += [np.unique(hashes[at[i] : at[i + 1]]) for i in range(len(lines.row))]
-    return out
+        parts.append(Lines(data[part[0] : part[-1]], part - part[0]).shingles(np.arange(stop - start)))
+    return np.concatenate([h for h, _ in parts]), np.concatenate([m for _, m in parts])
+
+
+def line_sets(texts: list[str]) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of lines."""
+    hashes, many = _shingles_of(texts)
+    at = np.concatenate([[0], np.cumsum(many)])
+    return [np.unique(hashes[at[i] : at[i + 1]]) for i in range(len(many))]
+
+
+def linked_inside(texts: list[str], group: np.ndarray, percent: int) -> np.ndarray:
+    """(i, j) of all similar lines of one group, for many small groups at once; rows of a group stand together."""
+    hashes, many = _shingles_of(texts)
+    row = np.repeat(np.arange(len(texts)), many)
+    # each shingle of a line once; then by (group, shingle)
+    _, once = np.unique(mix(hashes ^ mix(row.astype(np.uint64) + np.uint64(1))), return_index=True)
+    row, hashes = row[once], hashes[once]
+    sizes = np.bincount(row, minlength=len(texts))
+    key = mix(hashes ^ mix(group[row].astype(np.uint64) + np.uint64(0x77)))
+    order = np.argsort(key)
+    key, row = key[order], row[order]
+    # a cell counts what two lines of a group share
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    m = np.diff(np.append(starts, len(texts)))
+    cells = np.concatenate([[0], np.cumsum(m * m)])
+    number = np.repeat(np.arange(len(m)), m)
+    shared = np.zeros(cells[-1], np.int64)
+    for step in range(1, int(m.max())):
+        near = np.flatnonzero(key[step:] == key[:-step])
+        if not len(near):
+            break
+        low, high = np.minimum(row[near], row[near + step]), np.maximum(row[near], row[near + step])
+        g = number[low]
+        shared += np.bincount(cells[g] + (low - starts[g]) * m[g] + high - starts[g], minlength=len(shared))
+    cell = np.flatnonzero(shared)
+    g = np.searchsorted(cells, cell, side="right") - 1
+    i, j = starts[g] + (cell - cells[g]) // m[g], starts[g] + (cell - cells[g]) % m[g]
+    ok = 100 * shared[cell] >= percent * (sizes[i] + sizes[j] - shared[cell])
+    return np.stack([i[ok], j[ok]], 1)
+
+
+def _stars(pairs: np.ndarray, names: np.ndarray) -> pa.RecordBatch | None:
+    """Edges that join the same rows as the pairs do, each row with the smallest it reaches."""
+    if not len(pairs):
+        return None
+    i, j = pairs[:, 0], pairs[:, 1]
+    label, before = np.arange(len(names)), None
+    while before is None or (label != before).any():
+        before = label.copy()
+        np.minimum.at(label, j, before[i])
+        np.minimum.at(label, i, before[j])
+        label = label[label]
+    at = np.flatnonzero(label != np.arange(len(names)))
+    return _batch({"a": names[label[at]], "b": names[at]})
+
+
+def _verify(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spanning links of each bucket, from rows sorted by (bucket, low, high): small ones together, large ones alone."""
+    small: list[tuple] = []
+    unit: list[tuple] = []
+    held = 0
+
+    def of_small() -> pa.RecordBatch | None:
+        group = np.cumsum([0, *(x[:3] != y[:3] for x, y in zip(small, small[1:]))])
+        return _stars(linked_inside([r[4] for r in small], group, percent), np.array([r[3] for r in small]))
+
+    def of_unit() -> pa.RecordBatch | None:
+        block = np.array([r[5] for r in unit])
+        found = linked(line_sets([r[4] for r in unit]), percent, block == unit[0][1], block == unit[0][2])
+        return _stars(found, np.array([r[3] for r in unit]))
+
+    for b in batches:
+        for row in zip(*(b.column(c).to_pylist() for c in ("bucket", "low", "high", "class", "line", "block"))):
+            if unit and unit[0][:3] != row[:3]:
+                if len(unit) > SMALL:
+                    if (got := of_unit()) is not None:
+                        yield got
+                elif len(unit) > 1:
+                    small += unit
+                    held += sum(len(r[4]) for r in unit)
+                unit = []
+                if held > CHUNK_BYTES:
+                    if (got := of_small()) is not None:
+                        yield got
+                    small, held = [], 0
+            unit.append(row)
+    if len(unit) > SMALL:
+        if (got := of_unit()) is not None:
+            yield got
+    else:
+        small += unit
+    if small and (got := of_small()) is not None:
+        yield got
+
+
+def linked_lines(texts: DataFrame, percent: int) -> DataFrame:
+    """(class, root) of every class of lines that is truly linked to another."""
+    spark = texts.sparkSession
+    met = cut_lineage(
+        texts.mapInArrow(_bands, "band long, class long")
+        .repartition("band").sortWithinPartitions("band", "class").mapInArrow(_met, "band long, class long"))
+    # bands that hold the same classes are one bucket
+    digest = [F.count("*").alias("m"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "class")).alias("y")]
+    buckets = met.groupBy("band").agg(*digest).groupBy("m", "x", "y").agg(F.min("band").alias("band")).select("band")
+    members = cut_lineage(met.join(buckets, "band").select("class", F.col("band").alias("bucket")))
+    bits = spark.sparkContext.broadcast(_class_bits(members))
+    found = cut_lineage(texts.mapInArrow(partial(_line_texts, bits), "class long, line string").dropDuplicates(["class"]))
+    sizes = members.join(found.select("class", F.octet_length("line").alias("n")), "class").groupBy("bucket").agg(
+        F.greatest(F.ceil(F.sum("n") / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_LINES)).cast("int").alias("blocks"))
+    large = bounded_broadcast(cut_lineage(sizes.where("blocks > 1")))
+    key = ["bucket", "low", "high"]
+    meets = (
+        members.join(large, "bucket", "left").fillna(1, ["blocks"]).join(found, "class")
+        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "class", "line", "block")
+    )
+    links = meets.repartition(*key).sortWithinPartitions(*key).mapInArrow(partial(_verify, percent), "a long, b long")
+    return components(links).select(F.col("node").alias("class"), F.col("component").alias("root"))
 
 
 def fuzzy_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -201,15 +360,10 @@ def fuzzy_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    lines = cut_lineage(texts.mapInArrow(_occurrences, "doc_id long, line int, class long, n long, row long"))
-    met = (
-        texts.select("text").mapInArrow(_bands, "band long, class long")
-        .repartition("band").sortWithinPartitions("band", "class").mapInArrow(_heads, "a long, b long")
-    )
+    lines = cut_lineage(texts.mapInArrow(_occurrences, "doc_id long, line int, class long, row long"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "row")
-    classes = lines.where("class is not null").groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"))
-    classes = cut_lineage(classes)
-    joined = verified_components(met, classes.select("class", "n"), texts.select("text"), _line_texts, percent, line_sets)
+    classes = lines.where("class is not null").groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
+    joined = linked_lines(texts.select("text"), percent)
     classes = classes.join(joined, "class", "left").where("copies > 1 or root is not null").withColumn("root", F.coalesce("root", "class"))
     classes = cut_lineage(classes)
     roots = classes.groupBy("root").agg(F.min("first").alias("stays"))

@@ -80,7 +80,7 @@ def test_minhash_recall():
         a = rng.choice(letters, 200)
         b = a.copy()
         b[rng.choice(200, 4, replace=False)] = "é"
-        sets = lines.line_sets([("x" + "".join(v) + "x").encode() for v in (a, b)])
+        sets = lines.line_sets(["x" + "".join(v) + "x" for v in (a, b)])
         got = [set(r) for r in _bands_of(["x" + "".join(a) + "x", "x" + "".join(b) + "x"])]
         assert len(np.intersect1d(*sets)) / len(np.union1d(*sets)) >= 0.8
         met += bool(got[0] & got[1])
@@ -108,6 +108,48 @@ def test_one_line_stays_where_places_tie(spark):
     assert sum(r.kept for r in lines.fuzzy_lines(df).collect()) == 1
 
 
+def test_large_buckets_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lines, "BLOCK_LINES", 40)
+    base = "".join(f"{i:03d}-" for i in range(60))
+    rows = [(i, base[: 4 * (i % 50)] + f"#{i}#" + base[4 * (i % 50) + 5 :]) for i in range(220)] + [(900 + i, f"an other line {i}") for i in range(30)]
+    got = {(r.doc_id, r.line): r.kept for r in lines.fuzzy_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.kept_lines(rows)
+
+
+def test_bands_met_wherever_batches_end():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    rows = sorted((int(b), int(c)) for b, c in zip(rng.integers(0, 60, 150), rng.integers(0, 9, 150)))
+    held = {}
+    for band, name in rows:
+        held.setdefault(band, set()).add(name)
+    want = sorted((b, c) for b, names in held.items() if len(names) > 1 for c in names)
+    for size in (1, 2, 3, 7, 150):
+        cut = [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[i : i + size])], names=["band", "class"]) for i in range(0, 150, size)]
+        got = [(r["band"], r["class"]) for b in lines._met(iter(cut)) for r in b.to_pylist()]
+        assert got == want
+
+
+def test_small_groups_at_once_and_one_by_one():
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    texts, group = [], []
+    for g in range(60):
+        base = "".join(rng.choice(list("abcdef "), int(rng.integers(1, 90)))).strip() or "x"
+        for _ in range(int(rng.integers(1, 7))):
+            at = int(rng.integers(0, len(base)))
+            texts.append(base[:at] + "é" * int(rng.integers(0, 2)) + base[at:])
+            group.append(g)
+    group = np.array(group)
+    got = {tuple(p) for p in lines.linked_inside(texts, group, 80).tolist()}
+    sets = [set(s.tolist()) for s in lines.line_sets(texts)]
+    assert got == {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts))
+                   if group[i] == group[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+
+
 def _bands_of(texts):
     import pyarrow as pa
 

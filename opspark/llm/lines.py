@@ -34,6 +34,7 @@ BLOCK_BYTES = 2_000_000
 
 #: Buckets of at most so many classes are compared many at once.
 SMALL = 32
+COMPARED_BYTES = 1 << 18
 
 #: The largest size, as a power of two, of the bits that tell which lines are sent.
 MAX_BITS = 26
@@ -242,13 +243,17 @@ def linked_inside(texts: list[str], group: np.ndarray, percent: int) -> np.ndarr
     """(i, j) of all similar lines of one group, for many small groups at once; rows of a group stand together."""
     hashes, many = _shingles_of(texts)
     row = np.repeat(np.arange(len(texts)), many)
-    # each shingle of a line once; then by (group, shingle)
-    _, once = np.unique(mix(hashes ^ mix(row.astype(np.uint64) + np.uint64(1))), return_index=True)
-    row, hashes = row[once], hashes[once]
-    sizes = np.bincount(row, minlength=len(texts))
-    key = mix(hashes ^ mix(group[row].astype(np.uint64) + np.uint64(0x77)))
+    key = mix(hashes ^ mix(group.astype(np.uint64) + np.uint64(0x77))[row])
     order = np.argsort(key)
     key, row = key[order], row[order]
+    same = np.concatenate([[False], key[1:] == key[:-1], [False]])
+    often = same[1:] | same[:-1]
+    # shingles that stand more than once in a group, by (shingle, line), and those that a line repeats once
+    code = np.sort(np.cumsum(~same[:-1])[often] * len(texts) + row[often])
+    new = np.ones(len(code), bool)
+    new[1:] = code[1:] != code[:-1]
+    sizes = many - np.bincount(code[~new] % len(texts), minlength=len(texts))
+    key, row = np.divmod(code[new], len(texts))
     # a cell counts what two lines of a group share
     starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     m = np.diff(np.append(starts, len(texts)))
@@ -259,7 +264,7 @@ def linked_inside(texts: list[str], group: np.ndarray, percent: int) -> np.ndarr
         near = np.flatnonzero(key[step:] == key[:-step])
         if not len(near):
             break
-        low, high = np.minimum(row[near], row[near + step]), np.maximum(row[near], row[near + step])
+        low, high = row[near], row[near + step]
         g = number[low]
         shared += np.bincount(cells[g] + (low - starts[g]) * m[g] + high - starts[g], minlength=len(shared))
     cell = np.flatnonzero(shared)
@@ -309,7 +314,7 @@ def _verify(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
                     small += unit
                     held += sum(len(r[4]) for r in unit)
                 unit = []
-                if held > CHUNK_BYTES:
+                if held > COMPARED_BYTES:
                     if (got := of_small()) is not None:
                         yield got
                     small, held = [], 0

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from opspark.functions.columns import bin_index, digest_number, safe_ratio
 from opspark.operators.quantiles import exact_quantiles
 from opspark.operators.ranking import running_totals
-from opspark.session import bounded_broadcast, cut_lineage, small_rows
+from opspark.session import bounded_broadcast, cut_lineage, small_rows, spread
 
 
 def confusion_cells(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
@@ -152,32 +152,38 @@ def _log_factorial(k: Column) -> Column:
 
 
 def poisson_draws(cells: DataFrame, keys: Sequence[str], count: str, draws: int, seed: int) -> DataFrame:
-    """(keys, draw, w): for each cell and draw a Poisson number with mean ``count``, which is the weight that so many rows of weight
-    Poisson(1) have together.
+    """(columns of cells, draw, w): for each cell and draw a Poisson number with mean ``count``, which is the weight that so many rows of
+    weight Poisson(1) have together.
 
     A 60-bit number from the digest of keys, draw and seed is looked up in the distribution, which is summed within nine deviations of
-    the mean (less than 1e-17 lies outside): draws and sums stand in one order, and the sums before a draw are counted. Work is cells times
-    draws and deviations, however many rows a cell has.
+    the mean (less than 1e-17 lies outside). Cells of one count share its distribution; its steps are spread over as many equal slices of
+    [0, 1], so that a draw meets about two of them. Work is cells times draws, however many rows a cell has.
     """
     mean = F.col(count).cast("double")
     reach = 9 * F.sqrt(mean) + 20
-    low = F.greatest(F.lit(0), F.floor(mean - reach)).cast("bigint")
-    base = cells.select(*keys, mean.alias("_mean"), low.alias("_low"), F.ceil(mean + reach).cast("bigint").alias("_high"))
-    name = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys], F.col("draw").cast("string"), F.lit(str(seed)))
-    u = digest_number(F.md5(name.cast("binary")), 15) / F.lit(float(1 << 60))
-    asked = base.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).select(
-        *keys, "draw", u.alias("_at"), F.lit(0).alias("_sum"), "_low")
+    low, high = F.greatest(F.lit(0), F.floor(mean - reach)).cast("bigint"), F.ceil(mean + reach).cast("bigint")
+    slices = (high - low + 2).cast("double")
+    sizes = cells.select(mean.alias("_mean"), low.alias("_low"), high.alias("_high"), slices.alias("_slices")).distinct()
     k = F.col("_k")
     apart = (k - F.col("_mean")) / F.col("_mean")
     # around the mean by the gap to it, so that large means lose no digits
     far = k * F.ln(F.col("_mean")) - F.col("_mean") - _log_factorial(k)
     near = k * F.log1p(apart) * -1 + (k - F.col("_mean")) - 0.5 * F.ln(2 * math.pi * k) - 1 / (12 * k.cast("double"))
     share = F.exp(F.when(F.col("_mean") > 1e6, near).otherwise(far))
-    table = base.withColumn("_k", F.explode(F.sequence("_low", "_high"))).select(
-        *keys, F.sum(share).over(W.partitionBy(*keys).orderBy("_k")).alias("_at"), F.lit(1).alias("_sum"))
-    order = W.partitionBy(*keys).orderBy("_at", "_sum").rowsBetween(W.unboundedPreceding, W.currentRow)
-    met = table.unionByName(asked, allowMissingColumns=True).withColumn("_before", F.sum("_sum").over(order))
-    return met.where("_sum = 0").select(*keys, "draw", (F.col("_low") + F.col("_before")).alias("w"))
+    order = W.partitionBy("_mean").orderBy("_k")
+    upto = F.when(k <= F.col("_high"), F.sum(share).over(order)).otherwise(2.0)
+    steps = sizes.withColumn("_k", F.explode(F.sequence("_low", F.col("_high") + 1))).withColumn("_upto", upto)
+    steps = steps.withColumn("_above", F.lag("_upto", 1, -1.0).over(order))
+    first, last = (F.floor(F.least(F.greatest(F.col(c), F.lit(0.0)), F.lit(1.0)) * F.col("_slices")) for c in ("_above", "_upto"))
+    # a step of no width holds no draw
+    steps = cut_lineage(steps.where("_above < _upto").select("_mean", "_k", "_above", "_upto", F.explode(F.sequence(first, last)).alias("_slice")))
+    name = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys], F.col("draw").cast("string"), F.lit(str(seed)))
+    u = digest_number(F.md5(name.cast("binary")), 15) / F.lit(float(1 << 60))
+    asked = spread(cells).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).select(
+        *cells.columns, "draw", u.alias("_u"), mean.alias("_mean"), slices.alias("_slices"))
+    asked = asked.withColumn("_slice", F.floor(F.col("_u") * F.col("_slices")))
+    met = asked.join(bounded_broadcast(steps), ["_mean", "_slice"]).where("_above < _u and _u <= _upto")
+    return met.select(*cells.columns, "draw", F.col("_k").alias("w"))
 
 
 def _intervals(per_draw: DataFrame, metrics: Sequence[str], confidence: float) -> DataFrame:
@@ -216,34 +222,36 @@ def bootstrap_classification(
 
 
 def bootstrap_regression(
-    df: DataFrame, truth: str, predicted: str, draws: int = 1000, confidence: float = 0.95, seed: int = 42, grid: int = 128
+    df: DataFrame, truth: str, predicted: str, draws: int = 1000, confidence: float = 0.95, seed: int = 42, grid: int | None = None
 ) -> DataFrame:
     """Confidence intervals of RMSE and R2 over Poisson resamples of the scored rows.
 
-    Rows are summed per cell of a grid of ``grid`` equal bins of the truth and as many of the error; a draw weighs a cell's sums by a Poisson
-    number over its count. What rows of a cell differ among themselves is left out of the intervals: ``inside`` tells that share of the
-    variance of the squared errors; a finer grid lowers it. Rows without truth or prediction are left out.
+    Only rows of the same truth and prediction are counted together, so nothing is left out: such a cell's weight in a draw is one
+    Poisson number with its count as the mean. Rows without truth or prediction are left out.
+
+    A ``grid`` asks for an approximation instead: rows are summed per cell of so many equal bins of the truth and as many of the error.
+    What rows of such a cell differ among themselves is then missing in the intervals; a column ``inside`` tells that share of the variance
+    of the squared errors.
     """
     y, p = F.col(truth).cast("double"), F.col(predicted).cast("double")
-    slim = df.select(y.alias("y"), (y - p).alias("g")).where("y is not null and g is not null")
+    slim = df.select(y.alias("y"), p.alias("p"), (y - p).alias("g")).where("y is not null and g is not null")
     edge = cut_lineage(slim.agg(F.min("y").alias("a"), F.max("y").alias("b"), F.min("g").alias("c"), F.max("g").alias("d"), F.avg("y").alias("m")))
+    keys = {"y": F.col("y"), "p": F.col("p")} if grid is None else {
+        "i": bin_index(F.col("y"), F.col("a"), F.col("b"), grid), "j": bin_index(F.col("g"), F.col("c"), F.col("d"), grid)}
     # centred first: the spread of values far from zero is not lost in their squares
-    binned = slim.join(F.broadcast(edge)).select(
-        (F.col("y") - F.col("m")).alias("y"), (F.col("g") * F.col("g")).alias("e2"),
-        bin_index(F.col("y"), F.col("a"), F.col("b"), grid).alias("i"), bin_index(F.col("g"), F.col("c"), F.col("d"), grid).alias("j"))
-    cells = cut_lineage(binned.groupBy("i", "j").agg(
-        F.count("*").alias("n"), F.sum("e2").alias("e"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("q"), F.sum(F.col("e2") * F.col("e2")).alias("e4")))
-    inside = F.try_divide(F.sum(F.col("e4") - F.col("e") * F.col("e") / F.col("n")), F.sum("e4") - F.sum("e") * F.sum("e") / F.sum("n"))
-    drawn = poisson_draws(cells, ["i", "j"], "n", draws, seed)
-    named = cells.withColumnsRenamed({"i": "_i", "j": "_j"})
-    met = drawn.join(bounded_broadcast(named), (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j")))
+    near, e2 = F.col("y") - F.col("m"), F.col("g") * F.col("g")
+    cells = cut_lineage(slim.join(F.broadcast(edge)).groupBy(*(v.alias(k) for k, v in keys.items())).agg(
+        F.count("*").alias("n"), F.sum(e2).alias("e"), F.sum(near).alias("s"), F.sum(near * near).alias("q"), F.sum(e2 * e2).alias("e4")))
     share = F.col("w") / F.col("n")
-    sums = met.groupBy("draw").agg(
+    sums = poisson_draws(cells, list(keys), "n", draws, seed).groupBy("draw").agg(
         F.sum("w").cast("double").alias("n"), F.sum(share * F.col("e")).alias("e"), F.sum(share * F.col("s")).alias("s"), F.sum(share * F.col("q")).alias("q"))
     n = F.col("n")
     per_draw = sums.where("n > 0").select("draw", F.sqrt(F.col("e") / n).alias("rmse"),
                                           (1 - F.try_divide(F.col("e"), F.col("q") - F.col("s") * F.col("s") / n)).alias("r2"))
     out = _intervals(per_draw, ["rmse", "r2"], confidence)
+    if grid is None:
+        return out
+    inside = F.try_divide(F.sum(F.col("e4") - F.col("e") * F.col("e") / F.col("n")), F.sum("e4") - F.sum("e") * F.sum("e") / F.sum("n"))
     return out.withColumn("inside", cells.agg(F.greatest(F.coalesce(inside, F.lit(0.0)), F.lit(0.0)).alias("v")).scalar())
 
 

@@ -165,17 +165,20 @@ def _(spark, sf):
 
 
 @query("bootstrap_regression", "A24", f"""
-WITH t AS (SELECT c_acctbal AS y, c_acctbal - (c_nationkey * 300.0::DOUBLE + 1000) AS g FROM customer),
-r AS (SELECT min(y) AS a, max(y) AS b, min(g) AS c, max(g) AS d, avg(y) AS m FROM t),
-z AS (SELECT y - m AS y, g * g AS e2, least(floor((y - a) / ((b - a) / 16.0::DOUBLE)), 15)::INT AS i, least(floor((g - c) / ((d - c) / 16.0::DOUBLE)), 15)::INT AS j FROM t, r),
-c0 AS (SELECT i, j, count(*) AS n, sum(e2) AS e, sum(y) AS s, sum(y * y) AS q, sum(e2 * e2) AS e4 FROM z GROUP BY 1, 2), {drawn_sql('(SELECT i, j, n FROM c0)', 'i, j', 200)},
-g AS (SELECT draw, sum(w) AS n, sum(w / w.n * e) AS e, sum(w / w.n * s) AS s, sum(w / w.n * q) AS q FROM w JOIN c0 USING (i, j) GROUP BY 1),
-x AS (SELECT draw, sqrt(e / n) AS rmse, 1 - e / (q - s * s / n) AS r2 FROM g),
-v AS (SELECT round(sum(e4 - e * e / n) / (sum(e4) - sum(e) * sum(e) / sum(n)), 6) AS inside FROM c0)
-SELECT o.*, v.inside FROM ({_interval_sql(('rmse', 'r2'))}) o, v""")
+WITH t AS (SELECT c_acctbal AS y, c_nationkey * 300.0::DOUBLE + 1000 AS p FROM customer),
+c0 AS (SELECT y, p, count(*) AS n FROM t WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY 1, 2),
+lo AS (SELECT DISTINCT n, greatest(0, floor(n - 9 * sqrt(n) - 20))::BIGINT AS low, ceil(n + 9 * sqrt(n) + 20)::BIGINT AS high FROM c0),
+k AS (SELECT n, low, unnest(range(low, high + 1)) AS k FROM lo),
+s AS (SELECT n, low, k, sum(exp(k * ln(n) - n - lgamma(k + 1))) OVER (PARTITION BY n ORDER BY k) AS f FROM k),
+f AS (SELECT n, low, list(f ORDER BY k) AS f FROM s GROUP BY 1, 2),
+d AS (SELECT y, p, n, draw, ('0x' || substr(md5(y || '-' || p || '-' || draw || '-42'), 1, 15))::BIGINT / 1152921504606846976.0 AS u FROM c0, range(1, 201) b(draw)),
+w AS (SELECT draw, y - (SELECT sum(n * y) / sum(n) FROM c0) AS y, (y - p) * (y - p) AS e, low + len(list_filter(f, lambda x: x < u)) AS w FROM d JOIN f USING (n)),
+g AS (SELECT draw, sum(w) AS n, sum(w * e) AS e, sum(w * y) AS s, sum(w * y * y) AS q FROM w GROUP BY 1),
+x AS (SELECT draw, sqrt(e / n) AS rmse, 1 - e / (q - s * s / n) AS r2 FROM g)
+{_interval_sql(('rmse', 'r2'))}""")
 def _(spark, sf):
     df = table(spark, sf, "customer").select("c_acctbal", (F.col("c_nationkey") * 300.0 + 1000).alias("p"))
-    return rounded(ev.bootstrap_regression(df, "c_acctbal", "p", 200, grid=16), places=6)
+    return rounded(ev.bootstrap_regression(df, "c_acctbal", "p", 200), places=6)
 
 
 @query("fold_score_summary", "A39 M22", """

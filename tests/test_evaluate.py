@@ -91,6 +91,38 @@ def test_bootstrap_by_grid_agrees_with_resampled_rows(spark):
     assert got["rmse"].inside < 0.01 and abs(got["rmse"]["std"] / np.std(rmse) - 1) < 0.2 and abs(got["rmse"]["mean"] - np.mean(rmse)) < 0.02
 
 
+def test_bootstrap_regression_leaves_no_row_out_of_the_draws(spark):
+    """Each row has a weight of its own, by numpy's Poisson weights, so there is no share of the variance to report as missing."""
+    y = [0.0, 1000.0] * 2 + [float(i % 50) for i in range(196)]
+    p = [v + (300.0 if i < 2 else 1.0 + i % 7) for i, v in enumerate(y)]
+    df = spark.createDataFrame(list(zip(y, p)), "y double, p double")
+    out = ev.bootstrap_regression(df, "y", "p", 3000)
+    got = {r.metric: r for r in out.collect()}
+    e2, c = (np.array(y) - np.array(p)) ** 2, np.array(y)
+    w = np.random.default_rng(5).poisson(1, (3000, 200)).astype(float)
+    n = w.sum(1)
+    mse, mean = w @ e2 / n, w @ c / n
+    want = {"rmse": np.sqrt(mse), "r2": 1 - mse / (w @ c**2 / n - mean**2)}
+    assert out.columns == ["metric", "mean", "std", "lower", "upper"]
+    for name, values in want.items():
+        assert abs(got[name]["std"] / values.std() - 1) < 0.1, name
+        for side, q in (("lower", 0.025), ("upper", 0.975)):
+            assert abs(got[name][side] - np.quantile(values, q)) < 0.3 * values.std(), (name, side)
+
+
+def test_draws_of_equal_counts_stand_alone(spark):
+    """Cells of one count share a distribution, not their draws; each has every draw once."""
+    cells = spark.createDataFrame([(i, n) for i in range(40) for n in (1, 3, 70)], "c int, n long").withColumn("k", F.concat_ws(":", "c", "n"))
+    rows = ev.poisson_draws(cells, ["k"], "n", 500, 7).collect()
+    assert len({(r.k, r.draw) for r in rows}) == len(rows) == 40 * 3 * 500
+    for n in (1, 3, 70):
+        w = np.zeros((40, 500))
+        for r in rows:
+            if r.n == n:
+                w[r.c, r.draw - 1] = r.w
+        assert abs(w.mean() / n - 1) < 0.05 and abs(w.sum(0).var() / (40 * n) - 1) < 0.3
+
+
 def test_bootstrap_does_not_depend_on_partitioning(scored):
     a = ev.bootstrap_regression(scored, "y", "s", 50).orderBy("metric").collect()
     b = ev.bootstrap_regression(scored.repartition(3), "y", "s", 50).orderBy("metric").collect()

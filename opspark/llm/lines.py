@@ -3,9 +3,10 @@
 1. A line (trimmed; A-Z lower-cased) is a class by the 64-bit hash of its characters, so exact repeats are one class.
 2. Its character shingles fill the bins of a one-permutation MinHash signature; empty bins borrow from full ones, drawn at
    random but alike for all lines, so that the bins of a band stay apart. Bands of five bins give 13 keys: lines at a similarity of 0.8 meet in one with a chance above 0.99.
-3. Classes of one band key are a bucket; keys that hold the same classes are one. A class's line is sent to each of its buckets.
-4. In a bucket all pairs are compared exactly by the Jaccard similarity of their shingle sets, a large bucket in pairs of
-   blocks. Nothing is compared that met in no band. Alternating star steps join the true links to components.
+3. Classes of one band key are a bucket; keys that hold the same classes are one. A bucket is split where the signatures of its
+   long lines, four bits a bin, are far from alike: most buckets hold lines that met by chance. Equal parts are one.
+4. A class's line is sent to each of its parts. In a part all pairs are compared exactly by the Jaccard similarity of their shingle
+   sets, a large one in pairs of blocks. Nothing is compared that met in no band. Alternating star steps join the true links to components.
 5. Of each component the occurrence with the smallest (doc_id, line number) stays.
 """
 
@@ -17,7 +18,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from opspark.llm.common import _BASE, _BASE_INVERSE, CHUNK_BYTES, _powers, chunks, components, mix, small_batches, table, texts_of
 from opspark.llm.ngram_join import _batch, linked
@@ -28,6 +29,17 @@ SHINGLE = 5
 BANDS, ROWS = 13, 5
 PERCENT = 80
 
+#: Band keys are dealt to parts by so many bits, of which a task holds one part at a time; so many entries are packed at once.
+PART_BITS = 12
+PACKED = 1 << 20
+
+#: Two lines that fill at least so many bins of their own are held apart when fewer of 64 bins agree in four bits. At a similarity of 0.8
+#: about 51 agree, give or take 4, so that 28 lies some six deviations below; lines that met by chance agree in about 12.
+SKETCHED, AGREE = 50, 28
+
+#: Rows of small buckets whose sketches are compared at once.
+SKETCH_ROWS = 1 << 15
+
 #: Bounds of a block of a bucket.
 BLOCK_LINES = 512
 BLOCK_BYTES = 2_000_000
@@ -116,13 +128,16 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base += len(ids)
 
 
+def _bin(hashes: np.ndarray) -> np.ndarray:
+    """The upper half of a hash gives the bin, the lower half the value."""
+    return ((hashes >> np.uint64(32)) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64)
+
+
 def signature(hashes: np.ndarray, many: np.ndarray) -> np.ndarray:
     """One-permutation MinHash (lines, bins); an empty bin borrows from a full one, drawn alike for all lines."""
     line = np.repeat(np.arange(len(many)), many)
     out = np.full(len(many) * _BINS, np.iinfo(np.uint64).max, np.uint64)
-    # the upper half of a hash gives the bin, the lower half the value
-    bins = ((hashes >> np.uint64(32)) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(out, line * _BINS + bins, hashes & np.uint64(0xFFFFFFFF))
+    np.minimum.at(out, line * _BINS + _bin(hashes), hashes & np.uint64(0xFFFFFFFF))
     full = (out != np.iinfo(np.uint64).max).reshape(len(many), _BINS)
     donor = np.tile(np.arange(_BINS), len(many))
     empty = np.flatnonzero(~full.ravel())
@@ -159,6 +174,33 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch({"band": band.ravel().view(np.int64), "class": np.repeat(names, BANDS)})
 
 
+def _packed(bands: list[np.ndarray], names: list[np.ndarray]) -> pa.RecordBatch:
+    """(part, keys, names): the entries of each part, 32 bits of the band key and the class."""
+    band, name = np.concatenate(bands), np.concatenate(names)
+    part = (band >> np.uint64(64 - PART_BITS)).astype(np.uint16)
+    order = np.argsort(part, kind="stable")
+    present, starts = np.unique(part[order], return_index=True)
+    ends = np.append(starts, len(part))
+    key = (band[order] >> np.uint64(32 - PART_BITS)).astype(np.uint32)
+    blobs = [pa.Array.from_buffers(pa.binary(), len(present), [None, pa.py_buffer((ends * v.itemsize).astype(np.int32)), pa.py_buffer(v)])
+             for v in (key, np.ascontiguousarray(name[order]))]
+    return _batch({"part": present.astype(np.int32), "keys": blobs[0], "names": blobs[1]})
+
+
+def _packed_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The band keys of each class, once in a partition, packed by part."""
+    bands, names, held = [], [], 0
+    for b in _bands(batches):
+        bands.append(b.column("band").to_numpy().view(np.uint64))
+        names.append(b.column("class").to_numpy())
+        held += len(names[-1])
+        if held >= PACKED:
+            yield _packed(bands, names)
+            bands, names, held = [], [], 0
+    if held:
+        yield _packed(bands, names)
+
+
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(band, class) of the bands that several classes share, each once, from rows sorted by (band, class).
 
@@ -186,6 +228,34 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried, given = (bands[-1:], names[-1:]), bool(last)
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(band, class) of the keys that stand several times in a part, sorted, from rows sorted by part."""
+    def entries(part: int, keys: list[bytes], names: list[bytes]) -> pa.RecordBatch:
+        key, name = np.frombuffer(b"".join(keys), np.uint32), np.frombuffer(b"".join(names), np.int64)
+        order = np.argsort(key)
+        same = key[order][1:] == key[order][:-1]
+        # most keys stand once; only the others are sorted by class, too
+        often = order[np.append(same, False) | np.append(False, same)]
+        often = often[np.lexsort((name[often], key[often]))]
+        return _batch({"band": (part << 32) + key[often].astype(np.int64), "class": name[often]})
+
+    held, keys, names = None, [], []
+    for b in batches:
+        for part, key, name in zip(*(b.column(c).to_pylist() for c in ("part", "keys", "names"))):
+            if part != held:
+                if keys:
+                    yield entries(held, keys, names)
+                held, keys, names = part, [], []
+            keys.append(key)
+            names.append(name)
+    if keys:
+        yield entries(held, keys, names)
+
+
+def _met_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _met(_unpacked(batches))
+
+
 def _class_bits(members: DataFrame) -> np.ndarray:
     """Bits that tell whether a class may be in ``members``, sixteen a class, 2^26 at most; a join settles the rest."""
     classes = members.select("class").distinct()
@@ -199,27 +269,79 @@ def _class_bits(members: DataFrame) -> np.ndarray:
     return words
 
 
+#: Agreeing halves of a byte of two sketches, by the byte's exclusive or.
+_ALIKE = np.array([(x & 15 == 0) + (x >> 4 == 0) for x in range(256)], np.uint8)
+_SKETCH = ("s0", "s1", "s2", "s3")
+
+
+def _sketches(lines: Lines, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Four bits of each of 64 bins of the chosen lines as four longs, and how many bins each fills itself."""
+    hashes, many = lines.shingles(which)
+    full = np.zeros((len(many), _BINS), bool)
+    full[np.repeat(np.arange(len(many)), many), _bin(hashes)] = True
+    bits = (signature(hashes, many)[:, :64] & np.uint64(15)).astype(np.uint8)
+    return np.ascontiguousarray(bits[:, ::2] | bits[:, 1::2] << 4).view(np.int64), full.sum(1)
+
+
 def _line_texts(bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(class, line) of the trimmed lines whose bit is set, once in a partition: a line is an eighth of its hashes."""
+    """(class, line, sketch, full) of the trimmed lines whose bit is set, once in a partition: a line is an eighth of its hashes."""
     words, seen = bits.value, set()
     for b in batches:
-        names, found, held = [], [], 0
         for _, lines in _chunked(b.column("text")):
             every = lines.names()
             place = every.view(np.uint64) & np.uint64(64 * len(words) - 1)
             hit = (words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool) & ~lines.blank
+            chosen = []
             for i in np.flatnonzero(hit).tolist():
-                if (name := int(every[i])) in seen:
-                    continue
-                seen.add(name)
-                names.append(name)
-                found.append(lines.letters[lines.start[i] : lines.end[i]].tobytes().decode("utf-32-le"))
-                held += len(found[-1])
-                if held > CHUNK_BYTES:
-                    yield _batch({"class": np.array(names), "line": pa.array(found, pa.string())})
-                    names, found, held = [], [], 0
-        if names:
-            yield _batch({"class": np.array(names), "line": pa.array(found, pa.string())})
+                if (name := int(every[i])) not in seen:
+                    seen.add(name)
+                    chosen.append(i)
+            if not chosen:
+                continue
+            sketch, full = _sketches(lines, np.array(chosen))
+            found = [lines.letters[lines.start[i] : lines.end[i]].tobytes().decode("utf-32-le") for i in chosen]
+            yield _batch({"class": every[chosen], "line": pa.array(found, pa.string()),
+                          **{c: np.ascontiguousarray(sketch[:, k]) for k, c in enumerate(_SKETCH)}, "full": full})
+
+
+def alike(bucket: np.ndarray, sketch: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """(i, j) of the rows of one bucket whose sketches do not rule out that the lines are similar; rows of a bucket stand together."""
+    view, at, step, out = sketch.view(np.uint8).reshape(len(bucket), -1), np.arange(len(bucket)), 0, []
+    while True:
+        step += 1
+        at = at[at + step < len(bucket)]
+        at = at[bucket[at] == bucket[at + step]]
+        if not len(at):
+            break
+        near = (full[at] < SKETCHED) | (full[at + step] < SKETCHED)
+        near |= _ALIKE[view[at] ^ view[at + step]].sum(1) >= AGREE
+        out.append(np.stack([at[near], at[near] + step], 1))
+    return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, class) with each bucket split into what its sketches connect, from rows sorted by bucket, many buckets at once."""
+    names = ("bucket", "class", *_SKETCH, "full")
+
+    def parts(held: np.ndarray) -> pa.RecordBatch | None:
+        pairs = alike(held[0], np.ascontiguousarray(held[2:6].T), held[6])
+        if not len(pairs):
+            return None
+        label = _smallest(pairs, held.shape[1])
+        at = np.flatnonzero(np.bincount(label, minlength=held.shape[1])[label] > 1)
+        part = mix(mix(held[0].view(np.uint64)) ^ held[1].view(np.uint64)[label])[at]
+        return _batch({"bucket": part.view(np.int64), "class": held[1][at]})
+
+    held = np.zeros((len(names), 0), np.int64)
+    for b in batches:
+        held = np.concatenate([held, np.stack([b.column(c).to_numpy() for c in names])], 1)
+        if held.shape[1] >= SKETCH_ROWS:
+            whole = int(np.searchsorted(held[0], held[0, -1]))
+            if whole and (got := parts(np.ascontiguousarray(held[:, :whole]))) is not None:
+                yield got
+            held = held[:, whole:]
+    if held.shape[1] and (got := parts(np.ascontiguousarray(held))) is not None:
+        yield got
 
 
 def _shingles_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -274,17 +396,23 @@ def linked_inside(texts: list[str], group: np.ndarray, percent: int) -> np.ndarr
     return np.stack([i[ok], j[ok]], 1)
 
 
-def _stars(pairs: np.ndarray, names: np.ndarray) -> pa.RecordBatch | None:
-    """Edges that join the same rows as the pairs do, each row with the smallest it reaches."""
-    if not len(pairs):
-        return None
+def _smallest(pairs: np.ndarray, rows: int) -> np.ndarray:
+    """For each row the smallest that it reaches by the pairs."""
     i, j = pairs[:, 0], pairs[:, 1]
-    label, before = np.arange(len(names)), None
+    label, before = np.arange(rows), None
     while before is None or (label != before).any():
         before = label.copy()
         np.minimum.at(label, j, before[i])
         np.minimum.at(label, i, before[j])
         label = label[label]
+    return label
+
+
+def _stars(pairs: np.ndarray, names: np.ndarray) -> pa.RecordBatch | None:
+    """Edges that join the same rows as the pairs do, each row with the smallest it reaches."""
+    if not len(pairs):
+        return None
+    label = _smallest(pairs, len(names))
     at = np.flatnonzero(label != np.arange(len(names)))
     return _batch({"a": names[label[at]], "b": names[at]})
 
@@ -328,18 +456,28 @@ def _verify(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         yield got
 
 
+def _different(members: DataFrame) -> DataFrame:
+    """(bucket, class, m) of (bucket, class) with buckets that hold the same classes taken once; m counts them."""
+    digest = [F.count("*").alias("m"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "class")).alias("y")]
+    buckets = members.groupBy("bucket").agg(*digest).groupBy("m", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "m")
+    return cut_lineage(members.join(buckets, "bucket").select("bucket", "class", "m"))
+
+
 def linked_lines(texts: DataFrame, percent: int) -> DataFrame:
     """(class, root) of every class of lines that is truly linked to another."""
     spark = texts.sparkSession
     met = cut_lineage(
-        texts.mapInArrow(_bands, "band long, class long")
-        .repartition("band").sortWithinPartitions("band", "class").mapInArrow(_met, "band long, class long"))
-    # bands that hold the same classes are one bucket
-    digest = [F.count("*").alias("m"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "class")).alias("y")]
-    buckets = met.groupBy("band").agg(*digest).groupBy("m", "x", "y").agg(F.min("band").alias("band")).select("band")
-    members = cut_lineage(met.join(buckets, "band").select("class", F.col("band").alias("bucket")))
+        texts.mapInArrow(_packed_bands, "part int, keys binary, names binary")
+        .repartition("part").sortWithinPartitions("part").mapInArrow(_met_packed, "band long, class long"))
+    members = _different(met.withColumnRenamed("band", "bucket"))
     bits = spark.sparkContext.broadcast(_class_bits(members))
-    found = cut_lineage(texts.mapInArrow(partial(_line_texts, bits), "class long, line string").dropDuplicates(["class"]))
+    sketch = ", ".join(f"{c} long" for c in (*_SKETCH, "full"))
+    found = cut_lineage(texts.mapInArrow(partial(_line_texts, bits), f"class long, line string, {sketch}").dropDuplicates(["class"]))
+    # a bucket of more lines than a block holds is compared as it is, in pairs of blocks
+    small = members.where(F.col("m") <= BLOCK_LINES).join(found.select("class", *_SKETCH, "full"), "class").select(
+        "bucket", "class", *_SKETCH, "full")
+    small = small.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_split, "bucket long, class long")
+    members = _different(cut_lineage(members.where(F.col("m") > BLOCK_LINES).select("bucket", "class").unionByName(small))).drop("m")
     sizes = members.join(found.select("class", F.octet_length("line").alias("n")), "class").groupBy("bucket").agg(
         F.greatest(F.ceil(F.sum("n") / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_LINES)).cast("int").alias("blocks"))
     large = bounded_broadcast(cut_lineage(sizes.where("blocks > 1")))
@@ -354,6 +492,26 @@ def linked_lines(texts: DataFrame, percent: int) -> DataFrame:
     return components(links).select(F.col("node").alias("class"), F.col("component").alias("root"))
 
 
+def _decided(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, line, class, row) of every line, and (named, root, stays) of the classes that stand more than once or are linked."""
+    lines = cut_lineage(texts.mapInArrow(_occurrences, "doc_id long, line int, class long, row long"))
+    classes = lines.where("class is not null").groupBy("class").agg(F.min(_place()).alias("first"), F.count("*").alias("copies"))
+    joined = linked_lines(texts.select("text"), percent)
+    classes = classes.join(joined, "class", "left").where("copies > 1 or root is not null").withColumn("root", F.coalesce("root", "class"))
+    classes = cut_lineage(classes)
+    roots = classes.groupBy("root").agg(F.min("first").alias("stays"))
+    return lines, cut_lineage(classes.join(cut_lineage(roots), "root").select(F.col("class").alias("named"), "root", "stays"))
+
+
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "row")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long"), "text")
+
+
 def fuzzy_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, line, class, kept, component, row) for every line of (doc_id, text); lines end at a line feed.
 
@@ -363,21 +521,26 @@ def fuzzy_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     component are null. Of a component one occurrence is kept, that with the smallest (doc_id, line), null ids last; of rows of
     a repeated doc_id that tie there, one. An empty table gives an empty table.
     """
-    small_batches(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    lines = cut_lineage(texts.mapInArrow(_occurrences, "doc_id long, line int, class long, row long"))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "row")
-    classes = lines.where("class is not null").groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-    joined = linked_lines(texts.select("text"), percent)
-    classes = classes.join(joined, "class", "left").where("copies > 1 or root is not null").withColumn("root", F.coalesce("root", "class"))
-    classes = cut_lineage(classes)
-    roots = classes.groupBy("root").agg(F.min("first").alias("stays"))
-    named = cut_lineage(classes.join(cut_lineage(roots), "root").select(F.col("class").alias("named"), "root", "stays"))
+    lines, named = _decided(_texts(docs), percent)
     return lines.join(named, F.col("class") == F.col("named"), "left").select(
-        "doc_id", "line", "class", F.coalesce(F.col("stays").eqNullSafe(place) | F.col("named").isNull(), F.lit(True)).alias("kept"),
+        "doc_id", "line", "class", F.coalesce(F.col("stays").eqNullSafe(_place()) | F.col("named").isNull(), F.lit(True)).alias("kept"),
         F.coalesce("root", "class").alias("component"), "row")
 
 
+def dropped_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_lines, n_kept, dropped) for every row: its lines, and the sorted numbers of those that ``fuzzy_lines`` does not keep.
+
+    Only lines of classes that stand more than once or are linked travel to their class.
+    """
+    lines, named = _decided(_texts(docs), percent)
+    counted = lines.groupBy("row", "doc_id").agg(F.count("*").alias("n_lines"))
+    gone = lines.join(named, F.col("class") == F.col("named")).where(~F.col("stays").eqNullSafe(_place())).groupBy(
+        F.col("row").alias("of")).agg(F.sort_array(F.collect_list("line")).alias("gone"))
+    return counted.join(gone, F.col("row") == F.col("of"), "left").select(
+        "doc_id", "n_lines", (F.col("n_lines") - F.coalesce(F.size("gone"), F.lit(0))).alias("n_kept"),
+        F.coalesce("gone", F.array().cast("array<int>")).alias("dropped"))
+
+
 def kept_text(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """(doc_id, text): each document with its kept lines only, for unique doc_ids."""
     gone = decided.where("not kept").groupBy("doc_id").agg(F.collect_set("line").alias("gone"))
@@ -388,7 +551,4 @@ def kept_text(docs: DataFrame, decided: DataFrame) -> DataFrame:
 
 def op2_fuzzy_lines(spark, folder: str) -> DataFrame:
     """Lines of each document, and the numbers of those that go because a line like them stays elsewhere."""
-    decided = fuzzy_lines(table(spark, folder, "documents"))
-    return decided.groupBy("doc_id", "row").agg(
-        F.count("*").alias("n_lines"), F.sum(F.col("kept").cast("long")).alias("n_kept"),
-        F.sort_array(F.collect_list(F.when(~F.col("kept"), F.col("line")))).alias("dropped")).drop("row")
+    return dropped_lines(table(spark, folder, "documents"))

@@ -361,3 +361,71 @@ def test_fingerprints_of_very_many_hashes(spark):
     bits = (np.array(row["all"], np.int64).view(np.uint64)[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
     want = sum(1 << int(k) for k in np.flatnonzero(bits.sum(0) * 2 > 140_001))
     assert row.b & (1 << 64) - 1 == want
+
+
+def test_sketches_hold_back_chance_meetings_only():
+    """Lines of 101 to 600 characters at a similarity of 0.8 to 0.85 stay together, unlike ones of one bucket part; short ones are never parted."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(21)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
+    texts, similar = [], 0
+    while similar < 1500:
+        n = int(rng.integers(101, 600))
+        a = rng.choice(letters, n)
+        b = a.copy()
+        b[rng.choice(n, max(n * 22 // 1000, 1), replace=False)] = "é"
+        pair = ["x" + "".join(v) + "x" for v in (a, b)]
+        sets = lines.line_sets(pair)
+        if 0.8 <= len(np.intersect1d(*sets)) / len(np.union1d(*sets)) < 0.85:
+            texts += pair
+            similar += 1
+    held = lines.Lines(*_text_arrays(texts))
+    sketch, full = lines._sketches(held, np.arange(len(texts)))
+    assert len(lines.alike(np.arange(len(texts)) // 2, sketch, full)) == similar
+    # the first of each pair only, ten to a bucket: nothing similar
+    firsts = np.ascontiguousarray(sketch[::2])
+    long = full[::2] >= lines.SKETCHED
+    assert long.sum() > 1000 and not len(lines.alike(np.arange(long.sum()) // 10, np.ascontiguousarray(firsts[long]), full[::2][long]))
+    assert len(lines.alike(np.zeros(4, int), firsts[:4], np.zeros(4, int))) == 6
+
+
+def _text_arrays(texts):
+    import pyarrow as pa
+
+    from opspark.llm.common import texts_of
+
+    # a line per text, and all of them in one
+    return texts_of(pa.array(["\n".join(texts)], pa.large_string()))
+
+
+def test_packed_bands_meet_as_unpacked_ones(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lines, "PACKED", 300)
+    texts = [f"{a} of the lines that are nearly the same, number {i % 7}" for a in ("one", "two") for i in range(40)] + ["other", "", " other "]
+    given = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 20])], names=["text"]) for i in range(0, len(texts), 20)]
+    rows = {(r["band"], r["class"]) for b in lines._bands(iter(given)) for r in b.to_pylist()}
+    want = {}
+    for band, name in rows:
+        want.setdefault(band, set()).add(name)
+    want = sorted(sorted(v) for v in want.values() if len(v) > 1)
+    packed = sorted((r for b in lines._packed_bands(iter(given)) for r in b.to_pylist()), key=lambda r: r["part"])
+    cut = [pa.RecordBatch.from_pylist(packed[i : i + 17], schema=pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("names", pa.binary())]))
+           for i in range(0, len(packed), 17)]
+    got = {}
+    for b in lines._met_packed(iter(cut)):
+        for r in b.to_pylist():
+            got.setdefault(r["band"], set()).add(r["class"])
+    assert sorted(sorted(v) for v in got.values()) == want and want
+
+
+def test_query_drops_what_the_operator_drops(spark, folder):
+    rows = [(i, "\n".join(f"{'a line that stands in several of the texts' if j % 3 else 'line'} {j * (1 + i % 4)}" for j in range(12))) for i in range(30)] + [(None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    want = {}
+    for r in lines.fuzzy_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        want.setdefault(r.doc_id, []).append((r.line, r.kept))
+    got = {r.doc_id: (r.n_lines, r.n_kept, list(r.dropped)) for r in lines.op2_fuzzy_lines(spark, folder).collect()}
+    assert got == {d: (len(v), sum(k for _, k in v), sorted(n for n, k in v if not k)) for d, v in want.items()}

@@ -62,10 +62,11 @@ _POWERS: dict[str, np.ndarray] = {}
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _powers(base: int, name: str, n: int) -> np.ndarray:
@@ -91,11 +92,11 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]] if len(offsets) else data, offsets - offsets[0]
 
 
-def chunks(offsets: np.ndarray):
-    """Runs of rows with about CHUNK_BYTES of text each."""
+def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES):
+    """Runs of rows with about ``size`` bytes of text each."""
     start, n = 0, len(offsets) - 1
     while start < n:
-        stop = int(np.searchsorted(offsets, offsets[start] + CHUNK_BYTES, side="right")) - 1
+        stop = int(np.searchsorted(offsets, offsets[start] + size, side="right")) - 1
         stop = min(max(stop, start + 1), n)
         yield start, stop
         start = stop

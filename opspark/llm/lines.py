@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from opspark.llm.common import _BASE, _BASE_INVERSE, CHUNK_BYTES, _powers, chunks, components, mix, small_batches, table, texts_of
+from opspark.llm.common import _BASE, _BASE_INVERSE, _powers, chunks, components, mix, small_batches, table, texts_of
 from opspark.llm.ngram_join import _batch, linked
 from opspark.session import bounded_broadcast, cut_lineage
 
@@ -40,13 +40,16 @@ SKETCHED, AGREE = 50, 28
 #: Rows of small buckets whose sketches are compared at once.
 SKETCH_ROWS = 1 << 15
 
+#: Bytes of text whose lines are handled at once: their arrays, eight bytes a character, stay near the processor.
+LINE_BYTES = 1 << 18
+
 #: Bounds of a block of a bucket.
 BLOCK_LINES = 512
 BLOCK_BYTES = 2_000_000
 
 #: Buckets of at most so many classes are compared many at once.
 SMALL = 32
-COMPARED_BYTES = 1 << 18
+COMPARED_BYTES = 1 << 16
 
 #: The largest size, as a power of two, of the bits that tell which lines are sent.
 MAX_BITS = 26
@@ -63,8 +66,9 @@ class Lines:
     """The lines of a chunk of texts: text number, line number, place, and the running hash of the characters."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        letters = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-        at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+        self.text = data.tobytes().decode("utf-8", "replace")
+        letters = np.frombuffer(self.text.encode("utf-32-le"), np.uint32)
+        at = offsets - np.searchsorted(np.flatnonzero((data & 0xC0) == 0x80), offsets)
         rows, n = len(offsets) - 1, len(letters)
         breaks = np.flatnonzero(letters == 10)
         # in order of place the lines of all texts follow each other, and so do their ends
@@ -73,18 +77,24 @@ class Lines:
         self.row = np.repeat(np.arange(rows), 1 + np.diff(np.searchsorted(breaks, at)))
         first = np.searchsorted(self.row, np.arange(rows))
         self.number = np.arange(len(self.row)) - first[self.row] if rows else self.row
-        solid = np.flatnonzero(~((letters == 32) | (letters >= 9) & (letters <= 13)))
-        left, right = np.searchsorted(solid, starts), np.searchsorted(solid, ends)
-        self.blank = left >= right
-        padded = np.append(solid, n)
-        self.start = np.where(self.blank, starts, padded[left])
-        self.end = np.where(self.blank, starts, padded[np.maximum(right - 1, 0)] + 1)
+        space = (letters == 32) | (letters - np.uint32(9) <= 4)
+        self.start, self.end, self.blank = starts, ends, starts >= ends
+        some = np.flatnonzero(~self.blank)
+        outer = some[space[starts[some]] | space[ends[some] - 1]]
+        if len(outer):  # the others have nothing to trim
+            solid = np.flatnonzero(~space)
+            left, right = np.searchsorted(solid, starts[outer]), np.searchsorted(solid, ends[outer])
+            self.blank[outer] = left >= right
+            padded = np.append(solid, n)
+            self.start[outer] = np.where(left >= right, starts[outer], padded[left])
+            self.end[outer] = np.where(left >= right, starts[outer], padded[np.maximum(right - 1, 0)] + 1)
         self.letters = letters
-        value = _LETTER[np.minimum(letters, len(_LETTER) - 1)]
+        value = np.take(_LETTER, letters, mode="clip")
         far = np.flatnonzero(letters >= len(_LETTER))
         value[far] = mix(letters[far].astype(np.uint64) + np.uint64(0x51ED27))
+        value *= _powers(_BASE, "up", n)
         self.running = np.zeros(n + 1, np.uint64)
-        np.cumsum(value * _powers(_BASE, "up", n), out=self.running[1:], dtype=np.uint64)
+        np.cumsum(value, out=self.running[1:], dtype=np.uint64)
         self.down = _powers(_BASE_INVERSE, "down", n + 1)
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -94,23 +104,31 @@ class Lines:
         return (self.hashes(self.start, self.end) ^ (self.end - self.start).astype(np.uint64)).view(np.int64)
 
     def shingles(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Shingle hashes of the chosen lines, and how many each has."""
-        length = self.end[which] - self.start[which]
+        """Shingle hashes of the chosen lines, given in order of place, and how many each has."""
+        start, length = self.start[which], self.end[which] - self.start[which]
         many = np.maximum(length - SHINGLE + 1, 1)
-        at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.start[which], many)
-        if len(self.letters) < SHINGLE:
-            return self.hashes(self.start[which], self.end[which]), many
-        # all places of the chunk at once, by whole arrays; lines of one short shingle apart
-        every = mix((self.running[SHINGLE:] - self.running[:-SHINGLE]) * self.down[: len(self.letters) - SHINGLE + 1])
-        got = every[np.minimum(at, len(every) - 1)]
-        short = np.flatnonzero(length < SHINGLE)
-        got[(np.cumsum(many) - many)[short]] = self.hashes(self.start[which][short], self.end[which][short])
-        return got, many
+        long = length >= SHINGLE
+        if not long.any():
+            return self.hashes(start, start + length), many
+        # the places of the long lines, between those that start no shingle of theirs, are hashed by whole arrays
+        edge = np.stack([start[long], start[long] + many[long]], 1).ravel()
+        held = np.repeat(np.arange(len(edge)) % 2 == 1, np.diff(edge, prepend=0))
+        held = np.append(held, np.zeros(len(self.letters) - SHINGLE + 1 - len(held), bool))
+        got = self.running[SHINGLE:] - self.running[:-SHINGLE]
+        got *= self.down[: len(got)]
+        got = mix(got[held])
+        if long.all():
+            return got, many
+        out = np.empty(many.sum(), np.uint64)
+        out[np.repeat(long, many)] = got
+        short = np.flatnonzero(~long)
+        out[(np.cumsum(many) - many)[short]] = self.hashes(start[short], start[short] + length[short])
+        return out, many
 
 
 def _chunked(column: pa.Array) -> Iterator[tuple[int, Lines]]:
     data, offsets = texts_of(column)
-    for start, stop in chunks(offsets):
+    for start, stop in chunks(offsets, LINE_BYTES):
         part = offsets[start : stop + 1]
         yield start, Lines(data[part[0] : part[-1]], part - part[0])
 
@@ -128,16 +146,17 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base += len(ids)
 
 
-def _bin(hashes: np.ndarray) -> np.ndarray:
-    """The upper half of a hash gives the bin, the lower half the value."""
-    return ((hashes >> np.uint64(32)) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64)
-
+def signature(hashes: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One-permutation MinHash (lines, bins), and how many bins a line fills itself.
 
-def signature(hashes: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """One-permutation MinHash (lines, bins); an empty bin borrows from a full one, drawn alike for all lines."""
-    line = np.repeat(np.arange(len(many)), many)
+    The upper half of a hash gives the bin, the lower half the value; an empty bin borrows from a full one, drawn alike for all lines.
+    """
+    place = hashes >> np.uint64(32)
+    place *= np.uint64(_BINS)
+    place >>= np.uint64(32)
+    place += np.repeat(np.arange(len(many), dtype=np.uint64) * np.uint64(_BINS), many)
     out = np.full(len(many) * _BINS, np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(out, line * _BINS + _bin(hashes), hashes & np.uint64(0xFFFFFFFF))
+    np.minimum.at(out, place.view(np.int64), hashes & np.uint64(0xFFFFFFFF))
     full = (out != np.iinfo(np.uint64).max).reshape(len(many), _BINS)
     donor = np.tile(np.arange(_BINS), len(many))
     empty = np.flatnonzero(~full.ravel())
@@ -153,7 +172,9 @@ def signature(hashes: np.ndarray, many: np.ndarray) -> np.ndarray:
         place = np.where(np.concatenate([full, full], 1), np.arange(2 * _BINS), 4 * _BINS)
         nearest = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :_BINS]
         donor[empty] = nearest.ravel()[empty] % _BINS
-    return mix(np.take_along_axis(out.reshape(len(many), _BINS), donor.reshape(len(many), _BINS), 1))
+    donor = donor.reshape(len(many), _BINS)
+    donor += np.arange(0, len(out), _BINS)[:, None]
+    return mix(out[donor]), full.sum(1)
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,13 +182,15 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     for b in batches:
         for _, lines in _chunked(b.column("text")):
-            names, first = np.unique(lines.names(), return_index=True)
-            first = np.array([i for n, i in zip(names.tolist(), first.tolist()) if not lines.blank[i] and n not in seen], np.int64)
+            every = lines.names()
+            names, first = np.unique(every, return_index=True)
+            blank = lines.blank[first].tolist()
+            first = np.array(sorted(i for n, i, none in zip(names.tolist(), first.tolist(), blank) if not none and n not in seen), np.int64)
             if not len(first):
                 continue
-            names = lines.names()[first]
+            names = every[first]
             seen.update(names.tolist())
-            sign = signature(*lines.shingles(first)).reshape(len(first), BANDS, ROWS)
+            sign = signature(*lines.shingles(first))[0].reshape(len(first), BANDS, ROWS)
             band = np.zeros((len(first), BANDS), np.uint64) + np.arange(BANDS, dtype=np.uint64)
             for r in range(ROWS):
                 band = mix(band * np.uint64(0xD6E8FEB86659FD93) + sign[:, :, r])
@@ -276,11 +299,9 @@ _SKETCH = ("s0", "s1", "s2", "s3")
 
 def _sketches(lines: Lines, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Four bits of each of 64 bins of the chosen lines as four longs, and how many bins each fills itself."""
-    hashes, many = lines.shingles(which)
-    full = np.zeros((len(many), _BINS), bool)
-    full[np.repeat(np.arange(len(many)), many), _bin(hashes)] = True
-    bits = (signature(hashes, many)[:, :64] & np.uint64(15)).astype(np.uint8)
-    return np.ascontiguousarray(bits[:, ::2] | bits[:, 1::2] << 4).view(np.int64), full.sum(1)
+    sign, full = signature(*lines.shingles(which))
+    bits = sign[:, :64].astype(np.uint8) & np.uint8(15)
+    return np.ascontiguousarray(bits[:, ::2] | bits[:, 1::2] << 4).view(np.int64), full
 
 
 def _line_texts(bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,14 +313,14 @@ def _line_texts(bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             place = every.view(np.uint64) & np.uint64(64 * len(words) - 1)
             hit = (words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool) & ~lines.blank
             chosen = []
-            for i in np.flatnonzero(hit).tolist():
-                if (name := int(every[i])) not in seen:
+            for i, name in zip(np.flatnonzero(hit).tolist(), every[hit].tolist()):
+                if name not in seen:
                     seen.add(name)
                     chosen.append(i)
             if not chosen:
                 continue
             sketch, full = _sketches(lines, np.array(chosen))
-            found = [lines.letters[lines.start[i] : lines.end[i]].tobytes().decode("utf-32-le") for i in chosen]
+            found = [lines.text[i:j] for i, j in zip(lines.start[chosen].tolist(), lines.end[chosen].tolist())]
             yield _batch({"class": every[chosen], "line": pa.array(found, pa.string()),
                           **{c: np.ascontiguousarray(sketch[:, k]) for k, c in enumerate(_SKETCH)}, "full": full})
 
@@ -348,7 +369,7 @@ def _shingles_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of lines, and how many each has."""
     data, offsets = texts_of(pa.array(texts, pa.large_string()))
     parts = []
-    for start, stop in chunks(offsets):
+    for start, stop in chunks(offsets, LINE_BYTES):
         part = offsets[start : stop + 1]
         parts.append(Lines(data[part[0] : part[-1]], part - part[0]).shingles(np.arange(stop - start)))
     return np.concatenate([h for h, _ in parts]), np.concatenate([m for _, m in parts])
@@ -363,32 +384,35 @@ def line_sets(texts: list[str]) -> list[np.ndarray]:
 
 def linked_inside(texts: list[str], group: np.ndarray, percent: int) -> np.ndarray:
     """(i, j) of all similar lines of one group, for many small groups at once; rows of a group stand together."""
-    hashes, many = _shingles_of(texts)
-    row = np.repeat(np.arange(len(texts)), many)
-    key = mix(hashes ^ mix(group.astype(np.uint64) + np.uint64(0x77))[row])
-    order = np.argsort(key)
-    key, row = key[order], row[order]
-    same = np.concatenate([[False], key[1:] == key[:-1], [False]])
-    often = same[1:] | same[:-1]
-    # shingles that stand more than once in a group, by (shingle, line), and those that a line repeats once
-    code = np.sort(np.cumsum(~same[:-1])[often] * len(texts) + row[often])
-    new = np.ones(len(code), bool)
-    new[1:] = code[1:] != code[:-1]
-    sizes = many - np.bincount(code[~new] % len(texts), minlength=len(texts))
-    key, row = np.divmod(code[new], len(texts))
+    code, many = _shingles_of(texts)
+    # shingles of a group by their upper bits, with the line in the lower ones: one sort brings equal ones together and shows repeats
+    low_bits = np.uint64(max(len(texts) - 1, 1).bit_length())
+    code ^= np.repeat(mix(group.astype(np.uint64) + np.uint64(0x77)), many)
+    code >>= low_bits
+    code <<= low_bits
+    code |= np.repeat(np.arange(len(texts), dtype=np.uint64), many)
+    code.sort()
+    code = code[np.append(True, code[1:] != code[:-1])]
+    row = (code & ((np.uint64(1) << low_bits) - np.uint64(1))).view(np.int64)
+    code >>= low_bits
+    sizes = np.bincount(row, minlength=len(texts))
     # a cell counts what two lines of a group share
     starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     m = np.diff(np.append(starts, len(texts)))
     cells = np.concatenate([[0], np.cumsum(m * m)])
     number = np.repeat(np.arange(len(m)), m)
+    base = cells[number] + (np.arange(len(texts)) - starts[number]) * m[number] - starts[number]
     shared = np.zeros(cells[-1], np.int64)
-    for step in range(1, int(m.max())):
-        near = np.flatnonzero(key[step:] == key[:-step])
-        if not len(near):
-            break
-        low, high = row[near], row[near + step]
-        g = number[low]
-        shared += np.bincount(cells[g] + (low - starts[g]) * m[g] + high - starts[g], minlength=len(shared))
+    at, step = np.flatnonzero(code[1:] == code[:-1]), 1
+    while len(at):
+        low, high = row[at], row[at + step]
+        inside = number[low] == number[high]
+        if not inside.all():
+            low, high = low[inside], high[inside]
+        shared += np.bincount(base[low] + high, minlength=len(shared))
+        step += 1
+        at = at[: np.searchsorted(at, len(code) - step)]
+        at = at[code[at] == code[at + step]]
     cell = np.flatnonzero(shared)
     g = np.searchsorted(cells, cell, side="right") - 1
     i, j = starts[g] + (cell - cells[g]) // m[g], starts[g] + (cell - cells[g]) % m[g]
@@ -472,7 +496,10 @@ def linked_lines(texts: DataFrame, percent: int) -> DataFrame:
     members = _different(met.withColumnRenamed("band", "bucket"))
     bits = spark.sparkContext.broadcast(_class_bits(members))
     sketch = ", ".join(f"{c} long" for c in (*_SKETCH, "full"))
-    found = cut_lineage(texts.mapInArrow(partial(_line_texts, bits), f"class long, line string, {sketch}").dropDuplicates(["class"]))
+    # dealt out first: few classes stand in several tasks, so that dropping them before would only sort the texts once more
+    found = cut_lineage(
+        texts.mapInArrow(partial(_line_texts, bits), f"class long, line string, {sketch}")
+        .repartition("class").dropDuplicates(["class"]))
     # a bucket of more lines than a block holds is compared as it is, in pairs of blocks
     small = members.where(F.col("m") <= BLOCK_LINES).join(found.select("class", *_SKETCH, "full"), "class").select(
         "bucket", "class", *_SKETCH, "full")

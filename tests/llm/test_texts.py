@@ -429,3 +429,39 @@ def test_query_drops_what_the_operator_drops(spark, folder):
         want.setdefault(r.doc_id, []).append((r.line, r.kept))
     got = {r.doc_id: (r.n_lines, r.n_kept, list(r.dropped)) for r in lines.op2_fuzzy_lines(spark, folder).collect()}
     assert got == {d: (len(v), sum(k for _, k in v), sorted(n for n, k in v if not k)) for d, v in want.items()}
+
+
+def test_lines_do_not_depend_on_how_texts_are_cut(monkeypatch):
+    """Texts are handled in runs of LINE_BYTES, whose arrays stay small, with the same names, band keys, texts and links."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(31)
+    alphabet = list("abcdefgh \t\néß𝒳")
+    texts = ["".join(rng.choice(alphabet, int(rng.integers(0, 120)))) for _ in range(300)]
+    texts += [f"the same beginning of several lines, number {i}" for i in range(30)]
+    texts += ["", " ", "\n", "abc", "abcd", "abcde", "  abcd\r\n\x0b e ", "", None, "x" * 5000, " " * 700 + "y" + " " * 700 + "\nz"]
+    given = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    class Everything:
+        value = np.full(1 << 10, (1 << 64) - 1, np.uint64)
+
+    sizes, init = [], lines.Lines.__init__
+    monkeypatch.setattr(lines.Lines, "__init__", lambda self, data, offsets: (sizes.append((len(data), len(offsets))), init(self, data, offsets))[1])
+    results = []
+    for size in (1, 100, lines.LINE_BYTES):
+        monkeypatch.setattr(lines, "LINE_BYTES", size)
+        bands = {(r["band"], r["class"]) for b in lines._bands(iter([given])) for r in b.to_pylist()}
+        found = {tuple(r.values()) for b in lines._line_texts(Everything, iter([given])) for r in b.to_pylist()}
+        every = sorted({r[1] for r in found})
+        results.append((bands, found, lines.linked_inside(every, np.arange(len(every)) // 9, 60).tolist()))
+        assert all(n <= max(size, 5000) or rows == 2 for n, rows in sizes)
+    assert results[0] == results[1] == results[2] and results[0][2]
+    # the texts sent are the trimmed lines
+    want = {s for t in texts if t for line in t.split("\n") if (s := line.strip(" \t\n\r\x0b\x0c"))}
+    assert {r[1] for r in results[0][1]} == want
+    # a batch above the bound goes in several runs
+    del sizes[:]
+    long = pa.RecordBatch.from_arrays([pa.array(["a line of some words\n" * 1000] * 60)], names=["text"])
+    list(lines._bands(iter([long])))
+    assert max(n for n, _ in sizes) <= lines.LINE_BYTES < sum(n for n, _ in sizes)

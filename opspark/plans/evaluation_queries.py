@@ -133,16 +133,16 @@ def _(spark, sf):
     return rounded(ev.error_percentiles(prices(spark, sf), "y", "p"))
 
 
-def drawn_sql(cells: str, keys: str, draws: int) -> str:
-    """Poisson numbers per cell and draw, as in ``poisson_draws``: the sums of the distribution that lie below the draw are counted."""
-    text = " || '-' || ".join(k.strip() for k in keys.split(","))
-    same = " AND ".join(f"f.{k.strip()} = d.{k.strip()}" for k in keys.split(","))
+def weights_sql(rows: str, keys: str, draws: int, by: str) -> str:
+    """Poisson(1) weights per row and draw, as in ``weighted_draws``, and their sums by ``by``: rows with equal keys are numbered."""
+    bounds, size, many = ev.weight_bounds(), ev.WEIGHT_DIGITS, ev.WEIGHTS_A_DIGEST
+    name = " || '-' || ".join(f"coalesce({k.strip()}::VARCHAR, '\\N')" for k in keys.split(","))
+    cases = " ".join(f"WHEN u < '{b}' THEN {w}" for w, b in enumerate(bounds))
     return f"""
-lo AS (SELECT *, greatest(0, floor(n - 9 * sqrt(n) - 20))::BIGINT AS low, ceil(n + 9 * sqrt(n) + 20)::BIGINT AS high FROM {cells}),
-k AS (SELECT {keys}, n, unnest(range(low, high + 1)) AS k FROM lo),
-f AS (SELECT {keys}, sum(exp(k * ln(n) - n - lgamma(k + 1))) OVER (PARTITION BY {keys} ORDER BY k) AS f FROM k),
-d AS (SELECT {keys}, n, low, draw, ('0x' || substr(md5({text} || '-' || draw || '-42'), 1, 15))::BIGINT / 1152921504606846976.0 AS u FROM lo, range(1, {draws + 1}) b(draw)),
-w AS (SELECT {', '.join('d.' + k.strip() for k in keys.split(','))}, d.n, draw, min(low) + count(f.f) AS w FROM d LEFT JOIN f ON {same} AND f.f < d.u GROUP BY ALL)"""
+r AS (SELECT {by}, {name} || '-' || row_number() OVER (PARTITION BY {keys}) AS name FROM {rows}),
+h AS (SELECT {by}, block, sha256(name || '-' || block || '-42') AS h FROM r, range({-(-draws // many)}) b(block)),
+u AS (SELECT {by}, block * {many} + place + 1 AS draw, substr(h, 1 + {size} * place::INT, {size}) AS u FROM h, range({many}) k(place)),
+w AS (SELECT {by}, draw, sum(CASE {cases} ELSE {len(bounds)} END) AS w FROM u WHERE draw <= {draws} GROUP BY ALL)"""
 
 
 def _interval_sql(metrics):
@@ -151,8 +151,7 @@ def _interval_sql(metrics):
 
 
 @query("bootstrap_classification", "A24", f"""
-WITH t AS (SELECT l.quality AS y, (d.n_chars > 1500)::INT AS p FROM labels l JOIN documents d USING (doc_id)),
-c0 AS (SELECT y, p, count(*) AS n FROM t GROUP BY 1, 2), {drawn_sql('c0', 'y, p', 1000)},
+WITH t AS (SELECT l.doc_id, l.quality AS y, (d.n_chars > 1500)::INT AS p FROM labels l JOIN documents d USING (doc_id)), {weights_sql('t', 'doc_id, y, p', 1000, 'y, p')},
 l AS (SELECT draw, y AS label, w AS s, 0 AS f, CASE WHEN y = p THEN w ELSE 0 END AS t FROM w WHERE w > 0
       UNION ALL SELECT draw, p, 0, w, 0 FROM w WHERE w > 0),
 c AS (SELECT draw, label, sum(s) AS s, sum(f) AS f, sum(t) AS t FROM l GROUP BY ALL),
@@ -160,8 +159,8 @@ x AS (SELECT draw, sum(t) / sum(s) AS accuracy, sum(s * coalesce(2.0 * t / nulli
 {_interval_sql(('accuracy', 'f1'))}""")
 def _(spark, sf):
     both = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id")
-    df = both.select(F.col("quality").alias("y"), (F.col("n_chars") > 1500).cast("int").alias("p"))
-    return rounded(ev.bootstrap_classification(df, "y", "p", 1000), places=6)
+    df = both.select("doc_id", F.col("quality").alias("y"), (F.col("n_chars") > 1500).cast("int").alias("p"))
+    return rounded(ev.bootstrap_classification(df, "y", "p", 1000, key=["doc_id"]), places=6)
 
 
 @query("bootstrap_regression", "A24", f"""

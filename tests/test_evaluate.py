@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import numpy as np
@@ -123,6 +124,35 @@ def test_draws_of_equal_counts_stand_alone(spark):
         assert abs(w.mean() / n - 1) < 0.05 and abs(w.sum(0).var() / (40 * n) - 1) < 0.3
 
 
+def test_bootstrap_classification_weighs_every_row_of_every_draw(spark):
+    """Weights by hashlib, a row at a time: rows of one truth and prediction are not drawn as one, and equal rows count apart."""
+    rows = [(i // 2, i % 3 % 2, i % 5 % 2) for i in range(60)] + [(7, 1, 1)] * 3 + [(None, 1, 0)] * 2
+    bounds, seen, names = [int(b, 16) for b in ev.weight_bounds()], {}, []
+    for row in rows:
+        seen[row] = seen.get(row, 0) + 1
+        names.append("-".join("\\N" if v is None else str(v) for v in row) + f"-{seen[row]}")
+    accuracy = []
+    for draw in range(50):
+        digests = [hashlib.sha256(f"{n}-{draw // 4}-42".encode()).hexdigest()[draw % 4 * 16:][:16] for n in names]
+        w = np.array([sum(b <= int(d, 16) for b in bounds) for d in digests])
+        accuracy.append(w[[y == p for _, y, p in rows]].sum() / w.sum())
+    df = spark.createDataFrame(rows, "k int, y int, p int")
+    for part in (df, df.repartition(5, "p")):
+        got = {r.metric: r for r in ev.bootstrap_classification(part, "y", "p", 50, key=["k"]).collect()}["accuracy"]
+        assert math.isclose(got["mean"], np.mean(accuracy)) and math.isclose(got["std"], np.std(accuracy))
+        assert math.isclose(got.lower, np.quantile(accuracy, 0.025)) and math.isclose(got.upper, np.quantile(accuracy, 0.975))
+
+
+def test_weights_of_rows_are_poisson_without_an_end(spark):
+    w = ev.weighted_draws(spark.createDataFrame([("a", 2500), ("b", 1)], "k string, n long"), ["k"], 402, 3)
+    got = w.groupBy("k").agg(F.count("*").alias("rows"), F.max("draw").alias("draws"), F.avg("w").alias("mean"), F.var_pop("w").alias("var"), F.max("w").alias("most")).collect()
+    a, b = sorted(got)
+    assert (a.rows, a.draws, b.rows, b.draws) == (2500 * 402, 402, 402, 402)
+    assert abs(a["mean"] - 1) < 0.005 and abs(a["var"] - 1) < 0.01 and a["most"] > 7
+    bounds = [int(x, 16) / 16**16 for x in ev.weight_bounds()]
+    assert len(bounds) > 18 and np.allclose(bounds[:4], [math.exp(-1) * v for v in (1, 2, 2.5, 8 / 3)], rtol=1e-15)
+
+
 def test_bootstrap_does_not_depend_on_partitioning(scored):
     a = ev.bootstrap_regression(scored, "y", "s", 50).orderBy("metric").collect()
     b = ev.bootstrap_regression(scored.repartition(3), "y", "s", 50).orderBy("metric").collect()

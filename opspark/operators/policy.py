@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from opspark.session import cut_lineage
 from opspark.sources.schemas import CONTAINER
 
 # Kinds, namespaces, exemptions, annotations, capability and volume
@@ -98,7 +99,7 @@ def scope(kinds: Sequence[str] = WORKLOAD_KINDS, excluded: Sequence[str] = SYSTE
 
 
 class Rule(NamedTuple):
-    """A rule as columns of a resource: where it holds, and the lists of its messages."""
+    """A rule as columns of a resource: where it holds, and the lists of its messages, in which null is no message."""
 
     name: str
     action: str
@@ -110,14 +111,12 @@ def violations(df: DataFrame, *rules: Rule) -> DataFrame:
     """All messages of the rules in one pass over the resources, equal ones of a resource once."""
     def found(rule: Rule) -> Column:
         texts = F.array_distinct(F.concat(*[F.coalesce(m, F.array().cast("array<string>")) for m in rule.messages]))
-        return F.when(F.coalesce(rule.applies, F.lit(False)), F.transform(
-            texts, lambda t: F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.action).alias("action"), t.alias("msg"))))
+        return F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.action).alias("action"), F.when(F.coalesce(rule.applies, F.lit(False)), texts).alias("texts"))
 
-    empty = F.array().cast("array<struct<rule:string,action:string,msg:string>>")
-    every = F.concat(*[F.coalesce(found(r), empty) for r in rules])
-    return df.select(
+    told = df.select(
         "kind", F.col("metadata.namespace").alias("namespace"), F.col("metadata.name").alias("resource"),
-        F.explode(every).alias("r")).select("kind", "namespace", "resource", "r.*")
+        F.explode(F.array(*[found(r) for r in rules])).alias("r"))
+    return told.select("kind", "namespace", "resource", "r.rule", "r.action", F.explode("r.texts").alias("msg")).where("msg is not null")
 
 
 def latest_rule(exempt: Sequence[str] = EXEMPT_IMAGES, action: str = "deny") -> Rule:
@@ -129,7 +128,7 @@ def latest_rule(exempt: Sequence[str] = EXEMPT_IMAGES, action: str = "deny") ->
                 spared = spared | c["image"].contains(e)
             return c["image"].endswith(":latest") & ~spared
         before, after = LATEST_MESSAGE.replace("%s", title, 1).split("%s")
-        return F.transform(F.filter(place, bad), lambda c: F.concat(F.lit(before), c["image"], F.lit(after)))
+        return F.transform(place, lambda c: F.when(bad(c), F.concat(F.lit(before), c["image"], F.lit(after))))
 
     kind = F.col("kind")
     template = F.col("spec.template.spec.containers")
@@ -150,7 +149,7 @@ def deny_latest(df: DataFrame, *args, **options) -> DataFrame:
 
 def _each(place: Column, messages) -> Column:
     """All messages of the containers in one pass over the list; ``messages(c)`` gives texts or nulls."""
-    return F.flatten(F.transform(place, lambda c: F.array_compact(F.array(*messages(c)))))
+    return F.flatten(F.transform(place, lambda c: F.array(*messages(c))))
 
 
 def limits_rule(requests: bool = True, ephemeral: bool = False, exempt: Sequence[str] = LIMIT_EXEMPT_CONTAINERS,
@@ -208,7 +207,7 @@ def security_rule(level: str = "baseline", exempt: Sequence[str] = STANDARDS_EXE
         if title:
             message = message.replace("%s", title, 1)
         before, after = message.split("%s")
-        return F.when(F.coalesce(bad, no), F.concat(F.lit(before), c["name"], F.lit(after)))
+        return F.when(bad & ~c["name"].isin(list(exempt)), F.concat(F.lit(before), c["name"], F.lit(after)))
 
     def unset(flag):
         return ~F.coalesce(flag, no)
@@ -234,14 +233,10 @@ def security_rule(level: str = "baseline", exempt: Sequence[str] = STANDARDS_EXE
         if strict:
             yield told(c, unset(s["runAsNonRoot"]), NON_ROOT_MESSAGE, "Init container")
 
-    def kept(kind):
-        return F.filter(containers(kind), lambda c: ~c["name"].isin(list(exempt)))
-
     messages: list[Column] = []
     if base:
-        messages.append(F.array_compact(F.array(*[
-            F.when(pod_field(name), HOST_MESSAGE % name) for name in ("hostNetwork", "hostPID", "hostIPC")])))
-        messages += [_each(kept("containers"), of_main), _each(kept("initContainers"), of_init)]
+        messages.append(F.array(*[F.when(pod_field(name), HOST_MESSAGE % name) for name in ("hostNetwork", "hostPID", "hostIPC")]))
+        messages += [_each(containers("containers"), of_main), _each(containers("initContainers"), of_init)]
     if strict:
         banned = F.array(*map(F.lit, RESTRICTED_VOLUMES))
         messages.append(F.flatten(F.transform(pod_field("volumes"), lambda v: F.transform(
@@ -256,9 +251,27 @@ def pod_security(df: DataFrame, *args, **options) -> DataFrame:
     return violations(df, security_rule(*args, **options))
 
 
+#: Bits that tell which resources may come twice; fixed, whatever the input.
+TWICE_BITS = 1 << 24
+
+
 def audit(df: DataFrame, level: str = "baseline") -> DataFrame:
-    """Violations of every rule from one scan; equal rows, of resources that come twice, once."""
-    return violations(df, latest_rule(), limits_rule(), balancer_rule(), security_rule(level)).distinct()
+    """Violations of every rule; equal rows, of resources that come twice, once.
+
+    Messages are long, so only those are shuffled that may be equal. Resources are counted by the hash of kind, namespace and name first,
+    and the hashes that come more than once set a bit each. A resource without its bit stands alone, and its messages are distinct as
+    they are made; whatever has the bit goes through ``distinct``.
+    """
+    rules = latest_rule(), limits_rule(), balancer_rule(), security_rule(level)
+    hashed = F.xxhash64("kind", "metadata.namespace", "metadata.name")
+    bit = F.pmod(F.col("hash"), F.lit(TWICE_BITS))
+    twice = df.select(hashed.alias("hash")).groupBy("hash").agg(F.count("*").alias("rows")).where("rows > 1")
+    marks = cut_lineage(twice.groupBy(F.shiftright(bit, 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(hash & 63 as int))")).alias("_bits")))
+    if marks.isEmpty():
+        return violations(df, *rules)
+    told = df.withColumn("_bit", F.pmod(hashed, F.lit(TWICE_BITS))).join(F.broadcast(marks), F.shiftright("_bit", 6) == F.col("_word"), "left")
+    marked = F.expr("coalesce(bit_get(_bits, cast(_bit & 63 as int)), 0) = 1")
+    return violations(told.where(~marked), *rules).unionByName(violations(told.where(marked), *rules).distinct())
 
 
 def compliance_score(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from opspark.functions.columns import safe_ratio
 from opspark.operators.store import seconds
-from opspark.session import cut_lineage
+from opspark.session import BROADCAST_ROWS, cut_lineage, fits
 
 
 def lineage_edges(events: DataFrame, task: str = "task", run: str = "run_id", dataset: str = "dataset",
@@ -27,6 +27,9 @@ def lineage_edges(events: DataFrame, task: str = "task", run: str = "run_id", da
 #: Rounds whose new pairs are kept apart before they are merged into one table.
 APART = 8
 
+#: Rounds before the chains of a graph are contracted.
+PLAIN = 6
+
 
 def chains(links: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(edges, inner)``: a graph in which every chain is one edge, and the nodes inside the chains.
@@ -62,43 +65,60 @@ def chains(links: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame]:
 def closure(edges: DataFrame, roots: DataFrame | None = None, upstream: bool = False) -> DataFrame:
     """Every node reachable from each root with its smallest depth, as ``(root, node, depth)``.
 
-    Chains without branches are contracted first, so a deep graph takes as many rounds as it has branchings in a row, not levels.
     Each round follows the newest pairs only, keeps those that are new or nearer than before, and ends when there are none, so cycles
-    end. Pairs of the last rounds are merged into one table now and then; a round reads that and a few more. Without
-    ``roots`` every node that links on is a root of its own, and nothing can be contracted.
+    end. A graph that goes on after some rounds has its chains without branches contracted, so a deep graph takes as many rounds as it has
+    branchings in a row, not levels, and a flat one is not charged for it. Pairs of the last rounds are merged into one table now and then;
+    a round reads that and a few more. Without ``roots`` every node that links on is a root of its own, and nothing can be contracted.
     """
     a, b = ("dst", "src") if upstream else ("src", "dst")
     # written once, so no round computes the edges again
     links = cut_lineage(edges.select(F.col(a).alias("_from"), F.col(b).alias("_to")).where(
         "_from is not null and _to is not null").distinct())
-    inner = None
-    if roots is None:
-        start = links.select(F.col("_from").alias("root")).distinct()
-        steps = links.withColumn("hops", F.lit(1).cast("bigint"))
-    else:
-        start = cut_lineage(roots.select(F.col(roots.columns[0]).alias("root")).where("root is not null").distinct())
-        steps, inner = chains(links, start.select(F.col("root").alias("node")))
-        steps = cut_lineage(steps)
-    newest = cut_lineage(start.select("root", F.col("root").alias("node"), F.lit(0).cast("bigint").alias("depth")))
-    merged, recent = newest, []
+    start = links.select(F.col("_from").alias("root")) if roots is None else roots.select(F.col(roots.columns[0]).alias("root")).where("root is not null")
+    newest = cut_lineage(start.distinct().select("root", F.col("root").alias("node"), F.lit(0).cast("bigint").alias("depth")))
+    steps, inner = links.withColumn("hops", F.lit(1).cast("bigint")), None
+    merged, recent, rounds, pairs, nodes = newest, [], 0, 0, 0
     while True:
-        step = newest.join(steps, F.col("node") == F.col("_from")).groupBy("root", F.col("_to").alias("node")).agg(F.min(F.col("depth") + F.col("hops")).alias("depth"))
-        seen = reduce(DataFrame.unionByName, [merged, *recent]).withColumnsRenamed({"root": "_root", "node": "_node", "depth": "_depth"})
-        better = (F.col("root") == F.col("_root")) & (F.col("node") == F.col("_node")) & (F.col("_depth") <= F.col("depth"))
-        newest = cut_lineage(step.join(seen, better, "left_anti"))
-        if newest.isEmpty():
+        if rounds == PLAIN and roots is not None:
+            # the newest nodes are ends of chains, so the search goes on from where it is
+            steps, inner = chains(links, newest.select("node").union(start.select("root")).distinct())
+            steps = cut_lineage(steps)
+        seen = reduce(DataFrame.unionByName, [merged, *recent])
+        # a small table of pairs is shuffled sooner than nodes are counted
+        ahead = _few_ahead(newest, steps) if pairs > BROADCAST_ROWS and nodes <= BROADCAST_ROWS // 2 else None
+        if ahead is not None:
+            # only pairs with a node that is met now can be met again
+            seen = seen.join(F.broadcast(ahead.select(F.col("_to").alias("_at")).distinct()), F.col("node") == F.col("_at"), "left_semi")
+        step = newest.join(steps if ahead is None else F.broadcast(ahead), F.col("node") == F.col("_from")).select("root", F.col("_to").alias("node"), (F.col("depth") + F.col("hops")).alias("depth"))
+        # pairs met before and pairs met now are held against each other in one aggregate
+        both = step.unionByName(seen.withColumnRenamed("depth", "before"), allowMissingColumns=True).groupBy("root", "node").agg(F.min("depth").alias("depth"), F.min("before").alias("before"))
+        newest = cut_lineage(both.where("depth < before or depth is not null and before is null").drop("before"))
+        new, nodes = newest.agg(F.count("*"), F.approx_count_distinct("node")).first()
+        rounds, pairs = rounds + 1, pairs + new
+        if not new:
             break
         recent.append(newest)
         if len(recent) == APART:
             merged, recent = cut_lineage(_nearest([merged, *recent])), []
-    found = _nearest([merged, *recent]) if roots is not None else reduce(DataFrame.unionByName, [merged, *recent])
+    # without chains a round is a level, and no pair is met again
+    found = reduce(DataFrame.unionByName, [merged, *recent])
     if inner is not None:
+        found = _nearest([merged, *recent])
         held = inner.withColumnRenamed("node", "_node")
         inside = found.join(held, F.col("node") == F.col("first")).select("root", F.col("_node").alias("node"), (F.col("depth") + F.col("hops")).alias("depth"))
-        found = found.unionByName(inside)
+        found = _nearest([found, inside])
     return found.where("depth > 0").withColumn("depth", F.col("depth").cast("int"))
 
 
+def _few_ahead(newest: DataFrame, steps: DataFrame) -> DataFrame | None:
+    """The steps that go on from the newest nodes, if those nodes and steps are counted to be few; many pairs may share a node."""
+    nodes = cut_lineage(newest.select(F.col("node").alias("_at")).distinct())
+    if not fits(nodes):
+        return None
+    ahead = cut_lineage(steps.join(F.broadcast(nodes), F.col("_from") == F.col("_at"), "left_semi"))
+    return ahead if fits(ahead) else None
+
+
 def _nearest(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).groupBy("root", "node").agg(F.min("depth").alias("depth"))
 

@@ -303,7 +303,7 @@ def edges(spark, sf):
     return (link("nation", "region", "n_regionkey", "nation", "n_nationkey")
             .unionByName(link("customer", "nation", "c_nationkey", "customer", "c_custkey"))
             .unionByName(link("orders", "customer", "o_custkey", "order", "o_orderkey"))
-            .unionByName(link("lineitem", "order", "l_orderkey", "supplier", "l_suppkey")).distinct())
+            .unionByName(link("lineitem", "order", "l_orderkey", "supplier", "l_suppkey")))
 
 
 @query("lineage_edges", "D11", """

@@ -347,3 +347,49 @@ def test_span_self_time(spark):
         rows, "trace_id string, span_id string, parent_id string, name string, start timestamp, end timestamp")).collect()}
     assert (got["http"].self_time, got["db"].self_time, got["model"].self_time) == (2.0, 3.0, 5.0)
     assert math.isclose(got["model"].share, 0.5)
+
+
+def test_closure_of_a_flat_graph_contracts_nothing(spark, monkeypatch):
+    """A graph of few levels pays for no chains; branches that meet again and rings end."""
+    monkeypatch.setattr(ln, "chains", None)
+    links = [("r", f"a{i}") for i in range(5)] + [(f"a{i}", f"b{i % 2}") for i in range(5)] + [("b0", "c"), ("b1", "c"), ("c", "b0"), ("r", "c")]
+    got = ln.closure(spark.createDataFrame(links, "src string, dst string"), spark.createDataFrame([("r",), ("b1",)], "root string"))
+    assert sorted(map(tuple, got.collect())) == sorted(
+        [("r", f"a{i}", 1) for i in range(5)] + [("r", "c", 1), ("r", "b0", 2), ("r", "b1", 2), ("b1", "c", 1), ("b1", "b0", 2)])
+
+
+@pytest.mark.parametrize("plain, rows", [(0, 500_000), (2, 500_000), (6, 60)])
+def test_closure_is_the_same_however_it_goes_on(spark, monkeypatch, plain, rows):
+    """Chains contracted at once or amid the search, and rounds that look ahead from few nodes."""
+    monkeypatch.setattr(ln, "PLAIN", plain)
+    monkeypatch.setattr(ln, "BROADCAST_ROWS", rows)
+    draw = np.random.default_rng(3)
+    links = {(int(a), int(b)) for a, b in zip(draw.integers(0, 40, 55), draw.integers(0, 40, 55))} | {(i, i + 1) for i in range(40, 52)} | {(5, 40), (46, 7)}
+    want = set()
+    for root in range(0, 40, 4):
+        depth, front = {}, {root}
+        for d in range(1, 60):
+            front = {b for a, b in links if a in front} - depth.keys() - {root}
+            depth |= {b: d for b in front}
+        want |= {(root, b, d) for b, d in depth.items()}
+    roots = spark.createDataFrame([(r,) for r in range(0, 40, 4)], "root long")
+    got = [tuple(r) for r in ln.closure(spark.createDataFrame(sorted(links), "src long, dst long"), roots).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_audit_shuffles_only_messages_of_resources_that_come_twice(spark):
+    """Resources that stand alone give their messages without a distinct; of those that come twice equal messages stay once."""
+
+    def balancer(name, space="team-a"):
+        return {"kind": "Service", "metadata": {"name": name, "namespace": space}, "spec": {"type": "LoadBalancer"}}
+
+    def of_images(name, *images):
+        return {"kind": "Pod", "metadata": {"name": name}, "spec": {"containers": [{"name": i, "image": i + ":latest"} for i in images]}}
+
+    alone = spark.createDataFrame([balancer("a"), balancer("b"), of_images("c", "x", "x", "y"), of_images(None, "z")], RESOURCE)
+    rows = [tuple(r) for r in po.audit(alone).collect()]
+    assert len(rows) == len(set(rows)) == 2 + 2 + 1 + 4 * 3
+    assert "keys=[kind" not in po.audit(alone)._jdf.queryExecution().executedPlan().toString()
+    twice = alone.unionAll(alone).unionAll(spark.createDataFrame([balancer("a", "team-b"), of_images("c", "y", "w")], RESOURCE))
+    again = [tuple(r) for r in po.audit(twice).collect()]
+    assert len(again) == len(set(again)) and set(again) > set(rows) and len(again) == len(rows) + 1 + 1 + 4

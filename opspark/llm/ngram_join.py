@@ -2,11 +2,13 @@
 
 1. A text's set is hashed to 64 bits; texts with equal sets are one class, named by the digest of the set.
 2. A fixed-size sketch counts n-grams over all texts. Its counts, then the hash, order the n-grams of each set: rare first.
-3. Two sets that are similar enough share an n-gram of their first ones (prefix filter; for the shorter set a shorter prefix does,
-   which also holds back what the positional filter would). Classes meet on prefix n-grams, in order of length, and a
-   chain ends where lengths are too unlike (length filter). One task reads an n-gram's classes as a sorted stream and keeps the
-   head of the chain only, so a frequent n-gram costs no memory and gives one row per class, not all pairs.
-4. Classes that such chains join are candidates of each other. A group of them is compared once, whatever number of
+3. Two sets that are similar enough share some n-grams of their first ones (prefix filter; for the shorter set a shorter prefix does,
+   which also holds back what the positional filter would): with ``MEETS - 1`` n-grams more in each prefix at least ``MEETS`` of them.
+   Classes meet on prefix n-grams, in order of length, and a chain ends where lengths are too unlike (length filter). One task reads
+   an n-gram's classes as a sorted stream. A short chain gives its pairs, and pairs that meet less than ``MEETS`` times go: texts
+   that share an n-gram by chance would join more and more of a growing table. Of a longer chain only the head is kept,
+   so a frequent n-gram costs no memory and gives one row per class, not all pairs; whatever it joins stays.
+4. Classes that are joined so are candidates of each other. A group of them is compared once, whatever number of
    n-grams its members share; a large group is cut into blocks, and pairs of blocks are compared apart (sets travel as
    sorted hashes). Inside, intersections of all pairs are counted exactly, so each pair is verified once.
 5. A block gives the spanning links of its true links, and alternating star steps join them to components.
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from opspark.llm.common import components, mix, shingle_sets, small_batches, table
-from opspark.session import cut_lineage
+from opspark.session import bounded_broadcast, cut_lineage
 
 #: Counters of the sketch; its size is fixed, whatever the input. A task sends them in strips, one byte each: counts
 #: above 255 in one task are sent as 255, which matters to the order of n-grams only, and so to speed.
@@ -34,10 +36,17 @@ STRIP = 1 << 14
 #: Bits that tell whether a class may be a candidate, for the pass that sends sets; fixed too.
 BITS = 1 << 20
 
+#: N-grams of their prefixes that two similar sets share at least, and the longest chain that gives its pairs.
+MEETS = 4
+SHORT = 16
+
 #: Bounds of a block of candidates.
 BLOCK_SHINGLES = 2_000_000
 BLOCK_CLASSES = 1500
 
+#: Classes whose places may be broadcast (three numbers each), so that sets travel once; beyond, the join shuffles them once more.
+PLACED = 1_000_000
+
 
 def _digest(found: np.ndarray) -> int:
     """A digest of a set, as a signed long."""
@@ -85,9 +94,14 @@ def _strip_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch({"strip": pa.array(list(sums), pa.int32()), "counts": pa.array([np.minimum(v, 1 << 30).astype(np.int32).tobytes() for v in sums.values()], pa.binary())})
 
 
+def _common(n: int, percent: int) -> int:
+    """N-grams that the shorter set of a similar pair, of size ``n``, has in common with the longer at least."""
+    return -(-2 * percent * n // (100 + percent))
+
+
 def _prefix_sizes(n: int, percent: int) -> tuple[int, int]:
-    """(index, probe): how many first n-grams do for the shorter set of a pair, and for the longer."""
-    return n - -(-2 * percent * n // (100 + percent)) + 1, n - -(-percent * n // 100) + 1
+    """(index, probe): in how many first n-grams the shorter set of a pair meets the longer ``MEETS`` times, and the longer the shorter."""
+    return min(n, n - _common(n, percent) + MEETS), min(n, n - -(-percent * n // 100) + MEETS)
 
 
 def _prefixes(k: int, percent: int, sketch, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,35 +127,66 @@ def _prefixes(k: int, percent: int, sketch, batches: Iterator[pa.RecordBatch]) -
 
 
 def _chains(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate edges from rows sorted by token, n, late: each class with the head of the chain it falls in.
+    """Candidate edges (a, b, times) from rows sorted by token, n, late.
 
-    A chain goes on while a row's length is near enough to that of the last row with an index prefix. All that is carried
-    from row to row is the token, the head and that length.
+    A chain goes on while a row's length is near enough to that of the last row with an index prefix. Up to ``SHORT`` rows give each pair that may
+    be similar, once; a longer chain gives each class with its head, as met often enough. All that is carried from row to row is
+    the token, the head, that length and the rows of a short chain.
     """
     token = head = reach = None
-    for b in batches:
-        tokens, sizes, late, names = (b.column(c).to_numpy(zero_copy_only=False) for c in ("token", "n", "late", "class"))
+    chain: list[tuple[int, int, bool]] | None = []
+    edges: dict[tuple[int, int], int] = {}
+
+    def end() -> None:
+        for i, (a, n, late) in enumerate(chain or ()):
+            if late:
+                continue
+            # small sets may have less than MEETS in common
+            times = 1 if _common(n, percent) >= MEETS else MEETS
+            for b, m, _ in chain[i + 1 :]:
+                if n * 100 < percent * m:
+                    break
+                if a != b:
+                    pair = (a, b) if a < b else (b, a)
+                    edges[pair] = edges.get(pair, 0) + times
+
+    def out() -> pa.RecordBatch:
+        a, b = map(np.array, zip(*edges))
+        got = _batch({"a": a, "b": b, "times": pa.array(edges.values(), pa.int64())})
+        edges.clear()
+        return got
+
+    for batch in batches:
+        tokens, sizes, late, names = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "n", "late", "class"))
         # rows whose token stands alone give nothing: skip them at once
         alone = np.ones(len(tokens), bool)
         same = tokens[1:] == tokens[:-1]
         alone[1:] &= ~same
         alone[:-1] &= ~same
         alone[:1] = alone[-1:] = False
-        edges = set()
         for i in np.flatnonzero(~alone):
-            if tokens[i] != token:
-                token, head = tokens[i], None
-            if head is not None and reach * 100 >= percent * sizes[i]:
-                if names[i] != head:
-                    edges.add((int(head), int(names[i])))
+            name, n = int(names[i]), int(sizes[i])
+            if tokens[i] == token and head is not None and reach * 100 >= percent * n:
+                if chain is not None and len(chain) == SHORT:
+                    edges.update(((head, c[0]), MEETS) for c in chain if c[0] != head)
+                    chain = None
+                if chain is not None:
+                    chain.append((name, n, bool(late[i])))
+                elif name != head:
+                    edges[head, name] = MEETS
                 if not late[i]:
-                    reach = int(sizes[i])
-            elif not late[i]:
-                head, reach = names[i], int(sizes[i])
-            else:
-                head = None
+                    reach = n
+                continue
+            end()
+            token, head, reach, chain = tokens[i], None, None, []
+            if not late[i]:
+                head, reach = name, n
+                chain.append((name, n, False))
         if edges:
-            yield _batch(dict(zip(("a", "b"), map(np.array, zip(*edges)))))
+            yield out()
+    end()
+    if edges:
+        yield out()
 
 
 def _wanted(sets_of, bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +269,7 @@ def _spanning(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
 
 
 def _verify(percent: int, decode, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning links of each group of candidates, from rows sorted by (group, low, high)."""
+    """Spanning links of each group of candidates, from rows sorted by (group, low, high, class)."""
 
     def out(rows: list[tuple]) -> pa.RecordBatch | None:
         names, sets, block = [r[3] for r in rows], decode([r[4] for r in rows]), np.array([r[5] for r in rows])
@@ -232,13 +277,14 @@ def _verify(percent: int, decode, batches: Iterator[pa.RecordBatch]) -> Iterator
         return _batch({"a": np.array([names[i] for i, _ in edges]), "b": np.array([names[j] for _, j in edges])}) if edges else None
 
     waiting: list[tuple] = []
-    for b in batches:
+    for b in batches:  # a class may come once from each partition of the texts
         for row in zip(*(b.column(c).to_pylist() for c in ("group", "low", "high", "class", "found", "block"))):
             if waiting and waiting[0][:3] != row[:3]:
                 if (got := out(waiting)) is not None:
                     yield got
                 waiting = []
-            waiting.append(row)
+            if not waiting or waiting[-1][3] != row[3]:
+                waiting.append(row)
     if waiting and (got := out(waiting)) is not None:
         yield got
 
@@ -260,13 +306,13 @@ def verified_components(met: DataFrame, sizes: DataFrame, texts: DataFrame, sets
     placed = candidates.join(blocks, "group", "left").fillna(1, ["blocks"]).select("class", "group", "blocks")
     found = texts.mapInArrow(partial(_wanted, sets_of, bits), "class long, found binary")
     meets = (
-        found.join(cut_lineage(placed), "class").dropDuplicates(["class"])
+        found.join(bounded_broadcast(cut_lineage(placed), PLACED), "class")
         .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "class", "found", "block")
     )
     key = ["group", "low", "high"]
-    links = meets.repartition(*key).sortWithinPartitions(*key).mapInArrow(partial(_verify, percent, decode), "a long, b long")
+    links = meets.repartition(*key).sortWithinPartitions(*key, "class").mapInArrow(partial(_verify, percent, decode), "a long, b long")
     return components(links).select(F.col("node").alias("class"), F.col("component").alias("root"))
 
 
@@ -290,7 +336,8 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         counts[r["strip"] * STRIP : (r["strip"] + 1) * STRIP] = np.frombuffer(r["counts"], np.int32)
     sketch = spark.sparkContext.broadcast(counts)
     prefixes = texts.select("text").mapInArrow(partial(_prefixes, k, percent, sketch), "token long, n int, late boolean, class long")
-    met = prefixes.repartition("token").sortWithinPartitions("token", "n", "late", "class").mapInArrow(partial(_chains, percent), "a long, b long")
+    met = prefixes.repartition("token").sortWithinPartitions("token", "n", "late", "class").mapInArrow(partial(_chains, percent), "a long, b long, times long")
+    met = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("times").alias("times")).where(F.col("times") >= MEETS).select("a", "b")
     sizes = sets.where("class is not null").groupBy("class").agg(F.max("n_shingles").alias("n"))
     joined = verified_components(met, sizes, texts.select("text"), partial(_text_sets, k), percent)
     # classes of several rows, and classes linked to others, learn the smallest doc_id; any other row is alone

@@ -2,6 +2,7 @@
 
 import math
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -465,3 +466,32 @@ def test_lines_do_not_depend_on_how_texts_are_cut(monkeypatch):
     long = pa.RecordBatch.from_arrays([pa.array(["a line of some words\n" * 1000] * 60)], names=["text"])
     list(lines._bands(iter([long])))
     assert max(n for n, _ in sizes) <= lines.LINE_BYTES < sum(n for n, _ in sizes)
+
+
+def test_texts_that_share_an_n_gram_by_chance_are_no_candidates(spark, monkeypatch):
+    """A row of texts, each with one run of four words of the next, was one candidate group; near copies among them still meet."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) + " " + " ".join(f"w{i + 1}x{j}" for j in range(4)) for i in range(40)]
+    near = texts[7].replace("w7x29", "other")
+    met = []
+    verified = ngram_join.verified_components
+    monkeypatch.setattr(ngram_join, "verified_components", lambda pairs, *rest, **options: met.append(pairs.count()) or verified(pairs, *rest, **options))
+    df = spark.createDataFrame(list(enumerate([*texts, near])), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.similar_groups(df, percent=75).collect()}
+    assert met == [1] and got == {i: 7 if i == 40 else i for i in range(41)}
+
+
+def test_chains_count_meetings():
+    """Short chains give pairs with their meetings, long ones heads; lengths too unlike and small sets are told apart."""
+    rows = [(1, 100, False, 5), (1, 100, True, 6), (1, 200, False, 7), (1, 201, False, 8)]
+    rows += [(2, 100, False, 5), (2, 100, False, 6)] + [(3, 3, False, 1), (3, 3, False, 2)] + [(4, 50, False, 100 + i) for i in range(ngram_join.SHORT + 3)]
+    got = {}
+    for size in (1, 3, len(rows)):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + size])], names=["token", "n", "late", "class"]) for i in range(0, len(rows), size)]
+        pairs = {}
+        for b in ngram_join._chains(85, iter(batches)):
+            for a, c, times in zip(*(b.column(x).to_pylist() for x in ("a", "b", "times"))):
+                pairs[a, c] = pairs.get((a, c), 0) + times
+        got[size] = pairs
+    many = ngram_join.MEETS
+    want = {(5, 6): 2, (7, 8): 1, (1, 2): many} | {(100, 100 + i): many for i in range(1, ngram_join.SHORT + 3)}
+    assert got[1] == got[3] == got[len(rows)] == want

@@ -47,7 +47,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     decided = cut_lineage(members.join(first, "component").select("of", "component", "first.doc_id", "first.key", "first.rows"))
     of, component, first_id, key, many = names = [_fresh(docs.columns, f"near_{c}") for c in decided.columns]
     decided = decided.toDF(*names)
-    met = docs.join(bounded_broadcast(decided), F.xxhash64(docs["text"]) == decided[of], "left").where(
+    # five numbers a row: beyond the usual bound they are still less than the texts, which a shuffle join would move
+    met = docs.join(bounded_broadcast(decided, ngram_join.PLACED), F.xxhash64(docs["text"]) == decided[of], "left").where(
         F.col(of).isNull() | (F.col(of) == F.col(key)) & docs["doc_id"].eqNullSafe(decided[first_id]))
     kept = met.where(F.col(of).isNull() | (F.col(many) == 1))
     if not decided.where(F.col(many) > 1).isEmpty():
